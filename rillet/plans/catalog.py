@@ -432,7 +432,7 @@ HOP_ITEMS = _hop_sql("behavior", "item_id", "5 minutes", "5 minutes", 12, "WHERE
 
 @query("hop_count", _with(BEHAVIOR) + HOP_ITEMS)
 def q_hop_count(spark, d):
-    return jobs.item_view_counts(_behavior(spark, d))
+    return jobs.item_view_counts(_behavior(spark, d), panes=False)
 
 
 @query("hop_count_panes", _with(BEHAVIOR) + HOP_ITEMS)
@@ -454,7 +454,7 @@ HOP_PAGES = _hop_sql("access", "url", "10 minutes", "5 seconds", 120,
 
 @query("hop_page_count", _with(ACCESS) + HOP_PAGES)
 def q_hop_page_count(spark, d):
-    return jobs.page_view_counts(_access(spark, d))
+    return jobs.page_view_counts(_access(spark, d), panes=False)
 
 
 @query("pv_count", _with(BEHAVIOR) +

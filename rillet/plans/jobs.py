@@ -20,8 +20,12 @@ VIEW = "view"
 
 
 def item_view_counts(behavior: DataFrame, behavior_value: str = VIEW, size: str = "1 hour",
-                     slide: str = "5 minutes", panes: bool = False) -> DataFrame:
-    """(item_id, window_start, window_end, cnt) for the chosen behaviour."""
+                     slide: str = "5 minutes", panes: bool = True) -> DataFrame:
+    """(item_id, window_start, window_end, cnt) for the chosen behaviour.
+
+    ``panes`` (default) counts per 5-minute pane first and expands only the
+    pane counts; ``panes=False`` is the plain sliding ``window()`` grouping.
+    """
     views = behavior.where(F.col("behavior") == behavior_value).select("item_id", "ts")
     if panes:
         return hop_count_panes(views, ["item_id"], "ts", size, slide)
@@ -29,7 +33,7 @@ def item_view_counts(behavior: DataFrame, behavior_value: str = VIEW, size: str
 
 
 def hot_items(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW,
-              size: str = "1 hour", slide: str = "5 minutes", panes: bool = False) -> DataFrame:
+              size: str = "1 hour", slide: str = "5 minutes", panes: bool = True) -> DataFrame:
     counts = item_view_counts(behavior, behavior_value, size, slide, panes)
     ranked = top_n(counts, ["window_end"], [F.desc("cnt"), F.asc("item_id")], n, "rn")
     return ranked.select("item_id", "window_end", "cnt", "rn")
@@ -60,7 +64,7 @@ def hot_items_report(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW
 
 
 def page_view_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
-                     method: str | None = None, panes: bool = False) -> DataFrame:
+                     method: str | None = None, panes: bool = True) -> DataFrame:
     pages = filter_static_assets(log, "url", method).select("url", "ts")
     if panes:
         return hop_count_panes(pages, ["url"], "ts", size, slide)
@@ -68,7 +72,7 @@ def page_view_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 s
 
 
 def hot_pages(log: DataFrame, n: int = 3, size: str = "10 minutes", slide: str = "5 seconds",
-              method: str | None = None, panes: bool = False) -> DataFrame:
+              method: str | None = None, panes: bool = True) -> DataFrame:
     counts = page_view_counts(log, size, slide, method, panes)
     ranked = top_n(counts, ["window_end"], [F.desc("cnt"), F.asc("url")], n, "rn")
     return ranked.select("url", "window_end", "cnt", "rn")
