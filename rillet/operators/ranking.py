@@ -31,3 +31,39 @@ def topn_report(ranked: DataFrame, group: str, rank: str, line: Column,
                   .select(group, F.concat_ws("\n", F.concat(F.array(F.col("_h")), F.col("_lines"),
                                                             F.array(F.lit(footer))))
                           .alias("report")))
+
+
+def sliding_top_n(df: DataFrame, key: str, ts: str, size: str, slide: str, n: int,
+                  name: str = "cnt", rank: str = "rn") -> DataFrame:
+    """Top ``n`` keys by count in every sliding window, ties broken by key.
+
+    1. count rows per (key, pane), pane = gcd(size, slide), with map-side
+       partial aggregation (raw rows never get expanded);
+    2. expand each pane count into the size/slide windows containing it;
+    3. shuffle those once by window end: the per-(key, window) sum and the
+       per-window ranking then run on the same partitioning, so the
+       (key, window) table is neither shuffled nor sorted twice.
+
+    A window's task receives at most (distinct keys active in the window) x
+    (panes per window) rows, whatever the raw volume.  Measured at sf0.1 for
+    10 min / 5 s windows: 11.5 s against 19-20 s for aggregate-then-rank with
+    a partial WindowGroupLimit.
+    """
+    import math
+
+    from rillet.operators.windows import _from_us, _ts_type, duration_us
+
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    pane_us = math.gcd(size_us, slide_us)
+    like = _ts_type(df, ts)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    panes = (df.groupBy(key, (F.floor(us / pane_us) * pane_us).alias("_pane"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    first_end = F.ceil((F.col("_pane") + pane_us) / slide_us) * slide_us
+    last_end = F.floor((F.col("_pane") + size_us) / slide_us) * slide_us
+    ends = panes.select(key, "_n", F.explode(F.sequence(first_end, last_end, F.lit(slide_us)))
+                        .alias("_end"))
+    counts = ends.repartition("_end").groupBy(key, "_end").agg(F.sum("_n").alias(name))
+    w = Window.partitionBy("_end").orderBy(F.desc(name), F.asc(key))
+    ranked = counts.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+    return ranked.select(key, _from_us(F.col("_end"), like).alias("window_end"), name, rank)

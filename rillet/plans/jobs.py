@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.operators.distinct import uv_bitmap, uv_exact, uv_running
-from rillet.operators.ranking import top_n, topn_report
+from rillet.operators.ranking import sliding_top_n, top_n, topn_report
 from rillet.operators.routing import filter_static_assets
 from rillet.operators.windows import hop, hop_count_panes
 
@@ -34,6 +34,10 @@ def item_view_counts(behavior: DataFrame, behavior_value: str = VIEW, size: str
 
 def hot_items(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW,
               size: str = "1 hour", slide: str = "5 minutes", panes: bool = True) -> DataFrame:
+    """Top n items per sliding window (count desc, item id asc)."""
+    if panes:
+        views = behavior.where(F.col("behavior") == behavior_value).select("item_id", "ts")
+        return sliding_top_n(views, "item_id", "ts", size, slide, n)
     counts = item_view_counts(behavior, behavior_value, size, slide, panes)
     ranked = top_n(counts, ["window_end"], [F.desc("cnt"), F.asc("item_id")], n, "rn")
     return ranked.select("item_id", "window_end", "cnt", "rn")
@@ -73,6 +77,10 @@ def page_view_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 s
 
 def hot_pages(log: DataFrame, n: int = 3, size: str = "10 minutes", slide: str = "5 seconds",
               method: str | None = None, panes: bool = True) -> DataFrame:
+    """Top n urls per sliding window after the static-asset filter."""
+    if panes:
+        pages = filter_static_assets(log, "url", method).select("url", "ts")
+        return sliding_top_n(pages, "url", "ts", size, slide, n)
     counts = page_view_counts(log, size, slide, method, panes)
     ranked = top_n(counts, ["window_end"], [F.desc("cnt"), F.asc("url")], n, "rn")
     return ranked.select("url", "window_end", "cnt", "rn")

@@ -19,6 +19,7 @@ BASE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -71,3 +72,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark)
     return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on the cluster file system (HDFS, object stores, local)."""
+    fs, p = _hadoop_fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_subdirs(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())

@@ -1,0 +1,189 @@
+"""Batch = stream: the same rows through a file stream give the batch answer."""
+
+import os
+import tempfile
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from rillet.operators import running
+from rillet.operators.windows import count_window
+from rillet.plans import catalog, jobs
+from rillet.streaming import jobs as sjobs
+from rillet.streaming.sinks import late_split_batch, read_latest_version, upsert_batch
+from rillet.streaming.sources import file_stream
+from rillet.streaming.stateful import (CountWindowAvg, RetractChangelog, RunningCount, TempJumpAlert,
+                                       apply_processor)
+from tests.conftest import SF001, SF0001
+
+
+def _write_files(pdf, root, n_files, order="arr"):
+    pdf = pdf.sort_values(order).reset_index(drop=True)
+    os.makedirs(root, exist_ok=True)
+    step = (len(pdf) + n_files - 1) // n_files
+    for i in range(n_files):
+        part = pdf.iloc[i * step:(i + 1) * step]
+        path = os.path.join(root, f"part-{i:04d}.parquet")
+        pq.write_table(pa.Table.from_pandas(part, preserve_index=False), path, coerce_timestamps="us")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    return root
+
+
+def _with_sentinels(pdf):
+    """Two trailing files, each a view of sentinel item -1 days later: the
+    first moves the watermark past every window, the second makes Spark run
+    the batch that emits them (an availableNow run ends without an extra
+    no-data batch).  The sentinel must pass the job's filter: Catalyst pushes
+    filters below the watermark, so a filtered-out row never advances it."""
+    import pandas as pd
+    extra = []
+    for k in (1, 2):
+        row = pdf.iloc[[-1]].copy()
+        row["behavior"], row["arr"], row["item_id"] = "view", pdf["arr"].max() + k, -1
+        row["ts"] = row["ts"] + pd.Timedelta(days=2 * k)
+        extra.append(row)
+    return extra
+
+
+def _write_with_sentinels(pdf, root, n_files):
+    _write_files(pdf, root, n_files)
+    for k, row in enumerate(_with_sentinels(pdf)):
+        path = os.path.join(root, f"zz-sentinel-{k}.parquet")
+        pq.write_table(pa.Table.from_pandas(row, preserve_index=False), path, coerce_timestamps="us")
+        os.utime(path, (1_700_000_500 + k, 1_700_000_500 + k))
+    return root
+
+
+@pytest.fixture(scope="module")
+def sensor_src(spark):
+    s = catalog._sensor(spark, SF0001).select("arr", "id", "ts", "ts_sec", "temperature")
+    pdf = s.toPandas()
+    root = _write_files(pdf, os.path.join(tempfile.mkdtemp(prefix="run-"), "sensor"), 5)
+    return s, root
+
+
+def _run_to_memory(df, name):
+    q = (df.writeStream.format("memory").queryName(name).outputMode("append")
+           .option("checkpointLocation", tempfile.mkdtemp(prefix="run-ckpt-"))
+           .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return df.sparkSession.table(name)
+
+
+def _set(df, cols, digits=None):
+    out = []
+    for r in df.collect():
+        t = tuple(round(r[c], digits) if digits and isinstance(r[c], float) else r[c] for c in cols)
+        out.append(t)
+    return sorted(out, key=repr)
+
+
+def _stream(spark, src):
+    batch, root = src
+    return file_stream(spark, root, "parquet", schema=batch.schema, max_files_per_trigger=1)
+
+
+def test_running_count_stream(spark, sensor_src):
+    out = _run_to_memory(apply_processor(_stream(spark, sensor_src), RunningCount()), "rc")
+    exp = running.keyed_running_count(sensor_src[0], "id", "arr")
+    assert _set(out, ["id", "arr", "cnt"]) == _set(exp, ["id", "arr", "cnt"])
+
+
+def test_temp_jump_stream(spark, sensor_src):
+    out = _run_to_memory(apply_processor(_stream(spark, sensor_src), TempJumpAlert(10.0)), "tj")
+    exp = running.temp_jump_alert(sensor_src[0], "id", "arr", "temperature", 10.0)
+    cols = ["id", "arr", "last_value", "cur_value"]
+    assert _set(out, cols) == _set(exp, cols) and out.count() > 0
+
+
+def test_count_window_stream(spark, sensor_src):
+    out = _run_to_memory(apply_processor(_stream(spark, sensor_src), CountWindowAvg(10, 2)), "cw")
+    exp = count_window(sensor_src[0], ["id"], "arr", "temperature", 10, 2)
+    cols = ["id", "seq", "avg_value"]
+    assert _set(out, cols, 9) == _set(exp, cols, 9)
+
+
+def test_retract_stream(spark, sensor_src):
+    out = _run_to_memory(apply_processor(_stream(spark, sensor_src), RetractChangelog()), "rt")
+    exp = running.retract_changelog(sensor_src[0], "id", "arr", "temperature")
+    cols = ["is_add", "id", "arr", "cnt", "avg_value"]
+    assert _set(out, cols, 9) == _set(exp, cols, 9)
+
+
+def test_hot_items_stream_equals_batch(spark):
+    beh = catalog._behavior(spark, SF0001).select("arr", "user_id", "item_id", "behavior", "ts")
+    pdf = beh.toPandas()
+    root = _write_with_sentinels(pdf, os.path.join(tempfile.mkdtemp(prefix="run-"), "beh"), 4)
+    stream = file_stream(spark, root, "parquet", schema=beh.schema, max_files_per_trigger=1)
+    out_path = tempfile.mkdtemp(prefix="run-out-")
+    q = sjobs.start_hot_items(stream, out_path, tempfile.mkdtemp(prefix="run-ckpt-"))
+    q.awaitTermination()
+    got = spark.read.parquet(out_path).select("item_id", F.col("window_end").cast("timestamp_ntz")
+                                              .alias("window_end"), "cnt", "rn")
+    exp = jobs.hot_items(beh)
+    cols = ["item_id", "window_end", "cnt", "rn"]
+    last = beh.agg(F.max("ts")).first()[0]
+    got = got.where(F.col("window_end") <= F.lit(last) + F.expr("INTERVAL 1 HOUR"))
+    assert _set(got, cols) == _set(exp, cols)
+
+
+def test_pv_and_uv_streams(spark):
+    beh = catalog._behavior(spark, SF0001).select("arr", "user_id", "item_id", "behavior", "ts")
+    pdf = beh.toPandas()
+    root = _write_with_sentinels(pdf, os.path.join(tempfile.mkdtemp(prefix="run-"), "pv"), 3)
+    stream = file_stream(spark, root, "parquet", schema=beh.schema, max_files_per_trigger=1)
+    pv = _run_to_memory(sjobs.pv_count_stream(stream), "pvs")
+    exp = jobs.pv_count(beh)
+    last = beh.agg(F.max("ts")).first()[0]
+    got = {(r.window_end.replace(tzinfo=None), r.cnt) for r in pv.collect()
+           if r.window_end.replace(tzinfo=None) <= last + __import__("datetime").timedelta(hours=1)}
+    assert got == {(r.window_end, r.cnt) for r in exp.collect()}
+    stream = file_stream(spark, root, "parquet", schema=beh.schema, max_files_per_trigger=1)
+    uv = _run_to_memory(sjobs.uv_stream(stream), "uvs")
+    exact = {r.window_end: r.cnt for r in jobs.unique_visitors(beh, how="exact").collect()}
+    for r in uv.collect():
+        if r.window_end.replace(tzinfo=None) not in exact:
+            continue  # sentinel window
+        assert abs(r.cnt - exact[r.window_end.replace(tzinfo=None)]) <= max(1, 0.05 * exact[r.window_end.replace(tzinfo=None)])
+
+
+def test_late_split_and_upsert_streams(spark, sensor_src):
+    # sf0.01: dense enough that rows straddle micro-batch boundaries
+    batch = catalog._sensor(spark, SF001).select("arr", "id", "ts", "ts_sec", "temperature")
+    s = catalog._arrival(batch).toPandas().sort_values("arrival_us").reset_index(drop=True)
+    n_files = 40
+    root = _write_files(s, os.path.join(tempfile.mkdtemp(prefix="run-"), "late"), n_files, order="arrival_us")
+    schema = catalog._arrival(batch).schema
+    base = tempfile.mkdtemp(prefix="run-late-")
+    kept, late, state = (os.path.join(base, x) for x in ("kept", "late", "state"))
+    q = (file_stream(spark, root, "parquet", schema=schema, max_files_per_trigger=1).writeStream
+         .foreachBatch(late_split_batch("ts", "5 seconds", "2 seconds", "1 minute", kept, late, state))
+         .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    k, lt = spark.read.parquet(kept), spark.read.parquet(late)
+    assert k.count() + lt.count() == batch.count()
+    # emulate: batch i sees max event time of files < i, minus the bound
+    step = (len(s) + n_files - 1) // n_files
+    ts_us = s["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+    expected_late, wm = set(), None
+    for i in range(n_files):
+        part = range(i * step, min((i + 1) * step, len(s)))
+        for j in part:
+            end = (ts_us[j] // 5_000_000 + 1) * 5_000_000
+            if wm is not None and end - 1 + 60_000_000 <= wm:
+                expected_late.add(int(s["arr"][j]))
+        if len(part):
+            m = ts_us[part.start:part.stop].max() - 2_000_000
+            wm = m if wm is None else max(wm, m)
+    assert {r.arr for r in lt.collect()} == expected_late and expected_late
+
+    table = os.path.join(base, "latest")
+    q = (file_stream(spark, sensor_src[1], "parquet", schema=sensor_src[0].schema, max_files_per_trigger=1)
+         .writeStream.foreachBatch(upsert_batch("id", "arr", table, ["temperature"]))
+         .option("checkpointLocation", os.path.join(base, "ckpt2")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = read_latest_version(spark, table)
+    exp = sensor_src[0].groupBy("id").agg(F.max_by("temperature", "arr").alias("temperature"))
+    assert _set(got, ["id", "temperature"]) == _set(exp, ["id", "temperature"])
