@@ -16,12 +16,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.operators.scan import DEFAULT_TIME_CHUNK_US, chunk_by, keyed_scan
+from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, DEFAULT_TIME_CHUNK_US, chunk_by, keyed_scan
 from rillet.operators.windows import duration_us
 
 ON_TIME, ACCEPTED, LATE = "on_time", "late_accepted", "late"
 
 
+def arrival_chunk(df: DataFrame, arrival: str) -> Column:
+    """Chunks of the arrival order for the prefix scans.
+
+    A timestamp arrival column is cut into one-minute chunks; a microsecond
+    epoch column (name ending in ``_us``) likewise; any other numeric arrival
+    sequence into runs of 2^20.  Each chunk is one task's window, so at
+    100 TB over 30 days a minute is ~2 GB; the per-chunk totals (one row per
+    chunk) are what the single-partition prefix step sees.
+    """
+    dtype = dict(df.dtypes)[arrival]
+    if dtype.startswith("timestamp"):
+        return chunk_by(F.unix_micros(F.col(arrival).cast("timestamp")), DEFAULT_TIME_CHUNK_US)
+    if arrival.endswith("_us"):
+        return chunk_by(arrival, DEFAULT_TIME_CHUNK_US)
+    return chunk_by(arrival, DEFAULT_ARRIVAL_CHUNK)
+
+
 def running_watermark(df: DataFrame, ts: str, arrival: list, bound: str,
                       chunk: Column | None = None, name: str = "wm_us") -> DataFrame:
     """Watermark (epoch microseconds) in force when each row arrives:
@@ -33,10 +50,7 @@ def running_watermark(df: DataFrame, ts: str, arrival: list, bound: str,
     bound_us = duration_us(bound)
     d = df.withColumn("_ts_us", F.unix_micros(F.col(ts).cast("timestamp")))
     if chunk is None:
-        chunk = chunk_by(F.unix_micros(F.col(arrival[0]).cast("timestamp"))
-                         if dict(d.dtypes)[arrival[0]].startswith("timestamp") else F.col(arrival[0]),
-                         DEFAULT_TIME_CHUNK_US * 60
-                         if dict(d.dtypes)[arrival[0]].startswith("timestamp") else 1 << 20)
+        chunk = arrival_chunk(d, arrival[0])
     d = keyed_scan(d, [], [F.col(a) for a in arrival], chunk,
                    running={"_maxb": ("max", F.col("_ts_us"))}, exclusive=True)
     return d.withColumn(name, F.col("_maxb") - F.lit(bound_us)).drop("_maxb", "_ts_us")
@@ -86,11 +100,7 @@ def lateness_firings_min_by(df: DataFrame, key: str, ts: str, arrival: list, val
                   .groupBy(key, "_end_us")
                   .agg(F.count(F.lit(1)).alias("n0"), F.min(rec).alias("m0")))
     acc = tagged.where(F.col("status") == ACCEPTED)
-    acc_chunk = chunk_by(F.unix_micros(F.col(arrival[0]).cast("timestamp"))
-                         if dict(acc.dtypes)[arrival[0]].startswith("timestamp") else F.col(arrival[0]),
-                         DEFAULT_TIME_CHUNK_US * 60
-                         if dict(acc.dtypes)[arrival[0]].startswith("timestamp") else 1 << 20)
-    acc = keyed_scan(acc, [key, "_end_us"], [F.col(a) for a in arrival], acc_chunk,
+    acc = keyed_scan(acc, [key, "_end_us"], [F.col(a) for a in arrival], arrival_chunk(acc, arrival[0]),
                      running={"k": ("count", F.lit(1)), "m": ("min", rec)})
     acc = acc.join(base, [key, "_end_us"], "left")
     refires = acc.select(key, "_end_us",

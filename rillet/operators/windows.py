@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, chunk_by, chunk_by_time, keyed_scan
+from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, DEFAULT_TIME_CHUNK_US, chunk_by, keyed_scan
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000,
              "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
@@ -93,7 +93,7 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
     like = _ts_type(df, ts)
     us_col = "_ts_us"
     d = df.withColumn(us_col, F.unix_micros(F.col(ts).cast("timestamp")))
-    chunk = chunk_by(us_col, chunk_us or max(gap_us * 64, 3_600_000_000))
+    chunk = chunk_by(us_col, chunk_us or DEFAULT_TIME_CHUNK_US)
     d = keyed_scan(d, keys, [F.col(us_col)], chunk, lags={"_prev": F.col(us_col)}, keep_chunk=True)
     d = d.withColumn("_open", F.when(F.col("_prev").isNull() |
                                      (F.col(us_col) - F.col("_prev") > gap_us), F.col(us_col)))

@@ -583,16 +583,14 @@ STATUS = ("st AS (SELECT *, (ts_us // 5000000 + 1) * 5000000 AS end_us, CASE "
 @query("running_watermark", _with(SENSOR, ARRIVAL, WATERMARK) + "SELECT arr, arrival_us, wm_us FROM wm")
 def q_running_watermark(spark, d):
     s = _arrival(_sensor(spark, d))
-    out = late.running_watermark(s, "ts", ["arrival_us", "arr"], "2 seconds",
-                                 chunk=chunk_by("arrival_us", 3_600_000_000))
+    out = late.running_watermark(s, "ts", ["arrival_us", "arr"], "2 seconds")
     return out.select("arr", "arrival_us", "wm_us")
 
 
 @query("late_split", _with(SENSOR, ARRIVAL, WATERMARK, STATUS) + "SELECT arr, id, status FROM st")
 def q_late_split(spark, d):
     s = _arrival(_sensor(spark, d))
-    out = late.classify_lateness(s, "ts", ["arrival_us", "arr"], "5 seconds", "2 seconds", "1 minute",
-                                 chunk=chunk_by("arrival_us", 3_600_000_000))
+    out = late.classify_lateness(s, "ts", ["arrival_us", "arr"], "5 seconds", "2 seconds", "1 minute")
     return out.select("arr", "id", "status")
 
 
@@ -611,8 +609,7 @@ def q_late_split(spark, d):
 def q_allowed_lateness(spark, d):
     s = _arrival(_sensor(spark, d))
     return late.lateness_firings_min_by(s, "id", "ts", ["arrival_us", "arr"], "temperature",
-                                        "5 seconds", "2 seconds", "1 minute",
-                                        chunk=chunk_by("arrival_us", 3_600_000_000))
+                                        "5 seconds", "2 seconds", "1 minute")
 
 
 # ------------------------------------------------------------- scale checks

@@ -100,3 +100,14 @@ def read_latest_version(spark: SparkSession, table_path: str, before: int | None
     if not versions:
         return None
     return spark.read.parquet(os.path.join(table_path, versions[-1]))
+
+
+def console(df: DataFrame, label: str | None = None, n: int = 20):
+    """Print a batch DataFrame, or start a console sink for a streaming one."""
+    if df.isStreaming:
+        w = df.writeStream.format("console").option("truncate", "false").option("numRows", n)
+        return w.queryName(label).start() if label else w.start()
+    if label:
+        print(label)
+    df.show(n, truncate=False)
+    return None

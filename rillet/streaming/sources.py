@@ -23,3 +23,9 @@ def with_event_time(df: DataFrame, ts: str = "ts", bound: str = "0 seconds") ->
     """Cast the event-time column to TIMESTAMP (watermarks reject TIMESTAMP_NTZ)
     and attach a watermark that trails the max event time by ``bound``."""
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, bound)
+
+
+def with_processing_time(df: DataFrame, name: str = "proc_ts") -> DataFrame:
+    """Attach the processing time (the micro-batch's current timestamp) for
+    processing-time windows."""
+    return df.withColumn(name, F.current_timestamp())
