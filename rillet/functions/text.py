@@ -21,6 +21,9 @@ JAVA_HASH_SEED = 31
 ASSET_SUFFIXES = ("css", "js", "png", "ico")
 
 
+_REGEX_META = set(".^$|?*+()[]{}\\")
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -32,7 +35,11 @@ def java_split(c, sep: str) -> Column:
     inner empty tokens are kept.  ``sep`` is a Java regular expression.
     """
     c = _col(c)
-    stripped = F.regexp_replace(c, f"(?:{sep})+\\z", "")
+    if len(sep) == 1 and sep not in _REGEX_META:
+        # one literal character: strip the trailing run without a regex
+        stripped = F.rtrim(c, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(c, f"(?:{sep})+\\z", "")
     return (F.when(c == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, sep, -1)))

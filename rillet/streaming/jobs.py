@@ -57,3 +57,36 @@ def word_count_stream(lines: DataFrame, value: str = "value", sep: str = " ") ->
     from rillet.functions.text import java_split
     return (lines.select(F.explode(java_split(value, sep)).alias("word"))
                  .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def hot_items_by_timer(behavior: DataFrame, n: int = 5, behavior_value: str = "view",
+                       size: str = "1 hour", slide: str = "5 minutes",
+                       bound: str = "0 seconds") -> DataFrame:
+    """Hot items as one streaming query: windowed count -> keyed-by-window-end
+    list state -> event-time timer ranks and emits (a pure query, usable with
+    any sink)."""
+    from rillet.streaming.stateful import TopNOnTimer
+
+    views = with_event_time(behavior, "ts", bound).where(F.col("behavior") == behavior_value)
+    counts = (views.groupBy("item_id", F.window("ts", size, slide).alias("w"))
+                   .agg(F.count(F.lit(1)).alias("cnt"))
+                   .select("item_id", F.col("w.end").alias("window_end"), "cnt",
+                           F.window_time("w").alias("wt")))
+    return counts.groupBy("window_end").transformWithStateInPandas(
+        statefulProcessor=TopNOnTimer(n), outputStructType="item_id bigint, window_end timestamp, "
+        "cnt bigint, rn int", outputMode="Append", timeMode="EventTime")
+
+
+def uv_first_seen(behavior: DataFrame, behavior_value: str = "view", size: str = "1 hour",
+                  bound: str = "0 seconds") -> DataFrame:
+    """Per-row visitor emission: ('uv', window_end, arr, count so far) when a
+    visitor's offset is first seen in its window."""
+    from rillet.operators.distinct import user_offset
+    from rillet.streaming.stateful import FirstSeenCounter
+
+    views = with_event_time(behavior, "ts", bound).where(F.col("behavior") == behavior_value)
+    keyed = views.select(F.window("ts", size).end.alias("window_end"), "ts", "arr",
+                         user_offset("user_id").alias("offset"))
+    return keyed.groupBy("window_end").transformWithStateInPandas(
+        statefulProcessor=FirstSeenCounter(), outputStructType="label string, window_end timestamp, "
+        "arr bigint, cnt bigint", outputMode="Append", timeMode="EventTime")

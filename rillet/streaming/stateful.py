@@ -149,3 +149,81 @@ def apply_processor(stream: DataFrame, processor: StatefulProcessor, key: str =
     schema = output_schema or OUTPUTS[type(processor)]
     return stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None")
+
+
+def _ms(ts) -> int:
+    return int(pd.Timestamp(ts).value // 1_000_000)
+
+
+class TopNOnTimer(StatefulProcessor):
+    """Top-N per window end, fired by an event-time timer.
+
+    Keyed by window end: every windowed count is appended to list state and a
+    timer is set at the window end; when the watermark passes it, the list
+    is ranked (count desc, key asc), the first n rows are emitted and the
+    state is cleared.  Runs with time mode ``EventTime`` after an
+    append-mode windowed aggregate whose ``window_time`` column carries the
+    watermark.
+    """
+
+    def __init__(self, n: int = 5, key: str = "item_id", count: str = "cnt"):
+        self.n, self.key, self.count = n, key, count
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.items = handle.getListState("items", f"{self.key} bigint, {self.count} bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = pd.concat(list(rows), ignore_index=True)
+        self.items.appendList([(int(k), int(c)) for k, c in zip(df[self.key], df[self.count])])
+        self.handle.registerTimer(_ms(key[0]))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        items = pd.DataFrame(list(self.items.get()), columns=[self.key, self.count])
+        self.items.clear()
+        top = items.sort_values([self.count, self.key], ascending=[False, True]).head(self.n)
+        yield pd.DataFrame({self.key: top[self.key].astype("int64"), "window_end": key[0],
+                            self.count: top[self.count].astype("int64"),
+                            "rn": np.arange(1, len(top) + 1, dtype="int32")})
+
+    def close(self) -> None:
+        pass
+
+
+class FirstSeenCounter(StatefulProcessor):
+    """Per window: emit the running distinct count each time a new visitor
+    offset shows up (map state of seen offsets); state is dropped by a
+    timer once the watermark passes the window end."""
+
+    def __init__(self, label: str = "uv"):
+        self.label = label
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "off bigint", "arr bigint")
+        self.count = handle.getValueState("count", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _frame(rows, "arr").drop_duplicates("offset", keep="first")
+        n = self.count.get()[0] if self.count.exists() else 0
+        out_arr, out_cnt = [], []
+        for off, arr in zip(df["offset"], df["arr"]):
+            if not self.seen.containsKey((int(off),)):
+                self.seen.updateValue((int(off),), (int(arr),))
+                n += 1
+                out_arr.append(int(arr))
+                out_cnt.append(n)
+        self.count.update((n,))
+        self.handle.registerTimer(_ms(key[0]))
+        yield pd.DataFrame({"label": self.label, "window_end": key[0],
+                            "arr": pd.Series(out_arr, dtype="int64"),
+                            "cnt": pd.Series(out_cnt, dtype="int64")})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        self.count.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass

@@ -187,3 +187,23 @@ def test_late_split_and_upsert_streams(spark, sensor_src):
     got = read_latest_version(spark, table)
     exp = sensor_src[0].groupBy("id").agg(F.max_by("temperature", "arr").alias("temperature"))
     assert _set(got, ["id", "temperature"]) == _set(exp, ["id", "temperature"])
+
+
+def test_timer_topn_and_first_seen_streams(spark):
+    import pandas as pd
+    beh = catalog._behavior(spark, SF0001).select("arr", "user_id", "item_id", "behavior", "ts")
+    pdf = beh.toPandas()
+    root = _write_with_sentinels(pdf, os.path.join(tempfile.mkdtemp(prefix="run-"), "tm"), 4)
+    stream = file_stream(spark, root, "parquet", schema=beh.schema, max_files_per_trigger=1)
+    top = _run_to_memory(sjobs.hot_items_by_timer(stream), "toptimer")
+    last = pdf["ts"].max() + pd.Timedelta(hours=1)
+    got = {(r.item_id, r.window_end.replace(tzinfo=None), r.cnt, r.rn) for r in top.collect()
+           if r.window_end.replace(tzinfo=None) <= last}
+    exp = {(r.item_id, r.window_end, r.cnt, r.rn) for r in jobs.hot_items(beh).collect()}
+    assert got == exp
+
+    stream = file_stream(spark, root, "parquet", schema=beh.schema, max_files_per_trigger=1)
+    uv = _run_to_memory(sjobs.uv_first_seen(stream), "uvfirst")
+    got = {(r.window_end.replace(tzinfo=None), r.arr, r.cnt) for r in uv.collect() if r.arr <= pdf["arr"].max()}
+    exp = {(r.window_end, r.arr, r.cnt) for r in jobs.unique_visitors(beh, how="running").collect()}
+    assert got == exp
