@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.functions.numeric import fixed_digits
-from rillet.functions.text import poly_hash, register_sql_functions, scaled_hash_code
+from rillet.functions.text import java_split_sql, poly_hash, register_sql_functions, scaled_hash_code
 from rillet.functions.udfs import avg_temp, split_pieces
 from rillet.operators import late, routing, running
 from rillet.operators.scan import chunk_by
@@ -505,6 +505,16 @@ def q_topn_report(spark, d):
     return jobs.hot_items_report(_behavior(spark, d))
 
 
+@query("hot_pages_report", _with(ACCESS, "agg AS (" + HOP_PAGES + ")",
+                                 "top AS (SELECT * FROM (SELECT url, window_end, cnt, row_number() OVER "
+                                 "(PARTITION BY window_end ORDER BY cnt DESC, url) AS rn FROM agg) WHERE rn <= 3)") +
+       "SELECT window_end, 'window end: ' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || chr(10) || "
+       "string_agg('NO ' || rn || ': url = ' || url || ' count = ' || cnt, chr(10) ORDER BY rn) "
+       "|| chr(10) || '====' AS report FROM top GROUP BY window_end")
+def q_hot_pages_report(spark, d):
+    return jobs.hot_pages_report(_access(spark, d))
+
+
 # ------------------------------------------------------- distinct visitors
 
 @query("poly_hash", "SELECT c_custkey, " + POLY.format(x="c_name") + " AS name_offset, " +
@@ -568,6 +578,15 @@ def q_udtf_split(spark, d):
     return split_pieces(_sensor(spark, d).select("arr", "id"), "id", "_")
 
 
+@query("udtf_split_sql", ORACLE_SQL["udtf_split"])
+def q_udtf_split_sql(spark, d):
+    """The table function joined laterally in SQL (native generator)."""
+    return spark.sql(
+        "SELECT arr, id, word, length(word) AS length FROM {sensor} "
+        "LATERAL VIEW explode(" + java_split_sql("id", "_") + ") pieces AS word",
+        sensor=_sensor(spark, d).select("arr", "id"))
+
+
 # ------------------------------------------------------------- late data
 
 ARRIVAL = ("arrivals AS (SELECT *, epoch_us(ts) + ((arr * 7919) % 600) * 1000000 AS arrival_us, "

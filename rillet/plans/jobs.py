@@ -119,3 +119,11 @@ def unique_visitors(behavior: DataFrame, behavior_value: str = VIEW, how: str =
     if how == "running":
         return uv_running(views, "ts", "user_id", "arr", size)
     raise ValueError(how)
+
+
+def hot_pages_report(log: DataFrame, n: int = 3) -> DataFrame:
+    """One text block per window for the hot pages."""
+    ranked = hot_pages(log, n)
+    line = F.format_string("NO %d: url = %s count = %d", F.col("rn"), F.col("url"), F.col("cnt"))
+    header = F.concat(F.lit("window end: "), F.date_format("window_end", "yyyy-MM-dd HH:mm:ss"))
+    return topn_report(ranked, "window_end", "rn", line, header, "====")

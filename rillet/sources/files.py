@@ -10,6 +10,11 @@ from rillet.schemas import SENSOR_READING, USER_BEHAVIOR
 ACCESS_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss"
 
 
+def from_collection(spark: SparkSession, rows, schema) -> DataFrame:
+    """A bounded stream from an in-memory collection (records or plain values)."""
+    return spark.createDataFrame(rows, schema)
+
+
 def read_text(spark: SparkSession, path: str, streaming: bool = False,
               max_files_per_trigger: int | None = None) -> DataFrame:
     """One row per line (``value``), batch or stream."""

@@ -224,3 +224,43 @@ def test_late_sequence(spark):
     assert w == []
     kept, lost = late.late_split(df, "ts", ["arr"], "5 seconds", "2 seconds", "1 minute")
     assert kept.count() + lost.count() == df.count()
+
+
+def test_from_collection(spark):
+    from rillet.sources.files import from_collection
+    from rillet.schemas import SENSOR_READING
+    readings = from_collection(spark, [("sensor_1", 1547718199, 35.8), ("sensor_6", 1547718201, 15.4),
+                                       ("sensor_7", 1547718202, 6.7), ("sensor_10", 1547718205, 38.1)],
+                               SENSOR_READING)
+    ints = from_collection(spark, [(1,), (2,), (4,), (67,)], "value int")
+    assert readings.count() == 4 and [r.value for r in ints.collect()] == [1, 2, 4, 67]
+
+
+def test_text_and_csv_table_round_trip(spark, tmp_path):
+    from rillet.sources.files import read_csv_table, read_text
+    from rillet.schemas import SENSOR_READING
+    from tests.fixtures import SENSOR_LINES
+    p = tmp_path / "sensor.txt"
+    p.write_text("\n".join(SENSOR_LINES) + "\n")
+    assert [r.value for r in read_text(spark, str(p)).collect()] == SENSOR_LINES
+    t = read_csv_table(spark, str(p), SENSOR_READING, view="inputTable")
+    got = spark.sql("SELECT id, count(id) AS cnt, avg(ts_sec) AS a FROM inputTable GROUP BY id").collect()
+    assert {r.id: r.cnt for r in got} == {"sensor_1": 4, "sensor_6": 1, "sensor_7": 1, "sensor_10": 1}
+    assert t.count() == 7
+
+
+def test_access_log_parse(spark):
+    from rillet.sources.files import parse_access_log
+    lines = spark.createDataFrame([("10.0.0.1 - - 17/05/2015:10:05:03 +0000 GET /blog/post.html",),
+                                   ("10.0.0.2 - - 17/05/2015:10:05:04 +0000 GET /style.css",)], "value string")
+    got = parse_access_log(lines).collect()
+    assert got[0].ip == "10.0.0.1" and got[0].url == "/blog/post.html" and got[1].method == "GET"
+    assert got[0].ts == dt.datetime(2015, 5, 17, 10, 5, 3)
+
+
+def test_kafka_codec_round_trip(spark):
+    from rillet.sources.kafka import kafka_csv_decode, kafka_csv_encode
+    enc = kafka_csv_encode(sensor(spark), ["id", "ts_sec", "temperature"], key="id")
+    dec = kafka_csv_decode(enc)
+    assert sorted(rows(dec, "id", "ts_sec", "temperature")) == sorted(
+        rows(sensor(spark), "id", "ts_sec", "temperature"))
