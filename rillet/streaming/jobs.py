@@ -90,3 +90,23 @@ def uv_first_seen(behavior: DataFrame, behavior_value: str = "view", size: str =
     return keyed.groupBy("window_end").transformWithStateInPandas(
         statefulProcessor=FirstSeenCounter(), outputStructType="label string, window_end timestamp, "
         "arr bigint, cnt bigint", outputMode="Append", timeMode="EventTime")
+
+
+def min_by_window_stream(sensor: DataFrame, size: str = "5 seconds", bound: str = "2 seconds",
+                         lateness: str = "1 minute") -> DataFrame:
+    """Tumbling ``minBy(temperature)`` per id with allowed lateness, for update mode.
+
+    The watermark trails the max event time by bound + lateness, so a window
+    stays open for late rows that long; in update mode each micro-batch that
+    changes a window re-emits it (the streaming counterpart of the batch
+    :func:`rillet.operators.late.lateness_firings_min_by`).  Rows behind the
+    watermark are dropped by Spark; route them first with
+    :func:`rillet.streaming.sinks.late_split_batch` to keep them.
+    """
+    from rillet.operators.windows import duration_us
+
+    delay_ms = (duration_us(bound) + duration_us(lateness)) // 1000
+    s = with_event_time(sensor, "ts", f"{delay_ms} milliseconds")
+    rec = F.struct("temperature", "arr", "ts_sec")
+    return (s.groupBy("id", F.window("ts", size).alias("w")).agg(F.min(rec).alias("m"))
+             .select("id", F.col("w.end").alias("window_end"), "m.temperature", "m.ts_sec", "m.arr"))

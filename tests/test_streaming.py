@@ -207,3 +207,26 @@ def test_timer_topn_and_first_seen_streams(spark):
     got = {(r.window_end.replace(tzinfo=None), r.arr, r.cnt) for r in uv.collect() if r.arr <= pdf["arr"].max()}
     exp = {(r.window_end, r.arr, r.cnt) for r in jobs.unique_visitors(beh, how="running").collect()}
     assert got == exp
+
+
+def test_min_by_update_stream(spark, sensor_src):
+    batch, root = sensor_src
+    out = tempfile.mkdtemp(prefix="run-upd-")
+
+    def keep(df, batch_id):
+        df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+            os.path.join(out, f"b={batch_id}"))
+
+    q = (sjobs.min_by_window_stream(_stream(spark, sensor_src)).writeStream.outputMode("update")
+         .foreachBatch(keep).option("checkpointLocation", tempfile.mkdtemp(prefix="run-ckpt-"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    from pyspark.sql import Window
+    allrows = spark.read.parquet(out)
+    last = (allrows.withColumn("r", F.row_number().over(
+        Window.partitionBy("id", "window_end").orderBy(F.desc("batch_id")))).where("r = 1"))
+    exp = catalog.QUERIES["tumble_min_by"](spark, SF0001)
+    got = last.select("id", F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      "temperature", "ts_sec", "arr")
+    cols = ["id", "window_end", "temperature", "ts_sec", "arr"]
+    assert _set(got, cols) == _set(exp, cols)
