@@ -49,6 +49,23 @@ def hop(df: DataFrame, keys, ts: str, size: str, slide: str, aggs) -> DataFrame:
     return _flatten(df.groupBy(*keys, F.window(ts, size, slide).alias("w")).agg(*aggs), keys)
 
 
+def spread_before_expansion(df: DataFrame, factor: int) -> DataFrame:
+    """Round-robin the (small) input of a row-multiplying step over the
+    configured shuffle partitions.
+
+    AQE sizes partitions by the bytes of the shuffle that feeds them; pane
+    counts are small, so they would be coalesced into a few partitions and
+    the x``factor`` expansion would then run in those few tasks.  An explicit
+    partition count is left alone by AQE.  (sf0.1, 10 min / 5 s: 5.5 s
+    instead of 19.4 s.)  Spark sorts before a round-robin repartition, so a
+    recomputed task gets the same rows.
+    """
+    if factor <= 1:
+        return df
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n)
+
+
 def hop_count_panes(df: DataFrame, keys, ts: str, size: str, slide: str,
                     name: str = "cnt") -> DataFrame:
     """Sliding count by pane pre-aggregation.
@@ -64,6 +81,7 @@ def hop_count_panes(df: DataFrame, keys, ts: str, size: str, slide: str,
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     panes = (df.groupBy(*keys, (F.floor(us / pane_us) * pane_us).alias("_pane"))
                .agg(F.count(F.lit(1)).alias("_n")))
+    panes = spread_before_expansion(panes, size_us // slide_us)
     # Window ends e (multiples of slide) with e - size <= pane and pane + pane_us <= e.
     first_end = F.ceil((F.col("_pane") + pane_us) / slide_us) * slide_us
     last_end = F.floor((F.col("_pane") + size_us) / slide_us) * slide_us
