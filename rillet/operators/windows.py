@@ -101,25 +101,53 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
             chunk_us: int | None = None) -> DataFrame:
     """Event-time session windows (gap-based) that scale with a hot key.
 
-    A row opens a session when the previous row of its key (in event-time
-    order) is more than ``gap`` earlier.  The previous timestamp comes from a
-    chunked lag, the session start from a chunked running max of opening
-    timestamps, and the aggregate is an ordinary partial aggregation over
-    (key, session_start).  Session end = last event + gap, as in Spark.
+    A row opens a session when the previous row of its key (event-time
+    order) is more than ``gap`` earlier; its session starts at the latest
+    opening at or before it.  One pass over (key, time chunk):
+
+    * in each chunk, a window gives the in-chunk lag and the running latest
+      opening, not counting the chunk's first row;
+    * per (key, chunk) we keep first/last timestamp and latest opening;
+    * one window per key over those (at most #chunks rows) tells whether
+      each chunk's first row opens (gap to the previous chunk's last row) and
+      the latest opening in earlier chunks;
+    * joined back, session start = the greatest of the three, and the
+      aggregate is a partial aggregation over (key, session start).
+
+    Session end = last event + gap.
     """
+    from functools import reduce
+
+    from pyspark.sql import Window
+
     gap_us = duration_us(gap)
     like = _ts_type(df, ts)
-    us_col = "_ts_us"
-    d = df.withColumn(us_col, F.unix_micros(F.col(ts).cast("timestamp")))
-    chunk = chunk_by(us_col, chunk_us or DEFAULT_TIME_CHUNK_US)
-    d = keyed_scan(d, keys, [F.col(us_col)], chunk, lags={"_prev": F.col(us_col)}, keep_chunk=True)
-    d = d.withColumn("_open", F.when(F.col("_prev").isNull() |
-                                     (F.col(us_col) - F.col("_prev") > gap_us), F.col(us_col)))
-    d = keyed_scan(d, keys, [F.col(us_col)], running={"_start": ("max", F.col("_open"))})
-    res = d.groupBy(*keys, "_start").agg(*aggs, F.max(us_col).alias("_last"))
-    out_cols = [c for c in res.columns if c not in keys and c not in ("_start", "_last")]
+    us = "_ts_us"
+    d = df.withColumn(us, F.unix_micros(F.col(ts).cast("timestamp")))
+    d = d.withColumn("_chunk", chunk_by(us, chunk_us or DEFAULT_TIME_CHUNK_US))
+    part = [F.col(k) for k in keys] + [F.col("_chunk")]
+    w = Window.partitionBy(*part).orderBy(us)
+    gap_open = F.col(us) - F.lag(us).over(w) > gap_us
+    d = d.withColumn("_open", F.when((F.row_number().over(w) > 1) & gap_open, F.col(us)))
+    d = d.withColumn("_run", F.max("_open").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+    tot = d.groupBy(*part).agg(F.min(us).alias("_first"), F.max(us).alias("_last"),
+                               F.max("_open").alias("_mopen"))
+    wk = Window.partitionBy(*[F.col(k) for k in keys]).orderBy("_chunk")
+    prev_last = F.lag("_last").over(wk)
+    tot = tot.withColumn("_fopen", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap_us),
+                                          F.col("_first")))
+    tot = tot.withColumn("_before", F.max(F.greatest("_mopen", "_fopen")).over(
+        wk.rowsBetween(Window.unboundedPreceding, -1)))
+    offs = tot.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                      F.col("_chunk").alias("_kc"), "_fopen", "_before")
+    cond = [d[k].eqNullSafe(offs[f"_k{i}"]) for i, k in enumerate(keys)] + [d["_chunk"] == offs["_kc"]]
+    j = d.join(offs, reduce(lambda a, b: a & b, cond), "inner")
+    j = j.withColumn("_start", F.greatest("_run", "_fopen", "_before"))
+    res = j.groupBy(*keys, "_start").agg(*aggs, F.max(us).alias("_lastev"))
+    out_cols = [c for c in res.columns if c not in keys and c not in ("_start", "_lastev")]
     return res.select(*keys, _from_us(F.col("_start"), like).alias("window_start"),
-                      _from_us(F.col("_last") + gap_us, like).alias("window_end"), *out_cols)
+                      _from_us(F.col("_lastev") + gap_us, like).alias("window_end"), *out_cols)
 
 
 def count_window(df: DataFrame, keys, order: str, value: str, size: int, slide: int,
