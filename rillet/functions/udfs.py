@@ -20,10 +20,12 @@ def split_pieces(df: DataFrame, c: str, sep: str = "_", word: str = "word",
               .withColumn(length, F.length(word)))
 
 
-def avg_temp(c) -> Column:
-    """Aggregate (sum, count) -> mean; partial-aggregates like the built-in avg."""
+def avg_temp(c, sum_type: str | None = None) -> Column:
+    """Aggregate (sum, count) -> mean; partial-aggregates like the built-in avg.
+    ``sum_type`` (e.g. ``decimal(38,4)``) makes the sum exact."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c) / F.count(c)
+    s = F.sum(c.cast(sum_type)) if sum_type else F.sum(c)
+    return s.cast("double") / F.count(c)
 
 
 def register_split_udtf(spark: SparkSession, sep: str = "_") -> None:

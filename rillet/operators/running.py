@@ -82,18 +82,23 @@ def group_count_avg(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def retract_changelog(df: DataFrame, key: str, order: str, value: str,
-                      chunk: Column | None = None, digits: int | None = None) -> DataFrame:
+                      chunk: Column | None = None, digits: int | None = None,
+                      sum_type: str | None = None) -> DataFrame:
     """The grouped count/avg as a retract stream.
 
     For every input row: ``(true, key, cnt, avg)`` with the new result, and
     unless it is the key's first row, ``(false, key, cnt', avg')`` retracting
     the previous result.  ``seq`` orders the changes of a key.  The retraction
     is the lag of the addition, so both carry bit-identical values.
+    ``sum_type`` (e.g. ``decimal(38,4)``) accumulates in exact decimal, so the
+    mean no longer depends on summation order (one rounding to double, then
+    one division).
     """
+    v = F.col(value).cast(sum_type) if sum_type else F.col(value)
     run = keyed_scan(df.select(key, order, value), [key], [F.col(order)], _chunk(order, chunk),
-                     running={"_n": ("count", F.lit(1)), "_s": ("sum", F.col(value))},
+                     running={"_n": ("count", F.lit(1)), "_s": ("sum", v)},
                      keep_chunk=True)
-    avg = F.col("_s") / F.col("_n")
+    avg = F.col("_s").cast("double") / F.col("_n")
     if digits is not None:
         avg = fixed_digits(avg, digits)
     run = run.withColumn("_res", F.struct(F.col("_n").alias("cnt"), avg.alias("avg_value")))

@@ -151,7 +151,8 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
 
 
 def count_window(df: DataFrame, keys, order: str, value: str, size: int, slide: int,
-                 chunk: Column | None = None, seq: str = "seq", name: str = "avg_value") -> DataFrame:
+                 chunk: Column | None = None, seq: str = "seq", name: str = "avg_value",
+                 sum_type: str | None = None) -> DataFrame:
     """``countWindow(size, slide)`` with a mean: per key, at every ``slide``-th
     row, the mean of the last ``min(size, n)`` values.
 
@@ -168,6 +169,7 @@ def count_window(df: DataFrame, keys, order: str, value: str, size: int, slide:
     d = d.select(*keys, value, "_rn",
                  F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"), F.lit(slide).cast("bigint")))
                  .alias(seq))
+    v = F.col(value).cast(sum_type) if sum_type else F.col(value)
     return (d.groupBy(*keys, seq)
-              .agg((F.sum(value) / F.count(value)).alias(name), F.max("_rn").alias("_last"))
+              .agg((F.sum(v).cast("double") / F.count(value)).alias(name), F.max("_rn").alias("_last"))
               .where(F.col("_last") == F.col(seq)).drop("_last"))

@@ -35,7 +35,11 @@ from rillet.sources import files, kafka, tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-AVG_DIGITS = 6  # averages are rounded so that summation order cannot matter
+AVG_DIGITS = 6
+# Averages sum in exact decimal, then convert once and divide once in double,
+# so Spark and the SQL oracle produce the same bits whatever the summation
+# order; then they are rounded half-up on the binary value.
+SUM_TYPE = "decimal(38,4)"
 
 
 def query(name: str, sql: str | None = None):
@@ -332,29 +336,33 @@ def q_temp_jump_alert(spark, d):
 
 
 @query("group_count_avg", _with(SENSOR) +
-       "SELECT id, count(id) AS cnt, (floor(avg(temperature) * 1000000 + 0.5) / 1000000) AS avg_value FROM sensor GROUP BY id")
+       "SELECT id, count(id) AS cnt, (floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) AS DOUBLE) "
+       "/ count(temperature) * 1000000 + 0.5) / 1000000) AS avg_value FROM sensor GROUP BY id")
 def q_group_count_avg(spark, d):
-    out = running.group_count_avg(_sensor(spark, d), "id", "temperature")
-    return out.withColumn("avg_value", _r(F.col("avg_value")))
+    return (_sensor(spark, d).groupBy("id")
+            .agg(F.count("id").alias("cnt"), _r(avg_temp("temperature", SUM_TYPE)).alias("avg_value")))
 
 
 @query("udaf_avg", _with(SENSOR) +
-       "SELECT id, (floor(sum(temperature) / count(temperature) * 1000000 + 0.5) / 1000000) AS avg_temp FROM sensor GROUP BY id")
+       "SELECT id, (floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) AS DOUBLE) / count(temperature) "
+       "* 1000000 + 0.5) / 1000000) AS avg_temp FROM sensor GROUP BY id")
 def q_udaf_avg(spark, d):
-    return _sensor(spark, d).groupBy("id").agg(_r(avg_temp("temperature")).alias("avg_temp"))
+    return _sensor(spark, d).groupBy("id").agg(_r(avg_temp("temperature", SUM_TYPE)).alias("avg_temp"))
 
 
 @query("retract_changelog", _with(
     SENSOR,
     "run AS (SELECT id, arr, count(*) OVER w AS cnt, "
-    "(floor(sum(temperature) OVER w / count(*) OVER w * 1000000 + 0.5) / 1000000) AS avg_value FROM sensor "
+    "(floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) OVER w AS DOUBLE) / count(*) OVER w "
+    "* 1000000 + 0.5) / 1000000) AS avg_value FROM sensor "
     "WINDOW w AS (PARTITION BY id ORDER BY arr ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))") +
     "SELECT true AS is_add, id, arr, cnt, avg_value FROM run UNION ALL "
     "SELECT false AS is_add, id, arr, prev_cnt AS cnt, prev_avg AS avg_value FROM ("
     "SELECT id, arr, lag(cnt) OVER (PARTITION BY id ORDER BY arr) AS prev_cnt, "
     "lag(avg_value) OVER (PARTITION BY id ORDER BY arr) AS prev_avg FROM run) WHERE prev_cnt IS NOT NULL")
 def q_retract_changelog(spark, d):
-    return running.retract_changelog(_sensor(spark, d), "id", "arr", "temperature", digits=AVG_DIGITS)
+    return running.retract_changelog(_sensor(spark, d), "id", "arr", "temperature", digits=AVG_DIGITS,
+                                     sum_type=SUM_TYPE)
 
 
 # ---------------------------------------------------------------- windows
@@ -380,10 +388,11 @@ def q_tumble_count_full(spark, d):
 
 @query("count_window_avg", _with(SENSOR) +
        "SELECT id, seq, avg_value FROM (SELECT id, row_number() OVER (PARTITION BY id ORDER BY arr) AS seq, "
-       "(floor(avg(temperature) OVER (PARTITION BY id ORDER BY arr ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) * 1000000 + 0.5) / 1000000) "
-       "AS avg_value FROM sensor) WHERE seq % 2 = 0")
+       "(floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) OVER w AS DOUBLE) / count(temperature) OVER w "
+       "* 1000000 + 0.5) / 1000000) AS avg_value FROM sensor "
+       "WINDOW w AS (PARTITION BY id ORDER BY arr ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)) WHERE seq % 2 = 0")
 def q_count_window_avg(spark, d):
-    out = count_window(_sensor(spark, d), ["id"], "arr", "temperature", 10, 2)
+    out = count_window(_sensor(spark, d), ["id"], "arr", "temperature", 10, 2, sum_type=SUM_TYPE)
     return out.withColumn("avg_value", _r(F.col("avg_value")))
 
 
@@ -413,10 +422,11 @@ def q_session_count(spark, d):
 
 @query("tumble_count_avg", _with(SENSOR) +
        f"SELECT id, {_tb('10 seconds')} + INTERVAL '10 seconds' AS window_end, count(id) AS cnt, "
-       "(floor(avg(temperature) * 1000000 + 0.5) / 1000000) AS avg_value FROM sensor GROUP BY ALL")
+       "(floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) AS DOUBLE) / count(temperature) "
+       "* 1000000 + 0.5) / 1000000) AS avg_value FROM sensor GROUP BY ALL")
 def q_tumble_count_avg(spark, d):
     out = tumble(_sensor(spark, d), ["id"], "ts", "10 seconds",
-                 [F.count("id").alias("cnt"), _r(F.avg("temperature")).alias("avg_value")])
+                 [F.count("id").alias("cnt"), _r(avg_temp("temperature", SUM_TYPE)).alias("avg_value")])
     return out.select("id", "window_end", "cnt", "avg_value")
 
 

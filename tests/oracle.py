@@ -22,7 +22,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v
     if isinstance(v, (bytes, bytearray)):
         return bytes(v)
     if hasattr(v, "tzinfo") and getattr(v, "tzinfo", None) is not None:
@@ -38,7 +38,7 @@ def _key(row):
 
 def _same(x, y):
     if isinstance(x, float) and isinstance(y, float):
-        return math.isclose(x, y, rel_tol=1e-9, abs_tol=1.5e-6)
+        return x == y
     return x == y
 
 
