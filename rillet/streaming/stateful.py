@@ -84,15 +84,16 @@ class CountWindowAvg(StatefulProcessor):
         tail = [t[0] for t in self.tail.get()] if self.tail.exists() else []
         vals = np.concatenate([np.asarray(tail, dtype="float64"), df[self.value].to_numpy("float64")])
         offset = len(tail)
-        csum = np.concatenate([[0.0], np.cumsum(vals)])
-        out_seq, out_avg = [], []
-        for i in range(len(df)):
-            n = seen + i + 1
-            if n % self.slide == 0:
-                hi = offset + i + 1
-                lo = max(0, hi - self.size)
-                out_seq.append(n)
-                out_avg.append(float(np.sum(vals[lo:hi])) / (hi - lo))
+        # firings: global sequence numbers n = seen+1 .. seen+len that are multiples of slide
+        idx = np.arange(len(df))
+        n = seen + idx + 1
+        fire = idx[n % self.slide == 0]
+        hi = offset + fire + 1
+        lo = np.maximum(0, hi - self.size)
+        # windows hold at most `size` values: sum them directly (no running-sum cancellation)
+        sums = np.array([vals[a:b].sum() for a, b in zip(lo, hi)], dtype="float64")
+        out_seq = (seen + fire + 1).astype("int64")
+        out_avg = sums / (hi - lo) if len(fire) else np.empty(0, dtype="float64")
         new_seen = seen + len(df)
         keep = vals[-(self.size - 1):] if self.size > 1 else vals[:0]
         self.seen.update((int(new_seen),))
@@ -117,15 +118,21 @@ class RetractChangelog(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _frame(rows, self.order)
-        n, s = self.acc.get() if self.acc.exists() else (0, 0.0)
-        out = []
-        for arr, v in zip(df[self.order], df[self.value]):
-            if n:
-                out.append((False, key[0], int(arr), n, s / n))
-            n, s = n + 1, s + float(v)
-            out.append((True, key[0], int(arr), n, s / n))
-        self.acc.update((int(n), float(s)))
-        yield pd.DataFrame(out, columns=["is_add", self.key, self.order, "cnt", "avg_value"])
+        n0, s0 = self.acc.get() if self.acc.exists() else (0, 0.0)
+        vals = df[self.value].to_numpy("float64")
+        cnt = n0 + np.arange(1, len(vals) + 1, dtype="int64")
+        total = s0 + np.cumsum(vals)  # sequential, as the per-record accumulator adds
+        avg = total / cnt
+        arr = df[self.order].to_numpy("int64")
+        adds = pd.DataFrame({"is_add": True, self.key: key[0], self.order: arr, "cnt": cnt,
+                             "avg_value": avg})
+        prev_cnt = np.concatenate([[n0], cnt[:-1]])
+        prev_avg = np.concatenate([[s0 / n0 if n0 else np.nan], avg[:-1]])
+        keep = prev_cnt > 0
+        rets = pd.DataFrame({"is_add": False, self.key: key[0], self.order: arr[keep],
+                             "cnt": prev_cnt[keep], "avg_value": prev_avg[keep]})
+        self.acc.update((int(cnt[-1]), float(total[-1])))
+        yield pd.concat([rets, adds], ignore_index=True)
 
     def close(self) -> None:
         pass

@@ -114,3 +114,26 @@ def test_running_word_count_chunks(spark):
     a = running.running_word_count(docs, "doc_id", chunk=chunk_by("doc_id", 3))
     b = running.running_word_count(docs, "doc_id", chunk=F.lit(0))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_key_is_split_and_exact(spark):
+    """90% of the rows on one key: the chunked scan spreads that key over many
+    (key, chunk) groups and still equals the single-partition window."""
+    n = 5000
+    df = spark.range(n).select(
+        F.col("id").alias("arr"),
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), (F.col("id") % 7).cast("string")))
+         .otherwise(F.lit("hot")).alias("key"),
+        ((F.col("id") * 37) % 101).cast("double").alias("v"))
+    width = 256
+    got = keyed_scan(df, ["key"], ["arr"], chunk_by("arr", width),
+                     running={"c": ("count", F.lit(1)), "m": ("max", F.col("v"))},
+                     lags={"p": F.col("v")}, keep_chunk=True)
+    hot_chunks = got.where("key = 'hot'").select("_chunk").distinct().count()
+    assert hot_chunks == (n + width - 1) // width
+    w = Window.partitionBy("key").orderBy("arr")
+    plain = df.select("key", "arr", F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c"),
+                      F.max("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"),
+                      F.lag("v").over(w).alias("p"))
+    cols = ["key", "arr", "c", "m", "p"]
+    assert _set(got, cols) == _set(plain, cols)
