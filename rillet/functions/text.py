@@ -67,6 +67,28 @@ def poly_hash(c, seed: int = POLY_SEED, cap: int = POLY_CAP) -> Column:
     return _fold_hash(_col(c), seed, cap - 1)
 
 
+def poly_hash_of_integer(name: str, seed: int = POLY_SEED, cap: int = POLY_CAP) -> Column:
+    """:func:`poly_hash` of ``cast(name AS STRING)`` for a non-negative integral
+    column, as plain arithmetic: with digits d_j counted from the right,
+    ``sum((48 + d_j) * seed^j) mod cap`` over the digits present.
+
+    No per-row array or string is built, so it stays inside whole-stage
+    codegen.  Negative values (a leading '-') fall back to the string form.
+    """
+    if cap & (cap - 1):
+        raise ValueError("cap must be a power of two")
+    u = F.col(name).cast("bigint")
+    total = None
+    for j in range(19):  # a bigint has at most 19 digits
+        digit = F.expr(f"(CAST(`{name}` AS BIGINT) div {10 ** j}) % 10")
+        term = (F.lit(48) + digit) * F.lit(pow(seed, j, cap))
+        if j:
+            term = F.when(u >= F.lit(10 ** j), term).otherwise(F.lit(0))
+        total = term if total is None else total + term
+    arithmetic = total.bitwiseAND(F.lit(cap - 1))
+    return F.when(u >= 0, arithmetic).otherwise(poly_hash(u.cast("string"), seed, cap))
+
+
 def java_string_hash(c) -> Column:
     """``String.hashCode()`` as a signed 32-bit int (UTF-16 units equal code points for BMP text)."""
     u = _fold_hash(_col(c), JAVA_HASH_SEED, 0xFFFFFFFF)

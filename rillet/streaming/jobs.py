@@ -86,7 +86,7 @@ def uv_first_seen(behavior: DataFrame, behavior_value: str = "view", size: str =
 
     views = with_event_time(behavior, "ts", bound).where(F.col("behavior") == behavior_value)
     keyed = views.select(F.window("ts", size).end.alias("window_end"), "ts", "arr",
-                         user_offset("user_id").alias("offset"))
+                         user_offset(views, "user_id").alias("offset"))
     return keyed.groupBy("window_end").transformWithStateInPandas(
         statefulProcessor=FirstSeenCounter(), outputStructType="label string, window_end timestamp, "
         "arr bigint, cnt bigint", outputMode="Append", timeMode="EventTime")
