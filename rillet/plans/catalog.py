@@ -239,7 +239,7 @@ def q_rename_fields(spark, d):
        "SELECT arr, id, temperature, CASE WHEN temperature > 30 THEN 'high' ELSE 'low' END AS route "
        "FROM sensor")
 def q_split_route(spark, d):
-    return routing.split_route(_sensor(spark, d), F.col("temperature") > 30).select(
+    return routing.split_route(_sensor(spark, d), F.col("temperature") > jobs.HIGH_TEMPERATURE).select(
         "arr", "id", "temperature", "route")
 
 
@@ -247,7 +247,7 @@ def q_split_route(spark, d):
        "SELECT id, temperature, 'high temp warning' AS msg FROM sensor WHERE temperature > 30 "
        "UNION ALL SELECT id, NULL::DOUBLE AS temperature, 'normal' AS msg FROM sensor WHERE NOT temperature > 30")
 def q_connect_map(spark, d):
-    tagged = routing.split_route(_sensor(spark, d), F.col("temperature") > 30)
+    tagged = routing.split_route(_sensor(spark, d), F.col("temperature") > jobs.HIGH_TEMPERATURE)
     warn = routing.select_route(tagged, "high").select(
         "id", "temperature", F.lit("high temp warning").alias("msg"))
     normal = routing.select_route(tagged, "low").select("id", F.lit("normal").alias("msg"))
@@ -259,7 +259,7 @@ def q_connect_map(spark, d):
        "UNION ALL SELECT arr, id, temperature FROM sensor WHERE NOT temperature > 30 "
        "UNION ALL SELECT arr, id, temperature FROM sensor")
 def q_union_all(spark, d):
-    tagged = routing.split_route(_sensor(spark, d), F.col("temperature") > 30)
+    tagged = routing.split_route(_sensor(spark, d), F.col("temperature") > jobs.HIGH_TEMPERATURE)
     cols = ["arr", "id", "temperature"]
     return routing.union_all(routing.select_route(tagged, "high").select(*cols),
                              routing.select_route(tagged, "low").select(*cols),
@@ -332,7 +332,7 @@ def q_global_running_count(spark, d):
        "lag(temperature) OVER (PARTITION BY id ORDER BY arr) AS last_value FROM sensor) "
        "WHERE last_value IS NOT NULL AND abs(temperature - last_value) >= 10.0")
 def q_temp_jump_alert(spark, d):
-    return running.temp_jump_alert(_sensor(spark, d), "id", "arr", "temperature", 10.0)
+    return running.temp_jump_alert(_sensor(spark, d), "id", "arr", "temperature", jobs.JUMP_THRESHOLD)
 
 
 @query("group_count_avg", _with(SENSOR) +
@@ -375,14 +375,14 @@ def _tb(size: str, ts: str = "ts") -> str:
        f"SELECT id, {_tb('15 seconds')} AS window_start, {_tb('15 seconds')} + INTERVAL '15 seconds' "
        "AS window_end, count(*) AS cnt FROM sensor GROUP BY ALL")
 def q_tumble_count(spark, d):
-    return tumble(_sensor(spark, d), ["id"], "ts", "15 seconds", [F.count(F.lit(1)).alias("cnt")])
+    return tumble(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_TUMBLE, [F.count(F.lit(1)).alias("cnt")])
 
 
 @query("tumble_count_full", _with(SENSOR) +
        f"SELECT id, {_tb('15 seconds')} + INTERVAL '15 seconds' AS window_end, count(*) AS size "
        "FROM sensor GROUP BY ALL")
 def q_tumble_count_full(spark, d):
-    out = tumble(_sensor(spark, d), ["id"], "ts", "15 seconds", [F.count(F.lit(1)).alias("size")])
+    out = tumble(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_TUMBLE, [F.count(F.lit(1)).alias("size")])
     return out.select("id", "window_end", "size")
 
 
@@ -392,7 +392,8 @@ def q_tumble_count_full(spark, d):
        "* 1000000 + 0.5) / 1000000) AS avg_value FROM sensor "
        "WINDOW w AS (PARTITION BY id ORDER BY arr ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)) WHERE seq % 2 = 0")
 def q_count_window_avg(spark, d):
-    out = count_window(_sensor(spark, d), ["id"], "arr", "temperature", 10, 2, sum_type=SUM_TYPE)
+    out = count_window(_sensor(spark, d), ["id"], "arr", "temperature", jobs.COUNT_WINDOW_SIZE,
+                       jobs.COUNT_WINDOW_SLIDE, sum_type=SUM_TYPE)
     return out.withColumn("avg_value", _r(F.col("avg_value")))
 
 
@@ -403,7 +404,7 @@ def q_count_window_avg(spark, d):
        "FROM sensor) WHERE rn = 1")
 def q_tumble_min_by(spark, d):
     rec = F.struct("temperature", "arr", "ts_sec")
-    out = tumble(_sensor(spark, d), ["id"], "ts", "5 seconds", [F.min(rec).alias("m")])
+    out = tumble(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_MIN_BY_WINDOW, [F.min(rec).alias("m")])
     return out.select("id", "window_end", "m.temperature", "m.ts_sec", "m.arr")
 
 
@@ -417,7 +418,7 @@ def q_tumble_min_by(spark, d):
     "SELECT id, min(ts) AS window_start, max(ts) + INTERVAL '15 seconds' AS window_end, count(*) AS cnt "
     "FROM s GROUP BY id, sid")
 def q_session_count(spark, d):
-    return session(_sensor(spark, d), ["id"], "ts", "15 seconds", [F.count(F.lit(1)).alias("cnt")])
+    return session(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_SESSION_GAP, [F.count(F.lit(1)).alias("cnt")])
 
 
 @query("tumble_count_avg", _with(SENSOR) +
@@ -425,7 +426,7 @@ def q_session_count(spark, d):
        "(floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) AS DOUBLE) / count(temperature) "
        "* 1000000 + 0.5) / 1000000) AS avg_value FROM sensor GROUP BY ALL")
 def q_tumble_count_avg(spark, d):
-    out = tumble(_sensor(spark, d), ["id"], "ts", "10 seconds",
+    out = tumble(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_TABLE_WINDOW,
                  [F.count("id").alias("cnt"), _r(avg_temp("temperature", SUM_TYPE)).alias("avg_value")])
     return out.select("id", "window_end", "cnt", "avg_value")
 
@@ -571,12 +572,12 @@ def q_uv_running(spark, d):
        JHASH.format(x="c_name") + " * 23) & 4294967295 AS h FROM customer)")
 def q_udf_hash_code(spark, d):
     c = tables.load_table(spark, d, "customer")
-    return c.select("c_custkey", "c_name", scaled_hash_code("c_name", 23).alias("hash_code"))
+    return c.select("c_custkey", "c_name", scaled_hash_code("c_name", jobs.HASH_CODE_FACTOR).alias("hash_code"))
 
 
 @query("udf_hash_code_sql", ORACLE_SQL["udf_hash_code"])
 def q_udf_hash_code_sql(spark, d):
-    register_sql_functions(spark, 23)
+    register_sql_functions(spark, jobs.HASH_CODE_FACTOR)
     return spark.sql("SELECT c_custkey, c_name, hash_code(c_name) AS hash_code FROM {customer}",
                      customer=tables.load_table(spark, d, "customer"))
 
@@ -585,7 +586,7 @@ def q_udf_hash_code_sql(spark, d):
        "SELECT arr, id, word, CAST(length(word) AS INTEGER) AS length FROM "
        "(SELECT arr, id, unnest(" + _jsplit_sql("id", "_") + ") AS word FROM sensor)")
 def q_udtf_split(spark, d):
-    return split_pieces(_sensor(spark, d).select("arr", "id"), "id", "_")
+    return split_pieces(_sensor(spark, d).select("arr", "id"), "id", jobs.SPLIT_SEPARATOR)
 
 
 @query("udtf_split_sql", ORACLE_SQL["udtf_split"])
@@ -612,14 +613,15 @@ STATUS = ("st AS (SELECT *, (ts_us // 5000000 + 1) * 5000000 AS end_us, CASE "
 @query("running_watermark", _with(SENSOR, ARRIVAL, WATERMARK) + "SELECT arr, arrival_us, wm_us FROM wm")
 def q_running_watermark(spark, d):
     s = _arrival(_sensor(spark, d))
-    out = late.running_watermark(s, "ts", ["arrival_us", "arr"], "2 seconds")
+    out = late.running_watermark(s, "ts", ["arrival_us", "arr"], jobs.SENSOR_BOUND)
     return out.select("arr", "arrival_us", "wm_us")
 
 
 @query("late_split", _with(SENSOR, ARRIVAL, WATERMARK, STATUS) + "SELECT arr, id, status FROM st")
 def q_late_split(spark, d):
     s = _arrival(_sensor(spark, d))
-    out = late.classify_lateness(s, "ts", ["arrival_us", "arr"], "5 seconds", "2 seconds", "1 minute")
+    out = late.classify_lateness(s, "ts", ["arrival_us", "arr"], jobs.SENSOR_MIN_BY_WINDOW, jobs.SENSOR_BOUND,
+                                 jobs.SENSOR_LATENESS)
     return out.select("arr", "id", "status")
 
 
@@ -638,7 +640,8 @@ def q_late_split(spark, d):
 def q_allowed_lateness(spark, d):
     s = _arrival(_sensor(spark, d))
     return late.lateness_firings_min_by(s, "id", "ts", ["arrival_us", "arr"], "temperature",
-                                        "5 seconds", "2 seconds", "1 minute")
+                                        jobs.SENSOR_MIN_BY_WINDOW, jobs.SENSOR_BOUND,
+                                        jobs.SENSOR_LATENESS)
 
 
 # ------------------------------------------------------------- scale checks

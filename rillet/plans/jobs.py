@@ -18,9 +18,32 @@ from rillet.operators.windows import hop, hop_count_panes
 
 VIEW = "view"
 
-
-def item_view_counts(behavior: DataFrame, behavior_value: str = VIEW, size: str = "1 hour",
-                     slide: str = "5 minutes", panes: bool = True) -> DataFrame:
+# Parameters of the analyses being rebuilt.
+HOT_ITEMS_N = 5
+HOT_ITEMS_SIZE = "1 hour"
+HOT_ITEMS_SLIDE = "5 minutes"
+HOT_PAGES_N = 3
+HOT_PAGES_SIZE = "10 minutes"
+HOT_PAGES_SLIDE = "5 seconds"
+PAGE_VIEW_WINDOW = "1 hour"
+PAGE_VIEW_SALTS = 10
+VISITOR_WINDOW = "1 hour"
+SENSOR_TUMBLE = "15 seconds"
+SENSOR_MIN_BY_WINDOW = "5 seconds"
+SENSOR_TABLE_WINDOW = "10 seconds"
+SENSOR_SESSION_GAP = "15 seconds"
+SENSOR_BOUND = "2 seconds"
+SENSOR_LATENESS = "1 minute"
+COUNT_WINDOW_SIZE = 10
+COUNT_WINDOW_SLIDE = 2
+JUMP_THRESHOLD = 10.0
+HIGH_TEMPERATURE = 30
+HASH_CODE_FACTOR = 23
+SPLIT_SEPARATOR = "_"
+
+
+def item_view_counts(behavior: DataFrame, behavior_value: str = VIEW, size: str = HOT_ITEMS_SIZE,
+                     slide: str = HOT_ITEMS_SLIDE, panes: bool = True) -> DataFrame:
     """(item_id, window_start, window_end, cnt) for the chosen behaviour.
 
     ``panes`` (default) counts per 5-minute pane first and expands only the
@@ -32,8 +55,8 @@ def item_view_counts(behavior: DataFrame, behavior_value: str = VIEW, size: str
     return hop(views, ["item_id"], "ts", size, slide, [F.count(F.lit(1)).alias("cnt")])
 
 
-def hot_items(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW,
-              size: str = "1 hour", slide: str = "5 minutes", panes: bool = True) -> DataFrame:
+def hot_items(behavior: DataFrame, n: int = HOT_ITEMS_N, behavior_value: str = VIEW,
+              size: str = HOT_ITEMS_SIZE, slide: str = HOT_ITEMS_SLIDE, panes: bool = True) -> DataFrame:
     """Top n items per sliding window (count desc, item id asc)."""
     if panes:
         views = behavior.where(F.col("behavior") == behavior_value).select("item_id", "ts")
@@ -43,7 +66,7 @@ def hot_items(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW,
     return ranked.select("item_id", "window_end", "cnt", "rn")
 
 
-def hot_items_sql(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW) -> DataFrame:
+def hot_items_sql(behavior: DataFrame, n: int = HOT_ITEMS_N, behavior_value: str = VIEW) -> DataFrame:
     """The same job as one SQL statement (sliding window in GROUP BY)."""
     spark = behavior.sparkSession
     return spark.sql(
@@ -54,12 +77,13 @@ def hot_items_sql(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW) -
             SELECT item_id, window.end AS window_end, count(item_id) AS cnt
             FROM {data_table}
             WHERE behavior = :behavior
-            GROUP BY item_id, window(ts, '1 hour', '5 minutes')))
+            GROUP BY item_id, window(ts, :size, :slide)))
         WHERE rn <= :n
-        """, args={"behavior": behavior_value, "n": n}, data_table=behavior)
+        """, args={"behavior": behavior_value, "n": n, "size": HOT_ITEMS_SIZE, "slide": HOT_ITEMS_SLIDE},
+        data_table=behavior)
 
 
-def hot_items_report(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW) -> DataFrame:
+def hot_items_report(behavior: DataFrame, n: int = HOT_ITEMS_N, behavior_value: str = VIEW) -> DataFrame:
     """One text block per window: header with the window end, then 'NO i: ...' lines."""
     ranked = hot_items(behavior, n, behavior_value)
     line = F.format_string("NO %d: item_id = %d count = %d", F.col("rn"), F.col("item_id"), F.col("cnt"))
@@ -67,7 +91,7 @@ def hot_items_report(behavior: DataFrame, n: int = 5, behavior_value: str = VIEW
     return topn_report(ranked, "window_end", "rn", line, header, "====")
 
 
-def page_view_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
+def page_view_counts(log: DataFrame, size: str = HOT_PAGES_SIZE, slide: str = HOT_PAGES_SLIDE,
                      method: str | None = None, panes: bool = True) -> DataFrame:
     pages = filter_static_assets(log, "url", method).select("url", "ts")
     if panes:
@@ -75,7 +99,7 @@ def page_view_counts(log: DataFrame, size: str = "10 minutes", slide: str = "5 s
     return hop(pages, ["url"], "ts", size, slide, [F.count(F.lit(1)).alias("cnt")])
 
 
-def hot_pages(log: DataFrame, n: int = 3, size: str = "10 minutes", slide: str = "5 seconds",
+def hot_pages(log: DataFrame, n: int = HOT_PAGES_N, size: str = HOT_PAGES_SIZE, slide: str = HOT_PAGES_SLIDE,
               method: str | None = None, panes: bool = True) -> DataFrame:
     """Top n urls per sliding window after the static-asset filter."""
     if panes:
@@ -86,7 +110,7 @@ def hot_pages(log: DataFrame, n: int = 3, size: str = "10 minutes", slide: str =
     return ranked.select("url", "window_end", "cnt", "rn")
 
 
-def pv_count(behavior: DataFrame, behavior_value: str = VIEW, size: str = "1 hour") -> DataFrame:
+def pv_count(behavior: DataFrame, behavior_value: str = VIEW, size: str = PAGE_VIEW_WINDOW) -> DataFrame:
     """Total views per tumbling window: ('pv', window_end, cnt)."""
     return (behavior.where(F.col("behavior") == behavior_value)
                     .groupBy(F.window("ts", size).end.alias("window_end"))
@@ -94,8 +118,8 @@ def pv_count(behavior: DataFrame, behavior_value: str = VIEW, size: str = "1 hou
                     .select(F.lit("pv").alias("label"), "window_end", "cnt"))
 
 
-def pv_count_salted(behavior: DataFrame, behavior_value: str = VIEW, size: str = "1 hour",
-                    salts: int = 10, salt_on: str = "arr") -> DataFrame:
+def pv_count_salted(behavior: DataFrame, behavior_value: str = VIEW, size: str = PAGE_VIEW_WINDOW,
+                    salts: int = PAGE_VIEW_SALTS, salt_on: str = "arr") -> DataFrame:
     """Two-stage count: per (salt, window), then summed per window.
 
     The salt is a hash of the arrival id rather than a random number, so a
@@ -110,7 +134,7 @@ def pv_count_salted(behavior: DataFrame, behavior_value: str = VIEW, size: str =
 
 
 def unique_visitors(behavior: DataFrame, behavior_value: str = VIEW, how: str = "bitmap",
-                    size: str = "1 hour") -> DataFrame:
+                    size: str = VISITOR_WINDOW) -> DataFrame:
     views = behavior.where(F.col("behavior") == behavior_value)
     if how == "bitmap":
         return uv_bitmap(views, "ts", "user_id", size)
@@ -121,7 +145,7 @@ def unique_visitors(behavior: DataFrame, behavior_value: str = VIEW, how: str =
     raise ValueError(how)
 
 
-def hot_pages_report(log: DataFrame, n: int = 3) -> DataFrame:
+def hot_pages_report(log: DataFrame, n: int = HOT_PAGES_N) -> DataFrame:
     """One text block per window for the hot pages."""
     ranked = hot_pages(log, n)
     line = F.format_string("NO %d: url = %s count = %d", F.col("rn"), F.col("url"), F.col("cnt"))
