@@ -263,3 +263,39 @@ def test_restart_from_checkpoint(spark, sensor_src):
     assert 0 < first < got.count()
     exp = running.keyed_running_count(batch, "id", "arr")
     assert _set(got, ["id", "arr", "cnt"]) == _set(exp, ["id", "arr", "cnt"])
+
+
+def test_text_stream_word_count_and_csv_sink(spark):
+    from rillet.sources.files import read_csv_table, read_text
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text").orderBy("doc_id")
+    texts = [r.text for r in docs.collect()]
+    root = os.path.join(tempfile.mkdtemp(prefix="run-"), "txt")
+    os.makedirs(root)
+    for i in range(4):
+        path = os.path.join(root, f"part-{i}.txt")
+        with open(path, "w") as fh:
+            fh.write("\n".join(texts[i::4]) + "\n")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    lines = read_text(spark, root, streaming=True, max_files_per_trigger=1)
+    q = (sjobs.word_count_stream(lines).writeStream.outputMode("update").format("memory")
+         .queryName("wcs").option("checkpointLocation", tempfile.mkdtemp(prefix="run-ckpt-"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    final = spark.table("wcs").groupBy("word").agg(F.max("cnt").alias("cnt"))
+    exp = running.word_count(read_text(spark, root))
+    assert _set(final, ["word", "cnt"]) == _set(exp, ["word", "cnt"])
+
+    # streaming CSV sink, read back as a CSV table
+    sensor = catalog._sensor(spark, SF0001).select("id", "ts_sec", "temperature")
+    src = _write_files(sensor.withColumn("arr", F.col("ts_sec")).toPandas(),
+                       os.path.join(tempfile.mkdtemp(prefix="run-"), "s"), 3)
+    out = tempfile.mkdtemp(prefix="run-csv-")
+    from pyspark.sql.types import LongType, StructField, StructType
+    src_schema = StructType(list(sensor.schema.fields) + [StructField("arr", LongType())])
+    q = (file_stream(spark, src, "parquet", schema=src_schema, max_files_per_trigger=1)
+         .select("id", "ts_sec", "temperature").writeStream.format("csv").option("path", out)
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="run-ckpt-")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    back = read_csv_table(spark, out, "id STRING, ts_sec BIGINT, temperature DOUBLE")
+    cols = ["id", "ts_sec", "temperature"]
+    assert _set(back, cols) == _set(sensor, cols)
