@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 # Rows of arrival order per chunk.  At sf0.1 everything is one chunk; at
@@ -46,6 +47,35 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _zero_of(dtype: T.DataType) -> Column | None:
+    """A non-null value of the key's type (stands in for null next to a flag)."""
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_seconds(F.lit(0)).cast(dtype)
+    if isinstance(dtype, T.DateType):
+        return F.to_date(F.lit("1970-01-01"))
+    return None
+
+
+def _surrogate_keys(df: DataFrame, keys: list[str]):
+    """Replace each key by (value-or-zero, is-null): both never null, so the
+    window partitioning and the join back use the same plain columns and the
+    join reuses the window's shuffle instead of re-partitioning the data."""
+    names = []
+    for i, k in enumerate(keys):
+        zero = _zero_of(df.schema[k].dataType)
+        if zero is None:
+            return df, None
+        df = df.withColumn(f"_kv{i}", F.coalesce(F.col(k), zero)).withColumn(f"_kn{i}", F.col(k).isNull())
+        names += [f"_kv{i}", f"_kn{i}"]
+    return df, names
+
+
 def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
                running: dict | None = None, lags: dict | None = None,
                exclusive: bool = False, keep_chunk: bool = False) -> DataFrame:
@@ -66,8 +96,10 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
         if chunk is None:
             raise ValueError("keyed_scan needs a chunk column")
         df = df.withColumn(CHUNK, chunk)
+    df, sur = _surrogate_keys(df, keys)
+    gkeys = sur if sur is not None else keys  # grouping / join columns
 
-    part = [F.col(k) for k in keys] + [F.col(CHUNK)]
+    part = [F.col(k) for k in gkeys] + [F.col(CHUNK)]
     w = Window.partitionBy(*part).orderBy(*order)
     frame = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
 
@@ -86,17 +118,24 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
     tot_exprs += [F.max_by(_c(c), F.struct(*order)).alias(f"_e_{name}") for name, c in lags.items()]
     totals = local.groupBy(*part).agg(*tot_exprs)
 
-    wk = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(CHUNK)
+    wk = Window.partitionBy(*[F.col(k) for k in gkeys]).orderBy(CHUNK)
     prior = wk.rowsBetween(Window.unboundedPreceding, -1)
-    off_cols = [F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)] + [F.col(CHUNK).alias("_k_chunk")]
+    off_cols = [F.col(k) for k in gkeys] + [F.col(CHUNK)]
     off_cols += [_COMBINE[fn](f"_t_{name}").over(prior).alias(f"_o_{name}")
                  for name, (fn, _) in running.items()]
     off_cols += [F.lag(f"_e_{name}").over(wk).alias(f"_p_{name}") for name in lags]
     offsets = totals.select(*off_cols)
 
-    cond = [local[k].eqNullSafe(offsets[f"_k_{i}"]) for i, k in enumerate(keys)]
-    cond.append(local[CHUNK] == offsets["_k_chunk"])
-    joined = local.join(offsets, reduce(lambda a, b: a & b, cond), "inner")
+    if sur is not None:
+        # plain equi-join on the columns the window is partitioned by
+        joined = local.join(offsets, gkeys + [CHUNK], "inner")
+    else:
+        offsets = offsets.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
+                                 F.col(CHUNK).alias("_k_chunk"),
+                                 *[c for c in offsets.columns if c not in keys and c != CHUNK])
+        cond = [local[k].eqNullSafe(offsets[f"_k_{i}"]) for i, k in enumerate(keys)]
+        cond.append(local[CHUNK] == offsets["_k_chunk"])
+        joined = local.join(offsets, reduce(lambda a, b: a & b, cond), "inner")
 
     out = joined
     for name, (fn, _) in running.items():
@@ -114,6 +153,7 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
         out = out.withColumn(name, F.when(F.col("_first"), F.col(f"_p_{name}"))
                              .otherwise(F.col(f"_lag_{name}")))
     drop = [c for c in out.columns if c.startswith(("_l_", "_o_", "_lag_", "_p_", "_k_"))]
+    drop += sur or []
     drop += ["_first"] if lags else []
     if not keep_chunk:
         drop.append(CHUNK)

@@ -11,7 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, DEFAULT_TIME_CHUNK_US, chunk_by, keyed_scan
+from rillet.operators.scan import (DEFAULT_ARRIVAL_CHUNK, DEFAULT_TIME_CHUNK_US, _surrogate_keys, chunk_by,
+                                  keyed_scan)
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000,
              "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
@@ -125,7 +126,9 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
     us = "_ts_us"
     d = df.withColumn(us, F.unix_micros(F.col(ts).cast("timestamp")))
     d = d.withColumn("_chunk", chunk_by(us, chunk_us or DEFAULT_TIME_CHUNK_US))
-    part = [F.col(k) for k in keys] + [F.col("_chunk")]
+    d, sur = _surrogate_keys(d, list(keys))
+    gkeys = sur if sur is not None else list(keys)
+    part = [F.col(k) for k in gkeys] + [F.col("_chunk")]
     w = Window.partitionBy(*part).orderBy(us)
     gap_open = F.col(us) - F.lag(us).over(w) > gap_us
     d = d.withColumn("_open", F.when((F.row_number().over(w) > 1) & gap_open, F.col(us)))
@@ -133,16 +136,20 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
 
     tot = d.groupBy(*part).agg(F.min(us).alias("_first"), F.max(us).alias("_last"),
                                F.max("_open").alias("_mopen"))
-    wk = Window.partitionBy(*[F.col(k) for k in keys]).orderBy("_chunk")
+    wk = Window.partitionBy(*[F.col(k) for k in gkeys]).orderBy("_chunk")
     prev_last = F.lag("_last").over(wk)
     tot = tot.withColumn("_fopen", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap_us),
                                           F.col("_first")))
     tot = tot.withColumn("_before", F.max(F.greatest("_mopen", "_fopen")).over(
         wk.rowsBetween(Window.unboundedPreceding, -1)))
-    offs = tot.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                      F.col("_chunk").alias("_kc"), "_fopen", "_before")
-    cond = [d[k].eqNullSafe(offs[f"_k{i}"]) for i, k in enumerate(keys)] + [d["_chunk"] == offs["_kc"]]
-    j = d.join(offs, reduce(lambda a, b: a & b, cond), "inner")
+    if sur is not None:
+        # same columns as the window partitioning: the join reuses its shuffle
+        j = d.join(tot.select(*gkeys, "_chunk", "_fopen", "_before"), gkeys + ["_chunk"], "inner")
+    else:
+        offs = tot.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                          F.col("_chunk").alias("_kc"), "_fopen", "_before")
+        cond = [d[k].eqNullSafe(offs[f"_k{i}"]) for i, k in enumerate(keys)] + [d["_chunk"] == offs["_kc"]]
+        j = d.join(offs, reduce(lambda a, b: a & b, cond), "inner")
     j = j.withColumn("_start", F.greatest("_run", "_fopen", "_before"))
     res = j.groupBy(*keys, "_start").agg(*aggs, F.max(us).alias("_lastev"))
     out_cols = [c for c in res.columns if c not in keys and c not in ("_start", "_lastev")]
