@@ -103,6 +103,7 @@ def retract_changelog(df: DataFrame, key: str, order: str, value: str,
         avg = fixed_digits(avg, digits)
     run = run.withColumn("_res", F.struct(F.col("_n").alias("cnt"), avg.alias("avg_value")))
     run = keyed_scan(run, [key], [F.col(order)], lags={"_prev": F.col("_res")})
+    run = run.drop(*[c for c in run.columns if c.startswith(("_kv", "_kn"))])
     adds = run.select(F.lit(True).alias("is_add"), key, order, F.lit(1).alias("_o"), "_res.*")
     rets = (run.where(F.col("_prev").isNotNull())
                .select(F.lit(False).alias("is_add"), key, order, F.lit(0).alias("_o"), "_prev.*"))

@@ -67,6 +67,10 @@ def _surrogate_keys(df: DataFrame, keys: list[str]):
     window partitioning and the join back use the same plain columns and the
     join reuses the window's shuffle instead of re-partitioning the data."""
     names = []
+    if keys and all(f"_kv{i}" in df.columns and f"_kn{i}" in df.columns for i in range(len(keys))):
+        # kept by a previous scan of the same keys: reuse them, and with them
+        # that scan's partitioning
+        return df, [n for i in range(len(keys)) for n in (f"_kv{i}", f"_kn{i}")]
     for i, k in enumerate(keys):
         zero = _zero_of(df.schema[k].dataType)
         if zero is None:
@@ -85,7 +89,8 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
     earlier rows of the key and the row itself (``exclusive`` drops the row).
     ``lags``: ``{out: column}``, the value on the previous row of the key.
     ``chunk``: chunk id column; must be non-decreasing in ``order``.  When the
-    frame already has a ``_chunk`` column it is reused, so chained scans share
+    frame already has a ``_chunk`` column (and the surrogate key columns,
+    both kept by ``keep_chunk=True``) they are reused, so chained scans share
     one partitioning.
     """
     keys = list(keys)
@@ -153,10 +158,10 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
         out = out.withColumn(name, F.when(F.col("_first"), F.col(f"_p_{name}"))
                              .otherwise(F.col(f"_lag_{name}")))
     drop = [c for c in out.columns if c.startswith(("_l_", "_o_", "_lag_", "_p_", "_k_"))]
-    drop += sur or []
     drop += ["_first"] if lags else []
     if not keep_chunk:
         drop.append(CHUNK)
+        drop += sur or []
     return out.drop(*drop)
 
 
