@@ -103,8 +103,13 @@ def retract_changelog(df: DataFrame, key: str, order: str, value: str,
         avg = fixed_digits(avg, digits)
     run = run.withColumn("_res", F.struct(F.col("_n").alias("cnt"), avg.alias("avg_value")))
     run = keyed_scan(run, [key], [F.col(order)], lags={"_prev": F.col("_res")})
-    run = run.drop(*[c for c in run.columns if c.startswith(("_kv", "_kn"))])
-    adds = run.select(F.lit(True).alias("is_add"), key, order, F.lit(1).alias("_o"), "_res.*")
-    rets = (run.where(F.col("_prev").isNotNull())
-               .select(F.lit(False).alias("is_add"), key, order, F.lit(0).alias("_o"), "_prev.*"))
-    return adds.unionByName(rets).drop("_o")
+    # both rows of a change come from one pass: explode (retraction, addition)
+    # instead of a union that would instantiate the pipeline twice
+    change = F.array(
+        F.struct(F.lit(False).alias("is_add"), F.col("_prev.cnt").alias("cnt"),
+                 F.col("_prev.avg_value").alias("avg_value")),
+        F.struct(F.lit(True).alias("is_add"), F.col("_res.cnt").alias("cnt"),
+                 F.col("_res.avg_value").alias("avg_value")))
+    return (run.select(key, order, F.explode(change).alias("_c"))
+               .where(F.col("_c.cnt").isNotNull())
+               .select("_c.is_add", key, order, "_c.cnt", "_c.avg_value"))
