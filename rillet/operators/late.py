@@ -96,19 +96,24 @@ def lateness_firings_min_by(df: DataFrame, key: str, ts: str, arrival: list, val
     like = df.schema[ts].dataType.simpleString()
     arr0 = arrival[-1]
     rec = F.struct(F.col(value).alias("v"), F.col(arr0).alias("a"))
-    base = (tagged.where(F.col("status") == ON_TIME)
-                  .groupBy(key, "_end_us")
-                  .agg(F.count(F.lit(1)).alias("n0"), F.min(rec).alias("m0")))
-    acc = tagged.where(F.col("status") == ACCEPTED)
-    acc = keyed_scan(acc, [key, "_end_us"], [F.col(a) for a in arrival], arrival_chunk(acc, arrival[0]),
-                     running={"k": ("count", F.lit(1)), "m": ("min", rec)})
-    acc = acc.join(base, [key, "_end_us"], "left")
-    refires = acc.select(key, "_end_us",
-                         (F.col("k") + F.when(F.col("n0").isNull(), -1).otherwise(0)).alias("fire_seq"),
-                         (F.col("k") + F.coalesce(F.col("n0"), F.lit(0))).alias("cnt"),
-                         F.least(F.col("m"), F.col("m0")).alias("m"))
-    initial = base.select(key, "_end_us", F.lit(0).cast("bigint").alias("fire_seq"),
-                          F.col("n0").alias("cnt"), F.col("m0").alias("m"))
+    on_time = F.col("status") == ON_TIME
+    # The watermark only grows along arrival order, so every on-time row of a
+    # window arrives before its first accepted late row: one running scan over
+    # the kept rows gives each refire (window content = on-time rows + the
+    # accepted rows so far) without joining the initial aggregate back.
+    kept = tagged.where(F.col("status") != LATE)
+    run = keyed_scan(kept, [key, "_end_us"], [F.col(a) for a in arrival], arrival_chunk(kept, arrival[0]),
+                     running={"n": ("count", F.lit(1)),
+                              "n_on": ("sum", on_time.cast("bigint")),
+                              "m": ("min", rec)})
+    refires = (run.where(F.col("status") == ACCEPTED)
+                  .select(key, "_end_us",
+                          (F.col("n") - F.col("n_on") - F.when(F.col("n_on") == 0, 1).otherwise(0))
+                          .alias("fire_seq"),
+                          F.col("n").alias("cnt"), "m"))
+    initial = (tagged.where(on_time).groupBy(key, "_end_us")
+                     .agg(F.lit(0).cast("bigint").alias("fire_seq"), F.count(F.lit(1)).alias("cnt"),
+                          F.min(rec).alias("m")))
     out = initial.unionByName(refires)
     end_ts = F.timestamp_micros(F.col("_end_us"))
     if like == "timestamp_ntz":
