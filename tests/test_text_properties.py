@@ -58,8 +58,6 @@ def test_hash_models(spark, texts):
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(min_value=-(1 << 63), max_value=(1 << 63) - 1), min_size=1, max_size=40))
 def test_integer_poly_hash_matches_string_form(spark, values):
-    from pyspark.sql import functions as F
-
     from rillet.functions.text import poly_hash_of_integer
     df = spark.createDataFrame([(v,) for v in values], "u bigint")
     rows = df.select("u", poly_hash_of_integer("u").alias("h")).collect()
