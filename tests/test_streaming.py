@@ -299,3 +299,37 @@ def test_text_stream_word_count_and_csv_sink(spark):
     back = read_csv_table(spark, out, "id STRING, ts_sec BIGINT, temperature DOUBLE")
     cols = ["id", "ts_sec", "temperature"]
     assert _set(back, cols) == _set(sensor, cols)
+
+
+def test_window_operators_on_streams(spark, sensor_src):
+    """The batch window operators run unchanged on a watermarked stream."""
+    import pandas as pd
+
+    from rillet.operators.windows import session_builtin, tumble
+    from rillet.streaming.sources import with_event_time
+    batch, _ = sensor_src
+    pdf = batch.toPandas()
+    tail = pdf.iloc[[-1, -1]].copy()
+    tail["id"] = "sentinel"
+    tail["ts"] = tail["ts"] + pd.to_timedelta([2, 4], unit="D")
+    tail["arr"] = pdf["arr"].max() + pd.Series([1, 2], index=tail.index)
+    root = os.path.join(tempfile.mkdtemp(prefix="run-"), "w")
+    _write_files(pdf, root, 3)
+    for k in range(2):
+        path = os.path.join(root, f"zz-{k}.parquet")
+        pq.write_table(pa.Table.from_pandas(tail.iloc[[k]], preserve_index=False), path, coerce_timestamps="us")
+        os.utime(path, (1_700_000_500 + k, 1_700_000_500 + k))
+    agg = [F.count(F.lit(1)).alias("cnt")]
+    cols = ["id", "window_start", "window_end", "cnt"]
+
+    def through_stream(op, name):
+        s = with_event_time(file_stream(spark, root, "parquet", schema=batch.schema, max_files_per_trigger=1),
+                            "ts", "0 seconds")
+        out = _run_to_memory(op(s), name).where("id != 'sentinel'")
+        return out.select("id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                          F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt")
+
+    got = through_stream(lambda s: tumble(s, ["id"], "ts", "15 seconds", agg), "tum")
+    assert _set(got, cols) == _set(tumble(batch, ["id"], "ts", "15 seconds", agg), cols)
+    got = through_stream(lambda s: session_builtin(s, ["id"], "ts", "15 seconds", agg), "ses")
+    assert _set(got, cols) == _set(session_builtin(batch, ["id"], "ts", "15 seconds", agg), cols)
