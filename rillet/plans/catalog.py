@@ -565,6 +565,13 @@ def q_uv_running(spark, d):
     return jobs.unique_visitors(_behavior(spark, d), how="running")
 
 
+@query("uv_approx")
+def q_uv_approx(spark, d):
+    """HyperLogLog++ estimate per hour: an estimate has no exact SQL twin;
+    tests bound its error against ``uv_exact``."""
+    return jobs.unique_visitors(_behavior(spark, d), how="approx")
+
+
 # ------------------------------------------------------------- user functions
 
 @query("udf_hash_code", "SELECT c_custkey, c_name, CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 "

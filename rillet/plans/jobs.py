@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.operators.distinct import uv_bitmap, uv_exact, uv_running
+from rillet.operators.distinct import uv_approx, uv_bitmap, uv_exact, uv_running
 from rillet.operators.ranking import sliding_top_n, top_n, topn_report
 from rillet.operators.routing import filter_static_assets
 from rillet.operators.windows import hop, hop_count_panes
@@ -142,6 +142,8 @@ def unique_visitors(behavior: DataFrame, behavior_value: str = VIEW, how: str =
         return uv_exact(views, "ts", "user_id", size)
     if how == "running":
         return uv_running(views, "ts", "user_id", "arr", size)
+    if how == "approx":
+        return uv_approx(views, "ts", "user_id", size)
     raise ValueError(how)
 
 

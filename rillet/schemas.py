@@ -1,7 +1,7 @@
 """Record types of the event model as Spark schemas."""
 
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 SENSOR_READING = StructType([
     StructField("id", StringType()),
@@ -22,7 +22,7 @@ USER_BEHAVIOR_DDL = "user_id BIGINT, item_id BIGINT, category_id INT, behavior S
 ACCESS_LOG_EVENT = StructType([
     StructField("ip", StringType()),
     StructField("user_id", StringType()),
-    StructField("ts", TimestampType()),
+    StructField("ts", TimestampNTZType()),      # wall-clock time, read as UTC
     StructField("method", StringType()),
     StructField("url", StringType()),
 ])

@@ -137,3 +137,11 @@ def test_hot_key_is_split_and_exact(spark):
                       F.lag("v").over(w).alias("p"))
     cols = ["key", "arr", "c", "m", "p"]
     assert _set(got, cols) == _set(plain, cols)
+
+
+def test_uv_approx_close_to_exact(spark):
+    beh = catalog._behavior(spark, "/root/testdata/sf0.01")
+    exact = {r.window_end: r.cnt for r in jobs.unique_visitors(beh, how="exact").collect()}
+    approx = {r.window_end: r.cnt for r in jobs.unique_visitors(beh, how="approx").collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(1, 0.05 * v) for k, v in exact.items())
