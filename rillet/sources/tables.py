@@ -7,7 +7,7 @@ parquet scan of whatever query uses it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,22 @@ def sensor_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def sensor_id_equals(value: str) -> Column:
+    """Predicate on the *events* table equivalent to ``id = value`` on the
+    sensor view, written against the stored column so parquet can use it.
+
+    ``'sensor_' || CAST(user_id AS STRING)`` equals ``value`` exactly when
+    the suffix is the canonical decimal text of ``user_id`` (no leading
+    zeros); anything else matches no row.
+    """
+    import re
+
+    m = re.fullmatch(r"sensor_(-?(?:0|[1-9][0-9]*))", value)
+    if m and -(1 << 63) <= int(m.group(1)) < (1 << 63):
+        return F.col("user_id") == F.lit(int(m.group(1)))
+    return F.lit(False)
+
+
 def behavior_from_events(events: DataFrame) -> DataFrame:
     """UserBehavior view: item id from ``props.k``, behaviour = event type."""
     item = F.get_json_object("props", "$.k").cast("bigint")

@@ -264,3 +264,16 @@ def test_kafka_codec_round_trip(spark):
     dec = kafka_csv_decode(enc)
     assert sorted(rows(dec, "id", "ts_sec", "temperature")) == sorted(
         rows(sensor(spark), "id", "ts_sec", "temperature"))
+
+
+@pytest.mark.parametrize("value,matches", [("sensor_6", [6]), ("sensor_06", []), ("sensor_x", []),
+                                           ("sensor_0", [0]), ("sensor_-3", [-3])])
+def test_sensor_id_predicate_is_exact(spark, value, matches):
+    from rillet.sources.tables import sensor_from_events, sensor_id_equals
+    ev = spark.createDataFrame([(i, 0, u, "view", 1.0, '{"k": 1}') for i, u in enumerate([0, 6, 60, -3, 6])],
+                               "event_id bigint, ts bigint, user_id bigint, event_type string, value double, "
+                               "props string").withColumn("ts", F.timestamp_seconds("ts").cast("timestamp_ntz"))
+    pushed = sorted(r.arr for r in sensor_from_events(ev.where(sensor_id_equals(value))).collect())
+    derived = sorted(r.arr for r in sensor_from_events(ev).where(F.col("id") == value).collect())
+    assert pushed == derived
+    assert sorted({u for u in [0, 6, 60, -3, 6] if u in matches}) == sorted(set(matches))
