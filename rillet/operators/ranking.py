@@ -49,21 +49,10 @@ def sliding_top_n(df: DataFrame, key: str, ts: str, size: str, slide: str, n: in
     10 min / 5 s windows: 11.5 s against 19-20 s for aggregate-then-rank with
     a partial WindowGroupLimit.
     """
-    import math
+    from rillet.operators.windows import _from_us, _ts_type, pane_window_ends
 
-    from rillet.operators.windows import _from_us, _ts_type, duration_us, spread_before_expansion
-
-    size_us, slide_us = duration_us(size), duration_us(slide)
-    pane_us = math.gcd(size_us, slide_us)
     like = _ts_type(df, ts)
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    panes = (df.groupBy(key, (F.floor(us / pane_us) * pane_us).alias("_pane"))
-               .agg(F.count(F.lit(1)).alias("_n")))
-    panes = spread_before_expansion(panes, size_us // slide_us)
-    first_end = F.ceil((F.col("_pane") + pane_us) / slide_us) * slide_us
-    last_end = F.floor((F.col("_pane") + size_us) / slide_us) * slide_us
-    ends = panes.select(key, "_n", F.explode(F.sequence(first_end, last_end, F.lit(slide_us)))
-                        .alias("_end"))
+    ends = pane_window_ends(df, [key], ts, size, slide)
     counts = ends.repartition("_end").groupBy(key, "_end").agg(F.sum("_n").alias(name))
     w = Window.partitionBy("_end").orderBy(F.desc(name), F.asc(key))
     ranked = counts.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)

@@ -67,18 +67,15 @@ def spread_before_expansion(df: DataFrame, factor: int) -> DataFrame:
     return df.repartition(n)
 
 
-def hop_count_panes(df: DataFrame, keys, ts: str, size: str, slide: str,
-                    name: str = "cnt") -> DataFrame:
-    """Sliding count by pane pre-aggregation.
+def pane_window_ends(df: DataFrame, keys, ts: str, size: str, slide: str) -> DataFrame:
+    """(keys..., _n, _end): per-(key, pane) counts expanded to the sliding
+    windows containing each pane, pane = gcd(size, slide), ends in epoch us.
 
-    Rows are first counted per (key, pane) with pane = gcd(size, slide); only
-    the pane counts are expanded into the size/slide windows that contain
-    them.  When many rows share a (key, pane) this shrinks the expansion from
-    rows x windows to panes x windows.  Same result as :func:`hop` with a count.
+    The counts come from a partial aggregation, are spread over the shuffle
+    partitions, and only then expanded, so raw rows are never multiplied.
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
     pane_us = math.gcd(size_us, slide_us)
-    like = _ts_type(df, ts)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     panes = (df.groupBy(*keys, (F.floor(us / pane_us) * pane_us).alias("_pane"))
                .agg(F.count(F.lit(1)).alias("_n")))
@@ -86,8 +83,20 @@ def hop_count_panes(df: DataFrame, keys, ts: str, size: str, slide: str,
     # Window ends e (multiples of slide) with e - size <= pane and pane + pane_us <= e.
     first_end = F.ceil((F.col("_pane") + pane_us) / slide_us) * slide_us
     last_end = F.floor((F.col("_pane") + size_us) / slide_us) * slide_us
-    ends = panes.select(*keys, "_n", F.explode(F.sequence(first_end, last_end, F.lit(slide_us)))
+    return panes.select(*keys, "_n", F.explode(F.sequence(first_end, last_end, F.lit(slide_us)))
                         .alias("_end"))
+
+
+def hop_count_panes(df: DataFrame, keys, ts: str, size: str, slide: str,
+                    name: str = "cnt") -> DataFrame:
+    """Sliding count by pane pre-aggregation (see :func:`pane_window_ends`).
+
+    When many rows share a (key, pane) this shrinks the expansion from
+    rows x windows to panes x windows.  Same result as :func:`hop` with a count.
+    """
+    size_us = duration_us(size)
+    like = _ts_type(df, ts)
+    ends = pane_window_ends(df, keys, ts, size, slide)
     return (ends.groupBy(*keys, "_end").agg(F.sum("_n").alias(name))
                 .select(*keys, _from_us(F.col("_end") - size_us, like).alias("window_start"),
                         _from_us(F.col("_end"), like).alias("window_end"), name))
