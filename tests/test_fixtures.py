@@ -277,3 +277,17 @@ def test_sensor_id_predicate_is_exact(spark, value, matches):
     derived = sorted(r.arr for r in sensor_from_events(ev).where(F.col("id") == value).collect())
     assert pushed == derived
     assert sorted({u for u in [0, 6, 60, -3, 6] if u in matches}) == sorted(set(matches))
+
+
+def test_hot_pages_method_and_asset_filters(spark):
+    from rillet.plans import jobs
+    rows = [("10.0.0.1", "u1", dt.datetime(2015, 5, 17, 10, 5, 3), "GET", "/blog/post.html"),
+            ("10.0.0.2", "u2", dt.datetime(2015, 5, 17, 10, 5, 4), "GET", "/style.css"),
+            ("10.0.0.3", "u3", dt.datetime(2015, 5, 17, 10, 5, 5), "POST", "/blog/post.html"),
+            ("10.0.0.4", "u4", dt.datetime(2015, 5, 17, 10, 5, 6), "GET", "/index.html")]
+    log = spark.createDataFrame(rows, "ip string, user_id string, ts timestamp_ntz, method string, url string")
+    window_end = dt.datetime(2015, 5, 17, 10, 5, 10)
+    all_methods = {(r.url, r.cnt, r.rn) for r in jobs.hot_pages(log).where(F.col("window_end") == window_end).collect()}
+    assert all_methods == {("/blog/post.html", 2, 1), ("/index.html", 1, 2)}
+    gets = {(r.url, r.cnt) for r in jobs.hot_pages(log, method="GET").where(F.col("window_end") == window_end).collect()}
+    assert gets == {("/blog/post.html", 1), ("/index.html", 1)}
