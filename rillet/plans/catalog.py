@@ -504,6 +504,11 @@ def q_hot_items_sql(spark, d):
     return jobs.hot_items_sql(_behavior(spark, d))
 
 
+@query("hot_items_sql_panes", TOP_ITEMS)
+def q_hot_items_sql_panes(spark, d):
+    return jobs.hot_items_sql_panes(_behavior(spark, d))
+
+
 @query("hot_pages_topn", _with(ACCESS, "agg AS (" + HOP_PAGES + ")") +
        "SELECT url, window_end, cnt, rn FROM (SELECT url, window_end, cnt, "
        "CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS rn "
