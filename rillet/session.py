@@ -42,19 +42,30 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_session_conf(spark: SparkSession) -> None:
     """Set the SQL settings on an existing session (the driver builds its own)."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql.") and k != "spark.sql.streaming.stateStore.providerClass":
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static or locked setting
-                pass
+        if spark.conf.isModifiable(k) and k != "spark.sql.streaming.stateStore.providerClass":
+            spark.conf.set(k, v)
+    show_package_to_workers(spark)
+
+
+def show_package_to_workers(spark: SparkSession) -> None:
+    """Put this checkout on the Python workers' path.
+
+    Enough where executors see the same disk; a cluster ships the package
+    with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    path = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in path:
+        env["PYTHONPATH"] = os.pathsep.join([*path, root])
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be visible to every
-    executor.  Only when it is unset (unit tests, local runs) do we create a
-    private one.
+    executor; without it a job that writes intermediate tables is refused.
+    Only a local master (unit tests, trial runs) gets a private folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +74,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="rillet-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -91,3 +104,9 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more."""
+    fs, p = _hadoop_fs(spark, path)
+    fs.delete(p, True)
