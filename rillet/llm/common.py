@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +36,14 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     The lineage ends here: a later loss of executors re-reads files instead of
     repeating the work, and two readers see the same rows.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_path = path
     return out
@@ -57,7 +58,7 @@ def drop_written(*tables: DataFrame) -> None:
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``most_bytes`` of ``column`` (one row at least)."""
     size, begin = 0, 0
-    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     for i, n in enumerate(lengths):
         if size and size + n > most_bytes:
             yield batch.slice(begin, i - begin)

@@ -9,13 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import simhash
+from rillet.llm import simhash, substring
 from rillet.llm.common import prepare, table
 
+#: Words of a repeated passage.
+WINDOW_WORDS = 50
 #: SimHash near-duplicates: words of a shingle, largest bit distance.
 SHINGLE_WORDS, MAX_BITS = 3, 2
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words kept after removal of 50-word windows that an earlier document has."""
+    prepare(spark)
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"), WINDOW_WORDS)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     prepare(spark)
@@ -24,6 +33,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_substring": op6_substring,
     "op8_simhash": op8_simhash,
 }
 
