@@ -9,15 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import simhash, substring
+from rillet.llm import packing, simhash, substring, token_files
 from rillet.llm.common import prepare, table
+from rillet.llm.encode import default_tokenizer
+from rillet.session import scratch_path
 
+#: Id that ends a document in token files and in packed sequences.
+FILE_END, PACK_END = 0, 1
+#: Ids of a packed sequence.
+SEQUENCE = 2048
 #: Words of a repeated passage.
 WINDOW_WORDS = 50
 #: SimHash near-duplicates: words of a shingle, largest bit distance.
 SHINGLE_WORDS, MAX_BITS = 3, 2
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written to Arrow stream files and read back from them."""
+    prepare(spark)
+    manifest = token_files.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"),
+                                        default_tokenizer(), FILE_END)
+    return token_files.read_documents(manifest)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 ids along a Hilbert curve."""
+    prepare(spark)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), default_tokenizer(), PACK_END, SEQUENCE)
+    return pieces.drop("ids")
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words kept after removal of 50-word windows that an earlier document has."""
     prepare(spark)
@@ -33,6 +54,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_files": op3_token_files,
+    "op4_packing": op4_packing,
     "op6_substring": op6_substring,
     "op8_simhash": op8_simhash,
 }
