@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import packing, simhash, substring, token_files
+from rillet.llm import edit_fingerprint, packing, simhash, substring, token_files
 from rillet.llm.common import prepare, table
 from rillet.llm.encode import default_tokenizer
 from rillet.session import scratch_path
@@ -53,7 +53,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edit-embedding fingerprints against an edited text and the next document."""
+    prepare(spark)
+    return edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op9_edit_fingerprint": op9_edit_fingerprint,
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
     "op6_substring": op6_substring,
