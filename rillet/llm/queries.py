@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import edit_fingerprint, packing, simhash, substring, token_files
+from rillet.llm import edit_fingerprint, lines, mixing, packing, simhash, substring, token_files
 from rillet.llm.common import prepare, table
 from rillet.llm.encode import default_tokenizer
 from rillet.session import scratch_path
@@ -18,6 +18,8 @@ from rillet.session import scratch_path
 FILE_END, PACK_END = 0, 1
 #: Ids of a packed sequence.
 SEQUENCE = 2048
+#: Seed of the order in which a source's documents are taken.
+MIX_SEED = 11
 #: Words of a repeated passage.
 WINDOW_WORDS = 50
 #: SimHash near-duplicates: words of a shingle, largest bit distance.
@@ -39,6 +41,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources at weights 5, 2, 1 takes of every document."""
+    prepare(spark)
+    return mixing.mix_report(table(spark, sf_dir, "documents"), mixing.WEIGHTS, mixing.MOST, MIX_SEED)
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words kept after removal of 50-word windows that an earlier document has."""
     prepare(spark)
@@ -46,6 +54,13 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept after removal of chunks of lines that an earlier document has."""
+    prepare(spark)
+    kept = lines.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     prepare(spark)
@@ -63,8 +78,81 @@ QUERIES = {
     "op9_edit_fingerprint": op9_edit_fingerprint,
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
+    "op5_mixing": op5_mixing,
     "op6_substring": op6_substring,
+    "op7_lines": op7_lines,
     "op8_simhash": op8_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP5_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, source, md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS h,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         ([5, 2, 1])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM sized GROUP BY source),
+capped AS (  -- ascending in the level at which a source reaches its cap
+  SELECT *, 3 * source_size AS cap,
+         sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER below, 0) AS free_size,
+         sum(weight) OVER () - coalesce(sum(weight) OVER below, 0) AS free_weight
+  FROM sources
+  WINDOW below AS (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+  SELECT free_size::DOUBLE / free_weight::DOUBLE AS level FROM capped
+  WHERE cap >= weight * (free_size::DOUBLE / free_weight::DOUBLE)
+  ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST LIMIT 1),
+targets AS (
+  SELECT source, source_size, least(weight * level, cap::DOUBLE) AS target FROM capped, level),
+shares AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
+running AS (
+  SELECT d.*, t.source_size, t.target, t.whole, t.target - t.whole * t.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h ROWS UNBOUNDED PRECEDING) AS upto
+  FROM sized d JOIN shares t ON d.source IS NOT DISTINCT FROM t.source),
+remainder AS (
+  SELECT *, rest - coalesce(sum(CASE WHEN upto <= rest THEN size END) OVER (PARTITION BY source), 0) AS remains
+  FROM running),
+nearest AS (
+  SELECT *, row_number() OVER (PARTITION BY source, upto > rest AND size > 0
+                               ORDER BY abs(remains - size), h) AS nth
+  FROM remainder)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN upto <= rest THEN 1
+                             WHEN size > 0 AND nth = 1 AND abs(remains - size) < remains THEN 1
+                             ELSE 0 END))::BIGINT AS taken
+FROM nearest
+"""
+
+_OP7_SQL = """
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT doc_id, len(lines) AS n, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM split),
+hashed AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM line),
+hit AS (
+  SELECT *, (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 3 = 0 AS hit FROM hashed),
+boundary AS (
+  SELECT *, hit AND i >= 1 AND i <= n - 3
+            AND NOT lag(hit) OVER (PARTITION BY doc_id ORDER BY i) AS ends FROM hit),
+numbered AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM boundary),
+chunk AS (
+  SELECT doc_id, k, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY ALL),
+first AS (
+  SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, k) AS nth FROM chunk),
+kept AS (
+  SELECT *, nth = 1 OR n = 1 OR NOT regexp_matches(chunk, '[^\x20\x09-\x0D]') AS keep FROM first)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(CASE WHEN NOT keep THEN n END), 0)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(CASE WHEN keep THEN chunk END, chr(10) ORDER BY k), '')) AS kept_sha256
+FROM kept GROUP BY doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_mixing": _OP5_SQL,
+    "op7_lines": _OP7_SQL,
+}
