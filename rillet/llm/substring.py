@@ -32,9 +32,9 @@ from rillet.llm.words import Words, mix, window_hashes, window_minima, words_of
 #: Windows of one packed string at most, so that they fit a 64-bit mask.
 MOST_WINDOWS = 64
 #: Bytes of text handled at once in a task; a longer text is handled alone.
-SLICE = 1 << 21
+SLICE = 1 << 19
 #: Bytes of packed strings sorted at once (whole buckets).
-CHUNK = 1 << 23
+CHUNK = 1 << 20
 FREQUENT = np.uint64(1 << 63)
 
 
@@ -47,7 +47,7 @@ def _key(docs: DataFrame) -> DataFrame:
 def frequent_mmers(docs: DataFrame, mmer: int = 8, share: int = 100_000, least: int = 100) -> np.ndarray:
     """Hashes of m-mers that make up about 1/``share`` of all, ``share`` of them at most.
 
-    A slice of text reports what it holds four times or more, so the sums are
+    A slice of text reports what it holds three times or more, so the sums are
     lower bounds; sums of all slices count.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +57,7 @@ def frequent_mmers(docs: DataFrame, mmer: int = 8, share: int = 100_000, least:
                 h.sort()
                 begin = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))[:len(h)])
                 n = np.diff(np.append(begin, len(h)))
-                often = n >= 4
+                often = n >= 3
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.append(h[begin[often]], np.uint64(0)).view(np.int64)),
                      pa.array(np.append(n[often], 0)),

@@ -60,7 +60,9 @@ def words_of(texts: list[bytes]) -> Words:
     if not len(raw):
         return Words(data, begin, first, np.zeros(0, dtype=np.uint64))
     lengths = np.diff(begin)
-    place = np.arange(len(raw), dtype=np.int64) - np.repeat(begin[:-1], lengths)
+    small = np.int32 if len(raw) < 1 << 31 else np.int64
+    place = np.arange(len(raw), dtype=small)
+    place -= np.repeat(begin[:-1].astype(small), lengths)
     terms = _in_word_powers(int(lengths.max()))[place]
     terms *= raw  # the closing space takes part, and so does the length
     return Words(data, begin, first, mix(np.add.reduceat(terms, begin[:-1])))
