@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import edit_fingerprint, lines, mixing, packing, simhash, substring, token_files
+from rillet.llm import (edit_fingerprint, lines, mixing, packing, quality, sharding, simhash, substring,
+                        token_files)
 from rillet.llm.common import prepare, table
 from rillet.llm.encode import default_tokenizer
 from rillet.session import scratch_path
@@ -20,12 +21,22 @@ FILE_END, PACK_END = 0, 1
 SEQUENCE = 2048
 #: Seed of the order in which a source's documents are taken.
 MIX_SEED = 11
+#: Shards of the corpus.
+SHARDS = 24
 #: Words of a repeated passage.
 WINDOW_WORDS = 50
 #: SimHash near-duplicates: words of a shingle, largest bit distance.
 SHINGLE_WORDS, MAX_BITS = 3, 2
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a model fitted on rows that are not held out."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_on(docs, table(spark, sf_dir, "labels"), quality.MOST_ROWS)
+    return quality.score_documents(docs, model, quality.THRESHOLD)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written to Arrow stream files and read back from them."""
     prepare(spark)
@@ -74,14 +85,24 @@ def op9_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of nearly equal bytes (and tokens and rows)."""
+    prepare(spark)
+    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
 QUERIES = {
-    "op9_edit_fingerprint": op9_edit_fingerprint,
+    "op1_quality": op1_quality,
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_substring": op6_substring,
     "op7_lines": op7_lines,
     "op8_simhash": op8_simhash,
+    "op9_edit_fingerprint": op9_edit_fingerprint,
+    "op10_sharding": op10_sharding,
 }
 
 _OP5_SQL = f"""
