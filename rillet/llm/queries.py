@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import (edit_fingerprint, lines, mixing, packing, quality, sharding, simhash, substring,
+from rillet.llm import (ann, edit_fingerprint, lines, mixing, packing, quality, sharding, simhash, substring,
                         token_files)
 from rillet.llm.common import prepare, table
 from rillet.llm.encode import default_tokenizer
@@ -21,6 +21,8 @@ FILE_END, PACK_END = 0, 1
 SEQUENCE = 2048
 #: Seed of the order in which a source's documents are taken.
 MIX_SEED = 11
+#: Nearest vectors of a query.
+NEAREST = 5
 #: Shards of the corpus.
 SHARDS = 24
 #: Words of a repeated passage.
@@ -37,6 +39,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model, quality.THRESHOLD)
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for every vector whose id is divisible by 50."""
+    prepare(spark)
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, NEAREST)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written to Arrow stream files and read back from them."""
     prepare(spark)
@@ -95,6 +103,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_ann": op2_ann,
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
