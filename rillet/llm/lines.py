@@ -29,10 +29,11 @@ def _then(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(one))
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), n_lines and ``chunks``: the text's lines, joined
-    chunk by chunk.  Chunks have two lines at least, unless the text has one."""
-    df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def chunked(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, th (hash of the text), n_lines, ``chunks`` (the text's lines, joined chunk
+    by chunk) and ``more``.  Chunks have two lines at least, unless the text has one."""
+    df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
+    names = df.columns[2:]
     df = _then(df, th=F.xxhash64("text"), lines=F.split("text", "\n")).drop("text")
     df = _then(df, hashes=F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")))
     shifted = F.concat(F.array(F.lit(0).cast("long")), F.slice("hashes", 1, F.size("lines") - 1))
@@ -48,7 +49,8 @@ def chunked(docs: DataFrame) -> DataFrame:
     df = _then(df, begin=F.concat(F.array(F.lit(0)), F.transform("inner", lambda e: e + 1)),
                end=F.concat("inner", F.array("last")))
     chunks = F.zip_with("begin", "end", lambda b, e: F.array_join(F.slice("lines", b + 1, e - b + 1), "\n"))
-    return _then(df, chunks=chunks).select("doc_id", "th", (F.col("last") + 1).cast("long").alias("n_lines"), "chunks")
+    return _then(df, chunks=chunks).select("doc_id", "th", (F.col("last") + 1).cast("long").alias("n_lines"), "chunks",
+                                           *names)
 
 
 def _repeatable(chunk: Column) -> Column:
@@ -76,6 +78,14 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return found
 
 
+def _kept(docs: DataFrame, *more: Column) -> DataFrame:
+    """Chunked documents with ``kept``, the chunks that stay."""
+    gone = repeated_chunks(docs).groupBy(*KEY).agg(F.collect_set("k").alias("gone"))
+    df = chunked(docs, *more).join(gone, KEY, "left")
+    df = df.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+    return _then(df, kept=F.filter("chunks", lambda c, k: ~F.array_contains("gone", k)))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed (lines), text (the lines kept).
 
@@ -86,9 +96,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     line or of white space stay; an empty table gives none; other columns are
     not looked at.
     """
-    gone = repeated_chunks(docs).groupBy(*KEY).agg(F.collect_set("k").alias("gone"))
-    df = chunked(docs).join(gone, KEY, "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
-    df = _then(df, kept=F.filter("chunks", lambda c, k: ~F.array_contains("gone", k)))
     lines = F.aggregate("kept", F.lit(0).cast("long"), lambda n, c: n + F.size(F.split(c, "\n")))
-    return df.select("doc_id", "n_lines", (F.col("n_lines") - lines).alias("n_removed"),
-                     F.array_join("kept", "\n").alias("text"))
+    return _kept(docs).select("doc_id", "n_lines", (F.col("n_lines") - lines).alias("n_removed"),
+                              F.array_join("kept", "\n").alias("text"))
+
+
+def rewritten(docs: DataFrame, length: str | None = "n_chars") -> DataFrame:
+    """``docs`` with texts as :func:`remove_repeats` leaves them, all other columns kept
+    (``length``, if there, is the new text's).  A document of which nothing stays is
+    dropped; one that was null or empty before stays as it was."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    df = _kept(docs, row).filter(F.size("kept") > 0)
+    text = F.when(F.size("gone") > 0, F.array_join("kept", "\n")).otherwise(F.col("row.text"))
+    df = _then(df, new=text)
+    new = {"text": F.col("new")}
+    if length in docs.columns:
+        new[length] = F.when(F.size("gone") > 0, F.length("new")).otherwise(F.col("row").getField(length)).cast(
+            docs.schema[length].dataType)
+    return df.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.llm.common import text_bytes, texts_of, written
@@ -54,14 +54,16 @@ def fingerprint(text: bytes, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each document as a signed long."""
+    """(doc_id, th, fp): hash of the text and its fingerprint, as signed longs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t, width) for t in text_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.array(fps, dtype="<u8").view("<i8"))], ["doc_id", "fp"])
+                [b.column("doc_id"), b.column("th"), pa.array(np.array(fps, dtype="<u8").view("<i8"))],
+                ["doc_id", "th", "fp"])
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, fp long")
+    keyed = texts_of(docs).select("doc_id", "text", F.xxhash64("text").alias("th"))
+    return keyed.mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def _bit(i: Column) -> Column:
@@ -105,13 +107,14 @@ def near_links(fps: DataFrame, distance: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
-    """One row per document: doc_id, fp (signed long), component_id.
+    """One row per document: doc_id, th, fp (signed longs), component_id, label.
 
     component_id is the smallest doc_id reachable over links, the document's
-    own included (nulls count only where a whole component has no id).  A null
-    text counts as empty; texts without words share fingerprint zero and are
-    linked like any other.  Repeated rows give a row each; an empty table gives
-    none; columns other than doc_id and text are not looked at.
+    own included (nulls count only where a whole component has no id); label
+    names the component by its least fingerprint.  A null text counts as empty;
+    texts without words share fingerprint zero and are linked like any other.
+    Repeated rows give a row each; an empty table gives none; columns other
+    than doc_id and text are not looked at.
     """
     fps = written(fingerprints(docs, width), "fingerprints")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
@@ -119,8 +122,26 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2) -> DataF
     labelled = written(classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
                        .select("fp", "least", F.coalesce("label", "fp").alias("label")), "classes")
     lowest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_fp = labelled.join(lowest, "label").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = labelled.join(lowest, "label").select("fp", "component_id", "label")
+    return fps.join(by_fp, "fp").select("doc_id", "th", "fp", "component_id", "label")
+
+
+def one_of_each(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
+    """The rows of ``docs``, all columns, of one document per component: the one with
+    the smallest doc_id (a row without doc_id only where none has one; of rows that
+    share it, the one with the least hash of its text; of equal rows, one)."""
+    found = near_duplicates(docs, width, distance)
+    own = found.groupBy("label", "doc_id", "th").agg(F.count("*").alias("copies"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "copies")).alias("k")
+    kept = written(own.groupBy("label").agg(least).select(
+        F.xxhash64("k.doc_id", "k.no_id").alias("_id"), F.col("k.th").alias("_th"), "k.copies"), "kept")
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                        F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull()).alias("_id"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th")).join(kept, ["_id", "_th"])
+    if not kept.filter("copies > 1").isEmpty():  # equal rows: number them, which sorts the texts
+        first = Window.partitionBy("_id", "_th").orderBy(F.lit(0))
+        keyed = keyed.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+    return keyed.select("row.*")
 
 
 def hex_of(fp: Column) -> Column:
