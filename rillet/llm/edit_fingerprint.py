@@ -168,8 +168,9 @@ def likeness(a: str, b: str) -> float:
 
 @functools.cache
 def _bands(top: int) -> np.ndarray:
+    """Samples of each band, from the octaves that a text of octave ``top`` fills."""
     rng = np.random.default_rng([SEED, 7, top])
-    return rng.integers(0, len(sample_steps(top)), (BANDS, BAND_DIGITS))
+    return rng.integers(0, len(sample_steps(top)) - _drawn(top, top), (BANDS, BAND_DIGITS))
 
 
 def band_keys(fp: str) -> list[str]:
@@ -182,7 +183,7 @@ def band_keys(fp: str) -> list[str]:
     out = []
     for t, d in ((top, digits), (top + 1, higher)):
         out += [f"{t:02x}{k:02x}{band.tobytes().decode('ascii')}" for k, band in enumerate(d[_bands(t)])
-                if (band != PAD).any()]
+                if (band != PAD).all()]
     return out
 
 
