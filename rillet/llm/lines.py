@@ -66,7 +66,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     places = written(at.select(*KEY, "k", F.xxhash64("chunk").alias("ch")), "chunks")
     twice = places.groupBy("ch").agg(F.count("*").alias("n")).filter("n > 1").select("ch")
     wanted = places.join(twice, "ch").groupBy(*KEY).agg(F.collect_set("k").alias("ks"))
-    texts = _then(named.join(wanted, KEY), pairs=F.arrays_zip(
+    # Merge joins: neither side has a bound that would allow a broadcast.
+    texts = _then(named.join(wanted.hint("merge"), KEY), pairs=F.arrays_zip(
         F.transform("ks", lambda k: k).alias("k"), F.transform("ks", lambda k: F.get("chunks", k)).alias("chunk")))
     texts = texts.select(*KEY, F.inline("pairs").alias("k", "chunk")).withColumn("ch", F.xxhash64("chunk"))
     again = F.row_number().over(Window.partitionBy(*KEY, "ch", "chunk").orderBy("k")) > 1
@@ -81,7 +82,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 def _kept(docs: DataFrame, *more: Column) -> DataFrame:
     """Chunked documents with ``kept``, the chunks that stay."""
     gone = repeated_chunks(docs).groupBy(*KEY).agg(F.collect_set("k").alias("gone"))
-    df = chunked(docs, *more).join(gone, KEY, "left")
+    df = chunked(docs, *more).join(gone.hint("merge"), KEY, "left")
     df = df.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     return _then(df, kept=F.filter("chunks", lambda c, k: ~F.array_contains("gone", k)))
 

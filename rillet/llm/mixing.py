@@ -132,6 +132,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: int =
     All columns of ``docs`` are kept as they are.
     """
     chosen = plan(docs, weights, most, seed).filter("copies > 0").select(*UNIT, "copies")
-    rows = _keyed(docs, seed, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).join(chosen, UNIT)
+    rows = _keyed(docs, seed, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.join(chosen.hint("merge"), UNIT)  # no bound that would allow a broadcast
     repeated = rows.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("nth"))
     return repeated.select("row.*")

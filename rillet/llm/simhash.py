@@ -137,7 +137,8 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame
         F.xxhash64("k.doc_id", "k.no_id").alias("_id"), F.col("k.th").alias("_th"), "k.copies"), "kept")
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                         F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull()).alias("_id"),
-                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th")).join(kept, ["_id", "_th"])
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th"))
+    keyed = keyed.join(kept.hint("merge"), ["_id", "_th"])  # no bound that would allow a broadcast
     if not kept.filter("copies > 1").isEmpty():  # equal rows: number them, which sorts the texts
         first = Window.partitionBy("_id", "_th").orderBy(F.lit(0))
         keyed = keyed.withColumn("nth", F.row_number().over(first)).filter("nth = 1")

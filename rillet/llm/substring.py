@@ -134,7 +134,8 @@ def _pack(docs: DataFrame, spans: DataFrame, width: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([x.slice(i, 5000) for x in out],
                                                      ["doc_id", "th", "start", "n", "mini", "digest", "packed"])
 
-    return _key(docs).join(per_doc, ["doc_id", "th"]).mapInArrow(
+    # A merge join: neither side has a bound that would allow a broadcast.
+    return _key(docs).join(per_doc.hint("merge"), ["doc_id", "th"]).mapInArrow(
         run, "doc_id long, th long, start int, n int, mini long, digest binary, packed binary")
 
 
@@ -261,7 +262,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, mmer: int = 8) -> DataFrame
                     [part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                      pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "text"])
 
-    return _key(docs).join(marks, ["doc_id", "th"], "left").mapInArrow(
+    return _key(docs).join(marks.hint("merge"), ["doc_id", "th"], "left").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, text string")
 
 
