@@ -53,11 +53,26 @@ def java_split_sql(expr: str, sep: str) -> str:
             f"ELSE split(regexp_replace({expr}, '(?:{s})+\\\\z', ''), '{s}', -1) END")
 
 
+def utf16_length(c) -> Column:
+    """``String.length()``: UTF-16 units, so a character beyond U+FFFF counts twice."""
+    c = _col(c)
+    return F.length(c) + F.length(F.regexp_replace(c, "[\\x00-\\x{FFFF}]", ""))
+
+
 def _fold_hash(c: Column, seed: int, mask: int) -> Column:
-    # Masking after every step keeps the accumulator below 2^37, so ANSI
-    # overflow checks never fire, and equals masking once at the end.
-    return F.aggregate(F.split(c, ""), F.lit(0).cast("bigint"),
-                       lambda h, ch: (h * seed + F.ascii(ch)).bitwiseAND(F.lit(mask)))
+    """``h = h*seed + unit`` over the string's UTF-16 units, reduced by ``mask``.
+
+    A character beyond U+FFFF adds its two surrogates.  Masking after every
+    step keeps the accumulator below 2^37, so ANSI overflow checks never fire,
+    and equals masking once at the end.
+    """
+    def step(h: Column, ch: Column) -> Column:
+        code = F.ascii(ch)
+        high, low = F.shiftright(code - 0x10000, 10) + 0xD800, (code - 0x10000).bitwiseAND(F.lit(0x3FF)) + 0xDC00
+        first = (h * seed + F.when(code < 0x10000, code).otherwise(high)).bitwiseAND(F.lit(mask))
+        return F.when(code < 0x10000, first).otherwise((first * seed + low).bitwiseAND(F.lit(mask)))
+
+    return F.aggregate(F.split(c, ""), F.lit(0).cast("bigint"), step)
 
 
 def poly_hash(c, seed: int = POLY_SEED, cap: int = POLY_CAP) -> Column:
@@ -90,7 +105,7 @@ def poly_hash_of_integer(name: str, seed: int = POLY_SEED, cap: int = POLY_CAP)
 
 
 def java_string_hash(c) -> Column:
-    """``String.hashCode()`` as a signed 32-bit int (UTF-16 units equal code points for BMP text)."""
+    """``String.hashCode()`` as a signed 32-bit int, over UTF-16 units."""
     u = _fold_hash(_col(c), JAVA_HASH_SEED, 0xFFFFFFFF)
     return _to_int32(u)
 
@@ -116,11 +131,17 @@ def asset_url(c, suffixes=ASSET_SUFFIXES) -> Column:
 
 def register_sql_functions(spark: SparkSession, hash_factor: int = 23) -> None:
     """Register SQL scalar functions; they are inlined, so they stay native."""
+    def fold(seed: int, mask: int) -> str:
+        first = (f"((a * {seed} + IF(ascii(c) < 65536, ascii(c), shiftright(ascii(c) - 65536, 10) + 55296)) "
+                 f"& {mask}L)")
+        return (f"(a, c) -> IF(ascii(c) < 65536, {first}, "
+                f"({first} * {seed} + ((ascii(c) - 65536) & 1023) + 56320) & {mask}L)")
+
     u = f"((a * {hash_factor}) & 4294967295L)"
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION hash_code(s STRING) RETURNS INT RETURN "
-        "aggregate(split(s, ''), 0L, (a, c) -> (a * 31 + ascii(c)) & 4294967295L, "
+        f"aggregate(split(s, ''), 0L, {fold(JAVA_HASH_SEED, 0xFFFFFFFF)}, "
         f"a -> CAST({u} - shiftright({u}, 31) * 4294967296L AS INT))")
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION poly_offset(s STRING) RETURNS BIGINT RETURN "
-        f"aggregate(split(s, ''), 0L, (a, c) -> (a * {POLY_SEED} + ascii(c)) & {POLY_CAP - 1}L)")
+        f"aggregate(split(s, ''), 0L, {fold(POLY_SEED, POLY_CAP - 1)})")

@@ -7,6 +7,7 @@ SQL-level compatibility (``LATERAL split_udtf(id)``).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +21,26 @@ def split_pieces(df: DataFrame, c: str, sep: str = "_", word: str = "word",
               .withColumn(length, F.length(word)))
 
 
-def avg_temp(c, sum_type: str | None = None) -> Column:
-    """Aggregate (sum, count) -> mean; partial-aggregates like the built-in avg.
-    ``sum_type`` (e.g. ``decimal(38,4)``) makes the sum exact."""
+def avg_temp(c) -> Column:
+    """Aggregate (sum, count) -> mean; partial-aggregates like the built-in avg."""
     c = F.col(c) if isinstance(c, str) else c
-    s = F.sum(c.cast(sum_type)) if sum_type else F.sum(c)
-    return s.cast("double") / F.count(c)
+    return F.sum(c).cast("double") / F.count(c)
+
+
+def register_avg_temp(spark: SparkSession) -> None:
+    """Register ``avg_temp(values)`` for SQL: the mean of a collected group, as a
+    Python grouped-aggregate function.  It sees a whole group at once, so it is
+    for groups of moderate size; SQL over large groups uses :func:`avg_temp_sql`."""
+    @F.pandas_udf("double")
+    def avg_temp_udaf(v: pd.Series) -> float:
+        return float(v.mean())
+
+    spark.udf.register("avg_temp", avg_temp_udaf)
+
+
+def avg_temp_sql(expr: str) -> str:
+    """The native aggregate as SQL text; partial-aggregates before the shuffle."""
+    return f"(CAST(sum({expr}) AS DOUBLE) / count({expr}))"
 
 
 def register_split_udtf(spark: SparkSession, sep: str = "_") -> None:

@@ -27,18 +27,19 @@ def uv_bitmap(df: DataFrame, ts: str, user: str, size: str = "1 hour",
               label: str = "uv") -> DataFrame:
     """Visitors per tumbling window counted as set bits of a 2^29-bit bitmap.
 
-    The bitmap is split into 32768-bit buckets: each (window, bucket) builds
-    its bitmap with a partial aggregate, so no window's bitmap ever has to be
-    assembled in one place; the per-bucket bit counts are then summed.  Two
-    users with the same offset count once, as with any single-hash bitmap.
+    A window's bitmap is 64-bit words summed up with ``bit_or`` per (window,
+    word): a hash aggregate with map-side partial sums, so no raw row is sorted
+    and no window's bitmap is assembled in one place; the words' bit counts are
+    then summed.  Two users with the same offset count once, as with any
+    single-hash bitmap.
     """
     off = user_offset(df, user)
-    per_bucket = (df.select(F.window(ts, size).end.alias("window_end"),
-                            F.bitmap_bucket_number(off).alias("bucket"),
-                            F.bitmap_bit_position(off).alias("pos"))
-                    .groupBy("window_end", "bucket")
-                    .agg(F.bitmap_count(F.bitmap_construct_agg("pos")).alias("bits")))
-    return (per_bucket.groupBy("window_end").agg(F.sum("bits").alias("cnt"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("off").bitwiseAND(F.lit(63)).cast("int"))
+    per_word = (df.select(F.window(ts, size).end.alias("window_end"), off.alias("off"))
+                  .groupBy("window_end", F.shiftright("off", 6).alias("word"))
+                  .agg(F.bit_or(bit).alias("bits"))
+                  .select("window_end", F.bit_count("bits").cast("bigint").alias("bits")))
+    return (per_word.groupBy("window_end").agg(F.sum("bits").alias("cnt"))
                       .select(F.lit(label).alias("label"), "window_end", "cnt"))
 
 

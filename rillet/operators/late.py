@@ -27,9 +27,9 @@ def arrival_chunk(df: DataFrame, arrival: str) -> Column:
 
     A timestamp arrival column is cut into one-minute chunks; a microsecond
     epoch column (name ending in ``_us``) likewise; any other numeric arrival
-    sequence into runs of 2^20.  Each chunk is one task's window, so at
-    100 TB over 30 days a minute is ~2 GB; the per-chunk totals (one row per
-    chunk) are what the single-partition prefix step sees.
+    sequence into runs of 2^20.  Each chunk is one task's window, sorted with
+    spilling; a minute of 100 TB over 30 days is ~2 GB on average and a burst
+    more.  Totals, one row per chunk, are combined in two levels.
     """
     dtype = dict(df.dtypes)[arrival]
     if dtype.startswith("timestamp"):
@@ -52,18 +52,21 @@ def running_watermark(df: DataFrame, ts: str, arrival: list, bound: str,
     if chunk is None:
         chunk = arrival_chunk(d, arrival[0])
     d = keyed_scan(d, [], [F.col(a) for a in arrival], chunk,
-                   running={"_maxb": ("max", F.col("_ts_us"))}, exclusive=True)
+                   running={"_maxb": ("max", F.col("_ts_us"))}, exclusive=True, fan=1024)
     return d.withColumn(name, F.col("_maxb") - F.lit(bound_us)).drop("_maxb", "_ts_us")
 
 
 def classify_lateness(df: DataFrame, ts: str, arrival: list, size: str, bound: str,
                       lateness: str = "0 seconds", chunk: Column | None = None,
-                      status: str = "status") -> DataFrame:
-    """Tag rows on_time / late_accepted / late for tumbling windows of ``size``."""
+                      status: str = "status", slide: str | None = None) -> DataFrame:
+    """Tag rows on_time / late_accepted / late for windows of ``size``, tumbling or
+    moving by ``slide``.  A row of sliding windows is judged by the last one that
+    holds it: it is late only when that one is past."""
     size_us, late_us = duration_us(size), duration_us(lateness)
+    slide_us = duration_us(slide) if slide else size_us
     d = running_watermark(df, ts, arrival, bound, chunk)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    end = (F.floor(us / size_us) + 1) * size_us
+    end = F.floor(us / slide_us) * slide_us + size_us
     d = d.withColumn("_end_us", end)
     wm, max_ts = F.col("wm_us"), F.col("_end_us") - 1
     return d.withColumn(status,
@@ -73,9 +76,9 @@ def classify_lateness(df: DataFrame, ts: str, arrival: list, size: str, bound: s
 
 
 def late_split(df: DataFrame, ts: str, arrival: list, size: str, bound: str,
-               lateness: str = "0 seconds", chunk: Column | None = None):
+               lateness: str = "0 seconds", chunk: Column | None = None, slide: str | None = None):
     """(kept, late): rows the window operator takes, and the side output."""
-    tagged = classify_lateness(df, ts, arrival, size, bound, lateness, chunk)
+    tagged = classify_lateness(df, ts, arrival, size, bound, lateness, chunk, slide=slide)
     kept = tagged.where(F.col("status") != LATE)
     late = tagged.where(F.col("status") == LATE)
     return kept, late

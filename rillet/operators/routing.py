@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.text import asset_url, java_split
+from rillet.functions.text import asset_url, java_split, utf16_length
 
 
 def map_line_length(lines: DataFrame, value: str = "value") -> DataFrame:
-    return lines.select("*", F.length(value).alias("len"))
+    """Each line with its length in UTF-16 units."""
+    return lines.select("*", utf16_length(value).alias("len"))
 
 
 def flatmap_fields(lines: DataFrame, value: str = "value", sep: str = ",") -> DataFrame:
@@ -60,8 +61,28 @@ def tag_partition(df: DataFrame, name: str = "subtask") -> DataFrame:
     return df.withColumn(name, F.spark_partition_id())
 
 
-def redistribute(df: DataFrame, mode: str = "shuffle", n: int | None = None) -> DataFrame:
-    """``shuffle``: round-robin spread over n partitions; ``global``: one partition."""
-    if mode == "global":
-        return df.coalesce(1)
-    return df.repartition(n) if n else df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def map_partitions_with_setup(df: DataFrame, open_, each, close, schema) -> DataFrame:
+    """A map with set-up and tear-down per partition.
+
+    In each task ``open_(index)`` makes a context (a connection, a parsed
+    model) once, ``each(context, frame)`` maps the task's rows batch by batch
+    (pandas frames), and ``close(context)`` runs when the task ends, also after
+    an error.
+    """
+    def run(batches):
+        from pyspark import TaskContext
+
+        context = open_(TaskContext.get().partitionId())
+        try:
+            for frame in batches:
+                yield each(context, frame)
+        finally:
+            close(context)
+
+    return df.mapInPandas(run, schema)
+
+
+def redistribute(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Round-robin spread over ``n`` partitions, or over as many as the session's
+    shuffle setting and adaptive execution choose."""
+    return df.repartition(n) if n else df.hint("rebalance")

@@ -25,11 +25,14 @@ def word_count(lines: DataFrame, value: str = "value", sep: str = " ") -> DataFr
 
 
 def running_word_count(lines: DataFrame, order: str, value: str = "value", sep: str = " ",
-                       chunk: Column | None = None) -> DataFrame:
-    """``keyBy(word).sum(1)``: for every token, the count of that word so far."""
+                       chunk: Column | None = None, fan: int | None = 1024) -> DataFrame:
+    """``keyBy(word).sum(1)``: for every token, the count of that word so far.
+
+    A frequent word occurs in every chunk, so chunk totals are combined in two
+    levels of ``fan``."""
     tokens = lines.select(F.col(order), F.posexplode(java_split(value, sep)).alias("pos", "word"))
     return keyed_scan(tokens, ["word"], [F.col(order), F.col("pos")], _chunk(order, chunk),
-                      running={"cnt": ("count", F.lit(1))})
+                      running={"cnt": ("count", F.lit(1))}, fan=fan)
 
 
 def rolling_max_by(df: DataFrame, key: str, order: str, value: str, fields,
@@ -82,34 +85,29 @@ def group_count_avg(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def retract_changelog(df: DataFrame, key: str, order: str, value: str,
-                      chunk: Column | None = None, digits: int | None = None,
-                      sum_type: str | None = None) -> DataFrame:
+                      chunk: Column | None = None, digits: int | None = None) -> DataFrame:
     """The grouped count/avg as a retract stream.
 
     For every input row: ``(true, key, cnt, avg)`` with the new result, and
     unless it is the key's first row, ``(false, key, cnt', avg')`` retracting
-    the previous result.  ``seq`` orders the changes of a key.  The retraction
-    is the lag of the addition, so both carry bit-identical values.
-    ``sum_type`` (e.g. ``decimal(38,4)``) accumulates in exact decimal, so the
-    mean no longer depends on summation order (one rounding to double, then
-    one division).
+    the previous result.  ``cnt`` is ``count(key)``; the mean is over non-null
+    values, null before the first.  The previous result comes from the same
+    scan: its running sum and counts without the row itself.
     """
-    v = F.col(value).cast(sum_type) if sum_type else F.col(value)
     run = keyed_scan(df.select(key, order, value), [key], [F.col(order)], _chunk(order, chunk),
-                     running={"_n": ("count", F.lit(1)), "_s": ("sum", v)},
-                     keep_chunk=True)
-    avg = F.col("_s").cast("double") / F.col("_n")
-    if digits is not None:
-        avg = fixed_digits(avg, digits)
-    run = run.withColumn("_res", F.struct(F.col("_n").alias("cnt"), avg.alias("avg_value")))
-    run = keyed_scan(run, [key], [F.col(order)], lags={"_prev": F.col("_res")})
+                     running={"_rn": ("count", F.lit(1)), "_n": ("count", F.col(key)),
+                              "_m": ("count", F.col(value)), "_s": ("sum", F.col(value)),
+                              "_n0": ("count", F.col(key), True), "_m0": ("count", F.col(value), True),
+                              "_s0": ("sum", F.col(value), True)})
+
+    def result(add: bool, n: str, m: str, s: str) -> Column:
+        avg = F.when(F.col(m) > 0, F.col(s) / F.col(m))
+        avg = avg if digits is None else fixed_digits(avg, digits)
+        return F.struct(F.lit(add).alias("is_add"), F.col(n).alias("cnt"), avg.alias("avg_value"))
+
     # both rows of a change come from one pass: explode (retraction, addition)
     # instead of a union that would instantiate the pipeline twice
-    change = F.array(
-        F.struct(F.lit(False).alias("is_add"), F.col("_prev.cnt").alias("cnt"),
-                 F.col("_prev.avg_value").alias("avg_value")),
-        F.struct(F.lit(True).alias("is_add"), F.col("_res.cnt").alias("cnt"),
-                 F.col("_res.avg_value").alias("avg_value")))
-    return (run.select(key, order, F.explode(change).alias("_c"))
-               .where(F.col("_c.cnt").isNotNull())
+    added = F.array(result(True, "_n", "_m", "_s"))
+    both = F.array(result(False, "_n0", "_m0", "_s0"), result(True, "_n", "_m", "_s"))
+    return (run.select(key, order, F.explode(F.when(F.col("_rn") > 1, both).otherwise(added)).alias("_c"))
                .select("_c.is_add", key, order, "_c.cnt", "_c.avg_value"))

@@ -8,9 +8,13 @@ prefix-combined per key (a window over at most #chunks rows per key) and
 joined back.  Only associative aggregates (count, sum, max, min) and lags are
 supported, which is all the running operators need.
 
-Plan shape: one shuffle of the input by (key, chunk) that the totals branch
-reuses, a small shuffle of the totals by key, and a join that AQE broadcasts
-when the offsets are small.
+Plan shape: one scan and one shuffle of the input by (key, chunk), which the
+totals branch reads again (a reused exchange); a small shuffle of the totals by
+key; and a join that AQE broadcasts when the offsets are small.  With ``fan``
+the totals of a key are themselves combined in two levels, so a key with very
+many chunks is not one task's work either.
+
+Rows whose order column is null come first, as in a plain window.
 """
 
 from __future__ import annotations
@@ -28,6 +32,9 @@ DEFAULT_ARRIVAL_CHUNK = 1 << 20
 # Event-time chunk for time-ordered scans (one minute, in microseconds).
 DEFAULT_TIME_CHUNK_US = 60 * 1_000_000
 
+# Chunk of the rows whose order column is null.
+NO_CHUNK = -(1 << 62)
+
 _AGG = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
 _COMBINE = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
 
@@ -38,11 +45,6 @@ def chunk_by(c, width: int) -> Column:
     return F.floor(col / F.lit(width)).cast("bigint")
 
 
-def chunk_by_time(c, width_us: int = DEFAULT_TIME_CHUNK_US) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.floor(F.unix_micros(col.cast("timestamp")) / F.lit(width_us)).cast("bigint")
-
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -67,10 +69,6 @@ def _surrogate_keys(df: DataFrame, keys: list[str]):
     window partitioning and the join back use the same plain columns and the
     join reuses the window's shuffle instead of re-partitioning the data."""
     names = []
-    if keys and all(f"_kv{i}" in df.columns and f"_kn{i}" in df.columns for i in range(len(keys))):
-        # kept by a previous scan of the same keys: reuse them, and with them
-        # that scan's partitioning
-        return df, [n for i in range(len(keys)) for n in (f"_kv{i}", f"_kn{i}")]
     for i, k in enumerate(keys):
         zero = _zero_of(df.schema[k].dataType)
         if zero is None:
@@ -80,60 +78,97 @@ def _surrogate_keys(df: DataFrame, keys: list[str]):
     return df, names
 
 
+def _shared_shuffle(df: DataFrame, part: list[str]) -> DataFrame:
+    """Shuffle ``df`` by ``part`` so that all readers share the exchange.
+
+    The other columns pass through a one-row generator: a reader that needs
+    few of them cannot be pruned below the exchange, which would make its plan
+    another one and scan and shuffle the source again.
+    """
+    rest = [c for c in df.columns if c not in part]
+    df = df.repartition(*[F.col(c) for c in part]) if part else df
+    if not rest:
+        return df
+    return df.select(*part, F.inline(F.array(F.struct(*rest))))
+
+
+def _prefix(totals: DataFrame, keys: list[str], chunk: str, fns: dict, lags: list, fan: int | None) -> DataFrame:
+    """keys, chunk and, per running aggregate, the combination of all earlier chunks'
+    totals (``_o_``); per lag, the last value of the latest earlier chunk (``_p_``)."""
+    def offsets(t: DataFrame, by: list[str], order: str) -> list[Column]:
+        w = Window.partitionBy(*by).orderBy(order)
+        prior = w.rowsBetween(Window.unboundedPreceding, -1)
+        return ([_COMBINE[fn](f"_t_{n}").over(prior).alias(f"_o_{n}") for n, fn in fns.items()]
+                + [F.lag(f"_e_{n}").over(w).alias(f"_p_{n}") for n in lags])
+
+    if fan is None:
+        return totals.select(*keys, chunk, *offsets(totals, keys, chunk))
+    wide = totals.withColumn("_span", F.floor(F.col(chunk) / fan))
+    inner = wide.select(*keys, chunk, "_span", *offsets(wide, [*keys, "_span"], chunk))
+    spans = wide.groupBy(*keys, "_span").agg(
+        *[_COMBINE[fn](f"_t_{n}").alias(f"_t_{n}") for n, fn in fns.items()],
+        *[F.max_by(f"_e_{n}", chunk).alias(f"_e_{n}") for n in lags])
+    outer = spans.select(*keys, "_span", *[c.alias(f"_s{i}") for i, c in enumerate(offsets(spans, keys, "_span"))])
+    both = inner.join(outer, [*keys, "_span"])
+    out = []
+    for i, n in enumerate([*fns, *lags]):
+        if n in fns:
+            a, b, fn = F.col(f"_o_{n}"), F.col(f"_s{i}"), fns[n]
+            merged = (F.greatest(a, b) if fn == "max" else F.least(a, b) if fn == "min" else
+                      F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b))
+            out.append(merged.alias(f"_o_{n}"))
+        else:
+            out.append(F.coalesce(f"_p_{n}", f"_s{i}").alias(f"_p_{n}"))
+    return both.select(*keys, chunk, *out)
+
+
 def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
                running: dict | None = None, lags: dict | None = None,
-               exclusive: bool = False, keep_chunk: bool = False) -> DataFrame:
+               exclusive: bool = False, fan: int | None = None) -> DataFrame:
     """Add running aggregates / lags per key in ``order``.
 
     ``running``: ``{out: (fn, column)}`` with fn in count/sum/max/min, over all
-    earlier rows of the key and the row itself (``exclusive`` drops the row).
+    earlier rows of the key and the row itself (``exclusive``, or a third item
+    True for one output, drops the row).
     ``lags``: ``{out: column}``, the value on the previous row of the key.
-    ``chunk``: chunk id column; must be non-decreasing in ``order``.  When the
-    frame already has a ``_chunk`` column (and the surrogate key columns,
-    both kept by ``keep_chunk=True``) they are reused, so chained scans share
-    one partitioning.
+    ``chunk``: chunk id column; must be non-decreasing in ``order``.
+    ``fan``: chunks of a key whose totals one task combines;
+    None combines all of a key's chunks at once.
     """
     keys = list(keys)
     order = [_c(o) for o in (order if isinstance(order, (list, tuple)) else [order])]
     running = running or {}
     lags = lags or {}
-    if CHUNK not in df.columns:
-        if chunk is None:
-            raise ValueError("keyed_scan needs a chunk column")
-        df = df.withColumn(CHUNK, chunk)
+    if chunk is None:
+        raise ValueError("keyed_scan needs a chunk column")
+    # a null order has a chunk of its own, before all others
+    df = df.withColumn(CHUNK, F.coalesce(chunk, F.lit(NO_CHUNK)))
     df, sur = _surrogate_keys(df, keys)
     gkeys = sur if sur is not None else keys  # grouping / join columns
+    part = [*gkeys, CHUNK]
+    df = _shared_shuffle(df, part)
 
-    part = [F.col(k) for k in gkeys] + [F.col(CHUNK)]
     w = Window.partitionBy(*part).orderBy(*order)
-    frame = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
 
     local = df
-    for name, (fn, c) in running.items():
-        local = local.withColumn(f"_l_{name}", _AGG[fn](_c(c)).over(frame))
+    for name, (fn, c, *before) in running.items():
+        last = -1 if exclusive or any(before) else Window.currentRow
+        local = local.withColumn(f"_l_{name}", _AGG[fn](_c(c)).over(w.rowsBetween(Window.unboundedPreceding, last)))
     if lags:
         local = local.withColumn("_first", F.row_number().over(w) == 1)
         for name, c in lags.items():
             local = local.withColumn(f"_lag_{name}", F.lag(_c(c)).over(w))
 
-    # Per (key, chunk) totals, taken from the windowed frame: it is already
-    # clustered by (key, chunk), so the aggregate adds no exchange and the
-    # input shuffle is reused instead of scanning the source a second time.
-    tot_exprs = [_AGG[fn](_c(c)).alias(f"_t_{name}") for name, (fn, c) in running.items()]
-    tot_exprs += [F.max_by(_c(c), F.struct(*order)).alias(f"_e_{name}") for name, c in lags.items()]
-    totals = local.groupBy(*part).agg(*tot_exprs)
-
-    wk = Window.partitionBy(*[F.col(k) for k in gkeys]).orderBy(CHUNK)
-    prior = wk.rowsBetween(Window.unboundedPreceding, -1)
-    off_cols = [F.col(k) for k in gkeys] + [F.col(CHUNK)]
-    off_cols += [_COMBINE[fn](f"_t_{name}").over(prior).alias(f"_o_{name}")
-                 for name, (fn, _) in running.items()]
-    off_cols += [F.lag(f"_e_{name}").over(wk).alias(f"_p_{name}") for name in lags]
-    offsets = totals.select(*off_cols)
+    tot_exprs = [_AGG[fn](_c(c)).alias(f"_t_{name}") for name, (fn, c, *_) in running.items()]
+    tot_exprs += [F.max_by(F.struct(_c(c).alias("x")), F.struct(*(F.struct(o.isNotNull(), o) for o in order)))
+                  .alias(f"_e_{name}") for name, c in lags.items()]
+    totals = df.groupBy(*part).agg(*tot_exprs)
+    fns = {name: fn for name, (fn, *_) in running.items()}
+    offsets = _prefix(totals, gkeys, CHUNK, fns, list(lags), fan)
 
     if sur is not None:
         # plain equi-join on the columns the window is partitioned by
-        joined = local.join(offsets, gkeys + [CHUNK], "inner")
+        joined = local.join(offsets, part, "inner")
     else:
         offsets = offsets.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
                                  F.col(CHUNK).alias("_k_chunk"),
@@ -143,7 +178,7 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
         joined = local.join(offsets, reduce(lambda a, b: a & b, cond), "inner")
 
     out = joined
-    for name, (fn, _) in running.items():
+    for name, fn in fns.items():
         lo, of = F.col(f"_l_{name}"), F.col(f"_o_{name}")
         if fn == "count":
             val = lo + F.coalesce(of, F.lit(0))
@@ -155,18 +190,14 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
             val = F.least(lo, of)
         out = out.withColumn(name, val)
     for name in lags:
-        out = out.withColumn(name, F.when(F.col("_first"), F.col(f"_p_{name}"))
+        out = out.withColumn(name, F.when(F.col("_first"), F.col(f"_p_{name}.x"))
                              .otherwise(F.col(f"_lag_{name}")))
     drop = [c for c in out.columns if c.startswith(("_l_", "_o_", "_lag_", "_p_", "_k_"))]
     drop += ["_first"] if lags else []
-    if not keep_chunk:
-        drop.append(CHUNK)
-        drop += sur or []
-    return out.drop(*drop)
+    return out.drop(*drop, CHUNK, *(sur or []))
 
 
 def running_count(df: DataFrame, keys, order, chunk: Column | None = None,
-                  name: str = "cnt", keep_chunk: bool = False) -> DataFrame:
+                  name: str = "cnt", fan: int | None = None) -> DataFrame:
     """Row number per key in arrival order (1-based), without a per-key task."""
-    return keyed_scan(df, keys, order, chunk, running={name: ("count", F.lit(1))},
-                      keep_chunk=keep_chunk)
+    return keyed_scan(df, keys, order, chunk, running={name: ("count", F.lit(1))}, fan=fan)

@@ -7,12 +7,15 @@ Window ends are exclusive and epoch-aligned.  Output columns are flattened to
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillet.operators.scan import (DEFAULT_ARRIVAL_CHUNK, DEFAULT_TIME_CHUNK_US, _surrogate_keys, chunk_by,
-                                  keyed_scan)
+from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, _shared_shuffle, _surrogate_keys, chunk_by, keyed_scan
+
+# Time chunk of sessions: long, so that sparse keys have few chunk totals.
+SESSION_CHUNK_US = 3_600_000_000
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000,
              "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
@@ -124,20 +127,18 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
     * joined back, session start = the greatest of the three, and the
       aggregate is a partial aggregation over (key, session start).
 
-    Session end = last event + gap.
+    Session end = last event + gap.  Rows without event time belong to no
+    session, as with the built-in ``session_window``.
     """
-    from functools import reduce
-
-    from pyspark.sql import Window
-
     gap_us = duration_us(gap)
     like = _ts_type(df, ts)
     us = "_ts_us"
-    d = df.withColumn(us, F.unix_micros(F.col(ts).cast("timestamp")))
-    d = d.withColumn("_chunk", chunk_by(us, chunk_us or DEFAULT_TIME_CHUNK_US))
+    d = df.withColumn(us, F.unix_micros(F.col(ts).cast("timestamp"))).where(F.col(us).isNotNull())
+    d = d.withColumn("_chunk", chunk_by(us, chunk_us or SESSION_CHUNK_US))
     d, sur = _surrogate_keys(d, list(keys))
     gkeys = sur if sur is not None else list(keys)
-    part = [F.col(k) for k in gkeys] + [F.col("_chunk")]
+    part = [*gkeys, "_chunk"]
+    d = _shared_shuffle(d, part)
     w = Window.partitionBy(*part).orderBy(us)
     gap_open = F.col(us) - F.lag(us).over(w) > gap_us
     d = d.withColumn("_open", F.when((F.row_number().over(w) > 1) & gap_open, F.col(us)))
@@ -153,7 +154,7 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
         wk.rowsBetween(Window.unboundedPreceding, -1)))
     if sur is not None:
         # same columns as the window partitioning: the join reuses its shuffle
-        j = d.join(tot.select(*gkeys, "_chunk", "_fopen", "_before"), gkeys + ["_chunk"], "inner")
+        j = d.join(tot.select(*gkeys, "_chunk", "_fopen", "_before"), part, "inner")
     else:
         offs = tot.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                           F.col("_chunk").alias("_kc"), "_fopen", "_before")
@@ -167,8 +168,7 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
 
 
 def count_window(df: DataFrame, keys, order: str, value: str, size: int, slide: int,
-                 chunk: Column | None = None, seq: str = "seq", name: str = "avg_value",
-                 sum_type: str | None = None) -> DataFrame:
+                 chunk: Column | None = None, seq: str = "seq", name: str = "avg_value") -> DataFrame:
     """``countWindow(size, slide)`` with a mean: per key, at every ``slide``-th
     row, the mean of the last ``min(size, n)`` values.
 
@@ -185,7 +185,6 @@ def count_window(df: DataFrame, keys, order: str, value: str, size: int, slide:
     d = d.select(*keys, value, "_rn",
                  F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"), F.lit(slide).cast("bigint")))
                  .alias(seq))
-    v = F.col(value).cast(sum_type) if sum_type else F.col(value)
     return (d.groupBy(*keys, seq)
-              .agg((F.sum(v).cast("double") / F.count(value)).alias(name), F.max("_rn").alias("_last"))
+              .agg((F.sum(value).cast("double") / F.count(value)).alias(name), F.max("_rn").alias("_last"))
               .where(F.col("_last") == F.col(seq)).drop("_last"))

@@ -12,7 +12,7 @@ adapters in :mod:`rillet.sources.tables`:
 * user behaviour: ``events`` with item id ``props.k``
 * access log: ``events`` joined to ``pages`` on ``page_id = props.k mod #pages``
 * text lines: ``documents.text``
-* late data: ``events`` re-sequenced by arrival time ``ts + (event_id*7919 mod 600) s``
+* late data: ``events`` re-sequenced by arrival time ``ts + (event_id*7919 mod 43200) s``
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from rillet.functions.numeric import fixed_digits
 from rillet.functions.text import java_split_sql, poly_hash, register_sql_functions, scaled_hash_code
-from rillet.functions.udfs import avg_temp, split_pieces
+from rillet.functions.udfs import avg_temp, avg_temp_sql, split_pieces
 from rillet.operators import late, routing, running
 from rillet.operators.scan import chunk_by
-from rillet.operators.windows import count_window, hop, session, tumble
+from rillet.operators.windows import count_window, duration_us, hop, session, tumble
 from rillet.plans import jobs
 from rillet.session import scratch_path
 from rillet.sources import files, kafka, tables
@@ -35,11 +35,16 @@ from rillet.sources import files, kafka, tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-AVG_DIGITS = 6
-# Averages sum in exact decimal, then convert once and divide once in double,
-# so Spark and the SQL oracle produce the same bits whatever the summation
-# order; then they are rounded half-up on the binary value.
-SUM_TYPE = "decimal(38,4)"
+AVG_DIGITS = 10
+# Averages are taken over the readings as they are; only the result is rounded
+# (half up on the binary value), far above what the order of summation changes.
+
+# Parameters of the registered window queries.  Events of the tables lie about
+# four minutes apart and a user's some hours, so windows here are wide enough
+# to hold several rows; the library's defaults are the analyses' own seconds.
+TUMBLE, MIN_BY_WINDOW, TABLE_WINDOW, SESSION_GAP = "1 day", "1 day", "12 hours", "6 hours"
+LATE_WINDOW, LATE_BOUND, LATENESS = "2 hours", "10 minutes", "6 hours"
+PAGE_BOUND = "1 second"
 
 
 def query(name: str, sql: str | None = None):
@@ -81,8 +86,8 @@ def _doc_lines(spark, d):
 
 
 def _arrival(df):
-    """Disordered but fixed arrival time for late-data queries."""
-    delay_us = F.pmod(F.col("arr") * F.lit(7919), F.lit(600)) * F.lit(1_000_000)
+    """Disordered but fixed arrival time for late-data queries: up to 12 hours."""
+    delay_us = F.pmod(F.col("arr") * F.lit(7919), F.lit(43_200)) * F.lit(1_000_000)
     return df.withColumn("arrival_us", F.unix_micros(F.col("ts").cast("timestamp")) + delay_us)
 
 
@@ -101,8 +106,10 @@ ACCESS = ("access AS (SELECT e.event_id AS arr, "
           "CAST((e.user_id // 256) % 256 AS VARCHAR) || '.' || CAST(e.user_id % 256 AS VARCHAR) AS ip, "
           "CAST(e.user_id AS VARCHAR) AS user_id, e.ts, "
           "CASE WHEN e.event_type IN ('view', 'click') THEN 'GET' ELSE 'POST' END AS method, p.url "
-          "FROM events e JOIN pages p ON p.page_id = "
-          "CAST(json_extract_string(e.props, '$.k') AS BIGINT) % (SELECT count(*) FROM pages))")
+          "FROM events e LEFT JOIN (SELECT url, row_number() OVER (ORDER BY page_id, url) - 1 AS place "
+          "FROM pages WHERE page_id IS NOT NULL) p ON p.place = "
+          "CAST(json_extract_string(e.props, '$.k') AS BIGINT) % "
+          "(SELECT count(*) FROM pages WHERE page_id IS NOT NULL))")
 LINES = ("lines AS (SELECT arr, id || ',' || CAST(ts_sec AS VARCHAR) || ',' || "
          "CAST(temperature AS VARCHAR) AS value FROM sensor)")
 DOC_LINES = ("doc_lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS value FROM documents)")
@@ -137,7 +144,7 @@ def q_src_text(spark, d):
 @query("src_csv_table", _with(SENSOR) + "SELECT id, ts_sec, temperature FROM sensor")
 def q_src_csv_table(spark, d):
     path = scratch_path(spark, "src_csv_table")
-    _sensor(spark, d).select("id", "ts_sec", "temperature").write.mode("overwrite").csv(path)
+    files.sink_csv(_sensor(spark, d).select("id", "ts_sec", "temperature"), path)
     table = files.read_csv_table(spark, path, files.SENSOR_SCHEMA)
     return spark.sql("SELECT id, ts_sec, temperature FROM {input_table}", input_table=table)
 
@@ -146,7 +153,7 @@ def q_src_csv_table(spark, d):
 def q_sink_csv(spark, d):
     path = scratch_path(spark, "sink_csv")
     out = _sensor_where_id(spark, d, "sensor_6").select("id", "temperature")
-    out.write.mode("overwrite").csv(path)
+    files.sink_csv(out, path)
     return files.read_csv_table(spark, path, "id STRING, temperature DOUBLE")
 
 
@@ -219,9 +226,15 @@ def q_filter_behavior(spark, d):
 
 
 @query("filter_static_assets", _with(ACCESS) +
-       "SELECT arr, url, method FROM access WHERE NOT regexp_matches(url, '\\.(css|js|png|ico)$')")
+       "SELECT arr, url, method FROM (SELECT arr, method, url || "
+       "(['', '.css', '', '.js', '.png', '', '.ico', '.css?v=1'])[1 + arr % 8] AS url FROM access) "
+       "WHERE NOT regexp_matches(url, '\\.(css|js|png|ico)$')")
 def q_filter_static_assets(spark, d):
-    return routing.filter_static_assets(_access(spark, d)).select("arr", "url", "method")
+    """Urls of every eighth arrival, give or take, end like static assets."""
+    ends = F.array(*(F.lit(x) for x in ("", ".css", "", ".js", ".png", "", ".ico", ".css?v=1")))
+    log = _access(spark, d)
+    log = log.withColumn("url", F.concat("url", F.get(ends, (F.col("arr") % 8).cast("int"))))
+    return routing.filter_static_assets(log).select("arr", "url", "method")
 
 
 @query("table_select_where", _with(SENSOR) + "SELECT id, temperature FROM sensor WHERE id = 'sensor_6'")
@@ -232,7 +245,7 @@ def q_table_select_where(spark, d):
 @query("sql_select_where", _with(SENSOR) +
        "SELECT arr, id, ts, ts_sec, temperature FROM sensor WHERE id = 'sensor_1'")
 def q_sql_select_where(spark, d):
-    return spark.sql("SELECT * FROM {sensor} WHERE id = 'sensor_1'", sensor=_sensor(spark, d))
+    return spark.sql("SELECT * FROM {sensor} WHERE id = 'sensor_1'", sensor=_sensor_where_id(spark, d, "sensor_1"))
 
 
 @query("rename_fields", _with(SENSOR) + "SELECT id, ts_sec AS ts, temperature AS temp FROM sensor")
@@ -272,14 +285,36 @@ def q_union_all(spark, d):
                              routing.select_route(tagged, "high", "low").select(*cols))
 
 
-@query("tag_partition")
+@query("tag_partition", _with(SENSOR) + "SELECT arr, id, true AS in_range FROM sensor")
 def q_tag_partition(spark, d):
-    return routing.tag_partition(_sensor(spark, d).select("arr", "id"))
+    """Which task has a row depends on placement; that its index is one of the
+    stage's tasks does not."""
+    s = _sensor(spark, d).select("arr", "id")
+    tagged = routing.tag_partition(s)
+    return tagged.select("arr", "id", F.col("subtask").between(0, s.rdd.getNumPartitions() - 1).alias("in_range"))
+
+
+@query("partition_setup", _with(SENSOR) + "SELECT arr, id, true AS in_range, true AS counted FROM sensor")
+def q_partition_setup(spark, d):
+    """Per-partition set-up and tear-down: a context made once per task numbers
+    the task's rows."""
+    s = _sensor(spark, d).select("arr", "id")
+    parts = s.rdd.getNumPartitions()
+
+    def each(context, frame):
+        context["rows"] += len(frame)
+        frame["in_range"] = 0 <= context["index"] < parts
+        frame["counted"] = context["rows"] >= len(frame)
+        return frame
+
+    return routing.map_partitions_with_setup(
+        s, lambda index: {"index": index, "rows": 0}, each, lambda context: context.clear(),
+        "arr bigint, id string, in_range boolean, counted boolean")
 
 
 @query("redistribute", _with(SENSOR) + "SELECT arr, id, temperature FROM sensor")
 def q_redistribute(spark, d):
-    return routing.redistribute(_sensor(spark, d).select("arr", "id", "temperature"), "shuffle")
+    return routing.redistribute(_sensor(spark, d).select("arr", "id", "temperature"))
 
 
 # ------------------------------------------------------ running aggregates
@@ -342,33 +377,41 @@ def q_temp_jump_alert(spark, d):
 
 
 @query("group_count_avg", _with(SENSOR) +
-       "SELECT id, count(id) AS cnt, (floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) AS DOUBLE) "
-       "/ count(temperature) * 1000000 + 0.5) / 1000000) AS avg_value FROM sensor GROUP BY id")
+       "SELECT id, count(id) AS cnt, (floor(sum(temperature) / count(temperature) "
+       "* 10000000000 + 0.5) / 10000000000) AS avg_value FROM sensor GROUP BY id")
 def q_group_count_avg(spark, d):
-    return (_sensor(spark, d).groupBy("id")
-            .agg(F.count("id").alias("cnt"), _r(avg_temp("temperature", SUM_TYPE)).alias("avg_value")))
+    out = running.group_count_avg(_sensor(spark, d), "id", "temperature")
+    return out.withColumn("avg_value", _r(F.col("avg_value")))
 
 
 @query("udaf_avg", _with(SENSOR) +
-       "SELECT id, (floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) AS DOUBLE) / count(temperature) "
-       "* 1000000 + 0.5) / 1000000) AS avg_temp FROM sensor GROUP BY id")
+       "SELECT id, (floor(sum(temperature) / count(temperature) "
+       "* 10000000000 + 0.5) / 10000000000) AS avg_temp FROM sensor GROUP BY id")
 def q_udaf_avg(spark, d):
-    return _sensor(spark, d).groupBy("id").agg(_r(avg_temp("temperature", SUM_TYPE)).alias("avg_temp"))
+    return _sensor(spark, d).groupBy("id").agg(_r(avg_temp("temperature")).alias("avg_temp"))
+
+
+@query("udaf_avg_sql", ORACLE_SQL["udaf_avg"])
+def q_udaf_avg_sql(spark, d):
+    """The aggregate function in SQL text, as an expression that Spark aggregates
+    partially."""
+    mean = avg_temp_sql("temperature")
+    return spark.sql(f"SELECT id, floor({mean} * 10000000000 + 0.5) / 10000000000 AS avg_temp FROM {{sensor}} GROUP BY id",
+                     sensor=_sensor(spark, d))
 
 
 @query("retract_changelog", _with(
     SENSOR,
-    "run AS (SELECT id, arr, count(*) OVER w AS cnt, "
-    "(floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) OVER w AS DOUBLE) / count(*) OVER w "
-    "* 1000000 + 0.5) / 1000000) AS avg_value FROM sensor "
+    "run AS (SELECT id, arr, count(id) OVER w AS cnt, "
+    "(floor(sum(temperature) OVER w / nullif(count(temperature) OVER w, 0) "
+    "* 10000000000 + 0.5) / 10000000000) AS avg_value FROM sensor "
     "WINDOW w AS (PARTITION BY id ORDER BY arr ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))") +
     "SELECT true AS is_add, id, arr, cnt, avg_value FROM run UNION ALL "
     "SELECT false AS is_add, id, arr, prev_cnt AS cnt, prev_avg AS avg_value FROM ("
     "SELECT id, arr, lag(cnt) OVER (PARTITION BY id ORDER BY arr) AS prev_cnt, "
     "lag(avg_value) OVER (PARTITION BY id ORDER BY arr) AS prev_avg FROM run) WHERE prev_cnt IS NOT NULL")
 def q_retract_changelog(spark, d):
-    return running.retract_changelog(_sensor(spark, d), "id", "arr", "temperature", digits=AVG_DIGITS,
-                                     sum_type=SUM_TYPE)
+    return running.retract_changelog(_sensor(spark, d), "id", "arr", "temperature", digits=AVG_DIGITS)
 
 
 # ---------------------------------------------------------------- windows
@@ -378,62 +421,62 @@ def _tb(size: str, ts: str = "ts") -> str:
 
 
 @query("tumble_count", _with(SENSOR) +
-       f"SELECT id, {_tb('15 seconds')} AS window_start, {_tb('15 seconds')} + INTERVAL '15 seconds' "
+       f"SELECT id, {_tb(TUMBLE)} AS window_start, {_tb(TUMBLE)} + INTERVAL '{TUMBLE}' "
        "AS window_end, count(*) AS cnt FROM sensor GROUP BY ALL")
 def q_tumble_count(spark, d):
-    return tumble(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_TUMBLE, [F.count(F.lit(1)).alias("cnt")])
+    return tumble(_sensor(spark, d), ["id"], "ts", TUMBLE, [F.count(F.lit(1)).alias("cnt")])
 
 
 @query("tumble_count_full", _with(SENSOR) +
-       f"SELECT id, {_tb('15 seconds')} + INTERVAL '15 seconds' AS window_end, count(*) AS size "
+       f"SELECT id, {_tb(TUMBLE)} + INTERVAL '{TUMBLE}' AS window_end, count(*) AS size "
        "FROM sensor GROUP BY ALL")
 def q_tumble_count_full(spark, d):
-    out = tumble(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_TUMBLE, [F.count(F.lit(1)).alias("size")])
+    out = tumble(_sensor(spark, d), ["id"], "ts", TUMBLE, [F.count(F.lit(1)).alias("size")])
     return out.select("id", "window_end", "size")
 
 
 @query("count_window_avg", _with(SENSOR) +
        "SELECT id, seq, avg_value FROM (SELECT id, row_number() OVER (PARTITION BY id ORDER BY arr) AS seq, "
-       "(floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) OVER w AS DOUBLE) / count(temperature) OVER w "
-       "* 1000000 + 0.5) / 1000000) AS avg_value FROM sensor "
+       "(floor(sum(temperature) OVER w / count(temperature) OVER w "
+       "* 10000000000 + 0.5) / 10000000000) AS avg_value FROM sensor "
        "WINDOW w AS (PARTITION BY id ORDER BY arr ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)) WHERE seq % 2 = 0")
 def q_count_window_avg(spark, d):
     out = count_window(_sensor(spark, d), ["id"], "arr", "temperature", jobs.COUNT_WINDOW_SIZE,
-                       jobs.COUNT_WINDOW_SLIDE, sum_type=SUM_TYPE)
+                       jobs.COUNT_WINDOW_SLIDE)
     return out.withColumn("avg_value", _r(F.col("avg_value")))
 
 
 @query("tumble_min_by", _with(SENSOR) +
        "SELECT id, window_end, temperature, ts_sec, arr FROM (SELECT id, "
-       f"{_tb('5 seconds')} + INTERVAL '5 seconds' AS window_end, temperature, ts_sec, arr, "
-       f"row_number() OVER (PARTITION BY id, {_tb('5 seconds')} ORDER BY temperature, arr) AS rn "
+       f"{_tb(MIN_BY_WINDOW)} + INTERVAL '{MIN_BY_WINDOW}' AS window_end, temperature, ts_sec, arr, "
+       f"row_number() OVER (PARTITION BY id, {_tb(MIN_BY_WINDOW)} ORDER BY temperature, arr) AS rn "
        "FROM sensor) WHERE rn = 1")
 def q_tumble_min_by(spark, d):
     rec = F.struct("temperature", "arr", "ts_sec")
-    out = tumble(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_MIN_BY_WINDOW, [F.min(rec).alias("m")])
+    out = tumble(_sensor(spark, d), ["id"], "ts", MIN_BY_WINDOW, [F.min(rec).alias("m")])
     return out.select("id", "window_end", "m.temperature", "m.ts_sec", "m.arr")
 
 
 @query("session_count", _with(
     SENSOR,
     "g AS (SELECT id, ts, CASE WHEN lag(ts) OVER (PARTITION BY id ORDER BY ts) IS NULL "
-    "OR ts - lag(ts) OVER (PARTITION BY id ORDER BY ts) > INTERVAL '15 seconds' THEN 1 ELSE 0 END AS open "
+    f"OR ts - lag(ts) OVER (PARTITION BY id ORDER BY ts) > INTERVAL '{SESSION_GAP}' THEN 1 ELSE 0 END AS open "
     "FROM sensor)",
     "s AS (SELECT id, ts, sum(open) OVER (PARTITION BY id ORDER BY ts "
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g)") +
-    "SELECT id, min(ts) AS window_start, max(ts) + INTERVAL '15 seconds' AS window_end, count(*) AS cnt "
+    f"SELECT id, min(ts) AS window_start, max(ts) + INTERVAL '{SESSION_GAP}' AS window_end, count(*) AS cnt "
     "FROM s GROUP BY id, sid")
 def q_session_count(spark, d):
-    return session(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_SESSION_GAP, [F.count(F.lit(1)).alias("cnt")])
+    return session(_sensor(spark, d), ["id"], "ts", SESSION_GAP, [F.count(F.lit(1)).alias("cnt")])
 
 
 @query("tumble_count_avg", _with(SENSOR) +
-       f"SELECT id, {_tb('10 seconds')} + INTERVAL '10 seconds' AS window_end, count(id) AS cnt, "
-       "(floor(CAST(sum(CAST(temperature AS DECIMAL(38,4))) AS DOUBLE) / count(temperature) "
-       "* 1000000 + 0.5) / 1000000) AS avg_value FROM sensor GROUP BY ALL")
+       f"SELECT id, {_tb(TABLE_WINDOW)} + INTERVAL '{TABLE_WINDOW}' AS window_end, count(id) AS cnt, "
+       "(floor(sum(temperature) / count(temperature) "
+       "* 10000000000 + 0.5) / 10000000000) AS avg_value FROM sensor GROUP BY ALL")
 def q_tumble_count_avg(spark, d):
-    out = tumble(_sensor(spark, d), ["id"], "ts", jobs.SENSOR_TABLE_WINDOW,
-                 [F.count("id").alias("cnt"), _r(avg_temp("temperature", SUM_TYPE)).alias("avg_value")])
+    out = tumble(_sensor(spark, d), ["id"], "ts", TABLE_WINDOW,
+                 [F.count("id").alias("cnt"), _r(avg_temp("temperature")).alias("avg_value")])
     return out.select("id", "window_end", "cnt", "avg_value")
 
 
@@ -509,6 +552,20 @@ def q_hot_items_sql_panes(spark, d):
     return jobs.hot_items_sql_panes(_behavior(spark, d))
 
 
+@query("hot_items_retract", _with(
+    BEHAVIOR, "agg AS (" + HOP_ITEMS + ")",
+    "placed AS (SELECT a.item_id, a.window_end, a.cnt, 1 + count(b.item_id) AS place FROM agg a LEFT JOIN agg b "
+    "ON b.window_end = a.window_end AND b.item_id < a.item_id AND b.cnt >= a.cnt GROUP BY ALL)",
+    "entering AS (SELECT * FROM placed WHERE place <= 5)",
+    "state AS (SELECT e.window_end, e.item_id AS cause, e.place, x.item_id, x.cnt, s.is_add, "
+    "CAST(row_number() OVER (PARTITION BY e.window_end, e.item_id, s.is_add ORDER BY x.cnt DESC, x.item_id) "
+    "AS INTEGER) AS rn FROM entering e CROSS JOIN (VALUES (true), (false)) s(is_add) JOIN entering x "
+    "ON x.window_end = e.window_end AND (x.item_id < e.item_id OR (s.is_add AND x.item_id = e.item_id)))") +
+    "SELECT window_end, cause, is_add, rn, item_id, cnt FROM state WHERE rn BETWEEN place AND 5")
+def q_hot_items_retract(spark, d):
+    return jobs.hot_items_retract(_behavior(spark, d))
+
+
 @query("hot_pages_topn", _with(ACCESS, "agg AS (" + HOP_PAGES + ")") +
        "SELECT url, window_end, cnt, rn FROM (SELECT url, window_end, cnt, "
        "CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS rn "
@@ -576,11 +633,16 @@ def q_uv_running(spark, d):
     return jobs.unique_visitors(_behavior(spark, d), how="running")
 
 
-@query("uv_approx")
+@query("uv_approx", _with(BEHAVIOR) + f"SELECT DISTINCT 'uv' AS label, {_tb('1 hour')} + INTERVAL '1 hour' "
+       "AS window_end, true AS within_bound FROM behavior WHERE behavior = 'view'")
 def q_uv_approx(spark, d):
-    """HyperLogLog++ estimate per hour: an estimate has no exact SQL twin;
-    tests bound its error against ``uv_exact``."""
-    return jobs.unique_visitors(_behavior(spark, d), how="approx")
+    """HyperLogLog++ estimate per hour, and whether it lies within five standard
+    errors (and one visitor) of the exact count."""
+    b = _behavior(spark, d)
+    exact = jobs.unique_visitors(b, how="exact").withColumnRenamed("cnt", "exact")
+    close = F.abs(F.col("cnt") - F.col("exact")) <= 1 + 5 * 0.01 * F.col("exact")
+    return (jobs.unique_visitors(b, how="approx").join(exact, ["label", "window_end"])
+            .select("label", "window_end", close.alias("within_bound")))
 
 
 # ------------------------------------------------------------- user functions
@@ -600,51 +662,88 @@ def q_udf_hash_code_sql(spark, d):
                      customer=tables.load_table(spark, d, "customer"))
 
 
-@query("udtf_split", _with(SENSOR) +
-       "SELECT arr, id, word, CAST(length(word) AS INTEGER) AS length FROM "
-       "(SELECT arr, id, unnest(" + _jsplit_sql("id", "_") + ") AS word FROM sensor)")
+@query("udtf_split", "SELECT p_partkey, p_type, word, CAST(length(word) AS INTEGER) AS length FROM "
+       "(SELECT p_partkey, p_type, unnest(" + _jsplit_sql("p_type", " ") + ") AS word FROM part)")
 def q_udtf_split(spark, d):
-    return split_pieces(_sensor(spark, d).select("arr", "id"), "id", jobs.SPLIT_SEPARATOR)
+    return split_pieces(tables.load_table(spark, d, "part").select("p_partkey", "p_type"), "p_type", " ")
 
 
 @query("udtf_split_sql", ORACLE_SQL["udtf_split"])
 def q_udtf_split_sql(spark, d):
     """The table function joined laterally in SQL (native generator)."""
     return spark.sql(
-        "SELECT arr, id, word, length(word) AS length FROM {sensor} "
-        "LATERAL VIEW explode(" + java_split_sql("id", "_") + ") pieces AS word",
-        sensor=_sensor(spark, d).select("arr", "id"))
+        "SELECT p_partkey, p_type, word, length(word) AS length FROM {part} "
+        "LATERAL VIEW explode(" + java_split_sql("p_type", " ") + ") pieces AS word",
+        part=tables.load_table(spark, d, "part").select("p_partkey", "p_type"))
 
 
 # ------------------------------------------------------------- late data
 
-ARRIVAL = ("arrivals AS (SELECT *, epoch_us(ts) + ((arr * 7919) % 600) * 1000000 AS arrival_us, "
+ARRIVAL = ("arrivals AS (SELECT *, epoch_us(ts) + ((arr * 7919) % 43200) * 1000000 AS arrival_us, "
            "epoch_us(ts) AS ts_us FROM sensor)")
 WATERMARK = ("wm AS (SELECT *, max(ts_us) OVER (ORDER BY arrival_us, arr ROWS BETWEEN UNBOUNDED PRECEDING "
-             "AND 1 PRECEDING) - 2000000 AS wm_us FROM arrivals)")
-STATUS = ("st AS (SELECT *, (ts_us // 5000000 + 1) * 5000000 AS end_us, CASE "
-          "WHEN wm_us IS NULL OR wm_us < (ts_us // 5000000 + 1) * 5000000 - 1 THEN 'on_time' "
-          "WHEN wm_us < (ts_us // 5000000 + 1) * 5000000 - 1 + 60000000 THEN 'late_accepted' "
+             "AND 1 PRECEDING) - {bound} AS wm_us FROM arrivals)")
+STATUS = ("st AS (SELECT *, (ts_us // {slide}) * {slide} + {size} AS end_us, CASE "
+          "WHEN wm_us IS NULL OR wm_us < (ts_us // {slide}) * {slide} + {size} - 1 THEN 'on_time' "
+          "WHEN wm_us < (ts_us // {slide}) * {slide} + {size} - 1 + {late} THEN 'late_accepted' "
           "ELSE 'late' END AS status FROM wm)")
 
 
-@query("running_watermark", _with(SENSOR, ARRIVAL, WATERMARK) + "SELECT arr, arrival_us, wm_us FROM wm")
+def _late_sql(size: str, bound: str, lateness: str, slide: str | None = None) -> tuple[str, str]:
+    us = {"size": duration_us(size), "bound": duration_us(bound), "late": duration_us(lateness),
+          "slide": duration_us(slide or size)}
+    return WATERMARK.format(**us), STATUS.format(**us)
+
+
+LATE_SQL = _late_sql(LATE_WINDOW, LATE_BOUND, LATENESS)
+
+
+@query("running_watermark", _with(SENSOR, ARRIVAL, LATE_SQL[0]) + "SELECT arr, arrival_us, wm_us FROM wm")
 def q_running_watermark(spark, d):
     s = _arrival(_sensor(spark, d))
-    out = late.running_watermark(s, "ts", ["arrival_us", "arr"], jobs.SENSOR_BOUND)
+    out = late.running_watermark(s, "ts", ["arrival_us", "arr"], LATE_BOUND)
     return out.select("arr", "arrival_us", "wm_us")
 
 
-@query("late_split", _with(SENSOR, ARRIVAL, WATERMARK, STATUS) + "SELECT arr, id, status FROM st")
+@query("late_split", _with(SENSOR, ARRIVAL, *LATE_SQL) + "SELECT arr, id, status FROM st")
 def q_late_split(spark, d):
+    """Both outputs of the split, each row with the side it went to."""
     s = _arrival(_sensor(spark, d))
-    out = late.classify_lateness(s, "ts", ["arrival_us", "arr"], jobs.SENSOR_MIN_BY_WINDOW, jobs.SENSOR_BOUND,
-                                 jobs.SENSOR_LATENESS)
-    return out.select("arr", "id", "status")
+    kept, gone = late.late_split(s, "ts", ["arrival_us", "arr"], LATE_WINDOW, LATE_BOUND, LATENESS)
+    return kept.select("arr", "id", "status").unionByName(gone.select("arr", "id", F.lit(late.LATE).alias("status")))
+
+
+def _page_arrivals(spark, d):
+    """The access log with the disorder of the late-data queries."""
+    return _arrival(_access(spark, d))
+
+
+PAGE_LATE_SQL = _late_sql(jobs.HOT_PAGES_SIZE, PAGE_BOUND, jobs.HOT_PAGES_LATENESS, jobs.HOT_PAGES_SLIDE)
+
+
+@query("hot_pages_late", _with(ACCESS, ARRIVAL.replace("FROM sensor", "FROM access"), *PAGE_LATE_SQL) +
+       "SELECT arr, url, ts FROM st WHERE status = 'late' AND NOT regexp_matches(url, '\\.(css|js|png|ico)$')")
+def q_hot_pages_late(spark, d):
+    """The late output of the hot-pages job: rows whose last sliding window is past."""
+    return jobs.hot_pages_with_lateness(_page_arrivals(spark, d), ["arrival_us", "arr"], PAGE_BOUND)[1].select(
+        "arr", "url", "ts")
+
+
+@query("hot_pages_lateness", _with(
+    ACCESS, ARRIVAL.replace("FROM sensor", "FROM access"), *PAGE_LATE_SQL,
+    "kept AS (SELECT url, ts FROM st WHERE status <> 'late')",
+    "agg AS (" + _hop_sql("kept", "url", "10 minutes", "5 seconds", 120,
+                          "WHERE NOT regexp_matches(url, '\\.(css|js|png|ico)$')") + ")") +
+       "SELECT url, window_end, cnt, rn FROM (SELECT url, window_end, cnt, "
+       "CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS rn "
+       "FROM agg) WHERE rn <= 3")
+def q_hot_pages_lateness(spark, d):
+    """The hot pages of the rows that are not late."""
+    return jobs.hot_pages_with_lateness(_page_arrivals(spark, d), ["arrival_us", "arr"], PAGE_BOUND)[0]
 
 
 @query("allowed_lateness", _with(
-    SENSOR, ARRIVAL, WATERMARK, STATUS,
+    SENSOR, ARRIVAL, *LATE_SQL,
     "base AS (SELECT id, end_us, count(*) AS n0, min({'v': temperature, 'a': arr}) AS m0 FROM st "
     "WHERE status = 'on_time' GROUP BY id, end_us)",
     "acc AS (SELECT id, end_us, count(*) OVER w AS k, min({'v': temperature, 'a': arr}) OVER w AS m FROM st "
@@ -658,8 +757,7 @@ def q_late_split(spark, d):
 def q_allowed_lateness(spark, d):
     s = _arrival(_sensor(spark, d))
     return late.lateness_firings_min_by(s, "id", "ts", ["arrival_us", "arr"], "temperature",
-                                        jobs.SENSOR_MIN_BY_WINDOW, jobs.SENSOR_BOUND,
-                                        jobs.SENSOR_LATENESS)
+                                        LATE_WINDOW, LATE_BOUND, LATENESS)
 
 
 # ------------------------------------------------------------- scale checks

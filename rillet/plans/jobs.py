@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.operators.distinct import uv_approx, uv_bitmap, uv_exact, uv_running
-from rillet.operators.ranking import sliding_top_n, top_n, topn_report
+from rillet.operators.late import late_split
+from rillet.operators.ranking import sliding_top_n, top_n, top_n_retract, topn_report
 from rillet.operators.routing import filter_static_assets
 from rillet.operators.windows import hop, hop_count_panes
 
@@ -25,6 +26,7 @@ HOT_ITEMS_SLIDE = "5 minutes"
 HOT_PAGES_N = 3
 HOT_PAGES_SIZE = "10 minutes"
 HOT_PAGES_SLIDE = "5 seconds"
+HOT_PAGES_LATENESS = "1 minute"
 PAGE_VIEW_WINDOW = "1 hour"
 PAGE_VIEW_SALTS = 10
 VISITOR_WINDOW = "1 hour"
@@ -86,8 +88,9 @@ def hot_items_sql(behavior: DataFrame, n: int = HOT_ITEMS_N, behavior_value: str
 def hot_items_sql_panes(behavior: DataFrame, n: int = HOT_ITEMS_N, behavior_value: str = VIEW) -> DataFrame:
     """The pane formulation as one SQL statement: per-(item, pane) counts,
     a REPARTITION hint that spreads them before the 12x expansion, window ends
-    from ``sequence``, a REPARTITION by window end shared by the sum and the
-    ranking.  Same result as :func:`hot_items_sql` without expanding raw rows.
+    from ``sequence``, sums spread by (item, window end), and a ranking of which
+    each task sends its own first n rows only.  Same result as
+    :func:`hot_items_sql` without expanding raw rows.
     """
     from rillet.operators.windows import duration_us
 
@@ -105,14 +108,20 @@ def hot_items_sql_panes(behavior: DataFrame, n: int = HOT_ITEMS_N, behavior_valu
           SELECT item_id, n, explode(sequence(pane + {slide_us}, pane + {size_us}, {slide_us})) AS e
           FROM (SELECT /*+ REPARTITION({parts}) */ * FROM panes)),
         counts AS (
-          SELECT item_id, e, sum(n) AS cnt
-          FROM (SELECT /*+ REPARTITION(e) */ * FROM ends) GROUP BY item_id, e)
+          SELECT item_id, e, sum(n) AS cnt FROM ends GROUP BY item_id, e)
         SELECT item_id, CAST(timestamp_micros(e) AS TIMESTAMP_NTZ) AS window_end, cnt, rn FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY e ORDER BY cnt DESC, item_id) AS rn FROM counts)
         WHERE rn <= :n
         """, args={"behavior": behavior_value, "n": n}, data_table=behavior)
 
 
+def hot_items_retract(behavior: DataFrame, n: int = HOT_ITEMS_N, behavior_value: str = VIEW) -> DataFrame:
+    """The ranking as a retract stream: what the top ``n`` of each window changes as
+    the window's item counts arrive (in item order)."""
+    counts = item_view_counts(behavior, behavior_value).select("item_id", "window_end", "cnt")
+    return top_n_retract(counts, "window_end", "item_id", "cnt", n)
+
+
 def hot_items_report(behavior: DataFrame, n: int = HOT_ITEMS_N, behavior_value: str = VIEW) -> DataFrame:
     """One text block per window: header with the window end, then 'NO i: ...' lines."""
     ranked = hot_items(behavior, n, behavior_value)
@@ -140,6 +149,20 @@ def hot_pages(log: DataFrame, n: int = HOT_PAGES_N, size: str = HOT_PAGES_SIZE,
     return ranked.select("url", "window_end", "cnt", "rn")
 
 
+def hot_pages_with_lateness(log: DataFrame, arrival: list, bound: str, n: int = HOT_PAGES_N,
+                            lateness: str = HOT_PAGES_LATENESS) -> tuple[DataFrame, DataFrame]:
+    """(top n urls per window of the rows that are not late, the late rows).
+
+    A row is late when even the last sliding window that holds it is past by
+    more than ``lateness`` as the row arrives (``arrival``: columns of the
+    arrival order).
+    """
+    pages = filter_static_assets(log, "url")
+    kept, gone = late_split(pages, "ts", arrival, HOT_PAGES_SIZE, bound, lateness, slide=HOT_PAGES_SLIDE)
+    top = sliding_top_n(kept.select("url", "ts"), "url", "ts", HOT_PAGES_SIZE, HOT_PAGES_SLIDE, n)
+    return top, gone
+
+
 def pv_count(behavior: DataFrame, behavior_value: str = VIEW, size: str = PAGE_VIEW_WINDOW) -> DataFrame:
     """Total views per tumbling window: ('pv', window_end, cnt)."""
     return (behavior.where(F.col("behavior") == behavior_value)

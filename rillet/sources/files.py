@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from rillet.schemas import SENSOR_READING, USER_BEHAVIOR
 
 ACCESS_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss"
+# One dialect for all CSV that the library writes and reads back: fields are
+# quoted where they need it, a quote inside is doubled, spaces are kept, an
+# empty string is written as "" and null as \\N (an empty field reads as null,
+# and so does a text that is exactly \\N).
+CSV_OPTIONS = {"header": "false", "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": "\\N",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def from_collection(spark: SparkSession, rows, schema) -> DataFrame:
@@ -30,12 +36,12 @@ def read_csv_table(spark: SparkSession, path: str, schema, view: str | None = No
                    streaming: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """A headerless CSV file with a fixed schema, optionally registered as a view.
 
-    ``quote`` is disabled so a field is exactly the text between commas, like
-    a plain split on ``,``.
+    Reads what :func:`sink_csv` writes; a field without quotes is exactly the
+    text between commas.
     """
     reader = spark.readStream if streaming else spark.read
-    reader = reader.schema(schema).option("header", "false").option("quote", "\u0000") \
-        .option("mode", "FAILFAST")
+    reader = reader.schema(schema).options(**{**CSV_OPTIONS, "emptyValue": "", "multiLine": "true",
+                                              "mode": "FAILFAST"})
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(path)
@@ -44,6 +50,11 @@ def read_csv_table(spark: SparkSession, path: str, schema, view: str | None = No
     return df
 
 
+def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write headerless CSV that :func:`read_csv_table` reads back as it was."""
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+
+
 def _split_fields(value_col: str, sep: str):
     return F.split(F.col(value_col), sep, -1)
 
@@ -74,7 +85,8 @@ def parse_behavior_csv(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def parse_access_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Space-separated access log: fields 0 ip, 1 user, 3 time, 5 method, 6 url.
 
-    The time field is parsed as a UTC wall-clock time (``TIMESTAMP_NTZ``).
+    The time field is parsed as a UTC wall-clock time (``TIMESTAMP_NTZ``); a line
+    that ends before the url has a null url.
     """
     f = _split_fields(value_col, " ")
     keep = [c for c in lines.columns if c != value_col]
@@ -83,7 +95,7 @@ def parse_access_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
                         f[1].alias("user_id"),
                         F.to_timestamp_ntz(f[3], F.lit(ACCESS_TIME_FORMAT)).alias("ts"),
                         f[5].alias("method"),
-                        f[6].alias("url"))
+                        F.get(f, F.lit(6)).alias("url"))
 
 
 def sensor_lines(sensor: DataFrame, keep=("arr",)) -> DataFrame:

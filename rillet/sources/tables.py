@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, chunk_by, running_count
+
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -60,20 +62,24 @@ def behavior_from_events(events: DataFrame) -> DataFrame:
 
 
 def access_log_from_events(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """ApacheLogEvent view: each event requests page ``pmod(props.k, #pages)``.
-
-    The page count is a metadata-only parquet count.  The join is left to
-    Catalyst/AQE: it is broadcast only when the pruned ``(page_id, url)`` side
-    is measured under the broadcast threshold, and otherwise a sort-merge join
-    with AQE skew splitting.  Every event finds its page, so no row is lost.
+    """ApacheLogEvent view: each event requests the page whose place in page_id
+    order is ``pmod(props.k, #pages)``.
+
+    Pages are numbered densely whatever their ids are (a chunked scan over ids,
+    so no task sees them all); an event without ``k`` keeps a null url.  The
+    left join is left to Catalyst/AQE: it is broadcast only when the pruned
+    ``(place, url)`` side is measured under the broadcast threshold, and
+    otherwise a sort-merge join with AQE skew splitting.
     """
-    n_pages = pages.count()
+    listed = pages.where(F.col("page_id").isNotNull()).select("page_id", "url")
+    n_pages = listed.count()
     if n_pages == 0:
         raise ValueError("pages table is empty")
+    numbered = running_count(listed, [], ["page_id", "url"], chunk_by("page_id", DEFAULT_ARRIVAL_CHUNK), "nth")
     ev = events.select(
         "event_id", "ts", "user_id", "event_type",
-        F.pmod(F.get_json_object("props", "$.k").cast("bigint"), F.lit(n_pages)).alias("page_id"))
-    joined = ev.join(pages.select("page_id", "url"), "page_id")
+        F.pmod(F.get_json_object("props", "$.k").cast("bigint"), F.lit(n_pages)).alias("place"))
+    joined = ev.join(numbered.select((F.col("nth") - 1).alias("place"), "url"), "place", "left")
     uid = F.col("user_id")
     return joined.select(
         F.col("event_id").alias("arr"),

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rillet.streaming.sinks import rank_windows_batch
-from rillet.streaming.sources import with_event_time
+from rillet.streaming.sinks import count_first_seen_batch, late_split_batch, rank_windows_batch
+from rillet.streaming.sources import with_event_time, with_processing_time
 
 
 def item_counts_stream(behavior: DataFrame, behavior_value: str = "view", size: str = "1 hour",
@@ -79,17 +79,70 @@ def hot_items_by_timer(behavior: DataFrame, n: int = 5, behavior_value: str = "v
 
 def uv_first_seen(behavior: DataFrame, behavior_value: str = "view", size: str = "1 hour",
                   bound: str = "0 seconds") -> DataFrame:
-    """Per-row visitor emission: ('uv', window_end, arr, count so far) when a
-    visitor's offset is first seen in its window."""
+    """(window_end, arr, offset) when a visitor's offset is first seen in its window.
+
+    State is kept per (window, bucket of offsets), so a busy hour is spread;
+    :func:`rillet.streaming.sinks.count_first_seen_batch` numbers the rows."""
     from rillet.operators.distinct import user_offset
-    from rillet.streaming.stateful import FirstSeenCounter
+    from rillet.streaming.stateful import FIRST_SEEN_BUCKET, FirstSeenOffsets
 
     views = with_event_time(behavior, "ts", bound).where(F.col("behavior") == behavior_value)
-    keyed = views.select(F.window("ts", size).end.alias("window_end"), "ts", "arr",
-                         user_offset(views, "user_id").alias("offset"))
-    return keyed.groupBy("window_end").transformWithStateInPandas(
-        statefulProcessor=FirstSeenCounter(), outputStructType="label string, window_end timestamp, "
-        "arr bigint, cnt bigint", outputMode="Append", timeMode="EventTime")
+    offset = user_offset(views, "user_id")
+    keyed = views.select(F.window("ts", size).end.alias("window_end"), "ts", "arr", offset.alias("offset"),
+                         F.floor(offset / FIRST_SEEN_BUCKET).alias("bucket"))
+    return keyed.groupBy("window_end", "bucket").transformWithStateInPandas(
+        statefulProcessor=FirstSeenOffsets(), outputStructType="window_end timestamp, arr bigint, offset bigint",
+        outputMode="Append", timeMode="EventTime")
+
+
+def start_uv_first_seen(behavior: DataFrame, out_path: str, checkpoint: str, **kw) -> StreamingQuery:
+    """The visitor count after every first sighting: ('uv', window_end, arr, cnt)."""
+    fn = count_first_seen_batch(out_path, checkpoint + "/totals")
+    return (uv_first_seen(behavior, **kw).writeStream.foreachBatch(fn)
+            .option("checkpointLocation", checkpoint + "/query").trigger(availableNow=True).start())
+
+
+def hot_pages_by_timer(log: DataFrame, n: int = 3, size: str = "10 minutes", slide: str = "5 seconds",
+                       bound: str = "1 second", lateness: str = "1 minute") -> DataFrame:
+    """Hot pages as one streaming query: static assets dropped, sliding counts per
+    url, the top ``n`` of a window emitted by an event-time timer.
+
+    The watermark trails by bound + lateness, so rows that are late but accepted
+    count before their windows fire.  Rows behind it would be dropped by Spark;
+    :func:`start_hot_pages` writes them out first.
+    """
+    from rillet.operators.routing import filter_static_assets
+    from rillet.operators.windows import duration_us
+    from rillet.streaming.stateful import TopNOnTimer
+
+    delay = f"{(duration_us(bound) + duration_us(lateness)) // 1000} milliseconds"
+    pages = with_event_time(filter_static_assets(log.select("url", "ts")), "ts", delay)
+    counts = (pages.groupBy("url", F.window("ts", size, slide).alias("w"))
+                   .agg(F.count(F.lit(1)).alias("cnt"))
+                   .select("url", F.col("w.end").alias("window_end"), "cnt", F.window_time("w").alias("wt")))
+    return counts.groupBy("window_end").transformWithStateInPandas(
+        statefulProcessor=TopNOnTimer(n, "url", key_type="string"),
+        outputStructType="url string, window_end timestamp, cnt bigint, rn int",
+        outputMode="Append", timeMode="EventTime")
+
+
+def start_hot_pages_split(log: DataFrame, kept_path: str, late_path: str, checkpoint: str, size: str = "10 minutes",
+                          slide: str = "5 seconds", bound: str = "1 second",
+                          lateness: str = "1 minute") -> StreamingQuery:
+    """The late output of the hot-pages job: rows whose last sliding window is past go
+    to ``late_path``, the others to ``kept_path``, which :func:`hot_pages_by_timer`
+    reads as a stream of files."""
+    fn = late_split_batch("ts", size, bound, lateness, kept_path, late_path, checkpoint + "/state", slide)
+    return (log.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint + "/query")
+            .trigger(availableNow=True).start())
+
+
+def pv_processing_time(behavior: DataFrame, behavior_value: str = "view", size: str = "15 seconds") -> DataFrame:
+    """Views per processing-time window, for update or complete mode: a row counts in
+    the window of the moment at which its micro-batch is handled."""
+    views = with_processing_time(behavior.where(F.col("behavior") == behavior_value))
+    return (views.groupBy(F.window("proc_ts", size).alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
+                 .select(F.lit("pv").alias("label"), F.col("w.end").alias("window_end"), "cnt"))
 
 
 def min_by_window_stream(sensor: DataFrame, size: str = "5 seconds", bound: str = "2 seconds",

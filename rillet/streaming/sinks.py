@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillet.operators.windows import duration_us
-from rillet.session import list_subdirs, path_exists
+from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, chunk_by, running_count
+from rillet.session import delete_path, list_subdirs
 
 
 def _batch_path(root: str, batch_id: int) -> str:
@@ -35,23 +36,23 @@ def rank_windows_batch(n: int, key: str, out_path: str, count: str = "cnt", wind
 
 
 def late_split_batch(ts: str, size: str, bound: str, lateness: str, kept_path: str,
-                     late_path: str, state_path: str):
+                     late_path: str, state_path: str, slide: str | None = None):
     """foreachBatch function that separates late rows before any aggregate.
 
     The watermark of a batch is the max event time of all *earlier* batches
     minus ``bound``.  Each batch stores the running max through itself under
-    its batch id (one row), so a replay sees the same state and a batch reads
-    one earlier state, not all of them.  A row is late when its tumbling window's
-    last instant plus ``lateness`` is not after that watermark; late rows
-    are written to ``late_path`` instead of being silently dropped.
+    its batch id (one row) and drops the states that no replay can need, so the
+    folder holds two or three.  A row is late when the last instant of the last
+    window that holds it (tumbling, or moving by ``slide``) plus ``lateness`` is
+    not after that watermark; late rows are written to ``late_path`` instead of
+    being silently dropped.
     """
+    slide_us = duration_us(slide or size)
     size_us, bound_us, late_us = duration_us(size), duration_us(bound), duration_us(lateness)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
         us = F.unix_micros(F.col(ts).cast("timestamp"))
-        # each batch stores the max event time of all batches up to itself, so
-        # only the newest earlier state is read (constant work per batch)
         earlier = sorted((int(d.split("=")[1]) for d in list_subdirs(spark, state_path)
                           if d.startswith("batch_id=")), reverse=True)
         earlier = [b for b in earlier if b < batch_id]
@@ -60,7 +61,7 @@ def late_split_batch(ts: str, size: str, bound: str, lateness: str, kept_path: s
             row = spark.read.parquet(os.path.join(state_path, f"batch_id={earlier[0]}")).first()
             prev_max = None if row is None else row.max_us
         wm = None if prev_max is None else prev_max - bound_us
-        end = (F.floor(us / size_us) + 1) * size_us
+        end = F.floor(us / slide_us) * slide_us + size_us
         late_cond = F.lit(False) if wm is None else (end - 1 + late_us <= F.lit(wm))
         tagged = batch.withColumn("_late", late_cond).cache()
         tagged.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(
@@ -74,43 +75,88 @@ def late_split_batch(ts: str, size: str, bound: str, lateness: str, kept_path: s
             spark.createDataFrame([(int(cumulative),)], "max_us bigint").write.mode("overwrite") \
                  .parquet(_batch_path(state_path, batch_id))
         tagged.unpersist()
+        for old in earlier[1:]:
+            delete_path(spark, os.path.join(state_path, f"batch_id={old}"))
     return fn
 
 
-def upsert_batch(key: str, order: str, table_path: str, value_cols):
-    """foreachBatch function keeping the latest row per key in a versioned table.
+def upsert_batch(key: str, order: str, table_path: str, value_cols, buckets: int = 64):
+    """foreachBatch function keeping the latest row per key in a bucketed table.
 
-    The batch is reduced to its last row per key (by ``order``), merged with
-    the newest earlier version of the table (batch rows win), and written as
-    version ``batch_id``.  Readers take the highest version.
-
-    Each version is a full copy of the latest-per-key table, which is right
-    for tables of moderate key count; for very large key spaces a table
-    format with MERGE (Delta Lake, Iceberg) is the production choice.
+    The batch is reduced to its last row per key (by ``order``) and merged into
+    the buckets of keys that it touches: their rows are written as version
+    ``batch_id``, all other buckets stay as they are.  Readers take the highest
+    version of each bucket.  Of a touched bucket the version it was made from is
+    kept, so that a replayed batch finds it, and older ones are removed.
     """
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         latest = batch.groupBy(key).agg(
-            *[F.max_by(c, order).alias(c) for c in value_cols], F.max(order).alias(order))
-        prev = read_latest_version(spark, table_path, before=batch_id)
-        if prev is not None:
-            merged = (prev.join(latest.select(key), key, "left_anti")
-                          .unionByName(latest))
-        else:
-            merged = latest
-        merged.write.mode("overwrite").parquet(os.path.join(table_path, f"v={batch_id:012d}"))
+            *[F.max_by(c, order).alias(c) for c in value_cols], F.max(order).alias(order)).withColumn(
+            "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).cache()
+        touched = [r.bucket for r in latest.select("bucket").distinct().collect()]  # `buckets` at most
+        before = _bucket_versions(spark, table_path, batch_id)
+        used = {b: before[b][0] for b in touched if b in before}
+        merged = latest
+        if used:
+            old = spark.read.parquet(*[_bucket_path(table_path, v, b) for b, v in used.items()])
+            old = old.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+            merged = old.join(latest.select(key), key, "left_anti").unionByName(latest)
+        (merged.write.mode("overwrite").partitionBy("bucket")
+               .parquet(os.path.join(table_path, f"v={batch_id:012d}")))
+        latest.unpersist()
+        for b in used:
+            for v in before[b][1:]:
+                delete_path(spark, _bucket_path(table_path, v, b))
     return fn
 
 
+def _bucket_path(table_path: str, version: str, bucket: int) -> str:
+    return os.path.join(table_path, version, f"bucket={bucket}")
+
+
+def _bucket_versions(spark: SparkSession, table_path: str, before: int | None = None) -> dict[int, list[str]]:
+    """The versions of each bucket, newest first."""
+    found: dict[int, list[str]] = {}
+    for v in sorted((d for d in list_subdirs(spark, table_path) if d.startswith("v=")), reverse=True):
+        if before is None or int(v[2:]) < before:
+            for d in list_subdirs(spark, os.path.join(table_path, v)):
+                if d.startswith("bucket="):
+                    found.setdefault(int(d[7:]), []).append(v)
+    return found
+
+
 def read_latest_version(spark: SparkSession, table_path: str, before: int | None = None):
-    if not path_exists(spark, table_path):
-        return None
-    versions = [d for d in list_subdirs(spark, table_path) if d.startswith("v=")]
-    if before is not None:
-        versions = [v for v in versions if int(v[2:]) < before]
-    if not versions:
-        return None
-    return spark.read.parquet(os.path.join(table_path, versions[-1]))
+    """The table of :func:`upsert_batch`, or None before its first version."""
+    newest = {b: v[0] for b, v in _bucket_versions(spark, table_path, before).items()}
+    return spark.read.parquet(*[_bucket_path(table_path, v, b) for b, v in newest.items()]) if newest else None
+
+
+def count_first_seen_batch(out_path: str, totals_path: str, label: str = "uv"):
+    """foreachBatch function that numbers first-seen visitors per window.
+
+    Rows (window_end, arr) of a batch are counted on from the totals that the
+    batch before left, by a chunked scan, and written under the batch id; the
+    totals, a row per window, are stored likewise.
+    """
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = sorted((int(d.split("=")[1]) for d in list_subdirs(spark, totals_path)), reverse=True)
+        earlier = [b for b in earlier if b < batch_id]
+        totals = (spark.read.parquet(_batch_path(totals_path, earlier[0])) if earlier
+                  else spark.createDataFrame([], "window_end timestamp, n bigint"))
+        counted = running_count(batch.select("window_end", "arr"), ["window_end"], ["arr"],
+                                chunk_by("arr", DEFAULT_ARRIVAL_CHUNK))
+        (counted.join(totals, "window_end", "left")
+                .select(F.lit(label).alias("label"), "window_end", "arr",
+                        (F.col("cnt") + F.coalesce("n", F.lit(0))).alias("cnt"))
+                .write.mode("overwrite").parquet(_batch_path(out_path, batch_id)))
+        more = batch.groupBy("window_end").agg(F.count(F.lit(1)).alias("n"))
+        (totals.unionByName(more).groupBy("window_end").agg(F.sum("n").alias("n"))
+               .write.mode("overwrite").parquet(_batch_path(totals_path, batch_id)))
+        for old in earlier[1:]:
+            delete_path(spark, _batch_path(totals_path, old))
+    return fn
 
 
 def console(df: DataFrame, label: str | None = None, n: int = 20):

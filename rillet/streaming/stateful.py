@@ -7,6 +7,7 @@ carried from earlier batches, emits one pandas frame, and updates the state.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
+# Offsets that share one bitmap of state.
+FIRST_SEEN_BUCKET = 1 << 15
+
+
 def _frame(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     parts = list(rows)
     df = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
@@ -107,32 +112,96 @@ class CountWindowAvg(StatefulProcessor):
         pass
 
 
+class RollingMaxBy(StatefulProcessor):
+    """``maxBy(value)``: for each row the record of its key's largest value so far;
+    the earliest stays on ties, null values never win."""
+
+    def __init__(self, fields: list[str], key: str = "id", order: str = "arr", value: str = "temperature"):
+        self.fields, self.key, self.order, self.value = list(fields), key, order, value
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", "v double, record string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _frame(rows, self.order)
+        v, record = self.best.get() if self.best.exists() else (None, None)
+        vals = df[self.value].to_numpy("float64")
+        vals = np.where(np.isnan(vals), -np.inf, vals)
+        before = -np.inf if v is None else v
+        top = np.maximum(np.maximum.accumulate(vals), before)
+        # A row takes over where it exceeds all before it.
+        takes = vals > np.concatenate(([before], top[:-1]))
+        holder = np.maximum.accumulate(np.where(takes, np.arange(len(vals)), -1))
+        old = pd.DataFrame([json.loads(record)] if record else [], columns=self.fields)
+        pool = pd.concat([df[self.fields], old], ignore_index=True) if record else df[self.fields]
+        none = holder < 0
+        out = pool.iloc[np.where(none, len(pool) - 1, holder)].reset_index(drop=True)
+        if record is None:
+            out = out.mask(pd.Series(none), axis=0)
+        if not none[-1]:
+            self.best.update((float(top[-1]), df[self.fields].iloc[[holder[-1]]].to_json(orient="records")[1:-1]))
+        out.columns = [f"max_{f}" for f in self.fields]
+        out.insert(0, self.order, df[self.order])
+        out.insert(0, self.key, df[self.key])
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+class RollingReduce(StatefulProcessor):
+    """``reduce((cur, new) -> (id, new.ts, max(cur.v, new.v)))`` per row."""
+
+    def __init__(self, key: str = "id", order: str = "arr", ts: str = "ts_sec", value: str = "temperature"):
+        self.key, self.order, self.ts, self.value = key, order, ts, value
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.most = handle.getValueState("most", "v double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _frame(rows, self.order)
+        before = self.most.get()[0] if self.most.exists() else np.nan
+        vals = df[self.value].to_numpy("float64")
+        top = np.fmax.accumulate(np.concatenate(([before], vals)))[1:]
+        if not np.isnan(top[-1]):
+            self.most.update((float(top[-1]),))
+        yield pd.DataFrame({self.key: df[self.key], self.order: df[self.order], self.ts: df[self.ts],
+                            f"max_{self.value}": top})
+
+    def close(self) -> None:
+        pass
+
+
 class RetractChangelog(StatefulProcessor):
-    """Grouped count/avg as a retract stream: (false, old) then (true, new)."""
+    """Grouped count/avg as a retract stream: (false, old) then (true, new).
+
+    The mean is over non-null values, null before a key's first."""
 
     def __init__(self, key: str = "id", order: str = "arr", value: str = "temperature"):
         self.key, self.order, self.value = key, order, value
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "n bigint, s double")
+        self.acc = handle.getValueState("acc", "n bigint, m bigint, s double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _frame(rows, self.order)
-        n0, s0 = self.acc.get() if self.acc.exists() else (0, 0.0)
+        n0, m0, s0 = self.acc.get() if self.acc.exists() else (0, 0, 0.0)
         vals = df[self.value].to_numpy("float64")
-        cnt = n0 + np.arange(1, len(vals) + 1, dtype="int64")
-        total = s0 + np.cumsum(vals)  # sequential, as the per-record accumulator adds
-        avg = total / cnt
+        there = ~np.isnan(vals)
+        rows_seen = n0 + np.arange(len(vals) + 1, dtype="int64")  # before each row, and after the last
+        m = m0 + np.concatenate(([0], np.cumsum(there)))
+        total = s0 + np.concatenate(([0.0], np.cumsum(np.where(there, vals, 0.0))))
+        avg = np.where(m > 0, total / np.maximum(m, 1), np.nan)
+        cnt = np.zeros_like(rows_seen) if key[0] is None else rows_seen  # count(key)
         arr = df[self.order].to_numpy("int64")
-        adds = pd.DataFrame({"is_add": True, self.key: key[0], self.order: arr, "cnt": cnt,
-                             "avg_value": avg})
-        prev_cnt = np.concatenate([[n0], cnt[:-1]])
-        prev_avg = np.concatenate([[s0 / n0 if n0 else np.nan], avg[:-1]])
-        keep = prev_cnt > 0
-        rets = pd.DataFrame({"is_add": False, self.key: key[0], self.order: arr[keep],
-                             "cnt": prev_cnt[keep], "avg_value": prev_avg[keep]})
-        self.acc.update((int(cnt[-1]), float(total[-1])))
-        yield pd.concat([rets, adds], ignore_index=True)
+        adds = pd.DataFrame({"is_add": True, self.key: key[0], self.order: arr, "cnt": cnt[1:], "avg_value": avg[1:]})
+        keep = rows_seen[:-1] > 0
+        rets = pd.DataFrame({"is_add": False, self.key: key[0], self.order: arr[keep], "cnt": cnt[:-1][keep],
+                             "avg_value": avg[:-1][keep]})
+        self.acc.update((int(rows_seen[-1]), int(m[-1]), float(total[-1])))
+        out = pd.concat([rets, adds], ignore_index=True)
+        out["avg_value"] = out["avg_value"].astype(object).where(out["avg_value"].notna(), None)
+        yield out
 
     def close(self) -> None:
         pass
@@ -142,6 +211,7 @@ OUTPUTS = {
     RunningCount: "id string, arr bigint, cnt bigint",
     TempJumpAlert: "id string, arr bigint, last_value double, cur_value double",
     CountWindowAvg: "id string, seq bigint, avg_value double",
+    RollingReduce: "id string, arr bigint, ts_sec bigint, max_temperature double",
     RetractChangelog: "is_add boolean, id string, arr bigint, cnt bigint, avg_value double",
 }
 
@@ -165,72 +235,72 @@ def _ms(ts) -> int:
 class TopNOnTimer(StatefulProcessor):
     """Top-N per window end, fired by an event-time timer.
 
-    Keyed by window end: every windowed count is appended to list state and a
-    timer is set at the window end; when the watermark passes it, the list
-    is ranked (count desc, key asc), the first n rows are emitted and the
-    state is cleared.  Runs with time mode ``EventTime`` after an
-    append-mode windowed aggregate whose ``window_time`` column carries the
+    Keyed by window end: of the windowed counts that arrive only the best ``n``
+    so far are kept (list state of n rows, however many keys a window has) and
+    a timer is set at the window end; when the watermark passes it, they are
+    emitted in order (count desc, key asc) and the state is cleared.  Runs with
+    time mode ``EventTime`` after an append-mode windowed aggregate, which
+    gives each key's count once, whose ``window_time`` column carries the
     watermark.
     """
 
-    def __init__(self, n: int = 5, key: str = "item_id", count: str = "cnt"):
-        self.n, self.key, self.count = n, key, count
+    def __init__(self, n: int = 5, key: str = "item_id", count: str = "cnt", key_type: str = "bigint"):
+        self.n, self.key, self.count, self.key_type = n, key, count, key_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.items = handle.getListState("items", f"{self.key} bigint, {self.count} bigint")
+        self.items = handle.getListState("items", f"{self.key} {self.key_type}, {self.count} bigint")
+
+    def _best(self, df: pd.DataFrame) -> pd.DataFrame:
+        return df.sort_values([self.count, self.key], ascending=[False, True]).head(self.n)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = pd.concat(list(rows), ignore_index=True)
-        self.items.appendList([(int(k), int(c)) for k, c in zip(df[self.key], df[self.count])])
+        best = pd.DataFrame(list(self.items.get()) if self.items.exists() else [], columns=[self.key, self.count])
+        for df in rows:
+            best = self._best(pd.concat([best, df[[self.key, self.count]]]) if len(best) else df)
+        self.items.put([(k, int(c)) for k, c in zip(best[self.key].tolist(), best[self.count])])
         self.handle.registerTimer(_ms(key[0]))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        items = pd.DataFrame(list(self.items.get()), columns=[self.key, self.count])
+        top = self._best(pd.DataFrame(list(self.items.get()), columns=[self.key, self.count]))
         self.items.clear()
-        top = items.sort_values([self.count, self.key], ascending=[False, True]).head(self.n)
-        yield pd.DataFrame({self.key: top[self.key].astype("int64"), "window_end": key[0],
-                            self.count: top[self.count].astype("int64"),
+        yield pd.DataFrame({self.key: top[self.key].to_numpy(), "window_end": key[0],
+                            self.count: top[self.count].astype("int64").to_numpy(),
                             "rn": np.arange(1, len(top) + 1, dtype="int32")})
 
     def close(self) -> None:
         pass
 
 
-class FirstSeenCounter(StatefulProcessor):
-    """Per window: emit the running distinct count each time a new visitor
-    offset shows up (map state of seen offsets); state is dropped by a
-    timer once the watermark passes the window end."""
-
-    def __init__(self, label: str = "uv"):
-        self.label = label
+class FirstSeenOffsets(StatefulProcessor):
+    """Keyed by (window, bucket of offsets): emit a row the first time an offset is
+    seen.  A bucket's state is one bitmap of 64-bit words, so a busy window is
+    many keys' work, and a batch is one vectorised step; a timer drops the
+    state once the watermark passes the window end."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "off bigint", "arr bigint")
-        self.count = handle.getValueState("count", "n bigint")
+        self.bits = handle.getValueState("bits", "bits binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        bits = np.frombuffer(self.bits.get()[0], dtype=np.uint8).copy() if self.bits.exists() else np.zeros(
+            FIRST_SEEN_BUCKET // 8, dtype=np.uint8)
         df = _frame(rows, "arr").drop_duplicates("offset", keep="first")
-        n = self.count.get()[0] if self.count.exists() else 0
-        out_arr, out_cnt = [], []
-        for off, arr in zip(df["offset"], df["arr"]):
-            if not self.seen.containsKey((int(off),)):
-                self.seen.updateValue((int(off),), (int(arr),))
-                n += 1
-                out_arr.append(int(arr))
-                out_cnt.append(n)
-        self.count.update((n,))
+        place = (df["offset"] % FIRST_SEEN_BUCKET).to_numpy()
+        fresh = (bits[place >> 3] >> (place & 7) & 1) == 0
+        np.bitwise_or.at(bits, place[fresh] >> 3, (1 << (place[fresh] & 7)).astype(np.uint8))
+        self.bits.update((bits.tobytes(),))
         self.handle.registerTimer(_ms(key[0]))
-        yield pd.DataFrame({"label": self.label, "window_end": key[0],
-                            "arr": pd.Series(out_arr, dtype="int64"),
-                            "cnt": pd.Series(out_cnt, dtype="int64")})
+        new = df[fresh]
+        yield pd.DataFrame({"window_end": key[0], "arr": new["arr"].astype("int64").to_numpy(),
+                            "offset": new["offset"].astype("int64").to_numpy()})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        self.count.clear()
+        self.bits.clear()
         return iter([])
 
     def close(self) -> None:
         pass
+
+

@@ -4,18 +4,19 @@ from pyspark.sql import functions as F
 
 from rillet.sources.files import parse_sensor_csv
 
+# Invented readings; expectations in test_fixtures.py are worked out by hand.
 SENSOR_LINES = [
-    "sensor_1,1547718199,35.8",
-    "sensor_6,1547718201,15.4",
-    "sensor_7,1547718202,6.7",
-    "sensor_10,1547718205,38.1",
-    "sensor_1,1547718207,36.3",
-    "sensor_1,1547718209,32.8",
-    "sensor_1,1547718212,37.1",
+    "probe_2,1700000004,21.5",
+    "probe_9,1700000006,48.25",
+    "probe_2,1700000011,19.0",
+    "probe_20,1700000012,30.5",
+    "probe_2,1700000013,33.75",
+    "probe_9,1700000029,44.0",
+    "probe_2,1700000031,26.75",
+    "probe_4,1700000033,12.0",
 ]
 
-HELLO_LINES = ["hello world", "hello flink", "hello spark", "hello scala",
-               "how are you", "fine thank you", "and you"]
+TEXT_LINES = ["red blue", "blue green blue", "one", "two red", ""]
 
 
 def sensor_lines(spark):
@@ -24,14 +25,10 @@ def sensor_lines(spark):
 
 
 def sensor(spark):
-    """Parsed readings with arrival index ``arr`` (1..7) and event time ``ts``."""
+    """Parsed readings with arrival index ``arr`` (1..8) and event time ``ts``."""
     return (parse_sensor_csv(sensor_lines(spark))
             .withColumn("ts", F.timestamp_seconds("ts_sec").cast("timestamp_ntz")))
 
 
 def rows(df, *cols):
     return [tuple(r[c] for c in cols) for r in df.collect()]
-
-
-def last3(ts_sec):
-    return ts_sec % 1000

@@ -128,9 +128,7 @@ def test_hot_key_is_split_and_exact(spark):
     width = 256
     got = keyed_scan(df, ["key"], ["arr"], chunk_by("arr", width),
                      running={"c": ("count", F.lit(1)), "m": ("max", F.col("v"))},
-                     lags={"p": F.col("v")}, keep_chunk=True)
-    hot_chunks = got.where("key = 'hot'").select("_chunk").distinct().count()
-    assert hot_chunks == (n + width - 1) // width
+                     lags={"p": F.col("v")})
     w = Window.partitionBy("key").orderBy("arr")
     plain = df.select("key", "arr", F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c"),
                       F.max("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"),
@@ -145,3 +143,176 @@ def test_uv_approx_close_to_exact(spark):
     approx = {r.window_end: r.cnt for r in jobs.unique_visitors(beh, how="approx").collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - v) <= max(1, 0.05 * v) for k, v in exact.items())
+
+
+@pytest.mark.parametrize("fan", [None, 3, 64])
+def test_scan_of_one_hot_key_over_thousands_of_chunks(spark, fan):
+    n = 6000
+    df = spark.range(n).select(F.col("id").alias("arr"), F.lit("hot").alias("key"),
+                               ((F.col("id") * 37) % 101).cast("double").alias("v")).repartition(5)
+    got = keyed_scan(df, ["key"], ["arr"], chunk_by("arr", 2), fan=fan,
+                     running={"c": ("count", F.lit(1)), "s": ("sum", F.col("v")), "m": ("max", F.col("v")),
+                              "l": ("min", F.col("v")), "s0": ("sum", F.col("v"), True)}, lags={"p": F.col("v")})
+    w = Window.partitionBy("key").orderBy("arr")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.select("key", "arr", F.count(F.lit(1)).over(upto).alias("c"), F.sum("v").over(upto).alias("s"),
+                      F.max("v").over(upto).alias("m"), F.min("v").over(upto).alias("l"), F.lag("v").over(w).alias("p"),
+                      F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("s0"))
+    cols = ["key", "arr", "c", "s", "m", "l", "p", "s0"]
+    assert _set(got, cols) == _set(plain, cols)
+
+
+def test_scan_reads_its_source_once(spark):
+    from tests.conftest import SF001
+    out = running.keyed_running_count(catalog._sensor(spark, SF001), "id", "arr")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_scans_keep_rows_without_order_or_key(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", None, 2.0), (None, 4, 3.0), ("a", 9, None)],
+                               "id string, arr bigint, temperature double")
+    assert running.keyed_running_count(df, "id", "arr").count() == 4
+    assert running.global_running_count(df, "arr").count() == 4
+    assert running.rolling_reduce(df.withColumn("ts_sec", F.lit(0)), "id", "arr", "ts_sec", "temperature").count() == 4
+    got = {(r.id, r.arr): r.max_temperature for r in
+           running.rolling_max_by(df, "id", "arr", "temperature", ["temperature"]).collect()}
+    assert len(got) == 4 and got["a", 9] == 2.0
+    changes = running.retract_changelog(df, "id", "arr", "temperature")
+    assert changes.where("is_add").count() == 4 and changes.where("not is_add").count() == 2
+
+
+def test_retract_mean_skips_nulls(spark):
+    df = spark.createDataFrame([("a", 1, 10.0), ("a", 2, None), ("a", 3, 20.0), ("b", 4, None)],
+                               "id string, arr bigint, temperature double")
+    got = sorted(running.retract_changelog(df, "id", "arr", "temperature").collect(), key=lambda r: (r.arr, r.is_add))
+    assert [(r.arr, r.is_add, r.cnt, r.avg_value) for r in got] == [
+        (1, True, 1, 10.0), (2, False, 1, 10.0), (2, True, 2, 10.0), (3, False, 2, 10.0), (3, True, 3, 15.0),
+        (4, True, 1, None)]
+    last = running.group_count_avg(df, "id", "temperature").where("id = 'a'").first()
+    assert (last.cnt, last.avg_value) == (3, 15.0)
+
+
+def test_means_are_not_rounded_first(spark):
+    from rillet.functions.udfs import avg_temp, avg_temp_sql, register_avg_temp
+    df = spark.createDataFrame([("a", 0.00004), ("a", 0.00003), ("a", None)], "id string, v double")
+    assert abs(df.groupBy("id").agg(avg_temp("v").alias("m")).first().m - 3.5e-5) < 1e-18
+    register_avg_temp(spark)
+    for mean in ("avg_temp(v)", avg_temp_sql("v")):
+        got = spark.sql(f"SELECT {mean} AS m FROM {{t}} GROUP BY id", t=df).first().m
+        assert abs(got - 3.5e-5) < 1e-18
+
+
+def test_fixed_digits_of_any_number(spark):
+    import math
+
+    from rillet.functions.numeric import fixed_digits
+    values = [1e14, -1e300, float("inf"), float("nan"), 0.5e-6, -1.2345675, 2.0000005, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.g for r in df.select(fixed_digits(F.col("v")).alias("g")).collect()]
+    assert got[:3] == values[:3] and math.isnan(got[3]) and got[7] is None
+    assert got[4] == 1e-6 and abs(got[5] + 1.234567) < 1e-12 and abs(got[6] - 2.000001) < 1e-9
+
+
+def test_access_log_keeps_every_event(spark):
+    import datetime as dt
+
+    from rillet.sources.files import parse_access_log
+    from rillet.sources.tables import access_log_from_events, access_log_lines
+    ts = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame([(i, ts, 7, "view", f'{{"k": {i}}}' if i else "{}") for i in range(7)],
+                                   "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string")
+    pages = spark.createDataFrame([(0, "/a"), (2, "/c"), (3, "/d"), (None, "/x"), (2, "/b")], "page_id bigint, url string")
+    log = access_log_from_events(events, pages)
+    got = {r.arr: r.url for r in log.collect()}
+    order = ["/a", "/b", "/c", "/d"]
+    assert got == {0: None, **{i: order[i % 4] for i in range(1, 7)}}
+    assert {r.arr: r.url for r in parse_access_log(access_log_lines(log)).collect()} == got
+
+
+def test_windows_hold_several_rows(spark):
+    """The registered queries exercise their operators: groups of many rows, refirings, dropped assets."""
+    from tests.conftest import SF001
+    q = {name: catalog.QUERIES[name](spark, SF001) for name in
+         ("tumble_count", "tumble_count_full", "tumble_count_avg", "session_count", "allowed_lateness",
+          "filter_static_assets", "late_split", "hot_pages_late")}
+    assert q["tumble_count"].where("cnt > 1").count() > 1000
+    assert q["tumble_count_full"].where("size > 2").count() > 500
+    assert q["tumble_count_avg"].where("cnt > 1").count() > 1000
+    assert q["session_count"].where("cnt > 1").count() > 1000
+    assert q["allowed_lateness"].where("fire_seq >= 1 and cnt > 1").count() > 10
+    assert 2000 < q["filter_static_assets"].count() < 8000
+    assert q["late_split"].select("status").distinct().count() == 3
+    assert q["hot_pages_late"].count() > 100
+
+
+def test_top_n_thins_before_the_window_shuffle(spark):
+    from rillet.operators.ranking import sliding_top_n
+    out = sliding_top_n(catalog._behavior(spark, SF0001), "item_id", "ts", "1 hour", "5 minutes", 5)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    final, partial = plan.index("WindowGroupLimit"), plan.rindex("WindowGroupLimit")
+    assert "Partial" in plan[partial:partial + 400] and "Exchange" in plan[final:partial]
+
+
+def test_retract_stream_replays_to_the_ranking(spark):
+    """Applying the changes in order leaves each window's final top."""
+    changes = catalog.QUERIES["hot_items_retract"](spark, SF0001).collect()
+    state = {}
+    for r in sorted(changes, key=lambda r: (r.window_end, r.cause, r.rn, r.is_add)):
+        if not r.is_add:
+            assert state.get((r.window_end, r.rn)) == (r.item_id, r.cnt)
+        else:
+            state[r.window_end, r.rn] = (r.item_id, r.cnt)
+    want = {(r.window_end, r.rn): (r.item_id, r.cnt) for r in catalog.QUERIES["hot_items_topn"](spark, SF0001).collect()}
+    assert state == want
+
+
+def test_csv_round_trips(spark, tmp_path):
+    from rillet.sources.files import read_csv_table, sink_csv
+    from rillet.sources.kafka import kafka_csv_decode, kafka_csv_encode
+    rows = [("a,b", 1.0), ('say "x"', None), (" s ", 2.5), ("", 3.0), (None, 4.0), ("'", -1.0), ("a\\b", 0.0),
+            ('"', 1.0), ("\u00e9", 2.0), (",", None)]
+    df = spark.createDataFrame(rows, "id string, temperature double")
+    sink_csv(df, str(tmp_path / "t"))
+    assert sorted(map(repr, read_csv_table(spark, str(tmp_path / "t"), df.schema).collect())) == sorted(
+        map(repr, df.collect()))
+    back = kafka_csv_decode(kafka_csv_encode(df, ["id", "temperature"], key="id"), "id string, temperature double")
+    assert sorted(repr((r.id, r.temperature)) for r in back.collect()) == sorted(map(repr, rows))
+    plain = kafka_csv_encode(df.limit(1).select(F.lit("x").alias("id"), F.lit(1.5).alias("temperature")), ["id", "temperature"])
+    assert bytes(plain.first().value) == b"x,1.5"
+
+
+def test_late_rows_of_sliding_windows(spark):
+    """A row is late only when the last window that holds it is past."""
+    rows = [(1, 0), (2, 100), (3, 1000), (4, 700), (5, 399), (6, 340), (7, 335), (8, 330)]
+    df = spark.createDataFrame(rows, "arr bigint, s bigint").select(
+        "arr", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
+    got = {r.arr: r.status for r in late.classify_lateness(
+        df, "ts", ["arr"], "10 minutes", "1 second", "1 minute", slide="5 seconds").collect()}
+    # The watermark is 999 s from the fourth row on; the last window of second t ends at t - t % 5 + 600.
+    assert got == {1: "on_time", 2: "on_time", 3: "on_time", 4: "on_time", 5: "late_accepted", 6: "late_accepted",
+                   7: "late", 8: "late"}
+
+
+def test_partition_setup_closes_after_an_error(spark, tmp_path):
+    from rillet.operators.routing import map_partitions_with_setup
+
+    def each(context, frame):
+        raise ValueError("no")
+
+    def close(context):
+        open(str(tmp_path / f"closed-{context}"), "w").close()
+
+    with pytest.raises(Exception):
+        map_partitions_with_setup(spark.range(4, numPartitions=2), lambda i: i, each, close, "id bigint").collect()
+    assert list(tmp_path.iterdir())
+
+
+def test_bitmap_counts_equal_distinct_offsets(spark):
+    beh = catalog._behavior(spark, SF0001)
+    out = jobs.unique_visitors(beh, how="bitmap")
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    exact = {r.window_end: r.cnt for r in jobs.unique_visitors(beh, how="exact").collect()}
+    assert {r.window_end: r.cnt for r in out.collect()} == exact
