@@ -102,22 +102,17 @@ def lateness_firings_min_by(df: DataFrame, key: str, ts: str, arrival: list, val
     on_time = F.col("status") == ON_TIME
     # The watermark only grows along arrival order, so every on-time row of a
     # window arrives before its first accepted late row: one running scan over
-    # the kept rows gives each refire (window content = on-time rows + the
-    # accepted rows so far) without joining the initial aggregate back.
+    # the kept rows gives the initial firing, at the last on-time row, and each
+    # refire (on-time rows + the accepted rows so far).
     kept = tagged.where(F.col("status") != LATE)
     run = keyed_scan(kept, [key, "_end_us"], [F.col(a) for a in arrival], arrival_chunk(kept, arrival[0]),
                      running={"n": ("count", F.lit(1)),
                               "n_on": ("sum", on_time.cast("bigint")),
-                              "m": ("min", rec)})
-    refires = (run.where(F.col("status") == ACCEPTED)
-                  .select(key, "_end_us",
-                          (F.col("n") - F.col("n_on") - F.when(F.col("n_on") == 0, 1).otherwise(0))
-                          .alias("fire_seq"),
-                          F.col("n").alias("cnt"), "m"))
-    initial = (tagged.where(on_time).groupBy(key, "_end_us")
-                     .agg(F.lit(0).cast("bigint").alias("fire_seq"), F.count(F.lit(1)).alias("cnt"),
-                          F.min(rec).alias("m")))
-    out = initial.unionByName(refires)
+                              "m": ("min", rec)},
+                     overall={"all_on": ("sum", on_time.cast("bigint"))})
+    fires = run.where(~on_time | (F.col("n_on") == F.col("all_on")))
+    seq = F.when(on_time, 0).otherwise(F.col("n") - F.col("n_on") - F.when(F.col("n_on") == 0, 1).otherwise(0))
+    out = fires.select(key, "_end_us", seq.cast("bigint").alias("fire_seq"), F.col("n").alias("cnt"), "m")
     end_ts = F.timestamp_micros(F.col("_end_us"))
     if like == "timestamp_ntz":
         end_ts = end_ts.cast("timestamp_ntz")

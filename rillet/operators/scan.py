@@ -92,9 +92,15 @@ def _shared_shuffle(df: DataFrame, part: list[str]) -> DataFrame:
     return df.select(*part, F.inline(F.array(F.struct(*rest))))
 
 
-def _prefix(totals: DataFrame, keys: list[str], chunk: str, fns: dict, lags: list, fan: int | None) -> DataFrame:
+def _prefix(totals: DataFrame, keys: list[str], chunk: str, fns: dict, lags: list, fan: int | None,
+            whole: dict) -> DataFrame:
     """keys, chunk and, per running aggregate, the combination of all earlier chunks'
-    totals (``_o_``); per lag, the last value of the latest earlier chunk (``_p_``)."""
+    totals (``_o_``); per lag, the last value of the latest earlier chunk (``_p_``);
+    per overall aggregate, the combination of all chunks' totals (``_a_``)."""
+    def all_of(by: list[str]) -> list[Column]:
+        w = Window.partitionBy(*by).orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return [_COMBINE[fn](f"_t_{n}").over(w).alias(f"_a_{n}") for n, fn in whole.items()]
+
     def offsets(t: DataFrame, by: list[str], order: str) -> list[Column]:
         w = Window.partitionBy(*by).orderBy(order)
         prior = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -102,13 +108,14 @@ def _prefix(totals: DataFrame, keys: list[str], chunk: str, fns: dict, lags: lis
                 + [F.lag(f"_e_{n}").over(w).alias(f"_p_{n}") for n in lags])
 
     if fan is None:
-        return totals.select(*keys, chunk, *offsets(totals, keys, chunk))
+        return totals.select(*keys, chunk, *offsets(totals, keys, chunk), *all_of(keys))
     wide = totals.withColumn("_span", F.floor(F.col(chunk) / fan))
     inner = wide.select(*keys, chunk, "_span", *offsets(wide, [*keys, "_span"], chunk))
     spans = wide.groupBy(*keys, "_span").agg(
-        *[_COMBINE[fn](f"_t_{n}").alias(f"_t_{n}") for n, fn in fns.items()],
+        *[_COMBINE[fn](f"_t_{n}").alias(f"_t_{n}") for n, fn in {**fns, **whole}.items()],
         *[F.max_by(f"_e_{n}", chunk).alias(f"_e_{n}") for n in lags])
-    outer = spans.select(*keys, "_span", *[c.alias(f"_s{i}") for i, c in enumerate(offsets(spans, keys, "_span"))])
+    outer = spans.select(*keys, "_span", *[c.alias(f"_s{i}") for i, c in enumerate(offsets(spans, keys, "_span"))],
+                         *all_of(keys))
     both = inner.join(outer, [*keys, "_span"])
     out = []
     for i, n in enumerate([*fns, *lags]):
@@ -119,14 +126,16 @@ def _prefix(totals: DataFrame, keys: list[str], chunk: str, fns: dict, lags: lis
             out.append(merged.alias(f"_o_{n}"))
         else:
             out.append(F.coalesce(f"_p_{n}", f"_s{i}").alias(f"_p_{n}"))
-    return both.select(*keys, chunk, *out)
+    return both.select(*keys, chunk, *out, *[f"_a_{n}" for n in whole])
 
 
 def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
                running: dict | None = None, lags: dict | None = None,
-               exclusive: bool = False, fan: int | None = None) -> DataFrame:
+               exclusive: bool = False, fan: int | None = None, overall: dict | None = None) -> DataFrame:
     """Add running aggregates / lags per key in ``order``.
 
+    ``overall``: ``{out: (fn, column)}`` over all rows of the key, from the same totals.
+
     ``running``: ``{out: (fn, column)}`` with fn in count/sum/max/min, over all
     earlier rows of the key and the row itself (``exclusive``, or a third item
     True for one output, drops the row).
@@ -139,6 +148,7 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
     order = [_c(o) for o in (order if isinstance(order, (list, tuple)) else [order])]
     running = running or {}
     lags = lags or {}
+    overall = overall or {}
     if chunk is None:
         raise ValueError("keyed_scan needs a chunk column")
     # a null order has a chunk of its own, before all others
@@ -159,12 +169,13 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
         for name, c in lags.items():
             local = local.withColumn(f"_lag_{name}", F.lag(_c(c)).over(w))
 
-    tot_exprs = [_AGG[fn](_c(c)).alias(f"_t_{name}") for name, (fn, c, *_) in running.items()]
+    tot_exprs = [_AGG[fn](_c(c)).alias(f"_t_{name}") for name, (fn, c, *_) in {**running, **overall}.items()]
     tot_exprs += [F.max_by(F.struct(_c(c).alias("x")), F.struct(*(F.struct(o.isNotNull(), o) for o in order)))
                   .alias(f"_e_{name}") for name, c in lags.items()]
     totals = df.groupBy(*part).agg(*tot_exprs)
     fns = {name: fn for name, (fn, *_) in running.items()}
-    offsets = _prefix(totals, gkeys, CHUNK, fns, list(lags), fan)
+    whole = {name: fn for name, (fn, _) in overall.items()}
+    offsets = _prefix(totals, gkeys, CHUNK, fns, list(lags), fan, whole)
 
     if sur is not None:
         # plain equi-join on the columns the window is partitioned by
@@ -192,7 +203,9 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
     for name in lags:
         out = out.withColumn(name, F.when(F.col("_first"), F.col(f"_p_{name}.x"))
                              .otherwise(F.col(f"_lag_{name}")))
-    drop = [c for c in out.columns if c.startswith(("_l_", "_o_", "_lag_", "_p_", "_k_"))]
+    for name in whole:
+        out = out.withColumn(name, F.col(f"_a_{name}"))
+    drop = [c for c in out.columns if c.startswith(("_l_", "_o_", "_lag_", "_p_", "_k_", "_a_"))]
     drop += ["_first"] if lags else []
     return out.drop(*drop, CHUNK, *(sur or []))
 

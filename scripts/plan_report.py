@@ -1,42 +1,39 @@
-"""Physical-plan summary of every registered query, as at scale.
+"""Executed physical plans of every registered event query, as at scale.
 
-Broadcast joins are disabled (at 100 TB nothing large fits a broadcast), so
-the counts show the shuffles a cluster run would do.  Prints a markdown table.
+Each query runs once with broadcast joins disabled (at 100 TB nothing large
+fits a broadcast); the counts are of the final adaptive plan: shuffles, those
+read again (ReusedExchange), joins, windows, generators, scans of files.
+Prints a markdown table.
 Usage: python scripts/plan_report.py [sf_dir]
 """
-import json
 import os
 import re
 import sys
 import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-from rillet.session import build_session
 from rillet.plans.catalog import QUERIES
+from rillet.session import build_session
+
 spark = build_session(master="local[8]", shuffle_partitions=16, extra={"spark.checkpoint.dir": tempfile.mkdtemp()})
 spark.sparkContext.setLogLevel("ERROR")
 spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
 spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-rows = []
+print("| query | exchanges | reused | joins | windows | generators | expands | scans | pushed equality | read columns |")
+print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
 for name in sorted(QUERIES):
     df = QUERIES[name](spark, sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    lines = plan.split("\n")
-    ex = sum(1 for l in lines if "Exchange " in l and "BroadcastExchange" not in l)
-    joins = sum(1 for l in lines if "Join " in l or "Join[" in l)
-    windows = sum(1 for l in lines if re.search(r"\bWindow \[", l))
-    gens = sum(1 for l in lines if "Generate " in l)
-    expand = sum(1 for l in lines if "Expand " in l)
-    scans = [l for l in lines if "FileScan parquet" in l]
-    rs = set()
-    pushed = False
-    for l in scans:
-        m = re.search(r"ReadSchema: struct<([^>]*)>", l)
-        if m: rs.add(m.group(1))
-        if re.search(r"PushedFilters: \[[^\]]*EqualTo", l): pushed = True
-    rows.append((name, ex, joins, windows, gens, expand, len(scans), pushed, sorted(rs)))
-print("| query | exchanges | joins | windows | generators | expands | scans | pushed equality | read columns |")
-print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-for name, ex, joins, windows, gens, expand, nscan, pushed, rs in rows:
-    cols = "; ".join(sorted({c.split(":")[0] for r in rs for c in r.split(",")}))
-    print(f"| {name} | {ex} | {joins} | {windows} | {gens} | {expand} | {nscan} | {'yes' if pushed else ''} | {cols} |")
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()  # runs it, so the adaptive plan is final
+    final = qe.executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+
+    def count(pattern: str) -> int:
+        return sum(1 for line in final if re.search(r"[-*)] *" + pattern, line))
+
+    scans = [line for line in final if "FileScan" in line]
+    columns = sorted({c.split(":")[0] for line in scans for m in re.findall(r"ReadSchema: struct<([^>]*)>", line)
+                      for c in m.split(",")})
+    pushed = any(re.search(r"PushedFilters: \[[^\]]*EqualTo", line) for line in scans)
+    print(f"| {name} | {count('Exchange ')} | {count('ReusedExchange ')} | {count(r'[A-Za-z]+Join ')} | "
+          f"{count(r'Window ')} | {count('Generate ')} | {count('Expand ')} | {len(scans)} | "
+          f"{'yes' if pushed else ''} | {'; '.join(columns)} |")
