@@ -514,7 +514,7 @@ HOP_PAGES = _hop_sql("access", "url", "10 minutes", "5 seconds", 120,
 
 @query("hop_page_count", _with(ACCESS) + HOP_PAGES)
 def q_hop_page_count(spark, d):
-    return jobs.page_view_counts(_access(spark, d), panes=False)
+    return jobs.page_view_counts(_access(spark, d), panes=True)
 
 
 @query("pv_count", _with(BEHAVIOR) +
@@ -767,6 +767,12 @@ def q_hop_page_count_panes(spark, d):
     return jobs.page_view_counts(_access(spark, d), panes=True)
 
 
+@query("hop_page_count_plain", _with(ACCESS) + HOP_PAGES)
+def q_hop_page_count_plain(spark, d):
+    """The plain ``window()`` grouping, which copies every raw row to its 120 windows: for comparison."""
+    return jobs.page_view_counts(_access(spark, d), panes=False)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_hot_items_topn(spark, sf_dir)
 
