@@ -31,7 +31,7 @@ from rillet.llm.encode import encoder
 #: Ids of a sequence, and sequences of a record batch.
 LENGTH, ROWS = 2048, 64
 INDEX_ROWS = 1 << 16
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 
 def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
@@ -142,25 +142,25 @@ class TokenFile:
         self.reader, self.index = (pa.ipc.open_file(s) for s in sources)
         self.length = self.reader.schema.field("ids").type.list_size
         self.rows = self.reader.get_batch(0).num_rows if self.reader.num_record_batches else 0
-        self._at, self._batch = -1, None
+        self._at, self._ids, self._mask = -1, None, None
 
-    def _load(self, k: int) -> pa.RecordBatch:
+    def _load(self, k: int) -> np.ndarray:
+        """The ids of batch k, end to end: a view of the file."""
         if k != self._at:
-            self._at, self._batch = k, self.reader.get_batch(k)
-        return self._batch
+            b = self.reader.get_batch(k)
+            self._at, self._ids, self._mask = k, b.column("ids").flatten().to_numpy(), b.column("mask").flatten()
+        return self._ids
 
     def sequence(self, i: int) -> tuple[np.ndarray, pa.Array]:
         """Ids of sequence i (a view of the file) and its mask."""
-        b, row = self._load(i // self.rows), i % self.rows
-        ids = b.column("ids").flatten().to_numpy()[row * self.length:(row + 1) * self.length]
-        return ids, b.column("mask").flatten().slice(row * self.length, self.length)
+        ids, at = self._load(i // self.rows), i % self.rows * self.length
+        return ids[at:at + self.length], self._mask.slice(at, self.length)
 
     def runs(self, begin: int, length: int) -> Iterator[np.ndarray]:
         """The ids begin .. begin+length-1 of the part, as views of its batches."""
         most = self.length * max(self.rows, 1)
         while length:
-            ids = self._load(begin // most).column("ids").flatten().to_numpy()
-            piece = ids[begin % most:begin % most + length]
+            piece = self._load(begin // most)[begin % most:begin % most + length]
             yield piece
             begin, length = begin + len(piece), length - len(piece)
 
@@ -174,7 +174,7 @@ def crc32_of(runs) -> int:
     """crc32 of ids as little-endian unsigned 32-bit numbers."""
     crc = 0
     for ids in runs:
-        crc = zlib.crc32(ids.astype("<u4").tobytes(), crc)
+        crc = zlib.crc32(ids.astype("<u4"), crc)
     return crc
 
 
