@@ -41,16 +41,16 @@ def rolling_max_by(df: DataFrame, key: str, order: str, value: str, fields,
     ``value`` for its key; on ties the earliest record is kept."""
     rec = F.struct(F.col(value).alias("_v"), (-F.col(order)).alias("_neg"),
                    *[F.col(f).alias(f) for f in fields])
-    out = keyed_scan(df, [key], [F.col(order)], _chunk(order, chunk),
-                     running={"_best": ("max", rec)})
+    used = df.select(*dict.fromkeys([key, order, value, *fields]))
+    out = keyed_scan(used, [key], [F.col(order)], _chunk(order, chunk), running={"_best": ("max", rec)})
     return out.select(key, order, *[F.col(f"_best.{f}").alias(f"max_{f}") for f in fields])
 
 
 def rolling_reduce(df: DataFrame, key: str, order: str, ts: str, value: str,
                    chunk: Column | None = None) -> DataFrame:
     """``reduce((cur, new) -> (id, new.ts, max(cur.v, new.v)))``."""
-    out = keyed_scan(df, [key], [F.col(order)], _chunk(order, chunk),
-                     running={"_max": ("max", F.col(value))})
+    used = df.select(*dict.fromkeys([key, order, ts, value]))
+    out = keyed_scan(used, [key], [F.col(order)], _chunk(order, chunk), running={"_max": ("max", F.col(value))})
     return out.select(key, order, ts, F.col("_max").alias(f"max_{value}"))
 
 

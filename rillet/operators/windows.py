@@ -179,7 +179,7 @@ def count_window(df: DataFrame, keys, order: str, value: str, size: int, slide:
     """
     if chunk is None:
         chunk = chunk_by(order, DEFAULT_ARRIVAL_CHUNK)
-    d = keyed_scan(df, keys, [F.col(order)], chunk, running={"_rn": ("count", F.lit(1))})
+    d = keyed_scan(df.select(*dict.fromkeys([*keys, order, value])), keys, [F.col(order)], chunk, running={"_rn": ("count", F.lit(1))})
     first = F.ceil(F.col("_rn") / slide) * slide
     last = F.col("_rn") + (size - 1)
     d = d.select(*keys, value, "_rn",
