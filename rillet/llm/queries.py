@@ -156,6 +156,31 @@ SELECT doc_id, size, source_size, target,
 FROM nearest
 """
 
+_OP6_SQL = """
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+begins AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM split),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS w FROM begins),
+firsts AS (
+  SELECT w, min(doc_id) AS first FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+hits AS (
+  SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+covered AS (
+  SELECT DISTINCT doc_id, i + j AS i FROM hits, (SELECT unnest(range(0, 50)) AS j)),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS text FROM placed p ANTI JOIN covered USING (doc_id, i)
+  GROUP BY p.doc_id),
+gone AS (
+  SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
 _OP7_SQL = """
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -184,5 +209,6 @@ FROM kept GROUP BY doc_id
 
 ORACLE_SQL: dict[str, str] = {
     "op5_mixing": _OP5_SQL,
+    "op6_substring": _OP6_SQL,
     "op7_lines": _OP7_SQL,
 }
