@@ -1,9 +1,8 @@
 """Packing documents into token sequences along a space-filling curve.
 
-A document's hashed word counts are projected to a few dimensions; each
-dimension is made uniform by the normal distribution with the corpus's own
-mean and deviation, and the cell's place on a Hilbert curve is the document's
-key.  Documents are range-sorted by key; each range is a task that encodes its
+A document's hashed counts of byte 4-grams are projected to a few dimensions; each
+dimension is made uniform by the normal distribution, and the cell's place on a
+Hilbert curve is the document's key.  Documents are range-sorted by key; each range is a task that encodes its
 documents in curve order, lays them end to end and cuts every ``length`` ids,
 so neighbours on the curve share sequences.  What is left at the end of a
 range is cut at powers of two, which need no padding.
@@ -23,17 +22,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import drop_written, slices, text_bytes, texts_of, written
+from rillet.llm.common import slices, texts_of
 from rillet.llm.encode import encoder
-from rillet.llm.words import words_of
 
 #: Hash dimensions of a document vector, projected dimensions, bits of each on
 #: the curve, and bits that tell documents of one cell apart.
 HASHED, DIMENSIONS, CELL_BITS = 1024, 3, 14
 TIE_BITS = 62 - DIMENSIONS * CELL_BITS
-SLICE = 1 << 21
+#: Odd factors of the 4-gram hash, modulo 2**16.
+MULTIPLIERS = np.array([40503, 60493, 19141, 52711], dtype=np.uint16)
+SLICE = 1 << 20
 SEQUENCE_BITS = 40
 ROWS = 4_000
+#: Sampled documents of a range, about, that place its bounds.
+PER_RANGE = 300
 
 
 def _projection(seed: int) -> np.ndarray:
@@ -41,20 +43,22 @@ def _projection(seed: int) -> np.ndarray:
 
 
 def document_points(texts: list[bytes], projection: np.ndarray) -> np.ndarray:
-    """Each text's hashed word counts (unit length), projected; no words: the origin."""
+    """Each text's hashed 4-gram counts (their roots, at unit length), projected;
+    a text of fewer than four bytes: the origin."""
     out = np.zeros((len(texts), DIMENSIONS))
-    begin, size = 0, 0
-    for end, text in enumerate(texts, 1):
-        size += len(text)
-        if end == len(texts) or size >= SLICE or end - begin >= 256:
-            w = words_of(texts[begin:end])
-            cell = (w.hashes >> np.uint64(64 - HASHED.bit_length() + 1)).astype(np.int64)
-            row = np.repeat(np.arange(end - begin), w.counts)
-            counts = np.bincount(row * HASHED + cell, minlength=(end - begin) * HASHED)
-            counts = counts.reshape(-1, HASHED).astype(float)
-            norm = np.maximum(np.sqrt((counts * counts).sum(axis=1)), 1.0)
-            out[begin:end] = (counts @ projection) / norm[:, None]
-            begin, size = end, 0
+    for begin in range(0, len(texts), 256):
+        part = texts[begin:begin + 256]
+        counts = np.zeros((len(part), HASHED))
+        for row, text in zip(counts, part):
+            for i in range(0, len(text) - 3, SLICE):
+                b = np.frombuffer(text, dtype=np.uint8, count=min(len(text) - i, SLICE + 3), offset=i)
+                h = b[:-3] * MULTIPLIERS[0]
+                for k in range(1, 4):
+                    h += b[k:len(b) - 3 + k] * MULTIPLIERS[k]
+                row += np.bincount(h >> np.uint16(16 - HASHED.bit_length() + 1), minlength=HASHED)
+        np.sqrt(counts, out=counts)
+        norm = np.maximum(np.sqrt((counts * counts).sum(axis=1)), 1.0)
+        out[begin:begin + 256] = (counts @ projection) / norm[:, None]
     return out
 
 
@@ -87,76 +91,53 @@ def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def _uniform(points: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> np.ndarray:
-    z = (points - mean) / np.where(deviation > 0, deviation, 1.0)
-    return np.vectorize(math.erf, otypes=[float])(z / math.sqrt(2)) * 0.5 + 0.5
-
-
-def _cells(points: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> np.ndarray:
+def _cells(points: np.ndarray) -> np.ndarray:
+    """Projections of unit vectors on standard normal directions are standard normal
+    at large; their distribution function spreads them over the cells of each side."""
     side = 1 << CELL_BITS
-    return np.minimum((_uniform(points, mean, deviation) * side).astype(np.int64), side - 1)
+    uniform = np.vectorize(math.erf, otypes=[float])(points / math.sqrt(2)) * 0.5 + 0.5
+    return np.minimum((uniform * side).astype(np.int64), side - 1)
 
 
 def curve_order(docs: DataFrame, seed: int = 7, split: int | None = None) -> DataFrame:
     """doc_id, text and ``key``, range-partitioned and sorted by key.
 
-    The key ends in bits of a hash of doc_id, so that many equal texts, which
-    share a cell, still fall into many ranges.  Points are written once as a
-    small table that gives the corpus's mean and deviation and the bounds of
-    the ranges; the texts are then shuffled once.
+    The key is a function of the text alone, followed by bits of a hash of
+    doc_id, so that many equal texts, which share a cell, still fall into many
+    ranges.  The ranges' bounds come from about ``PER_RANGE`` documents a range,
+    chosen by hash, as Spark's own range partitioning samples its input; they
+    decide which task has a document, and every document is packed.  Computing
+    the bounds apart spares a second walk through all texts.
     """
     spark = docs.sparkSession
     projection = _projection(seed)
     base = texts_of(docs).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("tie"))
+    ranges = split or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            p = document_points(text_bytes(b.column("text")), projection)
-            yield pa.RecordBatch.from_arrays([b.column("tie"), *(pa.array(c) for c in p.T.copy())],
-                                             ["tie", *names])
-
-    names = [f"p{i}" for i in range(DIMENSIONS)]
-    schema = "tie long, " + ", ".join(f"{n} double" for n in names)
-    small = written(base.select("tie", "text").mapInArrow(points, schema), "points")
-    # Sums of integers do not depend on the order of tasks: reruns cut alike.
-    unit = 1 << 30
-    scaled = [F.round(F.col(n) * unit).cast("decimal(38,0)") for n in names]
-    row = small.agg(F.count("*"), *(F.sum(s) for s in scaled),
-                    *(F.sum((s * s).cast("decimal(38,0)")) for s in scaled)).first()
-    n = max(row[0], 1)
-    mean = np.array([float(x or 0) / unit / n for x in row[1:DIMENSIONS + 1]])
-    square = np.array([float(x or 0) / unit / unit / n for x in row[DIMENSIONS + 1:]])
-    deviation = np.sqrt(np.maximum(square - mean * mean, 0))
-
-    def key_of(p: np.ndarray, tie: np.ndarray) -> np.ndarray:
-        place = hilbert_key(_cells(p, mean, deviation), CELL_BITS)
-        return place << TIE_BITS | (tie & ((1 << TIE_BITS) - 1))
-
-    @F.pandas_udf("long")
-    def key_of_point(tie: pd.Series, *p: pd.Series) -> pd.Series:
-        return pd.Series(key_of(np.stack([x.to_numpy() for x in p], axis=1), tie.to_numpy()))
+    def key_of(tie: pd.Series, text: pd.Series) -> np.ndarray:
+        place = hilbert_key(_cells(document_points(list(text), projection)), CELL_BITS)
+        return place << TIE_BITS | (tie.to_numpy() & ((1 << TIE_BITS) - 1))
 
     @F.pandas_udf("long")
-    def key_of_text(tie: pd.Series, text: pd.Series) -> pd.Series:
-        p = document_points([t.encode() for t in text], projection)
-        return pd.Series(key_of(p, tie.to_numpy()))
-
-    @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, key.to_numpy()))
+    def sampled_key(tie: pd.Series, text: pd.Series) -> pd.Series:
+        return pd.Series(key_of(tie, text))
 
-    ranges = split or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = min(1.0, PER_RANGE * ranges / max(docs.count(), 1))
+    sample = base.filter(F.pmod(F.xxhash64("tie", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
     shares = [i / ranges for i in range(1, ranges)]
-    bounds = small.select(key_of_point("tie", *names).alias("key")).agg(
+    bounds = sample.select(sampled_key("tie", F.col("text").cast("binary")).alias("key")).agg(
         F.percentile_approx("key", shares, 100 * ranges) if shares else F.lit(None)).first()[0]
-    drop_written(small)
-    bounds = np.unique(np.array(bounds or [], dtype=np.int64))
-    if len(bounds):
-        keyed = base.withColumn("key", key_of_text("tie", "text"))
-        keyed = keyed.repartitionById(len(bounds) + 1, range_of("key"))
-    else:
-        keyed = base.withColumn("key", key_of_text("tie", "text")).repartition(1)
-    return keyed.select("doc_id", "text", "key").sortWithinPartitions("key", "doc_id")
+    bounds = np.unique(np.array(bounds or [], dtype=np.int64))  # fewer than `ranges`
+
+    # Key and range in one function: two would be two Python workers a task.
+    @F.pandas_udf("key long, range int")
+    def place_of_text(tie: pd.Series, text: pd.Series) -> pd.DataFrame:
+        key = key_of(tie, text)
+        return pd.DataFrame({"key": key, "range": np.searchsorted(bounds, key).astype(np.int32)})
+
+    placed = base.select("doc_id", "text", place_of_text("tie", F.col("text").cast("binary")).alias("place"))
+    ranged = placed.repartitionById(len(bounds) + 1, F.col("place.range"))
+    return ranged.select("doc_id", "text", "place.key").sortWithinPartitions("key", "doc_id")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, seed: int = 7) -> DataFrame:
@@ -187,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, seed:
             while offset < most:
                 doc_id, ids, start = held[0]
                 piece = ids[start:start + most - offset]
-                rows.append((doc_id, start, len(piece), zlib.crc32(piece.astype("<u4").tobytes()), len(ids),
+                rows.append((doc_id, start, len(piece), zlib.crc32(piece.astype("<u4")), len(ids),
                              sequence, offset, piece.tobytes()))
                 offset += len(piece)
                 if start + len(piece) == len(ids):
