@@ -70,7 +70,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     texts = _then(named.join(wanted.hint("merge"), KEY), pairs=F.arrays_zip(
         F.transform("ks", lambda k: k).alias("k"), F.transform("ks", lambda k: F.get("chunks", k)).alias("chunk")))
     texts = texts.select(*KEY, F.inline("pairs").alias("k", "chunk")).withColumn("ch", F.xxhash64("chunk"))
-    again = F.row_number().over(Window.partitionBy(*KEY, "ch", "chunk").orderBy("k")) > 1
+    # Rows equal in doc_id and text give the same k twice: equal k are one place.
+    again = F.rank().over(Window.partitionBy(*KEY, "ch", "chunk").orderBy("k")) > 1
     texts = written(texts.withColumn("again", again), "repeated", "zstd")
     first = texts.groupBy("ch", "chunk").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     found = written(texts.join(first, ["ch", "chunk"]).filter("again or first < doc_id").select(*KEY, "k").distinct(),

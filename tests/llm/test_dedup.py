@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rillet.llm import components, lines, simhash, substring
 from rillet.llm.words import OF_WORDS, window_hashes, window_minima, words_of
-from tests.llm.fixtures import documents, empty, rows
+from tests.llm.fixtures import documents, empty, lined, rows
 from tests.oracle import compare, duck
 
 WIDTH, MMER = 10, 3
@@ -227,6 +227,17 @@ def test_lines_rewritten_keeps_columns(spark):
     assert lines.rewritten(empty(spark)).count() == 0 and lines.remove_repeats(empty(spark)).count() == 0
 
 
+def test_lines_of_repeated_rows_stay(spark):
+    """Rows equal in doc_id and text take nothing from one another, only from earlier documents."""
+    block, again = lined(21, 30), lined(22, 9) + "\n" + lined(22, 9)
+    table = [(7, block), (7, block), (8, again), (8, again), (9, "head\nline\n" + block), (9, "head\nline\n" + block)]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in lines.remove_repeats(docs).collect())
+    assert got == brute_lines(table)
+    assert got[7, 30, 0, block] == 2
+    assert sum(r.doc_id == 7 for r in lines.rewritten(docs).collect()) == 2
+
+
 def test_lines_equal_their_sql_on_a_table_with_copies(spark):
     from rillet.llm import queries
     sf = "/root/testdata/sf0.001"
