@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rillet.llm import lines, mixing, packing, quality, simhash
 from rillet.llm.common import DOC_COLUMNS, prepare, table, written
 from rillet.llm.encode import default_tokenizer
-from rillet.llm.queries import MAX_BITS, MIX_SEED, PACK_END, SEQUENCE, SHINGLE_WORDS
+from rillet.llm.queries import MAX_BITS, MIX_SEED, PACK_END, SEQUENCE, SHINGLE_WORDS, WINDOW_WORDS
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +22,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Chunks of lines that an earlier document has go, and documents that lose all lines."""
+    """Chunks of lines, and runs of lines with 50 words, that an earlier document has go,
+    and documents that lose all lines."""
     prepare(spark)
-    return lines.rewritten(docs.select(*DOC_COLUMNS))
+    return lines.rewritten(docs.select(*DOC_COLUMNS), words=WINDOW_WORDS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

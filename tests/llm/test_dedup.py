@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rillet.llm import components, lines, simhash, substring
 from rillet.llm.words import OF_WORDS, window_hashes, window_minima, words_of
-from tests.llm.fixtures import documents, empty, lined, rows
+from tests.llm.fixtures import documents, empty, lined, rows, words
 from tests.oracle import compare, duck
 
 WIDTH, MMER = 10, 3
@@ -238,6 +238,45 @@ def test_lines_of_repeated_rows_stay(spark):
     assert sum(r.doc_id == 7 for r in lines.rewritten(docs).collect()) == 2
 
 
+def runs_of(text: str, least: int) -> dict[tuple, set]:
+    """Every run of lines with words, of ``least`` words or more, and the numbers of its lines."""
+    ls = [(i, x) for i, x in enumerate(text.split("\n")) if x.encode().split()]
+    out: dict[tuple, set] = {}
+    for a in range(len(ls)):
+        for b in range(a + 1, len(ls) + 1):
+            if sum(len(x.encode().split()) for _, x in ls[a:b]) >= least:
+                out.setdefault(tuple(x for _, x in ls[a:b]), set()).update(i for i, _ in ls[a:b])
+    return out
+
+
+def test_passages_against_brute_force(spark):
+    """Short runs of lines, and one long line, between other lines."""
+    long, run, blank = words(31, 60), lined(32, 9), lined(33, 6) + "\n \n" + lined(34, 6)
+    around = lambda seed, x: lined(seed, 3) + "\n" + x + "\n" + lined(seed + 1, 4)
+    table = [(1, around(40, long)), (2, around(42, run)), (3, around(44, long)), (4, around(46, run)), (4, None),
+             (5, around(48, blank)), (6, around(50, blank.replace("\n \n", "\n"))), (7, run), (7, run),
+             (8, run + "\n" + long + "\n\n"), (9, around(52, lined(32, 8))), (None, run), (10, words(35, 70) + "\n" + "x"),
+             (10, words(35, 70)), (11, "\n".join(["y"] * 80)), (12, "z\n" + "\n".join(["y"] * 60)), (13, "")]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    runs = [(d, t, runs_of(t or "", 50)) for d, t in table]
+    want = Counter()
+    for d, t, own in runs:
+        before = set().union(*(o for e, _, o in runs if None not in (d, e) and e < d)) if d is not None else set()
+        gone = set().union(*(at for r, at in own.items() if r in before))
+        n = 0
+        for c in line_chunks(t or ""):
+            first = [e for e, u in table if e is not None and c in line_chunks(u or "")]
+            if d is not None and "\n" in c and c.split() and min(first) < d:
+                gone.update(range(n, n + c.count("\n") + 1))
+            n += c.count("\n") + 1
+        left = [x for i, x in enumerate((t or "").split("\n")) if i not in gone]
+        if not gone or "".join(left).split():
+            want[d, "\n".join(left)] += 1
+    got = lines.rewritten(docs, words=50).collect()
+    assert Counter((r.doc_id, r.text or "") for r in got) == want
+    assert (3, around(44, long).replace(long + "\n", "")) in want and (7, run) not in want
+
+
 def test_lines_equal_their_sql_on_a_table_with_copies(spark):
     from rillet.llm import queries
     sf = "/root/testdata/sf0.001"
