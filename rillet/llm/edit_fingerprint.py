@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -167,13 +168,22 @@ def likeness(a: str, b: str) -> float:
 
 
 @functools.cache
-def _bands(top: int) -> np.ndarray:
+def _bands(top: int, bands: int = BANDS) -> np.ndarray:
     """Samples of each band, from the octaves that a text of octave ``top`` fills."""
     rng = np.random.default_rng([SEED, 7, top])
-    return rng.integers(0, len(sample_steps(top)) - _drawn(top, top), (BANDS, BAND_DIGITS))
+    return rng.integers(0, len(sample_steps(top)) - _drawn(top, top), (bands, BAND_DIGITS))
 
 
-def band_keys(fp: str) -> list[str]:
+def bands_for(least: float) -> int:
+    """Bands at which texts of likeness ``least`` whose differences are spread evenly
+    fail to meet once in a thousand; ``BANDS`` at least, of which more are a continuation."""
+    if least < 0.25:
+        raise ValueError("texts of a likeness below 0.25 would need more than 10,000 bands")
+    met = (1 / 16 + min(least, 1.0) * 15 / 16) ** BAND_DIGITS
+    return BANDS if met >= 1 else max(BANDS, math.ceil(math.log(0.001) / math.log1p(-met)))
+
+
+def band_keys(fp: str, bands: int = BANDS) -> list[str]:
     """Keys at which near texts meet: sampled digits at the text's own octave and,
     for a partner just over an octave's end, at the next."""
     top = int(fp[:2], 16)
@@ -182,7 +192,7 @@ def band_keys(fp: str) -> list[str]:
     higher = np.where(places < 0, PAD, digits[np.maximum(places, 0)])
     out = []
     for t, d in ((top, digits), (top + 1, higher)):
-        out += [f"{t:02x}{k:02x}{band.tobytes().decode('ascii')}" for k, band in enumerate(d[_bands(t)])
+        out += [f"{t:02x}{k:02x}{band.tobytes().decode('ascii')}" for k, band in enumerate(d[_bands(t, bands)])
                 if (band != PAD).all()]
     return out
 
@@ -311,17 +321,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """(doc_id, fingerprint, group_id): documents joined over verified band matches.
 
-    Distinct fingerprints that agree in a band are compared with the band's
-    least fingerprint; a likeness of ``least`` links them.  group_id is the
-    smallest doc_id of the linked documents.
+    Distinct fingerprints that agree in a band are linked by a likeness of
+    ``least``.  Each is compared with the band's least fingerprint first; then
+    those of a band that are not joined yet are compared with one another, so
+    two near texts that share a band are always in one group (the work grows
+    with the square of the unlike texts of a band).  There are as many bands as
+    ``least`` needs (:func:`bands_for`): a pair at that likeness, its
+    differences spread evenly, shares none once in a thousand; pairs whose
+    differences are not, or whose walks end two octaves apart, may be missed.
+    group_id is the smallest doc_id of the linked documents.
     """
+    bands = bands_for(least)
     fps = written(fingerprints(docs), "fingerprints")
     classes = fps.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).withColumn(
         "node", F.xxhash64("fingerprint"))
 
     @F.udf("array<string>", useArrow=True)
     def keys(fp):
-        return band_keys(fp)
+        return band_keys(fp, bands)
 
     @F.udf("double", useArrow=True)
     def like(a, b):
@@ -329,9 +346,18 @@ def near_groups(docs: DataFrame, least: float = 0.5) -> DataFrame:
 
     banded = written(classes.select("fingerprint", F.explode(keys("fingerprint")).alias("key")), "bands")
     leaders = banded.groupBy("key").agg(F.min("fingerprint").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    links = (banded.join(leaders, "key").filter("fingerprint <> leader").select("fingerprint", "leader").distinct()
-             .filter(like("fingerprint", "leader") >= least)
-             .select(F.xxhash64("fingerprint").alias("u"), F.xxhash64("leader").alias("v")))
+    def near(pairs: DataFrame) -> DataFrame:
+        return (pairs.distinct().filter(like("a", "b") >= least)
+                .select(F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v")))
+
+    pairs = banded.join(leaders, "key").filter("fingerprint <> leader")
+    links = written(near(pairs.select(F.col("fingerprint").alias("a"), F.col("leader").alias("b"))), "leader-links")
+    joined = (banded.join(leaders.select("key"), "key").withColumn("node", F.xxhash64("fingerprint"))
+              .join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    joined = written(joined.select("key", "fingerprint", "label"), "joined")
+    other = joined.select("key", F.col("fingerprint").alias("b"), F.col("label").alias("other"))
+    rest = joined.withColumnRenamed("fingerprint", "a").join(other, "key").filter("a < b and label <> other")
+    links = links.unionByName(near(rest.select("a", "b")))
     labelled = classes.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = labelled.groupBy("label").agg(F.min("least").alias("group_id"))
     return fps.join(labelled.join(groups, "label").select("fingerprint", "group_id"), "fingerprint").select(

@@ -227,3 +227,28 @@ def test_near_groups_join_edits(spark):
                                 (5, base[::-1]), (6, "")], "doc_id long, text string")
     got = {r.doc_id: r.group_id for r in ef.near_groups(df).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6}
+
+
+def test_near_groups_of_a_template_against_brute_force(spark):
+    """Texts of one template share bands, and the least of them is often unlike the others."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    draw = lambda n: "".join(rng.choice(letters, n))
+    template, table = draw(450), []
+    for cluster in range(12):
+        own = draw(900)
+        for _ in range(4):
+            at = sorted(rng.integers(0, 900, 3).tolist())
+            text = own[:at[0]] + draw(40) + own[at[0] + 40:at[1]] + draw(40) + own[at[1] + 40:]
+            table.append((len(table), template + text[:900]))
+    fps = ef._fingerprinted([t for _, t in table])[2]
+    label = list(range(len(table)))
+    for i in range(len(table)):
+        for j in range(i):
+            if ef.likeness(fps[i], fps[j]) >= 0.5:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    assert len(set(label)) < len(table)
+    got = {r.doc_id: r.group_id for r in ef.near_groups(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(label))
+    assert all(len(set(ef.band_keys(f)) - set(ef.band_keys(f, ef.bands_for(0.5)))) == 0 for f in fps)
