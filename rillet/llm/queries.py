@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import (ann, edit_fingerprint, lines, mixing, packing, quality, sharding, simhash, substring,
-                        token_files)
+from rillet.llm import (ann, clusters, edit_fingerprint, fim, lines, mixing, packing, pieces, quality, sharding,
+                        simhash, substring, token_files)
 from rillet.llm.common import prepare, table
 from rillet.llm.encode import default_tokenizer
 from rillet.session import scratch_path
@@ -29,6 +29,10 @@ SHARDS = 24
 WINDOW_WORDS = 50
 #: SimHash near-duplicates: words of a shingle, largest bit distance.
 SHINGLE_WORDS, MAX_BITS = 3, 2
+#: Fill-in-middle: seed of the cuts.
+FIM_SEED = 1
+#: Clusters: centroids, rounds, components, scale of whole numbers, seed of the first centroids.
+CENTROIDS, ROUNDS, DIM, SCALE, CENTROID_SEED = 8, 10, 64, 1024, 3
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +105,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "tokens")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two code points and put together for fill-in-middle training."""
+    prepare(spark)
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"), FIM_SEED)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 8 clusters after 10 rounds, with distances and inertia."""
+    prepare(spark)
+    return clusters.with_inertia(clusters.cluster(table(spark, sf_dir, "embeddings"), CENTROIDS, ROUNDS, DIM, SCALE,
+                                                  CENTROID_SEED))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by a SentencePiece vocabulary and decoded again."""
+    prepare(spark)
+    made = pieces.encode_documents(table(spark, sf_dir, "documents"), pieces.default_pieces())
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_ann": op2_ann,
@@ -112,6 +141,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_edit_fingerprint": op9_edit_fingerprint,
     "op10_sharding": op10_sharding,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_clusters": op12_clusters,
+    "op13_pieces": op13_pieces,
 }
 
 _OP5_SQL = f"""
@@ -207,8 +239,62 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(CASE WHEN NOT keep THEN n
 FROM kept GROUP BY doc_id
 """
 
+_OP11_SQL = f"""
+WITH named AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('{FIM_SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS d FROM documents),
+hashed AS (
+  SELECT *, ('0x' || substr(d, 1, 8))::BIGINT AS h1, ('0x' || substr(d, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4 FROM named),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+parts AS (
+  SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(prefix || middle || suffix) AS restored_sha256
+FROM parts
+"""
+
+
+def _clusters_sql() -> str:
+    """Every round written out: compare all vectors with all centroids, then floor the means."""
+    square = "list_sum(list_transform(list_zip(x, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    nearest = (f"SELECT i, any_value(vec_id) AS vec_id, any_value(x) AS x, min(struct_pack(d := {square}, c := c)) AS w "
+               "FROM kept, c{r} GROUP BY i")
+    steps = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda e: floor({SCALE} * e::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = {DIM}
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0)""",
+             f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, m) - 1 AS c, m FROM (
+    SELECT x AS m, sha256('{CENTROID_SEED}:' || coalesce(vec_id::VARCHAR, 'null')) AS h FROM kept
+    ORDER BY h, m LIMIT {CENTROIDS}))"""]
+    for r in range(ROUNDS):
+        steps.append(f"a{r} AS MATERIALIZED ({nearest.format(r=r)})")
+        steps.append(f"""s{r} AS (
+  SELECT w.c AS c, j, sum(x[j])::BIGINT AS s, count(*) AS n FROM a{r}, range(1, {DIM + 1}) AS t(j) GROUP BY 1, 2)""")
+        steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.c, coalesce(n.m, c{r}.m) AS m FROM c{r} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS m FROM s{r} GROUP BY c) n ON n.c = c{r}.c)""")
+    steps.append(f"final AS MATERIALIZED ({nearest.format(r=ROUNDS)})")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, w.c::INTEGER AS cluster, w.d AS distance, (sum(w.d) OVER (PARTITION BY w.c))::BIGINT AS cluster_inertia,
+       (sum(w.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM final JOIN c{ROUNDS} ON c{ROUNDS}.c = w.c
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_mixing": _OP5_SQL,
     "op6_substring": _OP6_SQL,
     "op7_lines": _OP7_SQL,
+    "op11_fill_in_middle": _OP11_SQL,
+    "op12_clusters": _clusters_sql(),
 }
