@@ -32,13 +32,73 @@ WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Where a word begins after another.
 NEXT_WORD = re.compile(f"(?<=[^{SPACE}]){SPACE}")
 #: Longest word that is remembered; words of one generation; characters cut into words at a time.
-REMEMBERED, GENERATION, PIECE = 24, 200_000, 1 << 18
+REMEMBERED, GENERATION, PIECE = 20, 300_000, 1 << 18
 #: UTF-8 of the texts of one step, about.
 STEP_BYTES = 1 << 21
 #: Model type and piece types of the model file's format (fixed values).
 MERGE_MODEL, NORMAL, UNKNOWN, CONTROL, BYTE = 2, 1, 2, 3, 6
 
 
+class Agenda:
+    """The pieces of a vocabulary as numbered symbols, and the pairs that make one.
+
+    ``score`` gives the pieces in the order of their ids.  Characters that occur
+    in pieces only have numbers behind those, and all others share the last.
+    """
+
+    def __init__(self, score: dict[str, float]):
+        number = {p: i for i, p in enumerate(score)}
+        for c in set().union(*score):
+            number.setdefault(c, len(number))
+        self.other = len(number)
+        self.width = len(number) + 1
+        self.number = {c: i for c, i in number.items() if len(c) == 1}
+        place = {s: i for i, s in enumerate(sorted(set(score.values()), reverse=True))}
+        #: pair of symbols: place of the union's score, and its number
+        self.pairs = {number[p[:i]] * self.width + number[p[i:]]: (place[s] << 32, number[p])
+                      for p, s in score.items() for i in range(1, len(p)) if p[:i] in number and p[i:] in number}
+
+    def merged(self, text: str) -> list[tuple[int, int]]:
+        """(first character, symbol) of what is left when no two neighbours make a piece.
+
+        An entry of the agenda is the place of a pair's score and the pair's
+        first character in one number.
+        """
+        n, width, pair = len(text), self.width, self.pairs.get
+        symbols = [self.number.get(c, self.other) for c in text]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        agenda = []
+        for i in range(n - 1):
+            found = pair(symbols[i] * width + symbols[i + 1])
+            if found:
+                agenda.append(found[0] + i)
+        heapq.heapify(agenda)
+        while agenda:
+            entry = heapq.heappop(agenda)
+            i = entry & 0xFFFFFFFF
+            j = after[i]
+            found = pair(symbols[i] * width + symbols[j]) if j < n else None
+            if not found or found[0] + i != entry:
+                continue  # one of the two has been joined with another
+            symbols[i], symbols[j] = found[1], self.other
+            right = after[i] = after[j]
+            left = before[i]
+            if right < n:
+                before[right] = i
+                found = pair(symbols[i] * width + symbols[right])
+                if found:
+                    heapq.heappush(agenda, found[0] + i)
+            if left >= 0:
+                found = pair(symbols[left] * width + symbols[i])
+                if found:
+                    heapq.heappush(agenda, found[0] + left)
+        out, i = [], 0
+        while i < n:
+            out.append((i, symbols[i]))
+            i = after[i]
+        return out
+
+
 class _Known(dict):
     """Ids by word, found by ``learn`` where they are missing."""
 
@@ -46,7 +106,7 @@ class _Known(dict):
         super().__init__()
         self.learn = learn
 
-    def __missing__(self, word: str) -> list[int]:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         ids = self.learn(word)
         if len(word) <= REMEMBERED:
             self[word] = ids
@@ -67,8 +127,9 @@ class PieceEncoder:
         kinds = {p.type for p in model.pieces}
         if model.trainer_spec.model_type != MERGE_MODEL or kinds - {NORMAL, UNKNOWN, CONTROL, BYTE}:
             raise ValueError("only merge-type vocabularies of plain, byte and control pieces are encoded")
-        self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
-        self.score = {p.piece: -p.score for p in model.pieces if p.type == NORMAL}
+        score = {p.piece: p.score for p in model.pieces if p.type == NORMAL}
+        self.ids = [i for i, p in enumerate(model.pieces) if p.type == NORMAL]
+        self.agenda = Agenda(score)
         by_byte = {int(p.piece[3:-1], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.bytes = [by_byte[b] for b in range(256)] if len(by_byte) == 256 else None
         self.unknown = self.library.unk_id()
@@ -76,7 +137,7 @@ class PieceEncoder:
         self.as_it_is = (not spec.precompiled_charsmap and not spec.remove_extra_whitespaces
                          and spec.escape_whitespaces and spec.add_dummy_prefix
                          and not model.trainer_spec.treat_whitespace_as_suffix)
-        self.by_word = self.bytes is not None and not any(NEXT_WORD.search(p) for p in self.ids)
+        self.by_word = self.bytes is not None and not any(NEXT_WORD.search(p) for p in score)
         self.known, self.old = _Known(self._learn), {}
 
     def normal(self, text: str) -> str:
@@ -85,53 +146,22 @@ class PieceEncoder:
             return SPACE + text.replace(" ", SPACE) if text else ""
         return self.library.normalize(text)
 
-    def merged(self, text: str) -> list[str]:
-        """The symbols that are left when no two neighbours make a piece."""
-        symbols: list[str | None] = list(text)
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        score, agenda = self.score, []
-        for i in range(n - 1):
-            union = symbols[i] + symbols[i + 1]
-            if union in score:
-                agenda.append((score[union], i, union))
-        heapq.heapify(agenda)
-        while agenda:
-            _, i, union = heapq.heappop(agenda)
-            j = after[i]
-            if symbols[i] is None or j >= n or symbols[i] + symbols[j] != union:
-                continue  # one of the two has been joined with another
-            symbols[i], symbols[j] = union, None
-            right = after[i] = after[j]
-            left = before[i]
-            if right < n:
-                before[right] = i
-                union = symbols[i] + symbols[right]
-                if union in score:
-                    heapq.heappush(agenda, (score[union], i, union))
-            if left >= 0:
-                union = symbols[left] + symbols[i]
-                if union in score:
-                    heapq.heappush(agenda, (score[union], left, union))
-        return [s for s in symbols if s is not None]
-
-    def _encoded(self, text: str) -> list[int]:
+    def _encoded(self, text: str) -> tuple[int, ...]:
         out: list[int] = []
         unknown_before = False
-        for symbol in self.merged(text):
-            i = self.ids.get(symbol)
-            if i is not None:
-                out.append(i)
-            elif self.bytes is not None:
-                out.extend(self.bytes[b] for b in symbol.encode())
+        for i, symbol in self.agenda.merged(text):
+            known = symbol < len(self.ids)
+            if known:
+                out.append(self.ids[symbol])
+            elif self.bytes is not None:  # a character that is no piece
+                out.extend([self.bytes[b] for b in text[i].encode()])
             elif not unknown_before:
                 out.append(self.unknown)  # one for a run of unknown symbols
-            unknown_before = i is None
-        return out
+            unknown_before = not known
+        return tuple(out)
 
-    def _learn(self, word: str) -> list[int]:
-        before = self.old.get(word)
-        return self._encoded(word) if before is None else before
+    def _learn(self, word: str) -> tuple[int, ...]:
+        return self.old.get(word) or self._encoded(word)
 
     def _words(self, text: str) -> Iterator[list[str]]:
         """The words of a text, many at a time."""
@@ -144,28 +174,27 @@ class PieceEncoder:
             begin = cut.start()
         yield WORD.findall(text, begin)
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a text as 32-bit integers; none for an empty text."""
+    def encode(self, text: str) -> list[int]:
+        """The ids of a text; none for an empty text."""
         spelled = self.normal(text)
         if not self.by_word:
-            return np.array(self._encoded(spelled), dtype=np.int32)
-        out = []
+            return list(self._encoded(spelled))
+        out: list[int] = []
         for words in self._words(spelled):
             if len(self.known) > GENERATION:
                 # the full generation becomes the old one; what is met again moves over
                 self.old, self.known = dict(self.known), _Known(self._learn)
-            found = chain.from_iterable(map(self.known.__getitem__, words))
-            out.append(np.fromiter(found, dtype=np.int32))
-        return np.concatenate(out)
+            out.extend(chain.from_iterable(map(self.known.__getitem__, words)))
+        return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids)
 
-    def checked(self, texts: list[str]) -> list[np.ndarray]:
+    def checked(self, texts: list[str]) -> list[list[int]]:
         """The ids of some texts, each compared with the library's."""
         mine = [self.encode(t) for t in texts]
         for text, ids, wanted in zip(texts, mine, self.library.encode(texts, num_threads=1)):
-            if not np.array_equal(ids, np.array(wanted, dtype=np.int32)):
+            if ids != wanted:
                 raise ValueError(f"ids differ from the library's for a text that begins {text[:80]!r}")
         return mine
 
@@ -182,10 +211,11 @@ def default_pieces() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+def _id_lists(ids: list[list[int]]) -> pa.Array:
     ends = np.zeros(len(ids) + 1, dtype=np.int32)
     np.cumsum([len(x) for x in ids], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
@@ -204,7 +234,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", STEP_BYTES):
                 ids = encoder.checked(part.column("text").to_pylist())
-                decoded = encoder.decode([x.tolist() for x in ids])
+                decoded = encoder.decode(ids)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _id_lists(ids), pa.array(decoded, pa.string())],
                                                  ["doc_id", "ids", "decoded"])
 
