@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillet.operators.ranking import top_n
 from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, DEFAULT_TIME_CHUNK_US, chunk_by, keyed_scan
 from rillet.operators.windows import duration_us
 
@@ -62,23 +63,39 @@ def classify_lateness(df: DataFrame, ts: str, arrival: list, size: str, bound: s
     """Tag rows on_time / late_accepted / late for windows of ``size``, tumbling or
     moving by ``slide``.  A row of sliding windows is judged by the last one that
     holds it: it is late only when that one is past."""
-    size_us, late_us = duration_us(size), duration_us(lateness)
-    slide_us = duration_us(slide) if slide else size_us
     d = running_watermark(df, ts, arrival, bound, chunk)
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    end = F.floor(us / slide_us) * slide_us + size_us
-    d = d.withColumn("_end_us", end)
-    wm, max_ts = F.col("wm_us"), F.col("_end_us") - 1
-    return d.withColumn(status,
-                        F.when(wm.isNull() | (wm < max_ts), F.lit(ON_TIME))
-                         .when(wm < max_ts + late_us, F.lit(ACCEPTED))
-                         .otherwise(F.lit(LATE)))
+    d = d.withColumn("_end_us", last_window_end(ts, size, slide))
+    return d.withColumn(status, status_of(F.col("_end_us"), F.col("wm_us"), duration_us(lateness)))
+
+
+def last_window_end(ts: str, size: str, slide: str | None = None) -> Column:
+    """End (epoch microseconds) of the last window that holds a row."""
+    size_us = duration_us(size)
+    slide_us = duration_us(slide) if slide else size_us
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / slide_us) * slide_us + size_us
+
+
+def status_of(end_us: Column, wm_us: Column, late_us: int) -> Column:
+    """What a window that ends at ``end_us`` does with a row that meets the watermark ``wm_us``."""
+    last = end_us - 1
+    return (F.when(wm_us.isNull() | (wm_us < last), F.lit(ON_TIME))
+             .when(wm_us < last + late_us, F.lit(ACCEPTED))
+             .otherwise(F.lit(LATE)))
 
 
 def late_split(df: DataFrame, ts: str, arrival: list, size: str, bound: str,
-               lateness: str = "0 seconds", chunk: Column | None = None, slide: str | None = None):
-    """(kept, late): rows the window operator takes, and the side output."""
+               lateness: str = "0 seconds", chunk: Column | None = None, slide: str | None = None,
+               path: str | None = None):
+    """(kept, late): rows the window operator takes, and the side output.
+
+    With ``path`` all rows are tagged and written once, a folder per status, and
+    both outputs read what was written: one pass over ``df``, however many outputs
+    are used.  Without it each output that is used repeats the tagging.
+    """
     tagged = classify_lateness(df, ts, arrival, size, bound, lateness, chunk, slide=slide)
+    if path is not None:
+        tagged.write.partitionBy("status").parquet(path)
+        tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
     kept = tagged.where(F.col("status") != LATE)
     late = tagged.where(F.col("status") == LATE)
     return kept, late
@@ -118,3 +135,48 @@ def lateness_firings_min_by(df: DataFrame, key: str, ts: str, arrival: list, val
         end_ts = end_ts.cast("timestamp_ntz")
     return out.select(key, end_ts.alias("window_end"), "fire_seq", "cnt",
                       F.col("m.v").alias("min_value"), F.col("m.a").alias("min_arr"))
+
+
+def window_takings(tagged: DataFrame, key: str, ts: str, size: str, slide: str, lateness: str) -> DataFrame:
+    """(key, end_us, n_on, n_late): rows that each sliding window of a key takes on time and late.
+
+    ``tagged``: rows with ``wm_us``, the watermark that each meets.  Every window that
+    holds a row judges it by itself: one that is past by more than ``lateness`` does
+    not take it.  Rows are counted by the span of windows that take them before
+    they are laid out window by window.
+    """
+    size_us, slide_us, late_us = duration_us(size), duration_us(slide), duration_us(lateness)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    last = last_window_end(ts, size, slide)
+    wm = F.coalesce(F.col("wm_us"), F.lit(-(1 << 62)))
+
+    def first_above(least: Column) -> Column:
+        """The least window end above ``least``; beyond ``last`` if there is none."""
+        return last - F.floor((last - least - 1) / slide_us) * slide_us
+
+    first = F.greatest(first_above(us), first_above(wm + 1 - late_us))
+    spans = (tagged.select(key, last.alias("_last"), first.alias("_first"), first_above(wm + 1).alias("_on"))
+             .where(F.col("_first") <= F.col("_last"))
+             .withColumn("_on", F.least(F.greatest("_on", "_first"), F.col("_last") + slide_us))
+             .groupBy(key, "_first", "_on", "_last").agg(F.count(F.lit(1)).alias("_n")))
+    ends = spans.withColumn("end_us", F.explode(F.sequence("_first", "_last", F.lit(slide_us))))
+    on = F.when(F.col("end_us") >= F.col("_on"), F.col("_n")).otherwise(0)
+    return ends.groupBy(key, "end_us").agg(F.sum(on).alias("n_on"), F.sum(F.col("_n") - on).alias("n_late"))
+
+
+def refired_top_n(df: DataFrame, key: str, ts: str, arrival: list, size: str, slide: str, bound: str, lateness: str,
+                  n: int, chunk: Column | None = None) -> DataFrame:
+    """The top ``n`` keys of every sliding window as it first fires and as it stands at last.
+
+    Columns: window_end, firing (``first``: the rows on time; ``last``: those taken late
+    as well), key, cnt, rn.  A window without rows on time has no first ranking.
+    """
+    tagged = running_watermark(df, ts, arrival, bound, chunk)
+    counts = window_takings(tagged, key, ts, size, slide, lateness)
+    both = counts.select(key, "end_us", F.explode(F.array(
+        F.struct(F.lit("first").alias("firing"), F.col("n_on").alias("cnt")),
+        F.struct(F.lit("last").alias("firing"), (F.col("n_on") + F.col("n_late")).alias("cnt")))).alias("f"))
+    both = both.select(key, "end_us", "f.*").where(F.col("cnt") > 0)
+    ranked = top_n(both, ["end_us", "firing"], [F.desc("cnt"), F.asc(key)], n)
+    end = F.timestamp_micros("end_us").cast(df.schema[ts].dataType)
+    return ranked.select(end.alias("window_end"), "firing", key, "cnt", "rn")

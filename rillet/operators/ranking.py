@@ -12,8 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of a group that one task replays, about (see top_n_retract).
-REPLAY_CHUNK = 1 << 16
+from rillet.session import scratch_path
 
 
 def top_n(df: DataFrame, group, order, n: int, rank: str = "rn") -> DataFrame:
@@ -87,22 +86,47 @@ def top_n_retract(df: DataFrame, group: str, key: str, count: str, n: int) -> Da
     cause (the key that arrived), is_add (false: the rank's old row, true: its
     new one), rn, key, count; ties go to the smaller key.
 
-    A row that does not enter the top of its own chunk of keys cannot enter
-    that of the group, so chunks are thinned out first, each by itself; what is
-    left of a group, about ``n`` rows and their logarithm per chunk, is
-    replayed in order.
+    Rows are range-partitioned by (group, key), so a large group is cut into
+    chunks of consecutive keys, as many as it fills partitions.  The top of two
+    chunks is the top of their tops: the tops of a group's earlier chunks,
+    ``n`` rows each, give the top that a chunk starts from, and every chunk is
+    replayed by itself.  No task sees a whole group, whatever order its counts
+    are in.
     """
     types = dict(df.dtypes)
-    rows = f"{group} {types[group]}, {key} {types[key]}, {count} {types[count]}"
-
-    def thin(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(key)
-        return frame.iloc[[i for i, _ in _entering(frame[count].to_numpy(), n)]][[group, key, count]]
-
-    def replay(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(key, ignore_index=True)
-        counts, keys, out = frame[count].to_numpy(), frame[key].to_numpy(), []
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "retract-chunks")
+    # Written: the tops and the replay must see the same chunks.
+    (df.select(group, key, count).repartitionByRange(parts, group, key)
+       .withColumn("_chunk", F.spark_partition_id()).write.parquet(path))
+    chunks = spark.read.parquet(path)
+    best = [F.desc(count), F.asc(key)]
+    tops = top_n(chunks, [group, "_chunk"], best, n).drop("rn")
+    # Only groups in several chunks hand tops on: about one a partition.
+    last = tops.groupBy(group).agg(F.max("_chunk").alias("_last"), F.min("_chunk").alias("_from")).where("_from < _last")
+
+    def carry(frame: pd.DataFrame) -> pd.DataFrame:
+        """The top of all earlier chunks, for each chunk of a group but the first."""
+        out, top = [], frame.iloc[:0]
+        for chunk, more in frame.groupby("_chunk", sort=True):
+            if len(top):
+                out.append(top.assign(_chunk=chunk))
+            top = pd.concat([top, more]).sort_values([count, key], ascending=[False, True]).head(n)
+        return pd.concat(out)[[group, "_chunk", key, count]]
+
+    several = tops.join(last.select(F.col(group).alias("_g")), F.col(group).eqNullSafe(F.col("_g")), "left_semi")
+    starts = several.groupBy(group).applyInPandas(
+        carry, f"{group} {types[group]}, _chunk int, {key} {types[key]}, {count} {types[count]}")
+
+    def replay(names: tuple, start: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
+        begun = len(start)
+        start = start.sort_values([count, key], ascending=[False, True])
+        both = pd.concat([start[[key, count]], frame.sort_values(key)[[key, count]]], ignore_index=True)
+        counts, keys, out = both[count].to_numpy(), both[key].to_numpy(), []
         for at, top in _entering(counts, n):
+            if at < begun:
+                continue  # what earlier chunks have told
             rank = sum(counts[i] >= counts[at] for i in top)
             after = [*top[:rank], at, *top[rank:]][:n]
             for r in range(rank, len(after)):
@@ -110,12 +134,10 @@ def top_n_retract(df: DataFrame, group: str, key: str, count: str, n: int) -> Da
                     out.append((keys[at], False, r + 1, keys[top[r]], counts[top[r]]))
                 out.append((keys[at], True, r + 1, keys[after[r]], counts[after[r]]))
         done = pd.DataFrame(out, columns=["cause", "is_add", "rn", key, count])
-        done.insert(0, group, frame[group].iloc[0])
+        done.insert(0, group, names[0])
         return done
 
-    chunk = F.floor(F.row_number().over(Window.partitionBy(group, "_spread").orderBy(key)) / REPLAY_CHUNK)
-    spread = df.select(group, key, count).withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(64)))
-    few = (spread.withColumn("_chunk", chunk).groupBy(group, "_spread", "_chunk").applyInPandas(thin, rows))
-    return few.groupBy(group).applyInPandas(
+    at = [group, "_chunk"]
+    return starts.groupBy(*at).cogroup(chunks.groupBy(*at)).applyInPandas(
         replay, f"{group} {types[group]}, cause {types[key]}, is_add boolean, rn int, {key} {types[key]}, "
                 f"{count} {types[count]}")

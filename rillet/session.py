@@ -106,6 +106,13 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Give a written folder its final name, in one step where the file system has one."""
+    fs, p = _hadoop_fs(spark, path)
+    if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a written table that nothing reads any more."""
     fs, p = _hadoop_fs(spark, path)

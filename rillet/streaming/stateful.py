@@ -7,7 +7,6 @@ carried from earlier batches, emits one pandas frame, and updates the state.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -114,17 +113,40 @@ class CountWindowAvg(StatefulProcessor):
 
 class RollingMaxBy(StatefulProcessor):
     """``maxBy(value)``: for each row the record of its key's largest value so far;
-    the earliest stays on ties, null values never win."""
+    the earliest stays on ties, null values never win.
 
-    def __init__(self, fields: list[str], key: str = "id", order: str = "arr", value: str = "temperature"):
-        self.fields, self.key, self.order, self.value = list(fields), key, order, value
+    ``fields`` gives the record's columns and their types.  The state holds each
+    in its own type (times as whole microseconds), so a record that waits for a
+    later batch comes back digit for digit.
+    """
+
+    def __init__(self, fields: dict[str, str], key: str = "id", order: str = "arr", value: str = "temperature"):
+        self.fields, self.key, self.order, self.value = dict(fields), key, order, value
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", "v double, record string")
+        kinds = {f: "bigint" if t.startswith("timestamp") else t for f, t in self.fields.items()}
+        self.best = handle.getValueState("best", ", ".join(["_v double", *(f"{f} {t}" for f, t in kinds.items())]))
+
+    def _stored(self, row: dict) -> tuple:
+        out = []
+        for f, t in self.fields.items():
+            x = row[f]
+            if pd.isna(x):
+                out.append(None)
+            elif t.startswith("timestamp"):
+                out.append(pd.Timestamp(x).value // 1000)
+            else:
+                out.append(x.item() if hasattr(x, "item") else x)
+        return tuple(out)
+
+    def _record(self, stored: tuple) -> list:
+        return [pd.Timestamp(x, unit="us") if t.startswith("timestamp") and x is not None else x
+                for t, x in zip(self.fields.values(), stored)]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _frame(rows, self.order)
-        v, record = self.best.get() if self.best.exists() else (None, None)
+        names = list(self.fields)
+        v, *stored = self.best.get() if self.best.exists() else (None,)
         vals = df[self.value].to_numpy("float64")
         vals = np.where(np.isnan(vals), -np.inf, vals)
         before = -np.inf if v is None else v
@@ -132,17 +154,16 @@ class RollingMaxBy(StatefulProcessor):
         # A row takes over where it exceeds all before it.
         takes = vals > np.concatenate(([before], top[:-1]))
         holder = np.maximum.accumulate(np.where(takes, np.arange(len(vals)), -1))
-        old = pd.DataFrame([json.loads(record)] if record else [], columns=self.fields)
-        pool = pd.concat([df[self.fields], old], ignore_index=True) if record else df[self.fields]
-        none = holder < 0
-        out = pool.iloc[np.where(none, len(pool) - 1, holder)].reset_index(drop=True)
-        if record is None:
-            out = out.mask(pd.Series(none), axis=0)
-        if not none[-1]:
-            self.best.update((float(top[-1]), df[self.fields].iloc[[holder[-1]]].to_json(orient="records")[1:-1]))
-        out.columns = [f"max_{f}" for f in self.fields]
-        out.insert(0, self.order, df[self.order])
-        out.insert(0, self.key, df[self.key])
+        # Column by column, as objects: no value is converted on the way.
+        old = self._record(stored) if v is not None else [None] * len(names)
+        out = pd.DataFrame({self.key: df[self.key], self.order: df[self.order]})
+        for f, o in zip(names, old):
+            pool = np.empty(len(df) + 1, dtype=object)
+            pool[:-1] = [None if pd.isna(x) else x for x in df[f].tolist()]
+            pool[-1] = o
+            out[f"max_{f}"] = pool[holder]  # -1: the record that was there
+        if holder[-1] >= 0:
+            self.best.update((float(top[-1]), *self._stored(df.iloc[holder[-1]][names].to_dict())))
         yield out
 
     def close(self) -> None:
