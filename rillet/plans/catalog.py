@@ -22,6 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillet.functions.aggregates import Course, Mean, aggregate_by
 from rillet.functions.numeric import fixed_digits
 from rillet.functions.text import java_split_sql, poly_hash, register_sql_functions, scaled_hash_code
 from rillet.functions.udfs import avg_temp, avg_temp_sql, split_pieces
@@ -391,6 +392,23 @@ def q_udaf_avg(spark, d):
     return _sensor(spark, d).groupBy("id").agg(_r(avg_temp("temperature")).alias("avg_temp"))
 
 
+@query("user_mean", ORACLE_SQL["udaf_avg"])
+def q_user_mean(spark, d):
+    """The mean as a user aggregate with an accumulator, partly summed up before the shuffle."""
+    out = aggregate_by(_sensor(spark, d), ["id"], Mean("temperature"))
+    return out.select("id", _r(F.col("mean")).alias("avg_temp"))
+
+
+@query("user_course", _with(SENSOR, "there AS (SELECT * FROM sensor WHERE temperature IS NOT NULL)") +
+       "SELECT s.id, s.n, t.first_at, t.last_at, t.rise, t.spread FROM "
+       "(SELECT id, count(*) AS n FROM sensor GROUP BY id) s LEFT JOIN (SELECT id, min(arr) AS first_at, "
+       "max(arr) AS last_at, arg_max(temperature, arr) - arg_min(temperature, arr) AS rise, "
+       "max(temperature) - min(temperature) AS spread FROM there GROUP BY id) t ON t.id IS NOT DISTINCT FROM s.id")
+def q_user_course(spark, d):
+    """A user aggregate whose accumulator has several parts: first, last, lowest, highest."""
+    return aggregate_by(_sensor(spark, d), ["id"], Course("arr", "temperature"))
+
+
 @query("udaf_avg_sql", ORACLE_SQL["udaf_avg"])
 def q_udaf_avg_sql(spark, d):
     """The aggregate function in SQL text, as an expression that Spark aggregates
@@ -709,7 +727,8 @@ def q_running_watermark(spark, d):
 def q_late_split(spark, d):
     """Both outputs of the split, each row with the side it went to."""
     s = _arrival(_sensor(spark, d))
-    kept, gone = late.late_split(s, "ts", ["arrival_us", "arr"], LATE_WINDOW, LATE_BOUND, LATENESS)
+    kept, gone = late.late_split(s.select("arr", "id", "ts", "arrival_us"), "ts", ["arrival_us", "arr"], LATE_WINDOW,
+                                 LATE_BOUND, LATENESS, path=scratch_path(spark, "tagged"))
     return kept.select("arr", "id", "status").unionByName(gone.select("arr", "id", F.lit(late.LATE).alias("status")))
 
 
@@ -742,6 +761,24 @@ def q_hot_pages_lateness(spark, d):
     return jobs.hot_pages_with_lateness(_page_arrivals(spark, d), ["arrival_us", "arr"], PAGE_BOUND)[0]
 
 
+_REFIRE = {"size": 600_000_000, "slide": 5_000_000, "late": duration_us(jobs.HOT_PAGES_LATENESS)}
+
+
+@query("hot_pages_refired", _with(
+    ACCESS, ARRIVAL.replace("FROM sensor", "FROM access"), PAGE_LATE_SQL[0],
+    "wins AS (SELECT url, wm_us, (ts_us // {slide}) * {slide} + {size} - j * {slide} AS e FROM wm, range(0, 120) t(j) "
+    "WHERE NOT regexp_matches(url, '\\.(css|js|png|ico)$'))".format(**_REFIRE),
+    "takings AS (SELECT url, e, count(*) FILTER (wm_us IS NULL OR wm_us < e - 1) AS n_on, count(*) AS n FROM wins "
+    "WHERE wm_us IS NULL OR wm_us < e - 1 + {late} GROUP BY url, e)".format(**_REFIRE),
+    "both_ AS (SELECT url, e, 'first' AS firing, n_on AS cnt FROM takings WHERE n_on > 0 UNION ALL "
+    "SELECT url, e, 'last', n FROM takings)") +
+       "SELECT make_timestamp(e) AS window_end, firing, url, cnt, rn FROM (SELECT *, CAST(row_number() OVER "
+       "(PARTITION BY e, firing ORDER BY cnt DESC, url) AS INTEGER) AS rn FROM both_) WHERE rn <= 3")
+def q_hot_pages_refired(spark, d):
+    """The hot pages of each window when it first fires, and after its last refiring."""
+    return jobs.hot_pages_refired(_page_arrivals(spark, d), ["arrival_us", "arr"], PAGE_BOUND)
+
+
 @query("allowed_lateness", _with(
     SENSOR, ARRIVAL, *LATE_SQL,
     "base AS (SELECT id, end_us, count(*) AS n0, min({'v': temperature, 'a': arr}) AS m0 FROM st "

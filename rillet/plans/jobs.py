@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.operators.distinct import uv_approx, uv_bitmap, uv_exact, uv_running
-from rillet.operators.late import late_split
+from rillet.operators.late import late_split, refired_top_n
 from rillet.operators.ranking import sliding_top_n, top_n, top_n_retract, topn_report
 from rillet.operators.routing import filter_static_assets
 from rillet.operators.windows import hop, hop_count_panes
+from rillet.session import scratch_path
 
 VIEW = "view"
 
@@ -158,11 +159,19 @@ def hot_pages_with_lateness(log: DataFrame, arrival: list, bound: str, n: int =
     arrival order).
     """
     pages = filter_static_assets(log, "url")
-    kept, gone = late_split(pages, "ts", arrival, HOT_PAGES_SIZE, bound, lateness, slide=HOT_PAGES_SLIDE)
+    kept, gone = late_split(pages, "ts", arrival, HOT_PAGES_SIZE, bound, lateness, slide=HOT_PAGES_SLIDE,
+                            path=scratch_path(log.sparkSession, "pages-tagged"))
     top = sliding_top_n(kept.select("url", "ts"), "url", "ts", HOT_PAGES_SIZE, HOT_PAGES_SLIDE, n)
     return top, gone
 
 
+def hot_pages_refired(log: DataFrame, arrival: list, bound: str, n: int = HOT_PAGES_N,
+                      lateness: str = HOT_PAGES_LATENESS) -> DataFrame:
+    """Top n urls of every window as it first fires and as late rows leave it at last."""
+    pages = filter_static_assets(log, "url")
+    return refired_top_n(pages, "url", "ts", arrival, HOT_PAGES_SIZE, HOT_PAGES_SLIDE, bound, lateness, n)
+
+
 def pv_count(behavior: DataFrame, behavior_value: str = VIEW, size: str = PAGE_VIEW_WINDOW) -> DataFrame:
     """Total views per tumbling window: ('pv', window_end, cnt)."""
     return (behavior.where(F.col("behavior") == behavior_value)

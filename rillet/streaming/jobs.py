@@ -52,6 +52,20 @@ def uv_stream(behavior: DataFrame, behavior_value: str = "view", size: str = "1
                  .select(F.lit("uv").alias("label"), F.col("w.end").alias("window_end"), "cnt"))
 
 
+def uv_exact_stream(behavior: DataFrame, behavior_value: str = "view", size: str = "1 hour",
+                    bound: str = "0 seconds") -> DataFrame:
+    """Exact distinct visitors per window on an unbounded stream.
+
+    The state of the first stage is one row per (window, visitor), spread by both
+    and dropped when the watermark passes the window; the second counts what
+    is new, summed up before its shuffle."""
+    views = with_event_time(behavior, "ts", bound).where(F.col("behavior") == behavior_value)
+    first = views.select(F.window("ts", size).alias("w"), "user_id").dropDuplicates(["w", "user_id"])
+    return (first.groupBy(F.window(F.window_time("w"), size).alias("w2"))
+                 .agg(F.count("user_id").alias("cnt"))
+                 .select(F.lit("uv").alias("label"), F.col("w2.end").alias("window_end"), "cnt"))
+
+
 def word_count_stream(lines: DataFrame, value: str = "value", sep: str = " ") -> DataFrame:
     """Streaming word count for update mode: one updated count per word per batch."""
     from rillet.functions.text import java_split

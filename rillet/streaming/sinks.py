@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillet.operators.windows import duration_us
 from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, chunk_by, running_count
-from rillet.session import delete_path, list_subdirs
+from rillet.session import delete_path, list_subdirs, path_exists
 
 
 def _batch_path(root: str, batch_id: int) -> str:
@@ -159,6 +159,35 @@ def count_first_seen_batch(out_path: str, totals_path: str, label: str = "uv"):
     return fn
 
 
+def global_running_count_batch(order: str, out_path: str, totals_path: str, name: str = "cnt"):
+    """foreachBatch function that numbers all rows of a stream, one after the other.
+
+    The rows of a batch are numbered by a chunked scan in the order of ``order``, so
+    no task sees them all, and on from the total that the batch before left, one
+    stored row.  Nothing depends on the number of partitions, which may change from
+    run to run.  A batch appears whole, after its total, and once.
+    """
+    from rillet.streaming.lateness import batch_dir, commit, stage
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if path_exists(spark, batch_dir(out_path, batch_id)):
+            return
+        stored = sorted((int(d.split("=")[1]) for d in list_subdirs(spark, totals_path)), reverse=True)
+        stored = [b for b in stored if b < batch_id]
+        base = spark.read.parquet(batch_dir(totals_path, stored[0])).first().n if stored else 0
+        counted = running_count(batch, [], [order], chunk_by(order, DEFAULT_ARRIVAL_CHUNK), name)
+        seen = Observation()
+        staged = stage(counted.withColumn(name, F.col(name) + base).observe(seen, F.count(F.lit(1)).alias("n")),
+                       out_path, batch_id)
+        (spark.createDataFrame([(base + seen.get["n"],)], "n bigint").write.mode("overwrite")
+         .parquet(batch_dir(totals_path, batch_id)))
+        commit(spark, staged, out_path, batch_id)
+        for old in stored[1:]:
+            delete_path(spark, batch_dir(totals_path, old))
+    return fn
+
+
 def console(df: DataFrame, label: str | None = None, n: int = 20):
     """Print a batch DataFrame, or start a console sink for a streaming one."""
     if df.isStreaming:
