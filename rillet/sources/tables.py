@@ -73,12 +73,12 @@ def access_log_from_events(events: DataFrame, pages: DataFrame) -> DataFrame:
     """
     listed = pages.where(F.col("page_id").isNotNull()).select("page_id", "url")
     n_pages = listed.count()
-    if n_pages == 0:
-        raise ValueError("pages table is empty")
     numbered = running_count(listed, [], ["page_id", "url"], chunk_by("page_id", DEFAULT_ARRIVAL_CHUNK), "nth")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    place = F.pmod(k, F.lit(n_pages)) if n_pages else F.lit(None).cast("bigint")  # no pages, no urls
     ev = events.select(
         "event_id", "ts", "user_id", "event_type",
-        F.pmod(F.get_json_object("props", "$.k").cast("bigint"), F.lit(n_pages)).alias("place"))
+        place.alias("place"))
     joined = ev.join(numbered.select((F.col("nth") - 1).alias("place"), "url"), "place", "left")
     uid = F.col("user_id")
     return joined.select(
