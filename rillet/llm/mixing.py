@@ -97,13 +97,13 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: int
     chosen = written(marked.filter("state <> 0").withColumn("extra", (F.col("state") > 0).cast("int"))
                      .unionByName(ends).drop("base", "state"), "chosen")
     left = (chosen.groupBy(*SOURCE).agg((F.max("rest") - F.sum(F.col("extra") * F.col("total"))).alias("left")))
-    gap = F.abs(F.col("left") - F.col("total"))
-    open_ = chosen.filter("extra = 0 and total > 0").join(left, SOURCE).withColumn("gap", gap)
-    nearest = (open_.groupBy(*SOURCE).agg(F.min("gap").alias("gap"), F.max("left").alias("left"))
-               .filter("gap < left").drop("left"))
-    first = Window.partitionBy(*SOURCE).orderBy("h", "th")
-    closing = (open_.join(nearest, [*SOURCE, "gap"]).withColumn("nth", F.row_number().over(first))
-               .filter("nth = 1").select(*UNIT, F.lit(1).alias("closing")))
+    # One unit for each size of a source, summed up before the shuffle: a hot source has no
+    # more rows than its documents have sizes.
+    sizes = (chosen.filter("extra = 0 and total > 0").groupBy(*SOURCE, "total")
+             .agg(F.min(F.struct("h", "th")).alias("unit")).join(left, SOURCE))
+    gap = F.abs(F.col("left") - F.col("total")).alias("gap")
+    closing = (sizes.groupBy(*SOURCE).agg(F.min(F.struct(gap, "unit")).alias("best"), F.max("left").alias("left"))
+               .filter("best.gap < left").select("best.unit.h", "best.unit.th", *SOURCE, F.lit(1).alias("closing")))
     copies = (F.col("whole") + F.col("extra") + F.coalesce("closing", F.lit(0))).cast("long")
     out = written(chosen.join(closing, UNIT, "left").select(
         *UNIT, "size", "source_size", "target", copies.alias("copies")), "mix-plan")
