@@ -33,7 +33,7 @@ def crc(ids: np.ndarray) -> int:
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(
-    st.characters(max_codepoint=0x24F), st.characters(), st.sampled_from(" \n\t'sdé9² \x1c")), max_size=60),
+    st.characters(max_codepoint=0x24F), st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'sdé9² \x1c")), max_size=60),
     max_size=5))
 def test_encoder_equals_library(texts):
     for mine, text in zip(encode.encoder(PATH).encode(texts), texts):
