@@ -89,9 +89,10 @@ def near_links(fps: DataFrame, distance: int = 2) -> DataFrame:
         raise ValueError("distance must be 0, 1 or 2")
     if distance == 0:
         return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
-    # The few distinct values are spread again: each gives 65 rows.
+    # The few distinct values are spread again, as each gives 65 rows; by another hash
+    # than that of ``distinct``, or Spark would take its few partitions for these.
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = (fps.select("fp").distinct().repartition(parts, "fp").select(F.explode(_ball(F.col("fp"))).alias("b"))
+    met = (fps.select("fp").distinct().repartition(parts, F.xxhash64("fp")).select(F.explode(_ball(F.col("fp"))).alias("b"))
            .select("b.value", F.when(F.col("b.bit") < 0, F.lit(0).cast("long"))
                    .otherwise(_bit(F.col("b.bit"))).alias("mask"),
                    (F.col("b.bit") < 0).alias("own"))
