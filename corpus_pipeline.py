@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rillet.llm import lines, mixing, packing, quality, simhash
-from rillet.llm.common import DOC_COLUMNS, prepare, table, written
+from rillet.llm.common import DOC_COLUMNS, drop_written, prepare, table, written
 from rillet.llm.encode import default_tokenizer
 from rillet.llm.queries import MAX_BITS, MIX_SEED, PACK_END, SEQUENCE, SHINGLE_WORDS, WINDOW_WORDS
 
@@ -59,8 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written and read again."""
+    """Apply the stages to ``documents``; each result is written and read again, and the
+    one before it removed."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+    for i, (name, stage) in enumerate(STAGES):
+        made = written(stage(spark, docs, sf_dir), name)
+        if i:
+            drop_written(docs)
+        docs = made
     return docs

@@ -30,7 +30,7 @@ def arrival_chunk(df: DataFrame, arrival: str) -> Column:
     epoch column (name ending in ``_us``) likewise; any other numeric arrival
     sequence into runs of 2^20.  Each chunk is one task's window, sorted with
     spilling; a minute of 100 TB over 30 days is ~2 GB on average and a burst
-    more.  Totals, one row per chunk, are combined in two levels.
+    more.  Totals, one row per chunk, meet in one task.
     """
     dtype = dict(df.dtypes)[arrival]
     if dtype.startswith("timestamp"):
@@ -46,14 +46,15 @@ def running_watermark(df: DataFrame, ts: str, arrival: list, bound: str,
     max event time over earlier arrivals minus ``bound``; null for the first.
 
     Global prefix max done by chunks of arrival order: in-chunk running max,
-    plus the max of all earlier chunks.
+    plus the max of all earlier chunks.  The chunks' totals meet in one task: a row a
+    minute, or one for 2^20 rows, so a million of them stand for 10^12 rows.
     """
     bound_us = duration_us(bound)
     d = df.withColumn("_ts_us", F.unix_micros(F.col(ts).cast("timestamp")))
     if chunk is None:
         chunk = arrival_chunk(d, arrival[0])
     d = keyed_scan(d, [], [F.col(a) for a in arrival], chunk,
-                   running={"_maxb": ("max", F.col("_ts_us"))}, exclusive=True, fan=1024)
+                   running={"_maxb": ("max", F.col("_ts_us"))}, exclusive=True)
     return d.withColumn(name, F.col("_maxb") - F.lit(bound_us)).drop("_maxb", "_ts_us")
 
 

@@ -83,8 +83,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of all tables that this application writes on the way to its results."""
+    return os.path.join(checkpoint_root(spark), "scratch", spark.sparkContext.applicationId)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all tables that this application has written on the way, once no result
+    that reads them is needed any more."""
+    delete_path(spark, scratch_root(spark))
 
 
 def _hadoop_fs(spark: SparkSession, path: str):

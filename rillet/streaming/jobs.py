@@ -123,7 +123,7 @@ def hot_pages_by_timer(log: DataFrame, n: int = 3, size: str = "10 minutes", sli
 
     The watermark trails by bound + lateness, so rows that are late but accepted
     count before their windows fire.  Rows behind it would be dropped by Spark;
-    :func:`start_hot_pages` writes them out first.
+    :func:`start_hot_pages_split` writes them out first.
     """
     from rillet.operators.routing import filter_static_assets
     from rillet.operators.windows import duration_us

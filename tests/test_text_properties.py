@@ -62,3 +62,14 @@ def test_integer_poly_hash_matches_string_form(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "u bigint")
     rows = df.select("u", poly_hash_of_integer("u").alias("h")).collect()
     assert [r.h for r in rows] == [poly_model(str(v)) for v in values]
+
+
+def test_scratch_is_the_applications_own(spark):
+    import os
+
+    from rillet.session import list_subdirs, scratch_path, scratch_root
+
+    path = scratch_path(spark, "mine")
+    spark.range(3).write.parquet(path)
+    assert os.path.basename(path) in list_subdirs(spark, scratch_root(spark))
+    assert spark.sparkContext.applicationId in path and spark.read.parquet(path).count() == 3
