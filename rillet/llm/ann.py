@@ -14,6 +14,7 @@ one posting with the few smallest ids that can be among the nearest.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,12 +35,22 @@ VISIT = 0.2
 DEGREE, FAR_LINKS, BEAM = 16, 8, 32
 BLOCK_VECTORS, BLOCK_QUERIES = 4096, 1024
 ROWS = 256
+#: What rounding may part a product of unit vectors from the score, amply.
+ROUNDING = 1e-9
+#: Vectors of different lengths are searched apart, one after the other.
+MOST_LENGTHS = 32
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _cosine(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Cosines of some vectors with one, from wider sums, so that parallel vectors tie."""
+    v, q = v.astype(np.longdouble), q.astype(np.longdouble)
+    return ((v * q).sum(axis=1) / np.sqrt((v * v).sum(axis=1) * (q * q).sum())).astype(np.float64)
+
+
 def _distance(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * cosine, 0.0))
 
@@ -162,12 +173,20 @@ def build_index(sample: np.ndarray, lists: int, seed: int = 5, rounds: int = 8)
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v): vectors as arrays of doubles, without null, zero and non-finite ones."""
+    """(vec_id, v): vectors as arrays of doubles, without null, zero and non-finite ones.
+
+    Each is divided by a power of two near its largest component, which changes
+    no cosine and no digit of one, so that squares neither overflow nor vanish.
+    """
     v = F.col("embedding").cast("array<double>")
     odd = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
-            .filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~odd)
-            .filter(F.exists("v", lambda x: x != 0)))
+    usable = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
+              .filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~odd)
+              .filter(F.exists("v", lambda x: x != 0)))
+    most = F.array_max(F.transform("v", F.abs))
+    unit = F.pow(F.lit(2.0), F.least(F.lit(1023), F.floor(F.log2(most)))).alias("unit")
+    usable = usable.select("vec_id", "v", F.inline(F.array(F.struct(unit))))  # computed once a row
+    return usable.select("vec_id", F.transform("v", lambda x: x / F.col("unit")).alias("v"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -187,18 +206,31 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, per_list: int = PER
     Queries are the rows of ``vectors`` (vec_id, embedding) for which
     ``is_query`` holds; candidates are all rows but those with the query's
     vec_id.  The score is the cosine of the original vectors in double
-    precision; ties go to the smaller vec_id.  Vectors that are null, zero, or
-    hold null or non-finite numbers, rows without vec_id, and vectors not of
-    the commonest length take no part; of several query rows with one vec_id
-    the least vector asks.  With fewer candidates than ``k`` all are returned;
-    an empty table gives none.
+    precision, whatever the vectors' magnitudes; ties go to the smaller vec_id.
+    Vectors that are null, zero, or hold null or non-finite numbers and rows
+    without vec_id take no part; of several query rows with one vec_id the
+    least vector asks.  A vector is a candidate for those of its own length, as
+    no cosine joins two lengths; more than ``MOST_LENGTHS`` lengths are refused.
+    With fewer candidates than ``k`` all are returned; an empty table gives none.
     """
-    spark = vectors.sparkSession
     usable = _usable(vectors)
     sizes = (usable.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "d").limit(1).collect())
-    d, n = sizes[0] if sizes else (1, 0)
-    usable = usable.filter(F.size("v") == d)
+             .orderBy(F.desc("n"), "d").limit(MOST_LENGTHS + 1).collect())
+    if len(sizes) > MOST_LENGTHS:
+        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+    found = [_search(usable.filter(F.size("v") == d), is_query, k, d, n, per_list, visit, seed)
+             for d, n in sizes or [(1, 0)]]
+    if len(found) == 1:
+        return found[0]
+    all_ = functools.reduce(DataFrame.unionByName, found)  # a query row of each length may bear one vec_id
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return all_.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def _search(usable: DataFrame, is_query: Column, k: int, d: int, n: int, per_list: int, visit: float,
+            seed: int) -> DataFrame:
+    """:func:`search` among the ``n`` rows (vec_id, v) of length ``d``."""
+    spark = usable.sparkSession
     # Equal vectors are one posting; only the smallest ids can be among the nearest.
     nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     points = written(usable.distinct().withColumn("nth", nth).filter(F.col("nth") <= k + 1)
@@ -251,13 +283,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, per_list: int = PER
         vn, qn = np.sqrt((v * v).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
         ids = vs.column("ids").combine_chunks()
         first = ids.flatten().to_numpy()[ids.offsets.to_numpy()[:-1] - ids.offsets[0].as_py()]
-        keep = min(len(v), k + 11)  # a margin: the product's rounding may differ from the score's
+        keep = min(len(v), k + 1)
         out_q, out_v, out_s = [], [], []
         for i in range(0, len(q), ROWS):
             cosine = (q[i:i + ROWS] / qn[i:i + ROWS, None]) @ (v / vn[:, None]).T
-            best = np.argpartition(-cosine, keep - 1, axis=1)[:, :keep]
-            for j, cand in enumerate(best, i):
-                score = (v[cand] * q[j]).sum(axis=1) / (vn[cand] * qn[j])
+            # All that may be among the first ``keep`` once scores are exact, ties included.
+            least = np.partition(cosine, len(v) - keep, axis=1)[:, len(v) - keep] - ROUNDING
+            for j, (row, limit) in enumerate(zip(cosine, least), i):
+                cand = np.flatnonzero(row >= limit)
+                score = _cosine(v[cand], q[j])
                 order = np.lexsort((first[cand], -score))[:k + 1]
                 out_q.append(np.full(len(order), j))
                 out_v.append(cand[order])

@@ -124,6 +124,40 @@ def test_ann_odd_vectors(spark, monkeypatch):
     assert [v for _, v in sorted(got[130])] == [100, 101, 102, 103, 104]
 
 
+def test_ann_ties_of_parallel_vectors(spark):
+    """All scores are 1: the smallest ids are the nearest, whatever the lengths."""
+    base = np.array([0.3, -0.7, 0.2])
+    rows = [(i, (base * (1 + (i * 37) % 61)).tolist()) for i in range(61)]
+    rows += [(100 + i, [1.0, 0.1 * i, 0.0]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = ann.search(df, F.col("vec_id") == 0, 5, per_list=20, visit=10.0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(i, 1.0) for i in (1, 2, 3, 4, 5)]
+
+
+def test_ann_magnitudes(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1e200, 0.0]), (2, [1e-200, 1e-202]), (3, [-1e308, 1e308]), (4, [5e-324, 0.0]),
+            (5, [0.0, 1.7e308]), (6, [3e-310, 4e-310])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.score for r in ann.search(df, F.col("vec_id") == 0, 9).collect()}
+    wanted = {1: 1.0, 2: 1 / np.sqrt(1.0001), 3: -np.sqrt(0.5), 4: 1.0, 5: 0.0, 6: 0.6}
+    assert got.keys() == wanted.keys()
+    assert all(abs(got[i] - wanted[i]) < 1e-9 for i in wanted)
+
+
+def test_ann_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(2 + i % 3).tolist()) for i in range(60)] + [(0, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, 4, per_list=10, visit=10.0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in (0, 20, 40):
+        a = np.array(rows[q][1])
+        score = {i: (a @ v) / np.linalg.norm(a) / np.linalg.norm(v) for i, v in rows[:60]
+                 if len(v) == len(a) and i != q}
+        assert sorted(got[q]) == list(enumerate(sorted(score, key=lambda i: (-score[i], i))[:4], 1))
+
+
 def test_ann_small_tables(spark):
     schema = "vec_id long, embedding array<float>"
     assert ann.search(spark.createDataFrame([], schema), F.col("vec_id") % 2 == 0).count() == 0
