@@ -37,7 +37,7 @@ def _then(df: DataFrame, **columns: Column) -> DataFrame:
 
 def chunked(docs: DataFrame, *more: Column) -> DataFrame:
     """doc_id, th (hash of the text), n_lines, ``chunks`` (the text's lines, joined chunk
-    by chunk) and ``more``.  Chunks have two lines at least, unless the text has one."""
+    by chunk), ``begin`` and ``end`` (their first and last lines) and ``more``.  Chunks have two lines at least, unless the text has one."""
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
     names = df.columns[2:]
     df = _then(df, th=F.xxhash64("text"), lines=F.split("text", "\n")).drop("text")
@@ -56,7 +56,7 @@ def chunked(docs: DataFrame, *more: Column) -> DataFrame:
                end=F.concat("inner", F.array("last")))
     chunks = F.zip_with("begin", "end", lambda b, e: F.array_join(F.slice("lines", b + 1, e - b + 1), "\n"))
     return _then(df, chunks=chunks).select("doc_id", "th", (F.col("last") + 1).cast("long").alias("n_lines"), "chunks",
-                                           *names)
+                                           "begin", "end", *names)
 
 
 def _repeatable(chunk: Column) -> Column:
@@ -144,11 +144,10 @@ def _less(df: DataFrame, passages: DataFrame) -> DataFrame:
     only white space is left."""
     df = df.join(passages.hint("merge"), KEY, "left")
     df = df.withColumn("covered", F.coalesce("covered", F.array().cast("array<int>")))
-    stays = F.flatten(F.transform("chunks", lambda c, k: F.array_repeat(
-        ~F.array_contains("gone", k), F.size(F.split(c, "\n")))))
-    df = _then(df, lines=F.split(F.array_join("chunks", "\n"), "\n"), stays=stays,
-               rest=F.array_except(F.sequence(F.lit(0), F.col("n_lines").cast("int") - 1), "covered"))
-    df = _then(df, left=F.transform(F.filter("rest", lambda i: F.get("stays", i)), lambda i: F.get("lines", i)))
+    of_chunks = F.flatten(F.transform("gone", lambda k: F.sequence(F.get("begin", k), F.get("end", k))))
+    df = _then(df, lines=F.split(F.array_join("chunks", "\n"), "\n"), rest=F.array_except(
+        F.sequence(F.lit(0), F.col("n_lines").cast("int") - 1), F.concat("covered", of_chunks)))
+    df = _then(df, left=F.transform("rest", lambda i: F.get("lines", i)))
     gone = F.concat("gone", "covered")
     empty = (F.size(gone) > 0) & ~F.exists("left", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return df.withColumns({"gone": gone, "kept": F.when(empty, F.array().cast("array<string>")).otherwise(F.col("left"))})
@@ -159,7 +158,8 @@ def _kept(docs: DataFrame, *more: Column) -> DataFrame:
     gone = repeated_chunks(docs).groupBy(*KEY).agg(F.collect_set("k").alias("gone"))
     df = chunked(docs, *more).join(gone.hint("merge"), KEY, "left")
     df = df.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
-    return _then(df, kept=F.filter("chunks", lambda c, k: ~F.array_contains("gone", k)))
+    df = _then(df, stay=F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), "gone"))  # one pass, hashed
+    return _then(df, kept=F.transform("stay", lambda k: F.get("chunks", k)))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
