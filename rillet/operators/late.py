@@ -26,10 +26,10 @@ ON_TIME, ACCEPTED, LATE = "on_time", "late_accepted", "late"
 def arrival_chunk(df: DataFrame, arrival: str) -> Column:
     """Chunks of the arrival order for the prefix scans.
 
-    A timestamp arrival column is cut into one-minute chunks; a microsecond
+    A timestamp arrival column is cut into chunks of ten seconds; a microsecond
     epoch column (name ending in ``_us``) likewise; any other numeric arrival
     sequence into runs of 2^20.  Each chunk is one task's window, sorted with
-    spilling; a minute of 100 TB over 30 days is ~2 GB on average and a burst
+    spilling; ten seconds of 100 TB over 30 days are 400 MB on average and a burst
     more.  Totals, one row per chunk, meet in one task.
     """
     dtype = dict(df.dtypes)[arrival]

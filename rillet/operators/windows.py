@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, _shared_shuffle, _surrogate_keys, chunk_by, keyed_scan
 
-# Time chunk of sessions: long, so that sparse keys have few chunk totals.
-SESSION_CHUNK_US = 3_600_000_000
+# Time chunk of sessions, per key: a key with a third of 100 TB over a month has less than
+# a gigabyte in a minute; a sparse key has no more totals than rows.
+SESSION_CHUNK_US = 60_000_000
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000,
              "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
