@@ -7,8 +7,7 @@ new symbol makes with its neighbours join the agenda, until none is left.
 
 No piece goes on from another character to a space mark, so a text falls into
 words (space marks and what follows them) that no merge crosses, and the ids of
-a word met before are remembered.  Every batch is compared with the sentencepiece
-library.
+a word met before are remembered.  Every batch is compared with the sentencepiece library.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ import functools
 import heapq
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +29,13 @@ SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Where a word begins after another.
 NEXT_WORD = re.compile(f"(?<=[^{SPACE}]){SPACE}")
-#: Longest word that is remembered; words of one generation; characters cut into words at a time.
-REMEMBERED, GENERATION, PIECE = 20, 300_000, 1 << 18
+#: Longest word that is remembered, and merged beside others; words of one generation; characters
+#: cut into words at a time, and words encoded at a time.
+REMEMBERED, GENERATION, PIECE, GROUP = 20, 400_000, 1 << 18, 1 << 15
+#: An id in memory.
+ID = np.dtype("<i4")
+#: New words that are merged together.
+STEP = 4096
 #: UTF-8 of the texts of one step, about.
 STEP_BYTES = 1 << 21
 #: Model type and piece types of the model file's format (fixed values).
@@ -51,70 +54,100 @@ class Agenda:
         for c in set().union(*score):
             number.setdefault(c, len(number))
         self.other = len(number)
-        self.width = len(number) + 1
+        self.width = len(number) + 2  # one more stands behind the end of a word
         self.number = {c: i for c, i in number.items() if len(c) == 1}
-        place = {s: i for i, s in enumerate(sorted(set(score.values()), reverse=True))}
-        #: pair of symbols: place of the union's score, and its number
-        self.pairs = {number[p[:i]] * self.width + number[p[i:]]: (place[s] << 32, number[p])
-                      for p, s in score.items() for i in range(1, len(p)) if p[:i] in number and p[i:] in number}
-
-    def merged(self, text: str) -> list[tuple[int, int]]:
-        """(first character, symbol) of what is left when no two neighbours make a piece.
-
-        An entry of the agenda is the place of a pair's score and the pair's
-        first character in one number.
+        self.length = [len(p) for p in number] + [1]
+        places = {s: i for i, s in enumerate(sorted(set(score.values()), reverse=True))}
+        self.none = len(places)  # behind all scores
+        #: by pair: the place of its union's score among all, and the union's number
+        self.place, self.union = {}, {}
+        for p, s in score.items():
+            for i in range(1, len(p)):
+                if p[:i] in number and p[i:] in number:
+                    pair = number[p[:i]] * self.width + number[p[i:]]
+                    self.place[pair], self.union[pair] = places[s], number[p]
+        # the same for many pairs at once
+        self._pairs = np.array(sorted(self.place), dtype=np.int64)
+        self._places = np.array([*map(self.place.get, self._pairs.tolist()), self.none], dtype=np.int32)
+        self._unions = np.array([*map(self.union.get, self._pairs.tolist()), 0], dtype=np.int64)
+        self._by_char = np.full(0x110000, self.other, dtype=np.int64)
+        self._by_char[[ord(c) for c in self.number]] = list(self.number.values())
+
+    def merged(self, text: str) -> list[int]:
+        """The symbols that are left when no two neighbours make a piece.
+
+        The agenda is a heap of (place of a pair's score, its first symbol), as one
+        number; an entry one of whose symbols has been joined since is passed over.
         """
-        n, width, pair = len(text), self.width, self.pairs.get
-        symbols = [self.number.get(c, self.other) for c in text]
+        symbols: list = [self.number.get(c, self.other) for c in text]
+        place, union, width, n = self.place.get, self.union, self.width, len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
+        agenda: list[int] = []
+
+        def wait(i: int, j: int) -> None:
+            found = place(symbols[i] * width + symbols[j])
+            if found is not None:
+                heapq.heappush(agenda, found << 32 | i)
+
         for i in range(n - 1):
-            found = pair(symbols[i] * width + symbols[i + 1])
-            if found:
-                agenda.append(found[0] + i)
-        heapq.heapify(agenda)
+            wait(i, i + 1)
         while agenda:
             entry = heapq.heappop(agenda)
             i = entry & 0xFFFFFFFF
             j = after[i]
-            found = pair(symbols[i] * width + symbols[j]) if j < n else None
-            if not found or found[0] + i != entry:
-                continue  # one of the two has been joined with another
-            symbols[i], symbols[j] = found[1], self.other
+            pair = symbols[i] * width + symbols[j] if symbols[i] is not None and j < n else None
+            if pair is None or place(pair) != entry >> 32:
+                continue
+            symbols[i], symbols[j] = union[pair], None
             right = after[i] = after[j]
-            left = before[i]
             if right < n:
                 before[right] = i
-                found = pair(symbols[i] * width + symbols[right])
-                if found:
-                    heapq.heappush(agenda, found[0] + i)
-            if left >= 0:
-                found = pair(symbols[left] * width + symbols[i])
-                if found:
-                    heapq.heappush(agenda, found[0] + left)
-        out, i = [], 0
-        while i < n:
-            out.append((i, symbols[i]))
-            i = after[i]
-        return out
-
-
-class _Known(dict):
-    """Ids by word, found by ``learn`` where they are missing."""
-
-    def __init__(self, learn):
-        super().__init__()
-        self.learn = learn
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.learn(word)
-        if len(word) <= REMEMBERED:
-            self[word] = ids
-        return ids
+                wait(i, right)
+            if before[i] >= 0:
+                wait(before[i], i)
+        return [s for s in symbols if s is not None]
+
+    def _look_up(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and union of many pairs."""
+        pair = first * self.width + second
+        at = np.searchsorted(self._pairs, pair)
+        at[(at == len(self._pairs)) | (self._pairs[np.minimum(at, len(self._pairs) - 1)] != pair)] = -1
+        return self._places[at], self._unions[at]
+
+    def merged_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`merged` of many short words, one after the other, and how many symbols each has.
+
+        The agenda of a word is the row of its pairs' places, of which the first least
+        is taken; all words take a step together.
+        """
+        n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        cols = np.arange(int(n.max()) + 1)
+        inside = cols < n[:, None]
+        symbols = np.full(inside.shape, self.width - 1, dtype=np.int64)
+        symbols[inside] = self._by_char[np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")]
+        place, union = self._look_up(symbols[:, :-1], symbols[:, 1:])
+        n, open_ = n.copy(), np.arange(len(words))
+        while True:
+            i = place[open_].argmin(axis=1)
+            more = place[open_, i] < self.none
+            open_, i = open_[more], i[more]
+            if not len(open_):
+                return symbols[cols < n[:, None]], n
+            symbols[open_, i] = union[open_, i]
+            n[open_] -= 1
+            # what stands behind the pair moves one place to the left
+            move = np.minimum(cols + (cols > i[:, None]), cols[-1])
+            symbols[open_] = np.take_along_axis(symbols[open_], move, 1)
+            symbols[open_, -1] = self.width - 1
+            for x in (place, union):
+                x[open_] = np.take_along_axis(x[open_], np.minimum(move[:, :-1], cols[-2]), 1)
+            place[open_, -1] = self.none
+            for at, rows in ((i, open_), (i[i > 0] - 1, open_[i > 0])):
+                place[rows, at], union[rows, at] = self._look_up(symbols[rows, at], symbols[rows, at + 1])
 
 
 class PieceEncoder:
-    """``encode(text)`` and ``decode(ids)`` for one model file."""
+    """``encode(texts)`` and ``decode(ids)`` for one model file."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -128,7 +161,7 @@ class PieceEncoder:
         if model.trainer_spec.model_type != MERGE_MODEL or kinds - {NORMAL, UNKNOWN, CONTROL, BYTE}:
             raise ValueError("only merge-type vocabularies of plain, byte and control pieces are encoded")
         score = {p.piece: p.score for p in model.pieces if p.type == NORMAL}
-        self.ids = [i for i, p in enumerate(model.pieces) if p.type == NORMAL]
+        self.ids = np.array([i for i, p in enumerate(model.pieces) if p.type == NORMAL], dtype=np.int64)
         self.agenda = Agenda(score)
         by_byte = {int(p.piece[3:-1], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.bytes = [by_byte[b] for b in range(256)] if len(by_byte) == 256 else None
@@ -138,7 +171,10 @@ class PieceEncoder:
                          and spec.escape_whitespaces and spec.add_dummy_prefix
                          and not model.trainer_spec.treat_whitespace_as_suffix)
         self.by_word = self.bytes is not None and not any(NEXT_WORD.search(p) for p in score)
-        self.known, self.old = _Known(self._learn), {}
+        # ids by word, as 32-bit integers end to end: when the young generation is full it
+        # becomes the old one, from which what is met again moves over
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def normal(self, text: str) -> str:
         """The text as pieces spell it: spaces are marks, one more in front."""
@@ -146,22 +182,48 @@ class PieceEncoder:
             return SPACE + text.replace(" ", SPACE) if text else ""
         return self.library.normalize(text)
 
-    def _encoded(self, text: str) -> tuple[int, ...]:
+    def _encoded(self, text: str) -> bytes:
+        return self._ids_of(text, self.agenda.merged(text))
+
+    def _ids_of(self, text: str, symbols: list[int]) -> bytes:
+        """The ids of merged symbols, those of characters that are no pieces too."""
         out: list[int] = []
-        unknown_before = False
-        for i, symbol in self.agenda.merged(text):
+        at, unknown_before = 0, False
+        for symbol in symbols:
             known = symbol < len(self.ids)
             if known:
-                out.append(self.ids[symbol])
+                out.append(int(self.ids[symbol]))
             elif self.bytes is not None:  # a character that is no piece
-                out.extend([self.bytes[b] for b in text[i].encode()])
+                out.extend([self.bytes[b] for b in text[at].encode()])
             elif not unknown_before:
                 out.append(self.unknown)  # one for a run of unknown symbols
             unknown_before = not known
-        return tuple(out)
-
-    def _learn(self, word: str) -> tuple[int, ...]:
-        return self.old.get(word) or self._encoded(word)
+            at += self.agenda.length[symbol]
+        return np.array(out, dtype=ID).tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        """Find the ids of the words that are not known."""
+        if len(self.known) > GENERATION:
+            self.old, self.known = self.known, {}
+        new = words.difference(self.known)
+        again = [w for w in new if w in self.old]
+        self.known.update((w, self.old[w]) for w in again)
+        fresh = sorted(new.difference(again), key=len)
+        short = [w for w in fresh if len(w) <= REMEMBERED]
+        for i in range(0, len(short), STEP):
+            part = short[i:i + STEP]
+            symbols, n = self.agenda.merged_all(part)
+            plain = symbols < len(self.ids)
+            ids = self.ids[np.where(plain, symbols, 0)].astype(ID).tobytes()
+            ends = np.cumsum(n)
+            odd = np.add.reduceat(~plain, ends - n) > 0
+            size = ID.itemsize
+            self.known.update((word, ids[a:b]) for word, a, b in zip(
+                part, (size * (ends - n)).tolist(), (size * ends).tolist()))
+            for i in np.flatnonzero(odd).tolist():
+                a, b = ends[i] - n[i], ends[i]
+                self.known[part[i]] = self._ids_of(part[i], symbols[a:b].tolist())
+        self.known.update((w, self._encoded(w)) for w in fresh[len(short):])
 
     def _words(self, text: str) -> Iterator[list[str]]:
         """The words of a text, many at a time."""
@@ -174,29 +236,44 @@ class PieceEncoder:
             begin = cut.start()
         yield WORD.findall(text, begin)
 
-    def encode(self, text: str) -> list[int]:
-        """The ids of a text; none for an empty text."""
-        spelled = self.normal(text)
-        if not self.by_word:
-            return list(self._encoded(spelled))
-        out: list[int] = []
-        for words in self._words(spelled):
-            if len(self.known) > GENERATION:
-                # the full generation becomes the old one; what is met again moves over
-                self.old, self.known = dict(self.known), _Known(self._learn)
-            out.extend(chain.from_iterable(map(self.known.__getitem__, words)))
-        return out
+    def _fill(self, out: list[list[bytes]], group: list[tuple[int, list[str]]]) -> None:
+        words = set().union(*(w for _, w in group))
+        self._learn(words)
+        ids = self.known.__getitem__
+        for k, w in group:
+            out[k].append(b"".join(map(ids, w)))
+        for w in words:
+            if len(w) > REMEMBERED:
+                del self.known[w]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text as 32-bit integers; none for an empty text."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group, size = [], 0
+        for k, text in enumerate(texts):
+            spelled = self.normal(text)
+            if not self.by_word:
+                out[k].append(self._encoded(spelled))
+                continue
+            for words in self._words(spelled):
+                group.append((k, words))
+                size += len(words)
+                if size > GROUP:
+                    self._fill(out, group)
+                    group, size = [], 0
+        self._fill(out, group)
+        return [np.frombuffer(b"".join(parts), dtype=ID) for parts in out]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids)
 
-    def checked(self, texts: list[str]) -> list[list[int]]:
-        """The ids of some texts, each compared with the library's."""
-        mine = [self.encode(t) for t in texts]
-        for text, ids, wanted in zip(texts, mine, self.library.encode(texts, num_threads=1)):
-            if ids != wanted:
+    def checked(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
+        """The ids of some texts, each compared with the library's, and the library's, equal to them."""
+        mine, wanted = self.encode(texts), self.library.encode(texts, num_threads=1)
+        for text, ids, theirs in zip(texts, mine, wanted):
+            if not np.array_equal(ids, np.fromiter(theirs, dtype=ID, count=len(theirs))):
                 raise ValueError(f"ids differ from the library's for a text that begins {text[:80]!r}")
-        return mine
+        return mine, wanted
 
 
 @functools.lru_cache(maxsize=2)
@@ -211,18 +288,17 @@ def default_pieces() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _id_lists(ids: list[list[int]]) -> pa.Array:
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
     ends = np.zeros(len(ids) + 1, dtype=np.int32)
     np.cumsum([len(x) for x in ids], out=ends[1:])
-    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded) of every row of ``docs``: the ids of its whole text by the
     model file ``path``, without begin and end ids, and the text that they decode to.
 
-    The ids are the sentencepiece library's; every batch is compared with it, and
+    The ids are the sentencepiece library's; every batch is checked against it, and
     a difference fails the job.  A null text is empty and has no ids.  Repeated
     rows and rows without doc_id stay rows of their own; a long text is cut at
     words for memory's sake, which changes no id; other columns go; an empty table
@@ -233,8 +309,8 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         encoder = piece_encoder(path)
         for batch in batches:
             for part in slices(batch, "text", STEP_BYTES):
-                ids = encoder.checked(part.column("text").to_pylist())
-                decoded = encoder.decode(ids)
+                ids, lists = encoder.checked(part.column("text").to_pylist())
+                decoded = encoder.decode(lists)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _id_lists(ids), pa.array(decoded, pa.string())],
                                                  ["doc_id", "ids", "decoded"])
 
