@@ -18,7 +18,6 @@ and sums only.
 from __future__ import annotations
 
 import math
-import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -32,8 +31,8 @@ from pyspark.sql import functions as F
 from rillet.llm.common import written
 from rillet.session import delete_path, scratch_path
 
-#: Vectors of a block; bytes of vectors in a bucket, about.
-BLOCK, BUCKET_BYTES = 1024, 1 << 27
+#: Vectors of a block (an Arrow batch holds a thousand blocks); bytes of vectors in a bucket, about.
+BLOCK, BUCKET_BYTES = 256, 1 << 27
 #: Components reach this size at most, so that squared distances fit into 64 bits.
 LARGEST = 1 << 27
 #: Bounds are widened by this share, far above what rounding may take.
@@ -167,7 +166,7 @@ def _pack(dim: int) -> Callable:
             for i in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(i, BLOCK)
                 x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-                if np.abs(x).max() >= LARGEST:
+                if x.max() >= LARGEST or x.min() <= -LARGEST:
                     raise ValueError(f"a component reaches {LARGEST}: squared distances would not fit into 64 bits")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()),
@@ -274,7 +273,8 @@ def _joined(stored: DataFrame, bounds: DataFrame | None) -> DataFrame:
 def _blocks_of(batches: Iterable[pa.RecordBatch], dim: int, move: Move):
     """(row, x, old cluster or None, cluster, upper, lower, compared with all) of each block."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]  # one block at a time
             x = _matrix(row["x"], dim)
             if "cluster" not in row:
                 yield (row, x, None, *scan(x, move.centroids), len(x))

@@ -86,6 +86,8 @@ def test_empty_and_too_large(spark):
     assert clusters.with_inertia(found).collect() == [] and found.scanned == []
     with pytest.raises(Exception, match="64 bits"):
         clusters.cluster(table(spark, [(1, [1e30, 0.0])]), 2, 1, 2)
+    with pytest.raises(Exception, match="64 bits"):
+        clusters.cluster(table(spark, [(1, [0.0, -1e30])]), 2, 1, 2)
 
 
 def test_inertia(spark):
