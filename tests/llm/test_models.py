@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -60,6 +61,23 @@ def test_quality_of_odd_rows(spark):
     assert quality.score_documents(empty(spark), quality.fit_on(empty(spark), labels)).count() == 0
 
 
+def test_scores_equal_a_plain_loop(spark):
+    """The additive model, document by document and table by table."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.fit_on(docs, spark.read.parquet(f"{SF}/labels.parquet"), 400)
+    assert model.pairs and any(len(t) > 2 for t in model.tables)
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    for r in quality.score_documents(docs, model).collect():
+        x = [float(v) for v in quality.features(texts[r.doc_id].encode())]
+        total = model.base
+        for value, edges, table in zip(x, model.edges, model.tables):
+            total += table[bisect.bisect_right(edges.tolist(), value)]
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[bisect.bisect_right(model.pair_edges[a].tolist(), x[a]),
+                           bisect.bisect_right(model.pair_edges[b].tolist(), x[b])]
+        assert math.isclose(r.score, 1 / (1 + math.exp(-total)), rel_tol=1e-9, abs_tol=1e-12)
+
+
 def test_pairs_learn_what_single_features_cannot():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
@@ -275,6 +293,36 @@ def test_shards_are_balanced_and_split_large_groups(spark):
     assert sorted(tuple(r) for r in sharding.assign(df.repartition(9), 8).collect()) == sorted(tuple(r) for r in got)
 
 
+def test_shards_equal_a_step_by_step_packer(spark):
+    """Items in order of their largest share, each where the dot product with what is left is highest."""
+    rng = np.random.default_rng(9)
+    table = [(i, " ".join("w" * int(rng.integers(1, 9)) for _ in range(int(rng.integers(0, 60))))) for i in range(1500)]
+    table += [(9000 + i, "the same words " * 20) for i in range(500)]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    shards = 6
+    found = {r.doc_id: r.shard for r in sharding.assign(df, shards).collect()}
+    rows_ = sharding._measured(df)
+    large, share = sharding._large_groups(rows_, shards)
+    items = defaultdict(lambda: [0, 0, 0, set()])
+    for r in sharding._bundled(rows_, large).collect():
+        item = items[r.bundle]
+        for j, v in enumerate((r["size"], r.tokens, 1)):
+            item[j] += v
+        item[3].add(r.doc_id)
+    totals = [sum(it[j] for it in items.values()) / shards for j in range(3)]
+    assert np.allclose(totals, share)
+    left = [[1.0, 1.0, 1.0] for _ in range(shards)]
+    shares = {b: [it[j] / share[j] for j in range(3)] for b, it in items.items()}
+    for bundle in sorted(items, key=lambda b: (-max(shares[b]), b)):
+        item = shares[bundle]
+        dot = [sum(l * v * w for l, v, w in zip(rest, item, sharding.WEIGHTS)) for rest in left]
+        best = {found[d] for d in items[bundle][3]}
+        assert len(best) == 1  # an item stays together
+        best = best.pop()
+        assert math.isclose(dot[best], max(dot), rel_tol=1e-9, abs_tol=1e-12)
+        left[best] = [l - v for l, v in zip(left[best], item)]
+
+
 def test_written_shards_hold_all_rows(spark, tmp_path):
     docs = documents(spark)
     sharding.write_shards(docs, str(tmp_path / "out"), 4)
