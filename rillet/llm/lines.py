@@ -159,7 +159,8 @@ def _kept(docs: DataFrame, *more: Column) -> DataFrame:
     df = chunked(docs, *more).join(gone.hint("merge"), KEY, "left")
     df = df.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     df = _then(df, stay=F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), "gone"))  # one pass, hashed
-    return _then(df, kept=F.transform("stay", lambda k: F.get("chunks", k)))
+    kept = F.transform("stay", lambda k: F.get("chunks", k))
+    return _then(df, kept=F.when(F.size("gone") > 0, kept).otherwise(F.col("chunks")))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
