@@ -7,6 +7,8 @@ and map task travel, however large a group is.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -59,25 +61,6 @@ def sliding_top_n(df: DataFrame, key: str, ts: str, size: str, slide: str, n: in
     return top_n(counts, ["window_end"], [F.desc(name), F.asc(key)], n, rank).select(key, "window_end", name, rank)
 
 
-def _entering(counts: np.ndarray, n: int):
-    """(place, top) for every row that enters the top ``n`` of the rows up to it;
-    ``top`` lists the places of the top before it, the best first.  Earlier rows
-    win ties."""
-    top: list[int] = []
-    at = 0
-    while at < len(counts):
-        if len(top) == n:  # the next row above the last of the top
-            ahead = counts[at:] > counts[top[-1]]
-            step = int(ahead.argmax())
-            if not ahead[step]:
-                return
-            at += step
-        yield at, list(top)
-        rank = sum(counts[i] >= counts[at] for i in top)
-        top = [*top[:rank], at, *top[rank:]][:n]
-        at += 1
-
-
 def top_n_retract(df: DataFrame, group: str, key: str, count: str, n: int) -> DataFrame:
     """The top ``n`` per group as a retract stream.
 
@@ -90,8 +73,8 @@ def top_n_retract(df: DataFrame, group: str, key: str, count: str, n: int) -> Da
     chunks of consecutive keys, as many as it fills partitions.  The top of two
     chunks is the top of their tops: the tops of a group's earlier chunks,
     ``n`` rows each, give the top that a chunk starts from, and every chunk is
-    replayed by itself.  No task sees a whole group, whatever order its counts
-    are in.
+    replayed by itself, row after row, with only the top in memory.  No task sees
+    a whole group, whatever order its counts are in.
     """
     types = dict(df.dtypes)
     spark = df.sparkSession
@@ -119,25 +102,44 @@ def top_n_retract(df: DataFrame, group: str, key: str, count: str, n: int) -> Da
     starts = several.groupBy(group).applyInPandas(
         carry, f"{group} {types[group]}, _chunk int, {key} {types[key]}, {count} {types[count]}")
 
-    def replay(names: tuple, start: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
-        begun = len(start)
-        start = start.sort_values([count, key], ascending=[False, True])
-        both = pd.concat([start[[key, count]], frame.sort_values(key)[[key, count]]], ignore_index=True)
-        counts, keys, out = both[count].to_numpy(), both[key].to_numpy(), []
-        for at, top in _entering(counts, n):
-            if at < begun:
-                continue  # what earlier chunks have told
-            rank = sum(counts[i] >= counts[at] for i in top)
-            after = [*top[:rank], at, *top[rank:]][:n]
-            for r in range(rank, len(after)):
-                if r < len(top):
-                    out.append((keys[at], False, r + 1, keys[top[r]], counts[top[r]]))
-                out.append((keys[at], True, r + 1, keys[after[r]], counts[after[r]]))
-        done = pd.DataFrame(out, columns=["cause", "is_add", "rn", key, count])
-        done.insert(0, group, names[0])
-        return done
-
-    at = [group, "_chunk"]
-    return starts.groupBy(*at).cogroup(chunks.groupBy(*at)).applyInPandas(
+    def replay(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows in the order of chunk, group and key, a chunk's starting top before them: only
+        the top is held, whatever a chunk's size."""
+        at, top = None, []  # (key, count), the best first
+        for df in frames:
+            if not len(df):
+                continue
+            names, chunk = df[group].tolist(), df["_chunk"].to_numpy()
+            code = pd.factorize(df[group], use_na_sentinel=False)[0]
+            cuts = np.flatnonzero((np.diff(code) != 0) | (np.diff(chunk) != 0)) + 1
+            keys, counts, given = df[key].tolist(), df[count].to_numpy(), df["_given"].to_numpy()
+            out = []
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(df)]):
+                name = names[a]
+                here = int(chunk[a]), None if pd.isna(name) else name
+                if here != at:
+                    at, top = here, []
+                i = a + int(given[a:b].sum())
+                top = sorted([*top, *zip(keys[a:i], counts[a:i].tolist())], key=lambda x: (-x[1], x[0]))
+                while i < b:
+                    if len(top) == n:  # on to the next row above the last of the top
+                        ahead = counts[i:b] > top[-1][1]
+                        step = int(ahead.argmax())
+                        if not ahead[step]:
+                            break
+                        i += step
+                    k, c = keys[i], counts[i].item()
+                    rank = sum(m >= c for _, m in top)
+                    after = [*top[:rank], (k, c), *top[rank:]][:n]
+                    for r in range(rank, len(after)):
+                        if r < len(top):
+                            out.append((here[1], k, False, r + 1, *top[r]))
+                        out.append((here[1], k, True, r + 1, *after[r]))
+                    top, i = after, i + 1
+            yield pd.DataFrame(out, columns=[group, "cause", "is_add", "rn", key, count])
+
+    rows = chunks.withColumn("_given", F.lit(0)).unionByName(starts.withColumn("_given", F.lit(1)))
+    rows = rows.repartition(parts, "_chunk").sortWithinPartitions("_chunk", group, F.desc("_given"), key)
+    return rows.mapInPandas(
         replay, f"{group} {types[group]}, cause {types[key]}, is_add boolean, rn int, {key} {types[key]}, "
                 f"{count} {types[count]}")
