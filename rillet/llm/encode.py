@@ -21,6 +21,8 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 #: Cyrillic, general punctuation and currency signs.
 SETTLED = [*range(0x1C), *range(0x20, 0x530), *range(0x2000, 0x2070), *range(0x20A0, 0x20C0)]
 PIECE = 1 << 19
+#: Characters of the pre-tokens of one generation, about.
+REMEMBERED = 1 << 24
 
 
 def _class(kind: str) -> str:
@@ -62,11 +64,12 @@ class _Known(dict):
         # A generation's ids are far fewer than 2**31.
         self.flat, self.start, self.length = np.zeros(1 << 16, dtype), np.zeros(1 << 16, np.int32), np.zeros(
             1 << 16, np.int32)
-        self.used = 0
+        self.used, self.chars = 0, 0
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         self.new.append(word)
+        self.chars += len(word)
         return number
 
     def store(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
@@ -100,8 +103,9 @@ class Encoder:
         pre = config.get("pre_tokenizer") or {}
         self.added = [t["content"] for t in config.get("added_tokens") or ()]
         self.find = re.compile(_pre_token_pattern()).findall
-        # Two generations: when the young one is full it becomes the old one,
-        # from which what is met again moves over; the rest is forgotten.
+        # Two generations: when the young one is full, by number or by characters,
+        # it becomes the old one, from which what is met again moves over; the rest
+        # is forgotten.
         self.generation, self.known, self.old = generation, _Known(self.dtype), None
         model = config["model"]
         letters = _byte_letters()
@@ -155,7 +159,7 @@ class Encoder:
             done.update(zip(group, self._remembered(group)))
 
     def _remembered(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > self.generation:
+        if len(self.known) > self.generation or self.known.chars > REMEMBERED:
             self.old, self.known = self.known, _Known(self.dtype)
         number = self.known.__getitem__
         split = [self.find(t) for t in texts]

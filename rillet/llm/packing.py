@@ -123,7 +123,8 @@ def curve_order(docs: DataFrame, seed: int = 7, split: int | None = None) -> Dat
         return pd.Series(key_of(tie, text))
 
     share = min(1.0, PER_RANGE * ranges / max(docs.count(), 1))
-    sample = base.filter(F.pmod(F.xxhash64("tie", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    chosen = F.xxhash64("tie", F.lit(seed)).bitwiseAND((1 << 62) - 1) < int(share * (1 << 62))
+    sample = base.filter(chosen)
     shares = [i / ranges for i in range(1, ranges)]
     bounds = sample.select(sampled_key("tie", F.col("text").cast("binary")).alias("key")).agg(
         F.percentile_approx("key", shares, 100 * ranges) if shares else F.lit(None)).first()[0]
