@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillet.operators.bounds import even_chunks
 from rillet.operators.ranking import top_n
 from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, DEFAULT_TIME_CHUNK_US, chunk_by, keyed_scan
 from rillet.operators.windows import duration_us
@@ -30,7 +31,8 @@ def arrival_chunk(df: DataFrame, arrival: str) -> Column:
     epoch column (name ending in ``_us``) likewise; any other numeric arrival
     sequence into runs of 2^20.  Each chunk is one task's window, sorted with
     spilling; ten seconds of 100 TB over 30 days are 400 MB on average and a burst
-    more.  Totals, one row per chunk, meet in one task.
+    more, which :func:`even_arrival_chunks` cuts further.  Totals, one row per
+    chunk, meet in one task.
     """
     dtype = dict(df.dtypes)[arrival]
     if dtype.startswith("timestamp"):
@@ -40,22 +42,29 @@ def arrival_chunk(df: DataFrame, arrival: str) -> Column:
     return chunk_by(arrival, DEFAULT_ARRIVAL_CHUNK)
 
 
+def even_arrival_chunks(df: DataFrame, arrival: list, name: str = "_even") -> DataFrame:
+    """Add ``name``: the chunks of :func:`arrival_chunk`, crowded ones cut at sampled quantiles."""
+    return even_chunks(df, arrival_chunk(df, arrival[0]), arrival, name=name)
+
+
 def running_watermark(df: DataFrame, ts: str, arrival: list, bound: str,
                       chunk: Column | None = None, name: str = "wm_us") -> DataFrame:
     """Watermark (epoch microseconds) in force when each row arrives:
     max event time over earlier arrivals minus ``bound``; null for the first.
 
     Global prefix max done by chunks of arrival order: in-chunk running max,
-    plus the max of all earlier chunks.  The chunks' totals meet in one task: a row a
-    minute, or one for 2^20 rows, so a million of them stand for 10^12 rows.
+    plus the max of all earlier chunks.  The chunks' totals meet in one task: a row for
+    ten seconds, or one for 2^20 rows, so a million of them stand for 10^12 rows.  Without
+    ``chunk`` a burst is cut at quantiles of a sample, which runs a job.
     """
     bound_us = duration_us(bound)
     d = df.withColumn("_ts_us", F.unix_micros(F.col(ts).cast("timestamp")))
     if chunk is None:
-        chunk = arrival_chunk(d, arrival[0])
+        d = even_arrival_chunks(d, arrival, "_wm_chunk")
+        chunk = F.col("_wm_chunk")
     d = keyed_scan(d, [], [F.col(a) for a in arrival], chunk,
                    running={"_maxb": ("max", F.col("_ts_us"))}, exclusive=True)
-    return d.withColumn(name, F.col("_maxb") - F.lit(bound_us)).drop("_maxb", "_ts_us")
+    return d.withColumn(name, F.col("_maxb") - F.lit(bound_us)).drop("_maxb", "_ts_us", "_wm_chunk")
 
 
 def classify_lateness(df: DataFrame, ts: str, arrival: list, size: str, bound: str,
@@ -113,7 +122,8 @@ def lateness_firings_min_by(df: DataFrame, key: str, ts: str, arrival: list, val
     in the window at that firing; ``min_value`` / ``min_arr`` describe the
     minimum record (earliest arrival on ties).
     """
-    tagged = classify_lateness(df, ts, arrival, size, bound, lateness, chunk)
+    even = df.withColumn("_even", chunk) if chunk is not None else even_arrival_chunks(df, arrival)
+    tagged = classify_lateness(even, ts, arrival, size, bound, lateness, F.col("_even"))
     like = df.schema[ts].dataType.simpleString()
     arr0 = arrival[-1]
     rec = F.struct(F.col(value).alias("v"), F.col(arr0).alias("a"))
@@ -123,7 +133,7 @@ def lateness_firings_min_by(df: DataFrame, key: str, ts: str, arrival: list, val
     # the kept rows gives the initial firing, at the last on-time row, and each
     # refire (on-time rows + the accepted rows so far).
     kept = tagged.where(F.col("status") != LATE)
-    run = keyed_scan(kept, [key, "_end_us"], [F.col(a) for a in arrival], arrival_chunk(kept, arrival[0]),
+    run = keyed_scan(kept, [key, "_end_us"], [F.col(a) for a in arrival], F.col("_even"),
                      running={"n": ("count", F.lit(1)),
                               "n_on": ("sum", on_time.cast("bigint")),
                               "m": ("min", rec)},

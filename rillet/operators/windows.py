@@ -12,10 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillet.operators.bounds import even_chunks
 from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, _shared_shuffle, _surrogate_keys, chunk_by, keyed_scan
 
 # Time chunk of sessions, per key: a key with a third of 100 TB over a month has less than
-# a gigabyte in a minute; a sparse key has no more totals than rows.
+# a gigabyte in a minute, and a fuller minute is cut at sampled bounds; a sparse key has no
+# more totals than rows.
 SESSION_CHUNK_US = 60_000_000
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000,
@@ -135,7 +137,10 @@ def session(df: DataFrame, keys, ts: str, gap: str, aggs,
     like = _ts_type(df, ts)
     us = "_ts_us"
     d = df.withColumn(us, F.unix_micros(F.col(ts).cast("timestamp"))).where(F.col(us).isNotNull())
-    d = d.withColumn("_chunk", chunk_by(us, chunk_us or SESSION_CHUNK_US))
+    # rows of one microsecond may lie in several chunks, in any order: none of them is a gap apart
+    apart = [c for c, t in d.dtypes if "map<" not in t and "variant" not in t]
+    d = even_chunks(d.withColumn("_tie", F.xxhash64(*apart)), chunk_by(us, chunk_us or SESSION_CHUNK_US),
+                    [us, "_tie"], keys, name="_chunk").drop("_tie")
     d, sur = _surrogate_keys(d, list(keys))
     gkeys = sur if sur is not None else list(keys)
     part = [*gkeys, "_chunk"]

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructType, TimestampType
 
-from rillet.operators.late import (LATE, ON_TIME, last_window_end, running_watermark, status_of,
+from rillet.operators.late import (LATE, ON_TIME, arrival_chunk, last_window_end, running_watermark, status_of,
                                    window_takings)
 from rillet.operators.windows import duration_us
 from rillet.session import delete_path, list_subdirs, path_exists, rename_path
@@ -95,7 +95,8 @@ def tag_batch(ts: str, arrival: list[str], size: str, bound: str, lateness: str,
         if path_exists(spark, batch_dir(out_path, batch_id)):
             return
         before, stored = _carried(spark, state_path, batch_id)
-        d = running_watermark(batch, ts, arrival, "0 seconds", name="_before")
+        # a batch is as large as its trigger lets it be: fixed chunks, and it is read once
+        d = running_watermark(batch, ts, arrival, "0 seconds", arrival_chunk(batch, arrival[0]), name="_before")
         us = F.unix_micros(F.col(ts).cast("timestamp"))
         # greatest() passes over nulls
         d = d.withColumn("_before", F.greatest("_before", F.lit(before).cast("bigint")))
