@@ -14,6 +14,8 @@ for byte learn the smallest document that has them.
   edge of a frequent passage thus meet by the rare words beside it and not by
   the passage, and no bucket gathers all its surroundings.  The list is
   bounded; it changes where windows meet and never whether they do.
+* A bucket that is too wide for one task all the same is split: its windows meet
+  by their own digests instead.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ MOST_WINDOWS = 64
 SLICE = 1 << 19
 #: Bytes of packed strings sorted at once (whole buckets).
 CHUNK = 1 << 20
+#: Bytes of a bucket's strings, copies included, beyond which its windows are spread over tasks.
+WIDE = 1 << 23
 FREQUENT = np.uint64(1 << 63)
 
 
@@ -86,7 +90,7 @@ def _minimisers(w: Words, width: int, mmer: int, frequent: np.ndarray) -> tuple[
 
 
 def super_kmers(docs: DataFrame, frequent: np.ndarray, width: int = 50, mmer: int = 8) -> DataFrame:
-    """(doc_id, th, start, n, mini): runs of windows that share a minimiser."""
+    """(doc_id, th, start, n, n_bytes, mini): runs of windows that share a minimiser."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # `share` values at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,18 +109,20 @@ def super_kmers(docs: DataFrame, frequent: np.ndarray, width: int = 50, mmer: in
                     head = np.repeat(head, pieces) + nth * MOST_WINDOWS
                     n = np.minimum(np.repeat(n, pieces) - nth * MOST_WINDOWS, MOST_WINDOWS)
                 row = np.searchsorted(w.first, at[head], side="right") - 1
+                n_bytes = w.begin[at[head] + n + width - 1] - 1 - w.begin[at[head]]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").take(pa.array(row)), part.column("th").take(pa.array(row)),
                      pa.array((at[head] - w.first[row]).astype(np.int32)), pa.array(n.astype(np.int32)),
-                     pa.array(mini[head].view(np.int64))], ["doc_id", "th", "start", "n", "mini"])
+                     pa.array(n_bytes.astype(np.int32)), pa.array(mini[head].view(np.int64))],
+                    ["doc_id", "th", "start", "n", "n_bytes", "mini"])
 
     return (_key(docs).filter("doc_id is not null")
-            .mapInArrow(run, "doc_id long, th long, start int, n int, mini long"))
+            .mapInArrow(run, "doc_id long, th long, start int, n int, n_bytes int, mini long"))
 
 
 def _pack(docs: DataFrame, spans: DataFrame, width: int) -> DataFrame:
     """The packed strings of ``spans``, with a digest that names equal strings."""
-    per_doc = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n", "mini")).alias("spans"))
+    per_doc = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n", "mini", "wide")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -124,19 +130,19 @@ def _pack(docs: DataFrame, spans: DataFrame, width: int) -> DataFrame:
                 w = words_of(text_bytes(part.column("text")))
                 spans = part.column("spans")
                 row = np.repeat(np.arange(part.num_rows), np.diff(spans.offsets.to_numpy()))
-                start, n, mini = spans.flatten().flatten()
+                start, n, mini, wide = spans.flatten().flatten()
                 first = w.first[row] + start.to_numpy()
                 packed = [w.joined(k, m + width - 1) for k, m in zip(first.tolist(), n.to_pylist())]
                 out = [part.column("doc_id").take(pa.array(row)), part.column("th").take(pa.array(row)), start, n,
-                       mini, pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in packed], pa.binary()),
+                       mini, wide, pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in packed], pa.binary()),
                        pa.array(packed, pa.binary())]
                 for i in range(0, len(row), 5000):
                     yield pa.RecordBatch.from_arrays([x.slice(i, 5000) for x in out],
-                                                     ["doc_id", "th", "start", "n", "mini", "digest", "packed"])
+                                                     ["doc_id", "th", "start", "n", "mini", "wide", "digest", "packed"])
 
     # A merge join: neither side has a bound that would allow a broadcast.
     return _key(docs).join(per_doc.hint("merge"), ["doc_id", "th"]).mapInArrow(
-        run, "doc_id long, th long, start int, n int, mini long, digest binary, packed binary")
+        run, "doc_id long, th long, start int, n int, mini long, wide boolean, digest binary, packed binary")
 
 
 def _first_documents(packed: list[bytes], dmin: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,16 +217,51 @@ def _sort_buckets(strings: DataFrame, width: int) -> DataFrame:
             .mapInArrow(run, "digest binary, firsts array<long>"))
 
 
+def _spread_windows(strings: DataFrame, width: int) -> DataFrame:
+    """What :func:`_sort_buckets` returns, for buckets of any width: windows are shuffled by
+    their digests, summed up in every task first, and joined back to their strings."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in slices(b, "packed", SLICE):
+                w = words_of(part.column("packed").to_pylist())
+                n = w.counts - width + 1
+                row = np.repeat(np.arange(part.num_rows), n)
+                nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                at = w.first[row] + nth
+                data = w.data
+                for i in range(0, len(row), 5000):
+                    to, cut = pa.array(row[i:i + 5000]), slice(i, i + 5000)
+                    keys = [hashlib.blake2b(data[a:z], digest_size=16).digest() for a, z in
+                            zip(w.begin[at[cut]].tolist(), (w.begin[at[cut] + width] - 1).tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("digest").take(to), pa.array(nth[cut].astype(np.int32)),
+                         pa.array(keys, pa.binary()), part.column("dmin").take(to), part.column("dmax").take(to)],
+                        ["digest", "nth", "window", "dmin", "dmax"])
+
+    windows = strings.mapInArrow(run, "digest binary, nth int, window binary, dmin long, dmax long")
+    least = windows.groupBy("window").agg(F.min("dmin").alias("first"))
+    # a string has at most MOST_WINDOWS windows
+    whole = (windows.join(least.hint("merge"), "window").groupBy("digest")
+             .agg(F.array_sort(F.collect_list(F.struct("nth", "first"))).alias("found"), F.max("dmax").alias("dmax")))
+    return (whole.select("digest", F.transform("found", lambda x: x["first"]).alias("firsts"), "dmax")
+            .filter(F.array_min("firsts") < F.col("dmax")).select("digest", "firsts"))
+
+
 def repeated_windows(docs: DataFrame, width: int = 50, mmer: int = 8) -> DataFrame:
     """(doc_id, th, start, mask): bit i of the mask says that the window that begins
     at word start + i also begins in a document with a smaller doc_id."""
     spans = written(super_kmers(docs, frequent_mmers(docs, mmer), width, mmer), "super-kmers")
-    shared = (spans.groupBy("mini").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-              .filter("a < b").select("mini"))
+    shared = (spans.groupBy("mini").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"),
+                                        (F.sum("n_bytes") > WIDE).alias("wide"))
+              .filter("a < b").select("mini", "wide"))
     packed = written(_pack(docs, spans.join(shared, "mini"), width), "packed", "zstd")
-    strings = packed.groupBy("mini", "digest", "packed").agg(
-        F.min("doc_id").alias("dmin"), F.max("doc_id").alias("dmax"))
-    firsts = _sort_buckets(strings, width)
+
+    def strings(which: str) -> DataFrame:
+        return packed.filter(which).groupBy("mini", "digest", "packed").agg(
+            F.min("doc_id").alias("dmin"), F.max("doc_id").alias("dmax"))
+
+    firsts = _sort_buckets(strings("not wide"), width).unionByName(
+        _spread_windows(strings("wide").select("digest", "packed", "dmin", "dmax"), width))
     one = F.lit(1).cast("long")
     bits = F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.call_function("shiftleft", one, i))
                        .otherwise(F.lit(0).cast("long")))

@@ -59,6 +59,20 @@ def test_substring_with_frequent_mmers(spark, monkeypatch):
     assert got == brute_substring(table, WIDTH)
 
 
+@pytest.mark.parametrize("wide", [0, 400, 3000])
+def test_substring_with_wide_buckets(spark, monkeypatch, wide):
+    """All, some or few buckets are spread over tasks; one passage has very many surroundings."""
+    passage = " ".join(f"p{j}" for j in range(WIDTH + 4))
+    hot = [(1000 + i, f"left{i} of{i % 3} {passage} right{i} and {i % 5}", "en", "s", 0) for i in range(120)]
+    table = rows() + hot
+    df = documents(spark).unionByName(spark.createDataFrame(
+        hot, "doc_id long, text string, lang string, source string, n_chars long"), allowMissingColumns=True)
+    monkeypatch.setattr(substring, "WIDE", wide)
+    monkeypatch.setattr(substring, "SLICE", 500)
+    got = Counter(tuple(r) for r in substring.remove_repeats(df, WIDTH, MMER).collect())
+    assert got == brute_substring(table, WIDTH)
+
+
 def test_substring_of_equal_hashes(monkeypatch):
     """Windows whose hashes collide are told apart by their bytes."""
     monkeypatch.setattr(substring, "window_hashes", lambda h, n: window_hashes(h, n) * np.uint64(0))
