@@ -73,6 +73,50 @@ def test_partial_lies_below_the_one_shuffle(spark):
     assert sum(r.parts for r in accs) <= 4 * len(accs)
 
 
+def test_course_calls_do_not_grow_with_the_keys():
+    """A batch of ten thousand keys is folded, combined and read out in a few calls."""
+    course, n = Course("arr", "v"), 10_000
+    rows = pd.DataFrame({"arr": range(2 * n), "v": [float(i % 7) for i in range(2 * n)]})
+    group = pd.Series(range(2 * n)).mod(n).to_numpy()
+    for single in ("create", "add", "merge", "result"):
+        setattr(course, single, None)
+    accs = course.fold(rows, group, n)
+    out = course.results(course.combine(pd.concat([accs, accs]), pd.Series([*range(n), *range(n)]).to_numpy(), n))
+    assert out.n.tolist() == [4] * n and out.first_at.tolist() == list(range(n))
+    assert out.last_at.tolist() == list(range(n, 2 * n))
+    assert out.rise.tolist() == [float((i + n) % 7 - i % 7) for i in range(n)]
+    assert out.spread.tolist() == [float(abs((i + n) % 7 - i % 7)) for i in range(n)]
+
+
+def test_course_without_arrivals_and_with_long_ids(spark):
+    big = (1 << 60) + 1
+    rows = [(1, None, 5.0), (1, None, 2.0), (2, big, 1.0), (2, big + 2, 4.0), (2, None, 9.0), (None, 7, None), (3, 4, 1.5)]
+    df = spark.createDataFrame(rows, "k bigint, arr bigint, v double").where("arr IS NULL OR arr > 0")
+    got = {r.k: tuple(r)[1:] for r in aggregate_by(df.coalesce(1), ["k"], Course("arr", "v"), 2).collect()}
+    assert got[1] == (2, None, None, None, 3.0) and got[None] == (1, None, None, None, None)
+    assert got[3] == (1, 4, 4, 0.0, 0.0) and got[2][0] == 3 and got[2][3:] == (3.0, 8.0)
+    long = df.where("k = 2 AND arr IS NOT NULL").union(spark.createDataFrame([(2, big, None), (4, 9, None)], df.schema))
+    out = {r.k: tuple(r)[1:] for r in aggregate_by(long, ["k"], Course("arr", "v")).collect()}
+    assert out == {2: (3, big, big + 2, 3.0, 3.0), 4: (1, None, None, None, None)}
+
+
+def test_row_wise_form_equals_the_columnar_one(spark):
+    class RowWise(Course):
+        def create(self):
+            return super().create()
+
+        def merge(self, a, b):
+            return super().merge(a, b)
+
+        def result(self, acc):
+            return super().result(acc)
+
+    df = spark.createDataFrame(_rows(600), SCHEMA).repartition(3)
+    for by in (["k"], ["k", "even"]):
+        a, b = ({tuple(r) for r in aggregate_by(df, by, kind("arr", "v"), 7).collect()} for kind in (Course, RowWise))
+        assert a == b and len(a) > 40
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     out = aggregate_by(df, ["k"], Course("arr", "v"))
