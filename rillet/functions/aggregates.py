@@ -192,6 +192,18 @@ class Mean(UserAggregate):
     def result(self, acc: tuple) -> tuple:
         return (acc[0] / acc[1] if acc[1] else None,)
 
+    def fold(self, rows: pd.DataFrame, group: np.ndarray, count: int) -> pd.DataFrame:
+        values = rows[self.inputs[0]].to_numpy("float64", na_value=np.nan)
+        there = ~np.isnan(values)
+        return pd.DataFrame({"total": _sums(values[there], group[there], count),
+                             "n": _sums(there.astype("int64"), group, count)})
+
+    def combine(self, accs: pd.DataFrame, group: np.ndarray, count: int) -> pd.DataFrame:
+        return pd.DataFrame({c: _sums(accs[c].to_numpy(), group, count) for c in accs.columns})
+
+    def results(self, accs: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"mean": accs["total"] / accs["n"].where(accs["n"] > 0)})
+
 
 class Course(UserAggregate):
     """How a value went: rows, first and last arrival with their values, lowest and

@@ -88,6 +88,17 @@ def test_course_calls_do_not_grow_with_the_keys():
     assert out.spread.tolist() == [float(abs((i + n) % 7 - i % 7)) for i in range(n)]
 
 
+def test_mean_calls_do_not_grow_with_the_keys():
+    mean, n = Mean("v"), 10_000
+    group = pd.Series(range(2 * n)).mod(n).to_numpy()
+    for single in ("create", "add", "merge", "result"):
+        setattr(mean, single, None)
+    accs = mean.fold(pd.DataFrame({"v": [None] * n + [i / 4 for i in range(n)]}), group, n)
+    out = mean.results(mean.combine(pd.concat([accs, accs]), pd.Series([*range(n), *range(n)]).to_numpy(), n))
+    assert out["mean"].tolist() == [i / 4 for i in range(n)]
+    assert mean.results(mean.fold(pd.DataFrame({"v": [None]}), group[:1], 1))["mean"].isna().all()
+
+
 def test_course_without_arrivals_and_with_long_ids(spark):
     big = (1 << 60) + 1
     rows = [(1, None, 5.0), (1, None, 2.0), (2, big, 1.0), (2, big + 2, 4.0), (2, None, 9.0), (None, 7, None), (3, 4, 1.5)]
