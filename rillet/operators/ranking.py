@@ -43,21 +43,17 @@ def sliding_top_n(df: DataFrame, key: str, ts: str, size: str, slide: str, n: in
                   name: str = "cnt", rank: str = "rn") -> DataFrame:
     """Top ``n`` keys by count in every sliding window, ties broken by key.
 
-    1. count rows per (key, pane), pane = gcd(size, slide), with map-side
-       partial aggregation (raw rows never get expanded);
-    2. expand each pane count into the size/slide windows containing it and sum
-       per (key, window), spread over all tasks by that pair: a window with
-       very many keys is no single task's work;
-    3. rank: every task first keeps its own top ``n`` of each window (a partial
+    1. count rows per key and window (:func:`rillet.operators.windows.sliding_counts`): what is
+       shuffled are the pane counts, and the windows of a key lie in chunks that are spread
+       over all tasks: a window with very many keys is no single task's work;
+    2. rank: every task first keeps its own top ``n`` of each window (a partial
        ``WindowGroupLimit``), so only n rows per window and task are shuffled
        by window end.
     """
-    from rillet.operators.windows import _from_us, _ts_type, pane_window_ends
+    from rillet.operators.windows import _from_us, _ts_type, sliding_counts
 
     like = _ts_type(df, ts)
-    ends = pane_window_ends(df, [key], ts, size, slide)
-    counts = ends.groupBy(key, "_end").agg(F.sum("_n").alias(name))
-    counts = counts.select(key, _from_us(F.col("_end"), like).alias("window_end"), name)
+    counts = sliding_counts(df, [key], ts, size, slide, name).select(key, _from_us(F.col("_end"), like).alias("window_end"), name)
     return top_n(counts, ["window_end"], [F.desc(name), F.asc(key)], n, rank).select(key, "window_end", name, rank)
 
 

@@ -56,56 +56,56 @@ def hop(df: DataFrame, keys, ts: str, size: str, slide: str, aggs) -> DataFrame:
     return _flatten(df.groupBy(*keys, F.window(ts, size, slide).alias("w")).agg(*aggs), keys)
 
 
-def spread_before_expansion(df: DataFrame, factor: int) -> DataFrame:
-    """Round-robin the (small) input of a row-multiplying step over the
-    configured shuffle partitions.
-
-    AQE sizes partitions by the bytes of the shuffle that feeds them; pane
-    counts are small, so they would be coalesced into a few partitions and
-    the x``factor`` expansion would then run in those few tasks.  An explicit
-    partition count is left alone by AQE.  (sf0.1, 10 min / 5 s: 5.5 s
-    instead of 19.4 s.)  Spark sorts before a round-robin repartition, so a
-    recomputed task gets the same rows.
-    """
-    if factor <= 1:
-        return df
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n)
-
-
-def pane_window_ends(df: DataFrame, keys, ts: str, size: str, slide: str) -> DataFrame:
-    """(keys..., _n, _end): per-(key, pane) counts expanded to the sliding
-    windows containing each pane, pane = gcd(size, slide), ends in epoch us.
-
-    The counts come from a partial aggregation, are spread over the shuffle
-    partitions, and only then expanded, so raw rows are never multiplied.
+def sliding_counts(df: DataFrame, keys, ts: str, size: str, slide: str, name: str = "cnt") -> DataFrame:
+    """(keys..., _end, name): rows per key and sliding window that has any, ends in epoch us.
+
+    1. rows are counted per (key, pane), pane = gcd(size, slide), with map-side partial
+       aggregation;
+    2. the windows of a key are cut into chunks of eight sizes, and a pane goes to the one or two
+       chunks of the windows that hold it: this is the only shuffle of the panes;
+    3. in a chunk, a pane adds its count at its first window and takes it off after its last; the
+       running sum over these changes is the count of all windows up to the next change.
+
+    Windows are laid out only where they come out, so a row costs the same to shuffle however many
+    windows hold it.  A chunk holds no more panes than fit nine sizes, however hot its key.
+    The partition count is explicit: AQE would size the partitions by the panes and lay out
+    all windows in a few tasks.
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
     pane_us = math.gcd(size_us, slide_us)
+    chunk_us = 8 * -(-size_us // slide_us) * slide_us
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     panes = (df.groupBy(*keys, (F.floor(us / pane_us) * pane_us).alias("_pane"))
                .agg(F.count(F.lit(1)).alias("_n")))
-    panes = spread_before_expansion(panes, size_us // slide_us)
     # Window ends e (multiples of slide) with e - size <= pane and pane + pane_us <= e.
-    first_end = F.ceil((F.col("_pane") + pane_us) / slide_us) * slide_us
-    last_end = F.floor((F.col("_pane") + size_us) / slide_us) * slide_us
-    return panes.select(*keys, "_n", F.explode(F.sequence(first_end, last_end, F.lit(slide_us)))
-                        .alias("_end"))
+    first = F.ceil((F.col("_pane") + pane_us) / slide_us) * slide_us
+    last = F.floor((F.col("_pane") + size_us) / slide_us) * slide_us
+    placed = panes.select(*keys, "_n", first.alias("_first"), last.alias("_last")).select(
+        "*", F.explode(F.sequence(F.floor(F.col("_first") / chunk_us), F.floor(F.col("_last") / chunk_us))).alias("_chunk"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = placed.repartition(parts, *[F.col(k) for k in keys], "_chunk")
+    start = F.col("_chunk") * chunk_us
+    changes = placed.select(*keys, "_chunk", F.inline(F.array(
+        F.struct(F.greatest("_first", start).alias("_at"), F.col("_n").alias("_d")),
+        F.struct((F.least("_last", start + chunk_us - slide_us) + slide_us).alias("_at"), (-F.col("_n")).alias("_d")))))
+    # the running sum takes in all changes at one place, and only the last of them has a later next one
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_at")
+    runs = changes.select(*keys, "_at", F.lead("_at").over(w).alias("_next"), F.sum("_d").over(w).alias(name))
+    return (runs.where((F.col("_next") > F.col("_at")) & (F.col(name) > 0))
+                .select(*keys, F.explode(F.sequence("_at", F.col("_next") - slide_us, F.lit(slide_us))).alias("_end"), name))
 
 
 def hop_count_panes(df: DataFrame, keys, ts: str, size: str, slide: str,
                     name: str = "cnt") -> DataFrame:
-    """Sliding count by pane pre-aggregation (see :func:`pane_window_ends`).
+    """Sliding count by panes and running sums (see :func:`sliding_counts`).
 
-    When many rows share a (key, pane) this shrinks the expansion from
-    rows x windows to panes x windows.  Same result as :func:`hop` with a count.
+    Same result as :func:`hop` with a count, without expanding rows or pane counts.
     """
     size_us = duration_us(size)
     like = _ts_type(df, ts)
-    ends = pane_window_ends(df, keys, ts, size, slide)
-    return (ends.groupBy(*keys, "_end").agg(F.sum("_n").alias(name))
-                .select(*keys, _from_us(F.col("_end") - size_us, like).alias("window_start"),
-                        _from_us(F.col("_end"), like).alias("window_end"), name))
+    counts = sliding_counts(df, keys, ts, size, slide, name)
+    return counts.select(*keys, _from_us(F.col("_end") - size_us, like).alias("window_start"),
+                         _from_us(F.col("_end"), like).alias("window_end"), name)
 
 
 def session_builtin(df: DataFrame, keys, ts: str, gap: str, aggs) -> DataFrame:

@@ -4,13 +4,15 @@ Chunked prefix scans are compared with plain per-key windows at chunk widths
 small enough that every key spans many chunks.
 """
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rillet.operators import late, running
 from rillet.operators.scan import chunk_by, keyed_scan
-from rillet.operators.windows import count_window, hop, hop_count_panes, session
+from rillet.operators.windows import count_window, duration_us, hop, hop_count_panes, session
 from rillet.plans import catalog, jobs
 from tests.conftest import SF0001
 
@@ -81,6 +83,34 @@ def test_panes_equal_plain_hop(spark):
     assert _set(a, cols) == _set(b, cols)
 
 
+@pytest.mark.parametrize("size,slide", [("10 minutes", "5 seconds"), ("7 seconds", "3 seconds"), ("4 seconds", "4 seconds")])
+def test_sliding_counts_across_chunks(spark, size, slide):
+    """Chunk borders, times before 1970, repeated rows, null keys and null times."""
+    rows = [(None if i % 11 == 0 else f"k{i % 4}", None if i % 13 == 0 else (i * i * 37) % 20_000 / 4 - 2000) for i in range(900)]
+    rows += [("hot", 3.0)] * 400 + [("edge", t) for t in (-0.25, 0.0, 0.25, 4799.75, 4800.0, 4800.25)]
+    df = spark.createDataFrame(rows, "k string, s double").select(
+        "k", F.timestamp_micros((F.col("s") * 1_000_000).cast("bigint")).cast("timestamp_ntz").alias("ts"))
+    got = hop_count_panes(df.repartition(3), ["k"], "ts", size, slide)
+    assert got.schema["window_end"].dataType == df.schema["ts"].dataType
+    width, step = duration_us(size), duration_us(slide)
+    want = Counter((k, end - width, end) for k, s in rows if s is not None for us in [round(s * 1_000_000)]
+                   for end in range((us // step + 1) * step, us + width + 1, step))
+    got = {(r.k, r.a, r.b): r.cnt for r in got.select("k", "cnt", *(
+        F.unix_micros(F.col(c).cast("timestamp")).alias(a) for c, a in (("window_start", "a"), ("window_end", "b")))).collect()}
+    assert got == want
+
+
+def test_sliding_counts_shuffle_panes_not_windows(spark):
+    """The windows are laid out above the last shuffle of the count."""
+    beh = catalog._behavior(spark, SF0001).where("behavior = 'view'")
+    out = hop_count_panes(beh, ["item_id"], "ts", "1 hour", "5 minutes")
+    lines = out._jdf.queryExecution().sparkPlan().toString().splitlines()
+    laid = [i for i, line in enumerate(lines) if "Generate explode(sequence(" in line and "_end" in line]
+    shuffles = [i for i, line in enumerate(lines) if "Exchange" in line or "Repartition" in line]
+    grouped = [i for i, line in enumerate(lines) if "HashAggregate" in line]
+    assert laid and shuffles and laid[0] < min(shuffles) and laid[0] < min(grouped)
+
+
 def test_salted_equals_unsalted(spark):
     beh = catalog._behavior(spark, SF0001)
     cols = ["label", "window_end", "cnt"]
@@ -256,6 +286,17 @@ def test_top_n_thins_before_the_window_shuffle(spark):
     assert "Partial" in plan[partial:partial + 400] and "Exchange" in plan[final:partial]
 
 
+def test_top_n_lays_out_windows_above_the_shuffle_of_panes(spark):
+    """Only what a task keeps of each window is shuffled after the windows are laid out."""
+    from rillet.operators.ranking import sliding_top_n
+    out = sliding_top_n(catalog._behavior(spark, SF0001), "item_id", "ts", "1 hour", "5 minutes", 5)
+    lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    laid = next(i for i, line in enumerate(lines) if "Generate explode(sequence(" in line and "_end" in line)
+    limits = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line and i < laid]
+    above = [i for i, line in enumerate(lines) if "Exchange" in line and i < laid]
+    assert len(above) == 1 and min(limits) < above[0] < max(limits)
+
+
 def test_retract_stream_replays_to_the_ranking(spark):
     """Applying the changes in order leaves each window's final top."""
     changes = catalog.QUERIES["hot_items_retract"](spark, SF0001).collect()
