@@ -110,7 +110,10 @@ def _prefix(totals: DataFrame, keys: list[str], chunk: str, fns: dict, lags: lis
 
     if fan is None:
         return totals.select(*keys, chunk, *offsets(totals, keys, chunk), *all_of(keys))
-    wide = totals.withColumn("_span", F.floor(F.col(chunk) / fan))
+    # never null for Catalyst either: a test for null pushed below the shuffle of the rows into one of its readers would
+    # make it another shuffle
+    wide = totals.withColumn("_span", F.coalesce(F.floor(F.col(chunk) / fan), F.lit(NO_CHUNK)))
+    wide = _shared_shuffle(wide, [*keys, "_span"])
     inner = wide.select(*keys, chunk, "_span", *offsets(wide, [*keys, "_span"], chunk))
     spans = wide.groupBy(*keys, "_span").agg(
         *[_COMBINE[fn](f"_t_{n}").alias(f"_t_{n}") for n, fn in {**fns, **whole}.items()],
@@ -157,7 +160,14 @@ def keyed_scan(df: DataFrame, keys, order, chunk: Column | None = None,
     df, sur = _surrogate_keys(df, keys)
     gkeys = sur if sur is not None else keys  # grouping / join columns
     part = [*gkeys, CHUNK]
-    df = _shared_shuffle(df, part)
+    if sur is not None:
+        # the surrogates travel for the keys, which come back behind the shuffle
+        columns = df.columns
+        df = _shared_shuffle(df.drop(*keys), part)
+        restored = {k: F.when(~F.col(f"_kn{i}"), F.col(f"_kv{i}")).alias(k) for i, k in enumerate(keys)}
+        df = df.select(*[restored.get(c, F.col(c)) for c in columns])
+    else:
+        df = _shared_shuffle(df, part)
 
     w = Window.partitionBy(*part).orderBy(*order)
 

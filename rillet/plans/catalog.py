@@ -335,7 +335,8 @@ def q_word_count(spark, d):
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt FROM toks")
 def q_running_word_count(spark, d):
     docs = tables.load_table(spark, d, "documents").select("doc_id", F.col("text").alias("value"))
-    return running.running_word_count(docs, "doc_id", chunk=chunk_by("doc_id", 256))
+    # most words are rare: the chunks are wide, or there are nearly as many totals as tokens
+    return running.running_word_count(docs, "doc_id", chunk=chunk_by("doc_id", 4096))
 
 
 @query("rolling_max_by", _with(SENSOR) +

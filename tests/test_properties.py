@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from rillet.functions.text import java_split
 from rillet.operators import late, running
 from rillet.operators.scan import chunk_by, keyed_scan
 from rillet.operators.windows import count_window, duration_us, hop, hop_count_panes, session
@@ -146,6 +147,35 @@ def test_running_word_count_chunks(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_running_word_count_of_repeated_and_null_orders(spark):
+    """Lines of one order interleave by place; empty and null lines have their tokens or none."""
+    words = ["a", "b", "", "a a", "b a", "c"]
+    rows = [(None if i % 9 == 0 else i // 2 if i % 5 else i, None if i % 17 == 0 else " ".join(words[(i * j) % 6] for j in range(i % 8)))
+            for i in range(200)]
+    for some in (rows, [(i, v) for i, (_, v) in enumerate(rows)]):
+        lines = spark.createDataFrame(some, "id bigint, value string").repartition(3)
+        tokens = lines.select("id", F.posexplode(java_split("value", " ")).alias("pos", "word"))
+        w = Window.partitionBy("word").orderBy("id", "pos").rowsBetween(Window.unboundedPreceding, 0)
+        want = tokens.select("id", "pos", "word", F.count(F.lit(1)).over(w).alias("cnt"))
+        for chunk in (chunk_by("id", 4), F.lit(0)):
+            got = running.running_word_count(lines, "id", chunk=chunk)
+            assert got.columns == want.columns and dict(got.dtypes) == dict(want.dtypes)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+@pytest.mark.parametrize("fan", [None, 4])
+def test_scan_shuffles_its_rows_once_and_keys_once(spark, fan):
+    lines = spark.createDataFrame([(i, f"x x y{i % 7}") for i in range(40)], "id bigint, value string")
+    out = running.running_word_count(lines, "id", chunk=chunk_by("id", 2), fan=fan)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    by_rows = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(_kv0" in line and "_chunk" in line
+               and "REPARTITION_BY_COL" in line and "ReusedExchange" not in line]
+    assert len(by_rows) == 1
+    sent = plan[by_rows[0] + 1].split("Project [")[1].split(", ")
+    assert not any(c.startswith("word#") or c.endswith("AS word") for c in sent) and any("_kv0#" in c for c in sent)
+
+
 def test_hot_key_is_split_and_exact(spark):
     """90% of the rows on one key: the chunked scan spreads that key over many
     (key, chunk) groups and still equals the single-partition window."""
