@@ -44,11 +44,11 @@ def sliding_top_n(df: DataFrame, key: str, ts: str, size: str, slide: str, n: in
     """Top ``n`` keys by count in every sliding window, ties broken by key.
 
     1. count rows per key and window (:func:`rillet.operators.windows.sliding_counts`): what is
-       shuffled are the pane counts, and the windows of a key lie in chunks that are spread
-       over all tasks: a window with very many keys is no single task's work;
+       shuffled are the pane counts, by chunk of time, and a chunk of very many panes is cut by
+       keys: a window with very many keys is no single task's work;
     2. rank: every task first keeps its own top ``n`` of each window (a partial
-       ``WindowGroupLimit``), so only n rows per window and task are shuffled
-       by window end.
+       ``WindowGroupLimit``), so only n rows per window, or per part of a wide chunk's window,
+       are shuffled by window end.
     """
     from rillet.operators.windows import _from_us, _ts_type, sliding_counts
 

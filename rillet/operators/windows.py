@@ -20,6 +20,10 @@ from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, _shared_shuffle, _surro
 # more totals than rows.
 SESSION_CHUNK_US = 60_000_000
 
+# Panes of a time chunk that one task takes; 65,536 panes that share no window are eight million
+# windows of 10 min / 5 s.
+CHUNK_PANES = 1 << 16
+
 _UNITS_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000,
              "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
@@ -61,13 +65,18 @@ def sliding_counts(df: DataFrame, keys, ts: str, size: str, slide: str, name: st
 
     1. rows are counted per (key, pane), pane = gcd(size, slide), with map-side partial
        aggregation;
-    2. the windows of a key are cut into chunks of eight sizes, and a pane goes to the one or two
-       chunks of the windows that hold it: this is the only shuffle of the panes;
-    3. in a chunk, a pane adds its count at its first window and takes it off after its last; the
+    2. time is cut into chunks of eight sizes, and a pane goes to the one or two chunks of the
+       windows that hold it: this is the only shuffle of the panes.  All keys of a chunk lie
+       together, unless it has more than ``CHUNK_PANES`` panes: those are cut by the key's hash;
+    3. in a chunk, a pane adds its count at its key's first window and takes it off after the last; the
        running sum over these changes is the count of all windows up to the next change.
 
     Windows are laid out only where they come out, so a row costs the same to shuffle however many
-    windows hold it.  A chunk holds no more panes than fit nine sizes, however hot its key.
+    windows hold it.  A chunk's keys come out one after the other over the same stretch of time, so
+    their windows repeat, which keeps what is written of them small, and a task that goes on to rank
+    windows has nearly always all of a window's keys.  A key has no more panes in a chunk than fit nine
+    sizes, so the cut by keys is even however hot a key is.  The panes of a chunk are counted on the
+    shuffle of the first step, and only the few wide chunks are broadcast.
     The partition count is explicit: AQE would size the partitions by the panes and lay out
     all windows in a few tasks.
     """
@@ -82,14 +91,20 @@ def sliding_counts(df: DataFrame, keys, ts: str, size: str, slide: str, name: st
     last = F.floor((F.col("_pane") + size_us) / slide_us) * slide_us
     placed = panes.select(*keys, "_n", first.alias("_first"), last.alias("_last")).select(
         "*", F.explode(F.sequence(F.floor(F.col("_first") / chunk_us), F.floor(F.col("_last") / chunk_us))).alias("_chunk"))
+    # a count of panes that reads their counts, which nothing prunes: both readers share one shuffle
+    wide = (placed.groupBy("_chunk").agg(F.sum(F.least("_n", F.lit(1))).alias("_panes"))
+                  .where(F.col("_panes") > CHUNK_PANES)
+                  .select("_chunk", F.ceil(F.col("_panes") / CHUNK_PANES).alias("_cuts")))
+    cut = F.pmod(F.xxhash64(*keys), F.coalesce("_cuts", F.lit(1)))
+    placed = placed.join(F.broadcast(wide), "_chunk", "left").withColumn("_cut", cut).drop("_cuts")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = placed.repartition(parts, *[F.col(k) for k in keys], "_chunk")
+    placed = placed.repartition(parts, "_chunk", "_cut")
     start = F.col("_chunk") * chunk_us
-    changes = placed.select(*keys, "_chunk", F.inline(F.array(
+    changes = placed.select("_chunk", "_cut", *keys, F.inline(F.array(
         F.struct(F.greatest("_first", start).alias("_at"), F.col("_n").alias("_d")),
         F.struct((F.least("_last", start + chunk_us - slide_us) + slide_us).alias("_at"), (-F.col("_n")).alias("_d")))))
     # the running sum takes in all changes at one place, and only the last of them has a later next one
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_at")
+    w = Window.partitionBy("_chunk", "_cut", *keys).orderBy("_at")
     runs = changes.select(*keys, "_at", F.lead("_at").over(w).alias("_next"), F.sum("_d").over(w).alias(name))
     return (runs.where((F.col("_next") > F.col("_at")) & (F.col(name) > 0))
                 .select(*keys, F.explode(F.sequence("_at", F.col("_next") - slide_us, F.lit(slide_us))).alias("_end"), name))

@@ -112,6 +112,48 @@ def test_sliding_counts_shuffle_panes_not_windows(spark):
     assert laid and shuffles and laid[0] < min(shuffles) and laid[0] < min(grouped)
 
 
+def test_sliding_counts_come_out_chunk_by_chunk(spark):
+    """A task finishes a chunk of time before the next, all keys of it, so that window times repeat close by."""
+    beh = catalog._behavior(spark, SF0001)
+    out = hop_count_panes(beh, ["item_id"], "ts", "1 hour", "5 minutes")
+    width = 8 * duration_us("1 hour")
+    at = out.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"),
+                    F.floor(F.unix_micros(F.col("window_end").cast("timestamp")) / width).alias("c")).collect()
+    at = sorted((r.p, r.i, r.c) for r in at)
+    runs = [a[::2] for a, b in zip(at, [None, *at]) if b is None or a[::2] != b[::2]]
+    assert len(runs) == len({c for _, c in runs}) > 20
+
+
+def test_sliding_counts_count_the_panes_once(spark, monkeypatch):
+    """The panes of a chunk are counted on the shuffle that the counts come from."""
+    from rillet.operators import windows
+    monkeypatch.setattr(windows, "CHUNK_PANES", 7, raising=False)
+    out = hop_count_panes(catalog._behavior(spark, SF0001), ["item_id"], "ts", "1 hour", "5 minutes")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("most", [1, 7, 40])
+def test_sliding_counts_cut_wide_chunks(spark, monkeypatch, most):
+    """Chunks of too many panes are cut by keys: same counts, same top, and other tasks take part."""
+    from rillet.operators import windows
+    from rillet.operators.ranking import sliding_top_n, top_n
+    rows = [(None if i % 17 == 0 else f"k{i * 7 % 23}", None if i % 29 == 0 else i * i * 37 % 9000) for i in range(800)]
+    rows += [("hot", 4800)] * 300 + [("edge", s) for s in (4799, 4800, 4805)] * 2
+    df = spark.createDataFrame(rows, "k string, s int").select("k", F.timestamp_seconds("s").alias("ts"))
+    size, slide, cols = "10 minutes", "1 minute", ["k", "window_end", "cnt"]
+    monkeypatch.setattr(windows, "CHUNK_PANES", most)
+    plain = hop(df, ["k"], "ts", size, slide, [F.count(F.lit(1)).alias("cnt")])
+    got = hop_count_panes(df, ["k"], "ts", size, slide)
+    as_rows = lambda d, c: Counter(tuple(r) for r in d.select(*c).collect())
+    assert as_rows(got, cols) == as_rows(plain, cols)
+    want = top_n(plain, ["window_end"], [F.desc("cnt"), F.asc("k")], 3)
+    assert as_rows(sliding_top_n(df, "k", "ts", size, slide, 3), [*cols, "rn"]) == as_rows(want, [*cols, "rn"])
+    tasks = got.select("window_end", F.spark_partition_id().alias("p")).groupBy("window_end").agg(F.countDistinct("p").alias("n"))
+    assert tasks.agg(F.max("n")).first()[0] > 1
+
+
 def test_salted_equals_unsalted(spark):
     beh = catalog._behavior(spark, SF0001)
     cols = ["label", "window_end", "cnt"]
@@ -327,6 +369,16 @@ def test_top_n_lays_out_windows_above_the_shuffle_of_panes(spark):
     assert len(above) == 1 and min(limits) < above[0] < max(limits)
 
 
+def test_top_n_of_a_window_comes_from_one_task(spark):
+    """All keys of a window lie in one task (unless its chunk is wide), so no more than ``n`` rows of it are shuffled."""
+    from rillet.operators.windows import sliding_counts
+    counts = sliding_counts(catalog._behavior(spark, SF0001), ["item_id"], "ts", "1 hour", "5 minutes")
+    tasks = counts.select("_end", F.spark_partition_id().alias("p")).groupBy("_end").agg(
+        F.countDistinct("p").alias("n"), F.count("p").alias("keys"))
+    assert tasks.where("keys > 1").count() > 100
+    assert tasks.where("n > 1").count() == 0
+
+
 def test_retract_stream_replays_to_the_ranking(spark):
     """Applying the changes in order leaves each window's final top."""
     changes = catalog.QUERIES["hot_items_retract"](spark, SF0001).collect()
