@@ -43,18 +43,27 @@ def sliding_top_n(df: DataFrame, key: str, ts: str, size: str, slide: str, n: in
                   name: str = "cnt", rank: str = "rn") -> DataFrame:
     """Top ``n`` keys by count in every sliding window, ties broken by key.
 
-    1. count rows per key and window (:func:`rillet.operators.windows.sliding_counts`): what is
+    1. count rows per key and window (:func:`rillet.operators.windows.chunk_counts`): what is
        shuffled are the pane counts, by chunk of time, and a chunk of very many panes is cut by
        keys: a window with very many keys is no single task's work;
     2. rank: every task first keeps its own top ``n`` of each window (a partial
        ``WindowGroupLimit``), so only n rows per window, or per part of a wide chunk's window,
        are shuffled by window end.
+
+    A task sorts all windows that it lays out.  So that they fit its memory however many there are, their
+    number is estimated first (a job, see :func:`rillet.operators.windows.sliding_tasks`) and
+    more tasks than configured take part if need be, in the last ranking a quarter as many.
     """
-    from rillet.operators.windows import _from_us, _ts_type, sliding_counts
+    from rillet.operators.windows import _from_us, _ts_type, chunk_counts, sliding_tasks
 
     like = _ts_type(df, ts)
-    counts = sliding_counts(df, [key], ts, size, slide, name).select(key, _from_us(F.col("_end"), like).alias("window_end"), name)
-    return top_n(counts, ["window_end"], [F.desc(name), F.asc(key)], n, rank).select(key, "window_end", name, rank)
+    tasks = sliding_tasks(df, [key], ts, size, slide)
+    counts = chunk_counts(df, [key], ts, size, slide, name, tasks).select(
+        "_chunk", "_cut", key, _from_us(F.col("_end"), like).alias("window_end"), name)
+    order, last = [F.desc(name), F.asc(key)], -(-tasks // 4)
+    if last > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        counts = top_n(counts, ["_chunk", "_cut", "window_end"], order, n, rank).repartition(last, "window_end")
+    return top_n(counts, ["window_end"], order, n, rank).select(key, "window_end", name, rank)
 
 
 def top_n_retract(df: DataFrame, group: str, key: str, count: str, n: int) -> DataFrame:

@@ -20,9 +20,14 @@ from rillet.operators.scan import DEFAULT_ARRIVAL_CHUNK, _shared_shuffle, _surro
 # more totals than rows.
 SESSION_CHUNK_US = 60_000_000
 
-# Panes of a time chunk that one task takes; 65,536 panes that share no window are eight million
+# Panes of a time chunk that lie together; 4,096 panes that share no window are half a million
 # windows of 10 min / 5 s.
-CHUNK_PANES = 1 << 16
+CHUNK_PANES = 1 << 12
+
+# Windows that a task lays out, about, where they are sorted: some 300 MB with keys of 50 bytes.
+TASK_WINDOWS = 1 << 21
+# Tasks of a shuffle at most; beyond them a task lays out more windows, and its sort may spill.
+MOST_TASKS = 1 << 14
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000,
              "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
@@ -60,8 +65,31 @@ def hop(df: DataFrame, keys, ts: str, size: str, slide: str, aggs) -> DataFrame:
     return _flatten(df.groupBy(*keys, F.window(ts, size, slide).alias("w")).agg(*aggs), keys)
 
 
+def sliding_tasks(df: DataFrame, keys, ts: str, size: str, slide: str) -> int:
+    """Tasks that lay out about ``TASK_WINDOWS`` windows of :func:`sliding_counts` each, or fewer.
+
+    A key has no more windows than its panes have one by one, nor than twice a size's for every stretch
+    of that size in which it has rows.  A job counts the panes and the stretches by sketches, which are
+    all that is shuffled, so the number follows the windows and not the rows.
+    """
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    panes, stretches = df.where(F.col(ts).isNotNull()).select(
+        *(F.approx_count_distinct(F.xxhash64(*keys, F.floor(us / width)))
+          for width in (math.gcd(size_us, slide_us), size_us))).first()
+    return min(-(-min(panes, 2 * stretches) * -(-size_us // slide_us) // TASK_WINDOWS), MOST_TASKS)
+
+
 def sliding_counts(df: DataFrame, keys, ts: str, size: str, slide: str, name: str = "cnt") -> DataFrame:
     """(keys..., _end, name): rows per key and sliding window that has any, ends in epoch us.
+    See :func:`chunk_counts`."""
+    return chunk_counts(df, keys, ts, size, slide, name).select(*keys, "_end", name)
+
+
+def chunk_counts(df: DataFrame, keys, ts: str, size: str, slide: str, name: str = "cnt",
+                 tasks: int = 0) -> DataFrame:
+    """(_chunk, _cut, keys..., _end, name): rows per key and sliding window that has any, ends in
+    epoch us; rows of a (_chunk, _cut) lie in one partition.
 
     1. rows are counted per (key, pane), pane = gcd(size, slide), with map-side partial
        aggregation;
@@ -77,8 +105,8 @@ def sliding_counts(df: DataFrame, keys, ts: str, size: str, slide: str, name: st
     windows has nearly always all of a window's keys.  A key has no more panes in a chunk than fit nine
     sizes, so the cut by keys is even however hot a key is.  The panes of a chunk are counted on the
     shuffle of the first step, and only the few wide chunks are broadcast.
-    The partition count is explicit: AQE would size the partitions by the panes and lay out
-    all windows in a few tasks.
+    The partition count is explicit (the configured one, or ``tasks`` if more): AQE would size the
+    partitions by the panes and lay out all windows in a few tasks.
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
     pane_us = math.gcd(size_us, slide_us)
@@ -98,16 +126,17 @@ def sliding_counts(df: DataFrame, keys, ts: str, size: str, slide: str, name: st
     cut = F.pmod(F.xxhash64(*keys), F.coalesce("_cuts", F.lit(1)))
     placed = placed.join(F.broadcast(wide), "_chunk", "left").withColumn("_cut", cut).drop("_cuts")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = placed.repartition(parts, "_chunk", "_cut")
+    placed = placed.repartition(max(parts, tasks), "_chunk", "_cut")
     start = F.col("_chunk") * chunk_us
     changes = placed.select("_chunk", "_cut", *keys, F.inline(F.array(
         F.struct(F.greatest("_first", start).alias("_at"), F.col("_n").alias("_d")),
         F.struct((F.least("_last", start + chunk_us - slide_us) + slide_us).alias("_at"), (-F.col("_n")).alias("_d")))))
     # the running sum takes in all changes at one place, and only the last of them has a later next one
     w = Window.partitionBy("_chunk", "_cut", *keys).orderBy("_at")
-    runs = changes.select(*keys, "_at", F.lead("_at").over(w).alias("_next"), F.sum("_d").over(w).alias(name))
+    runs = changes.select("_chunk", "_cut", *keys, "_at", F.lead("_at").over(w).alias("_next"), F.sum("_d").over(w).alias(name))
     return (runs.where((F.col("_next") > F.col("_at")) & (F.col(name) > 0))
-                .select(*keys, F.explode(F.sequence("_at", F.col("_next") - slide_us, F.lit(slide_us))).alias("_end"), name))
+                .select("_chunk", "_cut", *keys,
+                        F.explode(F.sequence("_at", F.col("_next") - slide_us, F.lit(slide_us))).alias("_end"), name))
 
 
 def hop_count_panes(df: DataFrame, keys, ts: str, size: str, slide: str,

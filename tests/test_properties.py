@@ -4,6 +4,7 @@ Chunked prefix scans are compared with plain per-key windows at chunk widths
 small enough that every key spans many chunks.
 """
 
+import re
 from collections import Counter
 
 import pytest
@@ -379,6 +380,38 @@ def test_top_n_of_a_window_comes_from_one_task(spark):
     assert tasks.where("n > 1").count() == 0
 
 
+def test_top_n_takes_more_tasks_for_more_windows(spark, monkeypatch):
+    """A task lays out and sorts so many windows, however many there are in all: same top, by more tasks than configured."""
+    from rillet.operators import windows
+    from rillet.operators.ranking import sliding_top_n, top_n
+    rows = [(None if i % 17 == 0 else f"k{i * 7 % 23}", None if i % 29 == 0 else i * i * 37 % 90_000) for i in range(800)]
+    rows += [("hot", 4800)] * 300 + [("edge", s) for s in (4799, 4800, 4805)] * 2
+    df = spark.createDataFrame(rows, "k string, s int").select("k", F.timestamp_seconds("s").alias("ts"))
+    size, slide, cols = "10 minutes", "1 minute", ["k", "window_end", "cnt"]
+    plain = hop(df, ["k"], "ts", size, slide, [F.count(F.lit(1)).alias("cnt")])
+    monkeypatch.setattr(windows, "TASK_WINDOWS", 50, raising=False)
+    monkeypatch.setattr(windows, "CHUNK_PANES", 7)
+    got = sliding_top_n(df, "k", "ts", size, slide, 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    dealt = re.search(r"Exchange hashpartitioning\(_chunk#\d+L?, _cut#\d+L?, (\d+)\)", plan)
+    assert int(dealt[1]) >= plain.count() / 50 and got.rdd.getNumPartitions() >= plain.count() / 200 > 8
+    want = top_n(plain, ["window_end"], [F.desc("cnt"), F.asc("k")], 3)
+    as_rows = lambda d: Counter(tuple(r) for r in d.select(*cols, "rn").collect())
+    assert as_rows(got) == as_rows(want)
+
+
+def test_number_of_tasks_follows_windows_not_rows(spark, monkeypatch):
+    from rillet.operators import windows
+    monkeypatch.setattr(windows, "TASK_WINDOWS", 100)
+    at = lambda n, step: spark.range(n).select(F.lit("k").alias("k"), F.timestamp_seconds(F.col("id") * step).alias("ts"))
+    tasks = lambda df: windows.sliding_tasks(df, ["k"], "ts", "10 minutes", "5 seconds")
+    assert tasks(at(5000, 0)) == 2  # one pane, 120 windows
+    assert 5 <= tasks(at(3000, 1)) <= 12  # 3,000 rows of 600 panes, 720 windows
+    assert 100 <= tasks(at(100, 6000)) <= 140  # 100 panes that share no window
+    assert tasks(at(0, 1)) == 0
+    assert tasks(at(5, 1).select("k", F.lit(None).cast("timestamp").alias("ts"))) == 0
+
+
 def test_retract_stream_replays_to_the_ranking(spark):
     """Applying the changes in order leaves each window's final top."""
     changes = catalog.QUERIES["hot_items_retract"](spark, SF0001).collect()
